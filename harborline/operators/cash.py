@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.operators.quantiles import exact_quantiles
-from harborline.operators.windows import running_total
 
 # Recommendation texts.
 PREPARE = "Monitor closely and prepare for potential replenishment"
@@ -146,25 +145,28 @@ def risk_branches(per_branch: DataFrame, high: Column, idle: Column, short: Colu
 
 
 def redistribute(balances: DataFrame, by: Sequence[str], branch: str, amount: str) -> DataFrame:
-    """Transfers from surplus to shortage branches, per group.
+    """Transfers from surplus to shortage branches, per group (such as a day).
 
-    Surpluses and shortages are laid end to end as intervals in branch order; each overlap of a
-    surplus interval with a shortage interval is a transfer. Intervals are cut at common
-    boundaries with a running total over both sides' end points, so the matching is a
-    sort and a fill instead of a comparison of all pairs.
+    Surpluses and shortages are laid end to end as intervals in branch order; the overlap of a
+    surplus interval with a shortage interval is a transfer. The overlaps follow from one sort of
+    all interval ends: each piece between two ends belongs to the next surplus and the next
+    shortage to end. No pair of branches is compared. A group holds one row per branch.
     """
-    signed = F.col(amount)
-    sides = balances.where(signed != 0).select(*by, branch, F.when(signed > 0, "from").otherwise("to").alias("side"), F.abs(signed).alias("size"))
-    ends = running_total(sides, [*by, "side"], [branch], F.lit(0), {"until": "size"})
-    ends = ends.withColumn("until", F.round("until", 2))
-    order = [*by, "until", "side", branch]
-    w = Window.partitionBy(*by).orderBy("until")
-    next_of = lambda side: F.first(F.when(F.col("side") == side, F.col(branch)), ignorenulls=True).over(
-        Window.partitionBy(*by).orderBy(*order[len(by):]).rowsBetween(0, Window.unboundedFollowing)
+    sides = balances.where(F.col(amount) != 0).select(
+        *by, branch, F.when(F.col(amount) > 0, "from").otherwise("to").alias("side"), F.abs(amount).alias("size")
     )
-    cuts = ends.withColumns({"from_branch": next_of("from"), "to_branch": next_of("to")})
-    pieces = cuts.withColumn("start", F.coalesce(F.lag("until").over(Window.partitionBy(*by).orderBy(*order[len(by):])), F.lit(0.0)))
-    return (
-        pieces.where(F.col("from_branch").isNotNull() & F.col("to_branch").isNotNull() & (F.col("until") > F.col("start")))
-        .select(*by, "from_branch", "to_branch", F.round(F.col("until") - F.col("start"), 2).alias("transfer"))
+    along = Window.partitionBy(*by, "side").orderBy(branch).rowsBetween(Window.unboundedPreceding, 0)
+    ends = sides.withColumn("until", F.round(F.sum("size").over(along), 2))
+    ordered = Window.partitionBy(*by).orderBy("until", "side", branch)
+    ahead = ordered.rowsBetween(0, Window.unboundedFollowing)
+    following = lambda side: F.first(F.when(F.col("side") == side, F.col(branch)), ignorenulls=True).over(ahead)
+    pieces = ends.withColumns(
+        {
+            "from_branch": following("from"),
+            "to_branch": following("to"),
+            "start": F.coalesce(F.lag("until").over(ordered), F.lit(0.0)),
+        }
     )
+    return pieces.where(
+        F.col("from_branch").isNotNull() & F.col("to_branch").isNotNull() & (F.col("until") > F.col("start"))
+    ).select(*by, "from_branch", "to_branch", F.round(F.col("until") - F.col("start"), 2).alias("transfer"))
