@@ -61,29 +61,24 @@ def multiply(a: DataFrame, b: DataFrame, block: int = 256) -> DataFrame:
     entry pairs. A tile holds at most block x block entries because (i, j) is unique.
     """
 
-    def tiles(m: DataFrame, row: str, inner: str) -> DataFrame:
-        cut = lambda c: F.floor(F.col(c) / block)
-        cell = F.struct((F.col("i") % block).cast("int"), (F.col("j") % block).cast("int"), F.col("v").cast("double"))
-        return (
-            m.groupBy(cut("i").alias(row if inner == "k" and row == "bi" else "k"), cut("j").alias("k" if row == "bi" else "bj"))
-            .agg(F.collect_list(cell).alias("cells_a" if row == "bi" else "cells_b"))
-        )
-
-    left, right = tiles(a, "bi", "k"), tiles(b, "bj", "k")
+    at = lambda c: F.floor(F.col(c) / block)
+    cell = F.struct(
+        (F.col("i") % block).cast("int").alias("i"), (F.col("j") % block).cast("int").alias("j"), F.col("v").cast("double").alias("v")
+    )
+    left = a.groupBy(at("i").alias("bi"), at("j").alias("k")).agg(F.collect_list(cell).alias("cells_a"))
+    right = b.groupBy(at("i").alias("k"), at("j").alias("bj")).agg(F.collect_list(cell).alias("cells_b"))
 
     @F.pandas_udf("array<struct<i:int,j:int,v:double>>")
     def product(xs: pd.Series, ys: pd.Series) -> pd.Series:
         def dense(cells):
             m = np.zeros((block, block))
             for c in cells:
-                p, q, v = c.values() if isinstance(c, dict) else c
-                m[p, q] += v
+                m[c["i"], c["j"]] = c["v"]
             return m
 
         def one(x, y):
             z = dense(x) @ dense(y)
-            ii, jj = np.nonzero(z)
-            return [{"i": int(p), "j": int(q), "v": float(z[p, q])} for p, q in zip(ii, jj)]
+            return [{"i": int(i), "j": int(j), "v": float(z[i, j])} for i, j in zip(*np.nonzero(z))]
 
         return pd.Series([one(x, y) for x, y in zip(xs, ys)])
 

@@ -33,7 +33,7 @@ def _(spark, sf):
     return grids.add_lags(_grid(spark, sf)).select(*KEY, *lags)
 
 
-_STATS = (("mean", "avg", 4), ("std", "stddev_samp", 3), ("min", "min", 2), ("max", "max", 2))
+_STATS = (("mean", "avg", 6), ("std", "stddev_samp", 3), ("min", "min", 2), ("max", "max", 2))
 
 
 @query(
