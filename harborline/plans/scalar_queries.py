@@ -110,7 +110,9 @@ def _(spark, sf):
         df.select(F.posexplode("embedding").alias("i", "v")).groupBy("i").agg(F.avg(F.col("v").cast("double")).alias("mean"))
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "mean"))), lambda s: s["mean"]).alias("m"))
     )
-    shifted = df.select("vec_id", arrays.add_vector(F.col("embedding"), means.scalar()).alias("shifted"))
+    shifted = df.withColumn("m", means.scalar()).select(
+        "vec_id", arrays.add_vector(F.col("embedding"), F.col("m")).alias("shifted")
+    )
     return shifted.select("vec_id", F.posexplode("shifted").alias("p", "s")).select(
         "vec_id", (F.col("p") + 1).cast("long").alias("position"), r("s", 6, "shifted")
     )
