@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def keyed_uniform(seed: int, *keys: Column) -> Column:
@@ -32,7 +33,7 @@ def normal_pdf(x: Column, mean: Column, std: Column) -> Column:
     return F.exp(-z * z / 2) / (std * F.sqrt(2 * F.pi()))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _erf(z: pd.Series) -> pd.Series:
     return z.map(math.erf, na_action="ignore")
 

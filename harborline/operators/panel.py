@@ -7,7 +7,7 @@ one exchange and one sort serve all of them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,10 +155,17 @@ def train_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return found.select(*[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in columns])
 
 
+def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
+    """Nulls replaced by the given value per column."""
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(m))) for c, m in medians.items()})
+
+
 def impute_with_train_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls of all splits replaced by the medians of the training split."""
-    row = train_medians(df, columns)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), row.select(c).scalar()) for c in columns})
+    """Nulls of all splits replaced by the medians of the training split.
+
+    Fitting brings one number per column to the driver, as an ``Imputer`` does.
+    """
+    return impute(df, train_medians(df, columns).first().asDict())
 
 
 def expanding_folds(df: DataFrame, date: str = DATE, folds: int = 5, min_train: int = 180) -> DataFrame:

@@ -301,10 +301,12 @@ MODEL_FEATURES = (
 
 
 def model_table(spark, sf):
-    """Imputed feature table, written once because every fit reads it."""
-    df = grids.impute_with_train_medians(features(spark, sf), MODEL_FEATURES)
+    """Imputed feature table and its training medians. The features are written once, because
+    every fit reads them."""
     keep = [*KEY, "split", *grids.TARGETS, "net_cash", "cash_requirement", *MODEL_FEATURES, *[f"{t}_{b}" for t in grids.TARGETS for b in _BASELINES]]
-    return cut(df.select(*keep))
+    df = cut(features(spark, sf).select(*keep))
+    medians = grids.train_medians(df, MODEL_FEATURES).first().asDict()
+    return grids.impute(df, medians), medians
 
 
 def _models(label):
@@ -315,7 +317,7 @@ def _models(label):
 
 
 def _cv(spark, sf):
-    data = model_table(spark, sf).where("split <> 'test'")
+    data = model_table(spark, sf)[0].where("split <> 'test'")
     return regression.expanding_cv(data, grids.expanding_folds(data), "start_date", _WD, _models(_WD))
 
 
@@ -338,7 +340,7 @@ def _on_test(data, label):
 
 @query("retrain_and_test")
 def _(spark, sf):
-    scored = _on_test(model_table(spark, sf), _WD).where(F.col(_WD).isNotNull() & F.col(_BASE).isNotNull())
+    scored = _on_test(model_table(spark, sf)[0], _WD).where(F.col(_WD).isNotNull() & F.col(_BASE).isNotNull())
     both = metrics.union_named(
         {
             "model": metrics.flow_metrics(scored, _WD, "prediction", shortfalls=True),
@@ -352,7 +354,7 @@ def _(spark, sf):
 
 @query("direct_vs_derived")
 def _(spark, sf):
-    data = model_table(spark, sf)
+    data, _ = model_table(spark, sf)
     wd = _on_test(data, "daily_withdrawals").withColumnRenamed("prediction", "p_wd")
     part = lambda label, name: _on_test(data, label).select(*KEY, F.col("prediction").alias(name))
     scored = wd.join(part("daily_deposits", "p_dep"), KEY).join(part("net_cash", "p_net"), KEY).join(part("cash_requirement", "p_req"), KEY)
@@ -371,12 +373,11 @@ def _(spark, sf):
 
 
 def _forecast(spark, sf, days=7):
-    data = model_table(spark, sf)
+    data, medians = model_table(spark, sf)
     history = data.where(F.col("start_date") < F.lit(ORIGIN))
     models = {t: regression.ridge(history, MODEL_FEATURES, t) for t in grids.TARGETS}
-    medians = grids.train_medians(features(spark, sf), MODEL_FEATURES).first().asDict()
-    observed = features(spark, sf).select(*KEY, *grids.TARGETS)
-    return forecasting.recursive_forecast(observed, ORIGIN, days, {t: m.predict for t, m in models.items()}, medians, salary_days=(25,))
+    predict = {t: m.predict for t, m in models.items()}
+    return forecasting.recursive_forecast(data, ORIGIN, days, predict, medians, salary_days=(25,))
 
 
 @query("recursive_forecast")

@@ -61,12 +61,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that later steps start from it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a table or file set written and read back by one query."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    One pass writes it (an eager checkpoint computes its input twice), the files outlive lost
+    executors, and later steps read only the columns they need.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
