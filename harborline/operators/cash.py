@@ -170,3 +170,30 @@ def redistribute(balances: DataFrame, by: Sequence[str], branch: str, amount: st
     return pieces.where(
         F.col("from_branch").isNotNull() & F.col("to_branch").isNotNull() & (F.col("until") > F.col("start"))
     ).select(*by, "from_branch", "to_branch", F.round(F.col("until") - F.col("start"), 2).alias("transfer"))
+
+
+def seasonal_decompose(daily: DataFrame, date: str, value: str) -> DataFrame:
+    """Centred seven-day trend, weekday effect (adding up to zero) and residual of one daily series.
+
+    The series has at most one row per day; a day with a gap within three days of it has no trend.
+    The series is cut by month, each month taking three days from its neighbours, so that no task
+    orders the whole calendar.
+    """
+    month = lambda d: F.date_trunc("month", d)
+    near = F.array_distinct(F.transform(F.array(*[F.lit(k) for k in (-3, 0, 3)]), lambda k: month(F.date_add(F.col(date), k))))
+    spread = daily.select("*", F.explode(near).alias("_month"))
+    w = Window.partitionBy("_month").orderBy(F.unix_date(F.col(date))).rangeBetween(-3, 3)
+    centred = (
+        spread.withColumn("trend", F.when(F.count(value).over(w) == 7, F.avg(value).over(w)))
+        .where(F.col("_month") == month(F.col(date)))
+        .drop("_month")
+        .withColumn("_dow", F.weekday(date))
+    )
+    effect = centred.groupBy("_dow").agg(F.avg(F.col(value) - F.col("trend")).alias("_effect"))
+    level = effect.agg(F.avg("_effect")).scalar()
+    return (
+        centred.join(effect, "_dow")
+        .withColumn("seasonal", F.col("_effect") - level)
+        .withColumn("residual", F.col(value) - F.col("trend") - F.col("seasonal"))
+        .drop("_dow", "_effect")
+    )
