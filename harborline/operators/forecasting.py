@@ -90,14 +90,14 @@ def recursive_forecast(
         "made", F.array().cast("array<struct<forecast_date:date,predicted_withdrawals:double,predicted_deposits:double,explanation:string>>")
     )
     features = state_features(targets, lags, windows)
+    filled = lambda name, column: F.coalesce(column.cast("double"), F.lit(float(medians[name]))) if name in medians else column
+    inputs = {name: filled(name, column) for name, column in features.items()}
+    inputs |= {f"_mean_{t}": features[f"{t}_{windows[0]}p_rolling_mean"] for t in targets}
     for step in range(days):
         day = F.lit(origin + dt.timedelta(days=step))
-        frame = state.withColumns({**calendar_columns(day), **features})
-        means = {t: frame[f"{t}_{windows[0]}p_rolling_mean"] for t in targets}
-        frame = frame.withColumns({f"_mean_{t}": m for t, m in means.items()})
-        frame = frame.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(float(v))) for c, v in medians.items()})
+        frame = state.withColumns({**calendar_columns(day), **inputs})
         for t in targets:
-            frame = predict[t](frame).withColumnRenamed("prediction", f"_pred_{t}").select(*frame.columns, f"_pred_{t}")
+            frame = predict[t](frame).withColumnRenamed("prediction", f"_pred_{t}")
         wd, dep = F.col("_pred_daily_withdrawals"), F.col("_pred_daily_deposits")
         text = labels.forecast_explanation(
             F.dayofmonth(day).isin(*salary_days) if salary_days else F.lit(False),

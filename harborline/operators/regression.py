@@ -12,8 +12,8 @@ import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,10 +34,17 @@ class Fitted:
         self.model, self.features, self.prepare = model, list(features), prepare
 
     def predict(self, df: DataFrame) -> DataFrame:
+        if isinstance(self.model, LinearRegressionModel) and self.prepare is None:
+            return df.withColumn("prediction", self.weighted_sum())
         vectors = assemble(df, self.features)
         vectors = self.prepare(vectors) if self.prepare else vectors
         return self.model.transform(vectors).select(*df.columns, "prediction")
 
+    def weighted_sum(self) -> Column:
+        """A linear model as a column expression, which stays inside code generation."""
+        terms = (F.col(f).cast("double") * F.lit(float(c)) for f, c in zip(self.features, self.model.coefficients))
+        return sum(terms, F.lit(float(self.model.intercept)))
+
     def coefficients(self, spark) -> DataFrame:
         """(feature, coefficient), with the intercept as its own row."""
         pairs = [*zip(self.features, [float(c) for c in self.model.coefficients]), ("intercept", float(self.model.intercept))]

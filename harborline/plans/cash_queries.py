@@ -146,7 +146,7 @@ def _predicted(spark, sf):
 @query(
     "prediction_interval",
     f"""WITH {_RESIDUALS}, b AS (SELECT tran_br_code, quantile_cont(v - pred, 0.05) AS lo, quantile_cont(v - pred, 0.95) AS hi FROM p WHERE start_date < DATE '2001-01-01' GROUP BY 1)
-        SELECT tran_br_code, start_date, round(pred, 6) AS pred, round(greatest(pred + lo, 0), 5) AS lower, round(greatest(pred + hi, 0), 5) AS upper FROM p JOIN b USING (tran_br_code) WHERE start_date >= DATE '2001-01-01' AND pred IS NOT NULL""",
+        SELECT tran_br_code, start_date, round(pred, 6) AS pred, round(greatest(pred + lo, 0), 6) AS lower, round(greatest(pred + hi, 0), 6) AS upper FROM p JOIN b USING (tran_br_code) WHERE start_date >= DATE '2001-01-01' AND pred IS NOT NULL""",
 )
 def _(spark, sf):
     df, from_day = _predicted(spark, sf), F.lit(dt.date(2001, 1, 1))
@@ -154,7 +154,7 @@ def _(spark, sf):
     bounds = cash.residual_bounds(past, "residual", 0.05, 0.95, ["tran_br_code"])
     coming = df.where((F.col("start_date") >= from_day) & F.col("pred").isNotNull())
     found = cash.prediction_interval(coming, bounds, "pred", ["tran_br_code"])
-    return found.select("tran_br_code", "start_date", r("pred", 6), r("lower", 5), r("upper", 5))
+    return found.select("tran_br_code", "start_date", r("pred", 6), r("lower", 6), r("upper", 6))
 
 
 # Branch operations are derived from the suppliers of a nation, for want of a branch table.

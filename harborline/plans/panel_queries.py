@@ -305,7 +305,8 @@ def model_table(spark, sf):
     every fit reads them."""
     keep = [*KEY, "split", *grids.TARGETS, "net_cash", "cash_requirement", *MODEL_FEATURES, *[f"{t}_{b}" for t in grids.TARGETS for b in _BASELINES]]
     df = cut(features(spark, sf).select(*keep))
-    medians = grids.train_medians(df, MODEL_FEATURES).first().asDict()
+    history = [c for c in MODEL_FEATURES if c.endswith("_lag") or "_rolling_" in c]  # calendar columns have no gaps
+    medians = grids.train_medians(df, history).first().asDict()
     return grids.impute(df, medians), medians
 
 
