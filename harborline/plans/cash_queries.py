@@ -82,7 +82,7 @@ def _(spark, sf):
 
 
 _SEASONAL = f"""WITH {PANEL}, d AS (SELECT start_date, coalesce(sum(daily_withdrawals), 0) AS v FROM panel GROUP BY 1),
-t AS (SELECT *, CASE WHEN count(*) OVER w = 7 THEN avg(v) OVER w END AS trend, isodow(start_date) AS dow FROM d WINDOW w AS (ORDER BY start_date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+t AS (SELECT *, CASE WHEN count(*) OVER w = 7 THEN avg(v) OVER w END AS trend, isodow(start_date) AS dow FROM d WINDOW w AS (ORDER BY start_date RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND INTERVAL 3 DAYS FOLLOWING)),
 s AS (SELECT dow, avg(v - trend) AS s FROM t GROUP BY 1), c AS (SELECT dow, s - (SELECT avg(s) FROM s) AS seasonal FROM s)"""
 
 
@@ -186,14 +186,14 @@ def _(spark, sf):
 
 @query(
     "risk_branches",
-    f"""WITH {PANEL}, b AS (SELECT tran_br_code, sum(daily_withdrawals) AS wd, sum(daily_deposits) AS dep, avg(CASE WHEN coalesce(daily_withdrawals, 0) > coalesce(daily_deposits, 0) THEN 1.0 ELSE 0.0 END) AS short_share FROM panel GROUP BY 1), m AS (SELECT avg(wd) AS mw FROM b),
+    f"""WITH {PANEL}, b AS (SELECT tran_br_code, coalesce(sum(daily_withdrawals), 0) AS wd, coalesce(sum(daily_deposits), 0) AS dep, avg(CASE WHEN coalesce(daily_withdrawals, 0) > coalesce(daily_deposits, 0) THEN 1.0 ELSE 0.0 END) AS short_share FROM panel GROUP BY 1), m AS (SELECT avg(wd) AS mw FROM b),
         f AS (SELECT tran_br_code, CAST(wd > mw * 1.1 AS INTEGER) AS high_withdrawal, CAST(dep > wd * 0.45 AS INTEGER) AS idle_cash, CAST(short_share > 0.85 AS INTEGER) AS shortage_risk FROM b, m)
         SELECT *, high_withdrawal + idle_cash + shortage_risk AS risks FROM f""",
 )
 def _(spark, sf):
     wd, dep = F.coalesce("daily_withdrawals", F.lit(0.0)), F.coalesce("daily_deposits", F.lit(0.0))
     per = panel(spark, sf).groupBy("tran_br_code").agg(
-        F.sum("daily_withdrawals").alias("wd"), F.sum("daily_deposits").alias("dep"), F.avg((wd > dep).cast("double")).alias("short_share")
+        F.sum(wd).alias("wd"), F.sum(dep).alias("dep"), F.avg((wd > dep).cast("double")).alias("short_share")
     )
     mean = per.agg(F.avg("wd")).scalar()
     found = cash.risk_branches(

@@ -169,14 +169,14 @@ _BOUNDS = """bounds AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quant
 
 @query(
     "iqr_bounds",
-    """SELECT l_returnflag, 'l_extendedprice' AS "column", round(q1, 4) AS q1, round(q3, 4) AS q3,
-              round(q1 - 1.5 * (q3 - q1), 4) AS lower, round(q3 + 1.5 * (q3 - q1), 4) AS upper
+    """SELECT l_returnflag, 'l_extendedprice' AS "column", round(q1, 6) AS q1, round(q3, 6) AS q3,
+              round(q1 - 1.5 * (q3 - q1), 6) AS lower, round(q3 + 1.5 * (q3 - q1), 6) AS upper
        FROM (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3
              FROM lineitem GROUP BY 1)""",
 )
 def _(spark, sf):
     found = cleaning.iqr_bounds(table(spark, sf, "lineitem"), ["l_extendedprice"], ["l_returnflag"])
-    return found.select("l_returnflag", "column", *[F.round(c, 4).alias(c) for c in ("q1", "q3", "lower", "upper")])
+    return found.select("l_returnflag", "column", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "lower", "upper")])
 
 
 # The prices have no outliers at the usual width 1.5, so a width of 0.3 is what exercises the cap.

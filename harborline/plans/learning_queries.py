@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from harborline.operators import classification as cls
 from harborline.operators import metrics, regression
-from harborline.operators import panel as grids
 from harborline.plans.aggregate_queries import r
-from harborline.plans.panel_queries import KEY, VAL_FROM, features
+from harborline.plans.panel_queries import VAL_FROM, X_WD, cv_sql, run_cv
 from harborline.plans.registry import query
 from harborline.plans.tables import panel, table
 from harborline.session import cut
@@ -224,20 +221,17 @@ def _(spark, sf):
 
 # Model selection over expanding folds ----------------------------------------------------------
 
-_SPACE = {"alpha": [0.001, 0.1, 1.0, 10.0, 100.0]}
+_SPACE = {"alpha": [0.001, 0.1, 1.0, 1e10, 1e12, 1e14]}
+_TRIED = {f"ridge alpha={s['alpha']:g}": (X_WD, s["alpha"]) for s in regression.sampled_grid(_SPACE, 3)}
 
 
-@query("tuned_search")
+@query(
+    "tuned_search",
+    f"WITH {cv_sql(_TRIED, 3)} SELECT model, round(avg(mae), 1) AS mae, round(avg(rmse), 1) AS rmse, count(*) AS folds FROM cv GROUP BY 1",
+)
 def _(spark, sf):
-    columns = ["daily_withdrawals_7p_rolling_mean", "daily_withdrawals_30p_rolling_mean", "dayofweek"]
-    data = grids.impute_with_train_medians(features(spark, sf), columns).where("split <> 'test'")
-    data = cut(data.select(*KEY, "daily_withdrawals", *columns))
-    models = {
-        f"ridge alpha={s['alpha']:g}": (lambda train, a=s["alpha"]: regression.ridge(train, columns, "daily_withdrawals", a))
-        for s in regression.sampled_grid(_SPACE, 3)
-    }
-    scores = regression.expanding_cv(data, grids.expanding_folds(data, folds=3), "start_date", "daily_withdrawals", models)
-    return regression.mean_scores(scores).orderBy("mae", "model")
+    means = regression.mean_scores(run_cv(spark, sf, _TRIED, folds=3))
+    return means.select("model", r("mae", 1), r("rmse", 1), "folds").orderBy("mae", "model")
 
 
 # Classification: document quality ----------------------------------------------------------------

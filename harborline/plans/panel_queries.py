@@ -292,111 +292,213 @@ def _(spark, sf):
 
 
 # Models ------------------------------------------------------------------------------------
+#
+# The registered runs fit one predictor per model, so that SQL can state the fit in closed form
+# and check the folds, the metrics and the recursion exactly. The operators take any list.
 
-MODEL_FEATURES = (
-    "dayofweek month is_weekend is_month_start is_month_end month_sin month_cos "
-    "daily_withdrawals_1p_lag daily_withdrawals_7p_lag daily_withdrawals_7p_rolling_mean daily_withdrawals_30p_rolling_mean "
-    "daily_deposits_1p_lag daily_deposits_7p_lag daily_deposits_7p_rolling_mean daily_deposits_30p_rolling_mean"
-).split()
+X_LAG, X_WD, X_DEP = "daily_withdrawals_7p_lag", "daily_withdrawals_7p_rolling_mean", "daily_deposits_7p_rolling_mean"
+HISTORY = (X_LAG, X_WD, X_DEP)
+ALPHA = 1000.0
 
 
 def model_table(spark, sf):
     """Imputed feature table and its training medians. The features are written once, because
     every fit reads them."""
-    keep = [*KEY, "split", *grids.TARGETS, "net_cash", "cash_requirement", *MODEL_FEATURES, *[f"{t}_{b}" for t in grids.TARGETS for b in _BASELINES]]
-    df = cut(features(spark, sf).select(*keep))
-    history = [c for c in MODEL_FEATURES if c.endswith("_lag") or "_rolling_" in c]  # calendar columns have no gaps
-    medians = grids.train_medians(df, history).first().asDict()
-    return grids.impute(df, medians), medians
+    keep = [*KEY, "split", "dayofweek", *grids.TARGETS, "net_cash", "cash_requirement", *HISTORY, _BASE]
+    df = cut(features(spark, sf).select(*dict.fromkeys(keep)))
+    medians = grids.train_medians(df, HISTORY).first().asDict()
+    return grids.impute(df.withColumn("rolling_baseline", F.col(_BASE)), medians), medians
 
 
-def _models(label):
-    return {
-        "linear": lambda train: regression.linear_regression(train, MODEL_FEATURES, label),
-        "ridge": lambda train: regression.ridge(train, MODEL_FEATURES, label, 1.0),
-    }
+MODEL_DATA = f"""{FEATURES}, med AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in HISTORY)} FROM feats WHERE split = 'train'),
+data AS (SELECT tran_br_code, start_date, split, daily_withdrawals, daily_deposits, net_cash, cash_requirement, {_BASE} AS base, {", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in HISTORY)} FROM feats, med)"""
 
 
-def _cv(spark, sf):
+def fit_sql(y: str, x: str, rows: str, alpha: float, extra: str = "") -> str:
+    """SELECT of slope b1 and intercept b0 of a one-column ridge over ``rows``."""
+    return f"""SELECT {extra} covar_pop({x}, {y}) * count(*) / (var_pop({x}) * count(*) + {alpha}) AS b1,
+      avg({y}) - covar_pop({x}, {y}) * count(*) / (var_pop({x}) * count(*) + {alpha}) * avg({x}) AS b0 FROM {rows}"""
+
+
+_SCORE = "round_even(avg(abs(y - p)), 2) AS mae, round_even(sqrt(avg(pow(y - p, 2))), 2) AS rmse, round_even(sum(abs(y - p)) / sum(abs(y)), 4) AS wape, round_even(avg(CASE WHEN p < y THEN 1.0 ELSE 0 END), 4) AS underforecasting_rate, count(*) AS num_comparisons, round_even(max(greatest(y - p, 0)), 2) AS max_shortfall"
+SCORED = ("mae", "rmse", "wape", "underforecasting_rate", "num_comparisons", "max_shortfall")
+
+
+def cv_sql(models: dict[str, tuple[str, float]], folds: int = 5) -> str:
+    """CTE cv(model, fold, metrics) of one-column models {name: (column, alpha)} over expanding folds."""
+    ctes = [
+        MODEL_DATA,
+        "known AS (SELECT * FROM data WHERE split <> 'test')",
+        "days AS (SELECT start_date, row_number() OVER (ORDER BY start_date) - 1 AS i FROM (SELECT DISTINCT start_date FROM known))",
+        f"n AS (SELECT count(*) AS n, greatest(30, (count(*) - 180) // {folds}) AS size FROM days)",
+        f"f AS (SELECT f + 1 AS fold, 180 + f * size AS s, least(180 + f * size + size, n) AS e FROM n, (SELECT unnest(range(0, {folds})) AS f))",
+        "folds AS (SELECT CAST(fold AS INTEGER) AS fold, a.start_date AS train_end, b.start_date AS val_start, c.start_date AS val_end FROM f JOIN days a ON a.i = s - 1 JOIN days b ON b.i = s JOIN days c ON c.i = e - 1 WHERE s < e)",
+    ]
+    parts = []
+    for at, (name, (x, alpha)) in enumerate(models.items()):
+        rows = "folds JOIN known ON start_date <= train_end WHERE daily_withdrawals IS NOT NULL GROUP BY fold"
+        ctes.append(f"fit{at} AS ({fit_sql('daily_withdrawals', x, rows, alpha, 'fold,')})")
+        parts.append(
+            f"SELECT '{name}' AS model, fold, daily_withdrawals AS y, b0 + b1 * {x} AS p FROM folds JOIN fit{at} USING (fold) JOIN known ON start_date BETWEEN val_start AND val_end WHERE daily_withdrawals IS NOT NULL"
+        )
+    ctes.append("scored AS (" + " UNION ALL ".join(parts) + ")")
+    ctes.append(f"cv AS (SELECT model, fold, {_SCORE} FROM scored GROUP BY 1, 2)")
+    return ", ".join(ctes)
+
+
+_MODELS = {"linear": (X_LAG, 0.0), "ridge": (X_WD, ALPHA)}
+
+
+def _fits(models, label):
+    def fitter(column, alpha):
+        if alpha:
+            return lambda train: regression.ridge(train, [column], label, alpha)
+        return lambda train: regression.linear_regression(train, [column], label)
+
+    return {name: fitter(*spec) for name, spec in models.items()}
+
+
+def run_cv(spark, sf, models, folds=5):
     data = model_table(spark, sf)[0].where("split <> 'test'")
-    return regression.expanding_cv(data, grids.expanding_folds(data), "start_date", _WD, _models(_WD))
+    return regression.expanding_cv(data, grids.expanding_folds(data, folds=folds), "start_date", _WD, _fits(models, _WD))
 
 
-@query("expanding_cv")
+@query("expanding_cv", f"WITH {cv_sql(_MODELS)} SELECT model, fold, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, underforecasting_rate, num_comparisons FROM cv")
 def _(spark, sf):
-    return _cv(spark, sf)
+    return run_cv(spark, sf, _MODELS).select("model", "fold", r("mae", 1), r("rmse", 1), "wape", "underforecasting_rate", "num_comparisons")
 
 
-@query("select_best_model")
+@query(
+    "select_best_model",
+    f"WITH {cv_sql(_MODELS)}, m AS (SELECT model, avg(mae) AS mae FROM cv GROUP BY 1) SELECT 'daily_withdrawals' AS target, model, round(mae, 1) AS mae FROM m ORDER BY m.mae, model LIMIT 1",
+)
 def _(spark, sf):
-    means = regression.mean_scores(_cv(spark, sf)).withColumn("target", F.lit(_WD))
-    return metrics.best_by(means, ["target"], "model", "mae")
+    means = regression.mean_scores(run_cv(spark, sf, _MODELS)).withColumn("target", F.lit(_WD))
+    return metrics.best_by(means, ["target"], "model", "mae").select("target", "model", r("mae", 1))
 
 
 def _on_test(data, label):
     """Test rows with the prediction of a ridge model fitted on training and validation rows."""
-    model = regression.ridge(data.where("split <> 'test'"), MODEL_FEATURES, label)
+    model = regression.ridge(data.where("split <> 'test'"), [X_WD], label, ALPHA)
     return model.predict(data.where("split = 'test'"))
 
 
-@query("retrain_and_test")
-def _(spark, sf):
-    scored = _on_test(model_table(spark, sf)[0], _WD).where(F.col(_WD).isNotNull() & F.col(_BASE).isNotNull())
-    both = metrics.union_named(
-        {
-            "model": metrics.flow_metrics(scored, _WD, "prediction", shortfalls=True),
-            "rolling_baseline": metrics.flow_metrics(scored, _WD, _BASE, shortfalls=True),
-        },
-        "name",
-    )
-    base = both.agg(F.max(F.when(F.col("name") == "rolling_baseline", F.col("mae")))).scalar()
-    return both.withColumn("improvement_pct", F.bround(metrics.improvement_pct(base, F.col("mae")), 2))
+def _test_sql(*labels: str) -> str:
+    fits = ", ".join(f"fit_{y} AS ({fit_sql(y, X_WD, f'data WHERE split <> {chr(39)}test{chr(39)} AND {y} IS NOT NULL', ALPHA)})" for y in labels)
+    preds = ", ".join(f"(SELECT b0 FROM fit_{y}) + (SELECT b1 FROM fit_{y}) * {X_WD} AS p_{y}" for y in labels)
+    return f"{MODEL_DATA}, {fits}, test AS (SELECT *, {preds} FROM data WHERE split = 'test')"
 
 
-@query("direct_vs_derived")
+@query(
+    "retrain_and_test",
+    f"""WITH {_test_sql('daily_withdrawals')}, t AS (SELECT * FROM test WHERE daily_withdrawals IS NOT NULL AND base IS NOT NULL), m AS (SELECT 'model' AS name, {_SCORE} FROM (SELECT daily_withdrawals AS y, p_daily_withdrawals AS p FROM t)
+          UNION ALL SELECT 'rolling_baseline', {_SCORE} FROM (SELECT daily_withdrawals AS y, base AS p FROM t))
+        SELECT name, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, underforecasting_rate, num_comparisons, round(max_shortfall, 1) AS max_shortfall, round(((SELECT mae FROM m WHERE name = 'rolling_baseline') - mae) / (SELECT mae FROM m WHERE name = 'rolling_baseline') * 100, 2) AS improvement_pct FROM m""",
+)
 def _(spark, sf):
-    data, _ = model_table(spark, sf)
-    wd = _on_test(data, "daily_withdrawals").withColumnRenamed("prediction", "p_wd")
-    part = lambda label, name: _on_test(data, label).select(*KEY, F.col("prediction").alias(name))
-    scored = wd.join(part("daily_deposits", "p_dep"), KEY).join(part("net_cash", "p_net"), KEY).join(part("cash_requirement", "p_req"), KEY)
-    scored = scored.withColumns(
-        {"derived_net": F.col("p_dep") - F.col("p_wd"), "derived_req": F.greatest(F.col("p_wd") - F.col("p_dep"), F.lit(0.0)), "direct_req": F.greatest("p_req", F.lit(0.0))}
+    scored = _on_test(model_table(spark, sf)[0], _WD).where(F.col(_WD).isNotNull() & F.col("rolling_baseline").isNotNull())
+    both = metrics.flow_metrics(
+        metrics.union_named(
+            {
+                "model": scored.select(F.col(_WD).alias("y"), F.col("prediction").alias("p")),
+                "rolling_baseline": scored.select(F.col(_WD).alias("y"), F.col("rolling_baseline").alias("p")),
+            },
+            "name",
+        ),
+        "y", "p", ["name"], shortfalls=True,
     )
-    return metrics.union_named(
-        {
-            "net_cash direct": metrics.flow_metrics(scored, "net_cash", "p_net"),
-            "net_cash derived": metrics.flow_metrics(scored, "net_cash", "derived_net"),
-            "cash_requirement direct": metrics.flow_metrics(scored, "cash_requirement", "direct_req"),
-            "cash_requirement derived": metrics.flow_metrics(scored, "cash_requirement", "derived_req"),
-        },
-        "name",
+    base = both.agg(F.max(F.when(F.col("name") == "rolling_baseline", F.col("mae")))).scalar()
+    return both.select(
+        "name", r("mae", 1), r("rmse", 1), "wape", "underforecasting_rate", "num_comparisons", r("max_shortfall", 1),
+        r(metrics.improvement_pct(base, F.col("mae")), 2, "improvement_pct"),
     )
 
 
-def _forecast(spark, sf, days=7):
-    data, medians = model_table(spark, sf)
+_DERIVED = {
+    "net_cash direct": ("net_cash", "p_net_cash"),
+    "net_cash derived": ("net_cash", "p_daily_deposits - p_daily_withdrawals"),
+    "cash_requirement direct": ("cash_requirement", "greatest(p_cash_requirement, 0.0)"),
+    "cash_requirement derived": ("cash_requirement", "greatest(p_daily_withdrawals - p_daily_deposits, 0.0)"),
+}
+
+
+@query(
+    "direct_vs_derived",
+    f"WITH {_test_sql('daily_withdrawals', 'daily_deposits', 'net_cash', 'cash_requirement')}, l AS ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS name, {y} AS y, {p} AS p FROM test WHERE {y} IS NOT NULL" for n, (y, p) in _DERIVED.items())
+    + f"), m AS (SELECT name, {_SCORE} FROM l GROUP BY 1) SELECT name, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, num_comparisons FROM m",
+)
+def _(spark, sf):
+    data, _ = model_table(spark, sf)
+    scored = data
+    for label in ("daily_withdrawals", "daily_deposits", "net_cash", "cash_requirement"):
+        model = regression.ridge(data.where("split <> 'test'"), [X_WD], label, ALPHA)
+        scored = model.predict(scored).withColumnRenamed("prediction", f"p_{label}")
+    cells = [
+        F.struct(F.lit(n).alias("name"), F.col(y).alias("y"), F.expr(p).alias("p")) for n, (y, p) in _DERIVED.items()
+    ]
+    long = scored.where("split = 'test'").select(F.inline(F.array(*cells)))
+    return metrics.flow_metrics(long, "y", "p", ["name"]).select("name", r("mae", 1), r("rmse", 1), "wape", "num_comparisons")
+
+
+def _forecast(data, medians, days=7):
     history = data.where(F.col("start_date") < F.lit(ORIGIN))
-    models = {t: regression.ridge(history, MODEL_FEATURES, t) for t in grids.TARGETS}
-    predict = {t: m.predict for t, m in models.items()}
+    columns = {"daily_withdrawals": X_WD, "daily_deposits": X_DEP}
+    predict = {t: regression.ridge(history, [x], t, ALPHA).predict for t, x in columns.items()}
     return forecasting.recursive_forecast(data, ORIGIN, days, predict, medians, salary_days=(25,))
 
 
-@query("recursive_forecast")
+_STATE = ", ".join(
+    "[" + ", ".join(f"max(CASE WHEN start_date = DATE '{ORIGIN}' - {k} THEN {t} END)" for k in range(1, 8)) + f"] AS h_{t}" for t in grids.TARGETS
+)
+_STEP = ", ".join(
+    f"(SELECT b0 FROM fit_{t}) + (SELECT b1 FROM fit_{t}) * coalesce(list_avg(h_{t}), (SELECT m_{x} FROM med)) AS p_{t}" for t, x in (("daily_withdrawals", X_WD), ("daily_deposits", X_DEP))
+)
+_FORECAST_SQL = f"""{MODEL_DATA}, {", ".join(f"fit_{t} AS ({fit_sql(t, x, f'data WHERE start_date < DATE {chr(39)}{ORIGIN}{chr(39)} AND {t} IS NOT NULL', ALPHA)})" for t, x in (("daily_withdrawals", X_WD), ("daily_deposits", X_DEP)))},
+st AS (SELECT 0 AS step, tran_br_code, {_STATE} FROM data WHERE start_date < DATE '{ORIGIN}' AND start_date >= DATE '{ORIGIN}' - 30 GROUP BY 2),
+""" + ", ".join(
+    f"""s{n} AS (SELECT *, {_STEP} FROM {'st' if n == 1 else f'n{n - 1}'}), n{n} AS (SELECT {n} AS step, tran_br_code, {", ".join(f"list_concat([p_{t}], h_{t}[1:6]) AS h_{t}" for t in grids.TARGETS)} FROM s{n})"""
+    for n in range(1, 8)
+) + """, made AS (""" + " UNION ALL ".join(
+    f"SELECT tran_br_code AS branch_code, CAST(DATE '{ORIGIN}' + {n - 1} AS DATE) AS forecast_date, p_daily_withdrawals AS wd, p_daily_deposits AS dep, list_avg(h_daily_withdrawals) AS bw, list_avg(h_daily_deposits) AS bd FROM s{n}" for n in range(1, 8)
+) + ")"
+_EXPLAIN = """CASE WHEN day(forecast_date) = 25 THEN 'Salary day spike anticipated.' WHEN day(forecast_date) = 1 THEN 'Start of month typically sees higher transaction volume.' WHEN forecast_date = last_day(forecast_date) THEN 'End of month patterns indicate elevated cash movement.' END AS a,
+  CASE WHEN isodow(forecast_date) >= 6 THEN 'Weekend trend detected; typically lower activity.' WHEN isodow(forecast_date) = 5 THEN 'Friday peak activity expected.' END AS b,
+  CASE WHEN bw > 0 AND wd > bw * 1.2 THEN 'Withdrawals projected 20%+ above recent average.' WHEN bd > 0 AND dep > bd * 1.2 THEN 'Deposits projected 20%+ above recent average.' END AS c"""
+
+
+@query(
+    "recursive_forecast",
+    f"""WITH {_FORECAST_SQL}, e AS (SELECT *, {_EXPLAIN} FROM made)
+        SELECT branch_code, forecast_date, round(dep, 3) AS predicted_deposits, round(wd, 3) AS predicted_withdrawals, round(dep - wd, 3) AS predicted_net_cash, round(greatest(wd - dep, 0), 3) AS predicted_cash_requirement,
+          CASE WHEN wd > dep THEN 'Shortage' WHEN dep > wd * 1.1 THEN 'Surplus' ELSE 'Balanced' END AS status,
+          CASE WHEN a IS NULL AND b IS NULL AND c IS NULL THEN 'Aligns with recent historical trends and rolling averages.' ELSE concat_ws(' ', a, b, c) END AS explanation FROM e""",
+)
 def _(spark, sf):
-    return _forecast(spark, sf)
+    made = _forecast(*model_table(spark, sf))
+    amounts = ("predicted_deposits", "predicted_withdrawals", "predicted_net_cash", "predicted_cash_requirement")
+    return made.select("branch_code", "forecast_date", *[r(c, 3) for c in amounts], "status", "explanation")
 
 
-@query("forecast_validate")
+@query(
+    "forecast_validate",
+    f"""WITH {_FORECAST_SQL}, j AS (SELECT daily_withdrawals AS y, wd, base FROM made JOIN data ON tran_br_code = branch_code AND start_date = forecast_date WHERE daily_withdrawals IS NOT NULL AND base IS NOT NULL),
+        l AS (SELECT 'model' AS name, y, wd AS p FROM j UNION ALL SELECT 'baseline', y, base FROM j), m AS (SELECT name, {_SCORE} FROM l GROUP BY 1)
+        SELECT name, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, num_comparisons, round(max_shortfall, 1) AS max_shortfall, (SELECT count(*) FROM made WHERE greatest(wd - dep, 0) < 0) AS negative_cash_requirement, (SELECT count(*) FROM made WHERE dep - wd < 0) AS negative_net_cash FROM m""",
+)
 def _(spark, sf):
-    made = cut(_forecast(spark, sf))
-    actual = features(spark, sf).select(F.col("tran_br_code").alias("branch_code"), F.col("start_date").alias("forecast_date"), _WD, _BASE)
-    scored = made.join(actual, ["branch_code", "forecast_date"]).where(F.col(_WD).isNotNull() & F.col(_BASE).isNotNull())
-    negative = made.agg(F.count_if(F.col("predicted_cash_requirement") < 0)).scalar()
-    below_zero = made.agg(F.count_if(F.col("predicted_net_cash") < 0)).scalar()
-    return metrics.union_named(
-        {
-            "model": metrics.flow_metrics(scored, _WD, "predicted_withdrawals", shortfalls=True),
-            "baseline": metrics.flow_metrics(scored, _WD, _BASE, shortfalls=True),
-        },
-        "name",
-    ).withColumns({"negative_cash_requirement": negative, "negative_net_cash": below_zero})
+    data, medians = model_table(spark, sf)
+    made = _forecast(data, medians)
+    actual = data.select(F.col("tran_br_code").alias("branch_code"), F.col("start_date").alias("forecast_date"), F.col(_WD).alias("y"), "rolling_baseline")
+    scored = made.join(actual, ["branch_code", "forecast_date"]).where(F.col("y").isNotNull() & F.col("rolling_baseline").isNotNull())
+    cells = F.array(
+        F.struct(F.lit("model").alias("name"), F.col("predicted_withdrawals").alias("p")),
+        F.struct(F.lit("baseline").alias("name"), F.col("rolling_baseline").alias("p")),
+    )
+    found = metrics.flow_metrics(scored.select("y", F.inline(cells)), "y", "p", ["name"], shortfalls=True)
+    signs = made.agg(
+        F.count_if(F.col("predicted_cash_requirement") < 0).alias("requirement"), F.count_if(F.col("predicted_net_cash") < 0).alias("net")
+    )
+    return found.select("name", r("mae", 1), r("rmse", 1), "wape", "num_comparisons", r("max_shortfall", 1)).withColumns(
+        {"negative_cash_requirement": signs.select("requirement").scalar(), "negative_net_cash": signs.select("net").scalar()}
+    )
