@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.operators.quantiles import exact_quantiles, quantile_columns
+from harborline.operators.joins import join_groups
+from harborline.operators.quantiles import quantile_columns
 
 DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
@@ -73,7 +74,7 @@ def share_of_total(df: DataFrame, within: Sequence[str], value: str, name: str,
     so that a hot group is not gathered in one task."""
     totals = df.groupBy(*within).agg(F.sum(value).alias("_total"))
     return (
-        df.join(totals, list(within))
+        join_groups(df, totals, within)
         .withColumn(name, F.col(value) / F.nullif(F.col("_total"), F.lit(0)) * scale)
         .drop("_total")
     )
@@ -81,7 +82,7 @@ def share_of_total(df: DataFrame, within: Sequence[str], value: str, name: str,
 
 def group_total(df: DataFrame, within: Sequence[str], value: str, name: str) -> DataFrame:
     """Each row with its group's total."""
-    return df.join(df.groupBy(*within).agg(F.sum(value).alias(name)), list(within))
+    return join_groups(df, df.groupBy(*within).agg(F.sum(value).alias(name)), within)
 
 
 def cell_counts(df: DataFrame, band: str, bands: Sequence[str], column: str) -> DataFrame:
@@ -153,7 +154,7 @@ def box_stats(df: DataFrame, column: str, by: Sequence[str] = (), width: float =
     spread = F.col("q3") - F.col("q1")
     fences = quartiles.withColumns({"_lo": F.col("q1") - width * spread, "_hi": F.col("q3") + width * spread})
     if by:
-        marked = df.join(fences, by)
+        marked = join_groups(df, fences, by)
     else:
         names = fences.columns
         marked = df.withColumns({c: fences.select(c).scalar() for c in names})

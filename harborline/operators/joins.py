@@ -22,6 +22,19 @@ def unmatched(rows: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame
     return rows.join(other.select(*on), list(on), "left_anti")
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Rows with the columns of their group, null keys matching null keys as they do in a grouping.
+
+    The null-safe condition also keeps Spark from pushing a not-null filter into only one of the
+    uses of a shared aggregate, which would make it compute the aggregate twice.
+    """
+    match = F.lit(True)
+    for key in by:
+        match = match & F.col(key).eqNullSafe(F.col(f"_g_{key}"))
+    named = groups.withColumnsRenamed({k: f"_g_{k}" for k in by})
+    return rows.join(named, match, how).drop(*[f"_g_{k}" for k in by])
+
+
 def right_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     matched = left.join(right, list(on))
     rest = _nulls_for(unmatched(right, left, on), left, left.columns)

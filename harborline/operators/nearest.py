@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from harborline.operators.windows import top_n
 
-BROADCAST_VALUES = 2_000_000  # numbers in a broadcast query set, 16 MB
-QUERY_BLOCK = 2_048
+QUERY_BLOCK = 4_096  # most queries in one broadcast, and in one cell
+BROADCAST_VALUES = 2_000_000  # most numbers in one broadcast, 16 MB
 ITEM_BLOCK = 16_384
 SCORE_DIGITS = 9
 
@@ -80,13 +80,10 @@ def nearest(
     schema = T.StructType(
         [queries.schema["query_id"], items.schema["item_id"], T.StructField("score", T.DoubleType())]
     )
-    first = queries.select(F.size("vector")).first()
-    width = max(int(first[0]), 1) if first else 1
-    bound = broadcast_values // width
-    head = queries.limit(bound + 1).collect()
-    if len(head) <= bound:
-        if not head:
-            return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
+    head = queries.limit(QUERY_BLOCK + 1).collect()
+    if not head:
+        return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
+    if len(head) <= QUERY_BLOCK and sum(len(row["vector"]) for row in head) <= broadcast_values:
         found = _against_broadcast(head, items, schema, k, metric, min_score, other_only)
     else:
         found = _cells(queries, items, schema, k, metric, min_score, other_only)

@@ -77,9 +77,14 @@ def add_baselines(df: DataFrame, targets: Sequence[str] = TARGETS, week: int = 7
     return df.withColumns(columns)
 
 
-def trim_incomplete(df: DataFrame, max_lag: int = max(LAGS), retain_through: Column | None = None) -> DataFrame:
-    """Drop the first ``max_lag`` days, and days after ``retain_through`` when given."""
-    first = df.agg(F.min(DATE)).scalar()
+def trim_incomplete(
+    df: DataFrame, max_lag: int = max(LAGS), retain_through: Column | None = None, first: Column | None = None
+) -> DataFrame:
+    """Drop the first ``max_lag`` days, and days after ``retain_through`` when given.
+
+    ``first`` is the first day, when it is known from a cheaper table than ``df``.
+    """
+    first = df.agg(F.min(DATE)).scalar() if first is None else first
     kept = df.where(F.col(DATE) >= F.date_add(first, max_lag))
     return kept if retain_through is None else kept.where(F.col(DATE) <= retain_through)
 
@@ -96,10 +101,14 @@ def feature_columns(columns: Sequence[str], drop_branch: bool = False) -> list[s
     return [c for c in columns if c not in left_out and not c.endswith("_baseline")]
 
 
-def panel_features(df: DataFrame, week: int = 7) -> DataFrame:
-    """Daily rows to the feature table: targets, grid, calendar, lags, rolling statistics, baselines."""
-    grid = calendar_features(complete_grid(cash_targets(df)), DATE)
-    return trim_incomplete(add_baselines(add_rolling(add_lags(grid)), week=week))
+def panel_features(daily: DataFrame, week: int = 7) -> DataFrame:
+    """Daily rows to the feature table: targets, grid, calendar, lags, rolling statistics, baselines.
+
+    ``daily`` is read for its ends, its branches and its rows: hand in a written table.
+    """
+    grid = calendar_features(complete_grid(cash_targets(daily)), DATE)
+    features = add_baselines(add_rolling(add_lags(grid)), week=week)
+    return trim_incomplete(features, first=daily.agg(F.min(DATE)).scalar())
 
 
 def coverage_by_branch(grid: DataFrame) -> DataFrame:

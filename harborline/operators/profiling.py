@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.operators.columns import columns_by_type
-from harborline.operators.quantiles import quantile_columns, unpivot
+from harborline.operators.quantiles import quantile_columns
 
 
 def null_profile(df: DataFrame, digits: int = 2) -> DataFrame:
@@ -65,19 +65,13 @@ def data_dictionary(df: DataFrame, order: Sequence[str], samples: int = 3) -> Da
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample standard deviation, minimum, exact quartiles and maximum per column."""
-    moments = (
-        unpivot(df, by, columns)
-        .groupBy(*by, "column")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
-    )
+    known = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = df.groupBy(*by).agg(*[f(v).alias(f"{c}__{n}") for c, v in known.items() for n, f in stats.items()])
+    cells = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{n}").alias(n) for n in stats]) for c in columns]
+    moments = wide.select(*by, F.inline(F.array(*cells)))
     quartiles = quantile_columns(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by)
-    return moments.join(quartiles, [*by, "column"])
+    return moments.join(quartiles, [*by, "column"], "left")
 
 
 def feature_category(name: str) -> tuple[str, str]:

@@ -16,12 +16,16 @@ from harborline.operators.windows import magnitude_bucket
 
 
 def unpivot(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Long form (by..., column, value) of numeric columns, nulls left out."""
-    return (
-        df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot(list(by), list(columns), "column", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
+    """Long form (by..., column, value) of numeric columns, nulls left out.
+
+    ``inline`` gives every output column a new identity, without which Spark would not see that
+    the two uses of the counts below share one exchange, and would scan the table twice.
+    """
+    cells = [
+        F.struct(*[F.col(k).alias(k) for k in by], F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+        for c in columns
+    ]
+    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def exact_quantiles(

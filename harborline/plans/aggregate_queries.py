@@ -12,7 +12,7 @@ from harborline.operators.columns import right_closed_bins
 from harborline.operators.quantiles import medians
 from harborline.plans.join_queries import _GRID
 from harborline.plans.registry import query
-from harborline.plans.tables import HOURLY, PANEL, SALES, hourly, panel, sales, table
+from harborline.plans.tables import HOURLY, PANEL, SALES, daily_panel, hourly, panel, sales, table
 
 
 def r(column, digits, name=None):
@@ -345,7 +345,7 @@ def _(spark, sf):
         SELECT *, expected_days - observed_days AS missing_days, round_even(observed_days / expected_days * 100, 2) AS coverage_pct FROM c""",
 )
 def _(spark, sf):
-    return grids.coverage_by_branch(grids.complete_grid(panel(spark, sf)))
+    return grids.coverage_by_branch(grids.complete_grid(daily_panel(spark, sf)))
 
 
 @query(
@@ -356,7 +356,7 @@ def _(spark, sf):
         UNION ALL SELECT 'month', strftime(start_date, '%Y-%m'), count(*) FROM m GROUP BY 2""",
 )
 def _(spark, sf):
-    return grids.missing_breakdown(grids.complete_grid(panel(spark, sf)))
+    return grids.missing_breakdown(grids.complete_grid(daily_panel(spark, sf)))
 
 
 FORECAST = f"""{PANEL}, forecast AS (

@@ -14,7 +14,7 @@ from harborline.operators.quantiles import quantile_columns
 from harborline.plans.aggregate_queries import r
 from harborline.plans.join_queries import _GRID
 from harborline.plans.registry import query
-from harborline.plans.tables import HOURLY, PANEL, hourly, panel, table
+from harborline.plans.tables import HOURLY, PANEL, daily_panel, hourly, panel, table
 from harborline.sources.readers import rows
 from harborline.streaming import feeds
 
@@ -118,7 +118,7 @@ def _(spark, sf):
         SELECT tran_br_code, start_date, round(spike_limit, 3) AS spike_limit, CAST(coalesce(v > spike_limit, false) AS INTEGER) AS is_spike FROM l""",
 )
 def _(spark, sf):
-    found = cash.spike_flag(grids.complete_grid(panel(spark, sf)), ["tran_br_code"], "start_date", "daily_withdrawals")
+    found = cash.spike_flag(grids.complete_grid(daily_panel(spark, sf)), ["tran_br_code"], "start_date", "daily_withdrawals")
     return found.select("tran_br_code", "start_date", r("spike_limit", 3), "is_spike")
 
 
@@ -139,7 +139,7 @@ _RESIDUALS = f"""{_GRID}, p AS (SELECT tran_br_code, start_date, daily_withdrawa
 
 
 def _predicted(spark, sf):
-    df = grids.add_rolling(grids.complete_grid(panel(spark, sf)), ["daily_withdrawals"], (7,))
+    df = grids.add_rolling(grids.complete_grid(daily_panel(spark, sf)), ["daily_withdrawals"], (7,))
     return df.select("tran_br_code", "start_date", F.col("daily_withdrawals").alias("v"), F.col("daily_withdrawals_7p_rolling_mean").alias("pred"))
 
 

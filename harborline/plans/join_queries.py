@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from harborline.operators import joins, panel as grids
 from harborline.plans.registry import query
-from harborline.plans.tables import PANEL, panel, table
+from harborline.plans.tables import PANEL, daily_panel, panel, table
 
 
 @query(
@@ -105,7 +105,7 @@ full_panel AS (SELECT tran_br_code, start_date, daily_withdrawals, daily_deposit
 
 @query("cross_grid", f"WITH {_GRID} SELECT * FROM full_panel")
 def _(spark, sf):
-    return grids.complete_grid(panel(spark, sf))
+    return grids.complete_grid(daily_panel(spark, sf))
 
 
 @query(

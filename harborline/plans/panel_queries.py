@@ -13,7 +13,7 @@ from harborline.plans.aggregate_queries import r
 from harborline.plans.join_queries import _GRID
 from harborline.plans.registry import query
 from harborline.plans.scalar_queries import _CALENDAR, _CALENDAR_NAMES
-from harborline.plans.tables import PANEL, panel, table
+from harborline.plans.tables import PANEL, daily_panel, panel, table
 from harborline.session import cut
 
 KEY = ["tran_br_code", "start_date"]
@@ -42,7 +42,7 @@ feats AS (SELECT *, start_date AS d, CASE WHEN start_date < DATE '{VAL_FROM}' TH
 
 
 def features(spark, sf):
-    return grids.chrono_split(grids.panel_features(panel(spark, sf)), F.lit(VAL_FROM), F.lit(TEST_FROM))
+    return grids.chrono_split(grids.panel_features(daily_panel(spark, sf)), F.lit(VAL_FROM), F.lit(TEST_FROM))
 
 
 _SHOWN = (
@@ -69,7 +69,7 @@ def _(spark, sf):
     f"WITH {_GRID} SELECT tran_br_code, start_date, daily_withdrawals FROM full_panel WHERE start_date >= (SELECT min(start_date) FROM full_panel) + 28 AND start_date <= DATE '2001-09-30'",
 )
 def _(spark, sf):
-    kept = grids.trim_incomplete(grids.complete_grid(panel(spark, sf)), 28, F.lit(dt.date(2001, 9, 30)))
+    kept = grids.trim_incomplete(grids.complete_grid(daily_panel(spark, sf)), 28, F.lit(dt.date(2001, 9, 30)))
     return kept.select(*KEY, "daily_withdrawals")
 
 
@@ -262,7 +262,7 @@ def _(spark, sf):
     wd = table(spark, sf, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         "tran_br_code", F.to_date("l_shipdate").alias("start_date"), F.col("l_extendedprice").alias("wd"), none.alias("dep")
     )
-    daily = panel(spark, sf)
+    daily = daily_panel(spark, sf)
     grid = cut(grids.complete_grid(daily))
     report = checks.stage_assertions(dep.unionByName(wd), daily, grid, grids.add_lags(grid))
     total = F.col("check").endswith("_conserved")

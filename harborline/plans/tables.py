@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harborline.session import cut
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -79,6 +81,12 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel written as a table: the grid, its ends and its branches all start from it, so the
+    transactions are scanned once. It has at most one row per branch and day."""
+    return cut(panel(spark, sf_dir))
+
+
 PANEL = """panel AS (
   SELECT tran_br_code, start_date, round(sum(wd), 2) AS daily_withdrawals,
          round(sum(dep), 2) AS daily_deposits, count(*) AS transaction_count

@@ -13,13 +13,13 @@ from harborline.operators.aggregates import group_total
 from harborline.plans.aggregate_queries import r
 from harborline.plans.join_queries import _GRID
 from harborline.plans.registry import query
-from harborline.plans.tables import PANEL, SALES, panel, sales, table
+from harborline.plans.tables import PANEL, SALES, daily_panel, panel, sales, table
 
 KEY = ["tran_br_code", "start_date"]
 
 
 def _grid(spark, sf):
-    return grids.complete_grid(panel(spark, sf))
+    return grids.complete_grid(daily_panel(spark, sf))
 
 
 @query(
