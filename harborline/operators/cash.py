@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.operators.quantiles import exact_quantiles
+from harborline.operators.quantiles import quantile_columns
 
 # Recommendation texts.
 PREPARE = "Monitor closely and prepare for potential replenishment"
@@ -108,9 +108,7 @@ def allocate_half_days(daily: DataFrame, shares: DataFrame, by: Sequence[str], a
 
 def residual_bounds(residuals: DataFrame, residual: str, low: float, high: float, by: Sequence[str] = ()) -> DataFrame:
     """(by..., low, high) quantiles of past residuals."""
-    found = exact_quantiles(residuals, [residual], [low, high], by)
-    at = lambda p: F.max(F.when(F.col("prob") == F.lit(p), F.col("quantile")))
-    return found.groupBy(*by).agg(at(low).alias("low"), at(high).alias("high"))
+    return quantile_columns(residuals, [residual], {"low": low, "high": high}, by).drop("column")
 
 
 def prediction_interval(predicted: DataFrame, bounds: DataFrame, prediction: str, by: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,30 +81,41 @@ def nearest(
     schema = T.StructType(
         [queries.schema["query_id"], items.schema["item_id"], T.StructField("score", T.DoubleType())]
     )
-    head = queries.limit(QUERY_BLOCK + 1).collect()
-    if not head:
+    head = queries.limit(QUERY_BLOCK + 1).toArrow()
+    if not head.num_rows:
         return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
-    if len(head) <= QUERY_BLOCK and sum(len(row["vector"]) for row in head) <= broadcast_values:
+    if head.num_rows <= QUERY_BLOCK and _values(head["vector"].combine_chunks()).size <= broadcast_values:
         found = _against_broadcast(head, items, schema, k, metric, min_score, other_only)
     else:
         found = _cells(queries, items, schema, k, metric, min_score, other_only)
     return top_n(found, ["query_id"], [F.col("score").desc(), F.col("item_id")], k)
 
 
-def _against_broadcast(head, items, schema, k, metric, min_score, other_only) -> DataFrame:
-    held = items.sparkSession.sparkContext.broadcast(([r["query_id"] for r in head], _matrix([r["vector"] for r in head])))
+def _values(vectors: pa.ListArray) -> np.ndarray:
+    return np.asarray(vectors.flatten(), dtype=float)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _against_broadcast(head: pa.Table, items, schema, k, metric, min_score, other_only) -> DataFrame:
+    rows = lambda vectors: _values(vectors).reshape(len(vectors), -1)
+    id_type = head.schema.field("query_id").type
+    held = items.sparkSession.sparkContext.broadcast(
+        (head["query_id"].to_pandas().to_numpy(), rows(head["vector"].combine_chunks()))
+    )
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q_ids, q = held.value
-        kept = None
+        kept, item_type = None, None
         for batch in batches:
-            if len(batch):
-                found = _best(q_ids, q, batch["item_id"].to_numpy(), _matrix(batch["vector"]), k, metric, min_score, other_only)
+            if batch.num_rows:
+                item_type = batch.schema.field("item_id").type
+                ids = batch.column("item_id").to_pandas().to_numpy()
+                found = _best(q_ids, q, ids, rows(batch.column("vector")), k, metric, min_score, other_only)
                 kept = found if kept is None else _first_k(pd.concat([kept, found]), k)
         if kept is not None:
-            yield kept
+            columns = [pa.array(kept["query_id"], id_type), pa.array(kept["item_id"], item_type), pa.array(kept["score"], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "item_id", "score"])
 
-    return items.mapInPandas(scan, schema)
+    return items.mapInArrow(scan, schema)
 
 
 def _cells(queries, items, schema, k, metric, min_score, other_only) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.operators.windows import magnitude_bucket
@@ -28,35 +28,35 @@ def unpivot(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFra
     return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
-) -> DataFrame:
-    """(by..., column, prob, quantile) with the quantile rule of numpy and pandas."""
-    by = list(by)
+def _quantile_groups(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by..., column, q0, q1, ...): one quantile column per entry of ``probs``."""
     keys = [*by, "column"]
     counts = unpivot(df, by, columns).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("bucket", magnitude_bucket(F.col("value")))
 
     up_to = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
-    buckets = (
+
+    # Per bucket, the ranks a linear quantile interpolates between that fall into it.
+    def rank(i: int, p: float) -> Column:
+        position = F.lit(float(p)) * (F.col("total") - 1)
+        return F.struct(
+            F.lit(i).alias("i"), position.alias("position"), F.floor(position).alias("low"), F.ceil(position).alias("high")
+        )
+
+    targets = (
         counts.groupBy(*keys, "bucket")
         .agg(F.sum("n").alias("bn"))
         .withColumn("after", F.sum("bn").over(up_to))
         .withColumn("total", F.sum("bn").over(whole))
         .withColumn("before", F.col("after") - F.col("bn"))
+        .withColumn("ranks", F.array(*[rank(i, p) for i, p in enumerate(probs)]))
+        .withColumn("wanted", F.filter("ranks", lambda r: (r["high"] >= F.col("before")) & (r["low"] < F.col("after"))))
+        .where(F.size("wanted") > 0)
+        .select(*[F.col(k).alias(f"_t_{k}") for k in (*keys, "bucket")], "before", "wanted")
     )
-    # The two ranks a linear quantile interpolates between, per wanted probability.
-    targets = (
-        buckets.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("position", F.col("prob") * (F.col("total") - 1))
-        .withColumn("low", F.floor("position"))
-        .withColumn("high", F.ceil("position"))
-        .where((F.col("high") >= F.col("before")) & (F.col("low") < F.col("after")))
-        .groupBy(*keys, "bucket", "before")
-        .agg(F.collect_list(F.struct("prob", "position", "low", "high")).alias("wanted"))
-    )
-    targets = targets.select(*[F.col(k).alias(f"_t_{k}") for k in (*keys, "bucket")], "before", "wanted")
+    if not by:
+        targets = F.broadcast(targets)  # at most two rows per column and probability
     match = F.lit(True)
     for key in (*keys, "bucket"):
         match = match & F.col(key).eqNullSafe(F.col(f"_t_{key}"))
@@ -68,24 +68,32 @@ def exact_quantiles(
         .withColumn("w", F.explode("wanted"))
         .where((F.col("w.high") >= F.col("first")) & (F.col("w.low") <= F.col("last")))
     )
-    low = F.max(F.when(F.col("w.low").between(F.col("first"), F.col("last")), F.col("value")))
-    high = F.max(F.when(F.col("w.high").between(F.col("first"), F.col("last")), F.col("value")))
-    part = F.first("w.position") - F.first("w.low")
-    return (
-        placed.groupBy(*keys, F.col("w.prob").alias("prob"))
-        .agg(low.alias("l"), high.alias("h"), part.alias("part"))
-        .select(*keys, "prob", (F.col("l") + (F.col("h") - F.col("l")) * F.col("part")).alias("quantile"))
-    )
+    holds = lambda r: F.col(f"w.{r}").between(F.col("first"), F.col("last"))
+
+    def quantile(i: int) -> Column:
+        mine = F.col("w.i") == i
+        low = F.max(F.when(mine & holds("low"), F.col("value")))
+        high = F.max(F.when(mine & holds("high"), F.col("value")))
+        part = F.max(F.when(mine, F.col("w.position") - F.col("w.low")))
+        return low + (high - low) * part
+
+    return placed.groupBy(*keys).agg(*[quantile(i).alias(f"q{i}") for i in range(len(probs))])
+
+
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """(by..., column, prob, quantile) with the quantile rule of numpy and pandas."""
+    rows = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"q{i}").alias("quantile")) for i, p in enumerate(probs)]
+    return _quantile_groups(df, columns, probs, list(by)).select(*by, "column", F.inline(F.array(*rows)))
 
 
 def quantile_columns(
     df: DataFrame, columns: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """(by..., column, one column per entry of ``probs``)."""
-    found = exact_quantiles(df, columns, list(probs.values()), by)
-    return found.groupBy(*by, "column").agg(
-        *[F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("quantile"))).alias(n) for n, p in probs.items()]
-    )
+    found = _quantile_groups(df, columns, list(probs.values()), list(by))
+    return found.select(*by, "column", *[F.col(f"q{i}").alias(n) for i, n in enumerate(probs)])
 
 
 def one_row(quantiles: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:

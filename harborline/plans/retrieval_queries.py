@@ -10,11 +10,15 @@ from harborline.operators.nearest import nearest
 from harborline.plans.aggregate_queries import r
 from harborline.plans.registry import query
 from harborline.plans.tables import table
-from harborline.session import cut
+from harborline.session import cut, spread
+
+
+def texts(spark, sf, name="documents"):
+    return spread(table(spark, sf, name))
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text", "source", F.lit(None).cast("int").alias("page"))
+    return texts(spark, sf).select("doc_id", "text", "source", F.lit(None).cast("int").alias("page"))
 
 
 _SPACE = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -50,7 +54,7 @@ _TOKENS = f"t AS (SELECT doc_id, {_tokens('text')} AS t FROM documents)"
 
 @query("tokenize", f"WITH {_TOKENS} SELECT token, count(*) AS n FROM (SELECT unnest(t) AS token FROM t) GROUP BY 1")
 def _(spark, sf):
-    terms = table(spark, sf, "documents").select(F.explode(tx.tokens(F.col("text"))).alias("token"))
+    terms = texts(spark, sf).select(F.explode(tx.tokens(F.col("text"))).alias("token"))
     return terms.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -59,7 +63,7 @@ def _(spark, sf):
     f"WITH {_TOKENS} SELECT bigram, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(t)), lambda i: t[i] || '_' || t[i + 1])) AS bigram FROM t) GROUP BY 1",
 )
 def _(spark, sf):
-    terms = table(spark, sf, "documents").select(tx.tokens(F.col("text")).alias("t"))
+    terms = texts(spark, sf).select(tx.tokens(F.col("text")).alias("t"))
     pairs = terms.select(F.explode(tx.bigrams(F.col("t"))).alias("bigram"))
     return pairs.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
 
@@ -86,7 +90,7 @@ def _(spark, sf):
     f"WITH src AS (SELECT doc_id AS id, text FROM documents), {_vectors('d', 'src')} SELECT id AS doc_id, CAST(bucket AS INTEGER) AS bucket, round(u, 8) AS value FROM d",
 )
 def _(spark, sf):
-    vectors = ret.embed(table(spark, sf, "documents").select("doc_id", "text"), digest="md5")
+    vectors = ret.embed(texts(spark, sf).select("doc_id", "text"), digest="md5")
     cells = vectors.select("doc_id", F.posexplode("embedding").alias("bucket", "value"))
     return cells.where("value <> 0").select("doc_id", "bucket", r("value", 8))
 
@@ -124,7 +128,7 @@ full_hits AS (SELECT h.*, c.source, c.text FROM hits h JOIN c ON h.id = c.id)"""
 
 def talk(spark, sf):
     """(questions, chunks) with embeddings; each is written once, because hashing is the slow step."""
-    turns = table(spark, sf, "conversations").withColumn("key", F.col("conv_id") * 1000 + F.col("turn"))
+    turns = texts(spark, sf, "conversations").withColumn("key", F.col("conv_id") * 1000 + F.col("turn"))
     questions = turns.where("role = 'user'").select(F.col("key").alias("question_id"), "conv_id", "text")
     source = F.concat(F.lit("conv"), F.col("conv_id").cast("string"), F.lit("."))
     chunks = turns.where("role = 'assistant'").select(

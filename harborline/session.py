@@ -76,3 +76,13 @@ def cut(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, below: int = 256 << 20) -> DataFrame:
+    """Deal the rows of a small table out to all cores before heavy work on each row.
+
+    A small file is often one row group, which one task reads. A table whose estimated size
+    reaches ``below`` has enough splits of its own and is returned as it is, without a shuffle.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < below else df
