@@ -86,12 +86,13 @@ def stage_assertions(raw: DataFrame, daily: DataFrame, grid: DataFrame, lagged:
         wrong = count if wrong is None else wrong + count
     facts = facts.withColumn("wrong_lags", wrong)
     col = F.col
+    cents = lambda total: F.round(total * 100).cast("long")
     near = lambda a, b: F.abs(a - b) < 0.01 * F.greatest(F.col("day_rows"), F.lit(1))
     return check_rows(
         facts,
         {
-            "withdrawals_conserved": (near(col("raw_wd"), col("day_wd")), F.round(col("day_wd"), 2)),
-            "deposits_conserved": (near(col("raw_dep"), col("day_dep")), F.round(col("day_dep"), 2)),
+            "withdrawals_conserved": (near(col("raw_wd"), col("day_wd")), cents(col("day_wd"))),
+            "deposits_conserved": (near(col("raw_dep"), col("day_dep")), cents(col("day_dep"))),
             "unique_branch_days": (col("day_rows") == col("day_keys"), col("day_rows")),
             "grid_complete": (col("cells") == col("branches") * col("days"), col("cells")),
             "lags_exact": (col("wrong_lags") == 0, col("wrong_lags")),

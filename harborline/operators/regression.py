@@ -11,7 +11,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

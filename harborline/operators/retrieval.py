@@ -6,6 +6,8 @@ stay inside tasks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,7 +126,7 @@ def rank_metrics(questions: DataFrame, topic_sizes: DataFrame, hits: DataFrame,
     )
 
 
-def judge_averages(df: DataFrame, scores: list[str], by: list[str] = []) -> DataFrame:
+def judge_averages(df: DataFrame, scores: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Mean and number of the scores that are numbers."""
     value = lambda c: F.col(c).try_cast("double")
     return df.groupBy(*by).agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from harborline.functions import labels
 from harborline.operators import columns as ops
 from harborline.plans.registry import query
-from harborline.plans.tables import GAPS, PANEL, SALES, panel, sales, table, with_gaps
+from harborline.plans.tables import PANEL, panel, table, with_gaps
 from harborline.sources.readers import rows
 
 
