@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe
+from harborline.llm import bpe, quality
 from harborline.llm.common import table
 from harborline.session import configure
 
@@ -33,8 +33,22 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the decision list's verdict for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select(
+        "doc_id",
+        *[F.col(f"stats.{n}").alias(n) for n in names],
+        quality.base_failed().alias("base_failed"),
+        F.col("stats_rule").isNull().alias("kept"),
+    )
+
+
 _ALL: dict[str, Query] = {
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_quality_rules": op7_quality_rules,
 }
 SQL: dict[str, str] = {}
 
