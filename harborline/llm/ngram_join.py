@@ -32,10 +32,10 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import components, cut
+from harborline.llm.common import components, cut, fresh
 
 COUNT_BUCKETS = 1 << 18  # of the shingle counts
 NAMED_BITS = 1 << 22  # of the table of documents to verify
@@ -75,10 +75,11 @@ def _counts(docs: DataFrame, width: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNT_BUCKETS, dtype=np.int64)
-        for (text,) in _rows(batches, "text"):
-            total += np.bincount((shingle_set(text, width) % np.uint64(COUNT_BUCKETS)).astype(np.int64), minlength=COUNT_BUCKETS) if len(text or "") > 200_000 else 0
-            if len(text or "") <= 200_000:
-                np.add.at(total, (shingle_set(text, width) % np.uint64(COUNT_BUCKETS)).astype(np.int64), 1)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                texts = batch.column("text").slice(start, 256).to_pylist()
+                at = np.concatenate([shingle_set(t, width) for t in texts]) % np.uint64(COUNT_BUCKETS)
+                total += np.bincount(at.astype(np.int64), minlength=COUNT_BUCKETS)
         found = np.flatnonzero(total)
         for k in range(0, len(found), 10_000):
             part = found[k : k + 10_000]
@@ -322,3 +323,21 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     named = named.join(smallest, "component").select("node", "component_id")
     out = sets.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, similarity: int = 90) -> DataFrame:
+    """``docs``, same columns, with one row of each component: that of the smallest id (then row hash).
+
+    Rows without words stay all; of rows equal in every column one stays.
+    """
+    row, copies, doc, hashed, n = fresh(docs, "_row", "_copies", "_doc", "_hash", "_n")
+    keyed = docs.select(F.struct(F.col(doc_id).alias("doc"), F.hash(*docs.columns).alias("row")).alias("doc_id"), F.col(text).alias("text"))
+    found = classes(keyed, width=width, similarity=similarity)
+    stay = found.where((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id")))
+    stay = stay.select(F.col("doc_id.doc").alias(doc), F.col("doc_id.row").alias(hashed), F.col("n_shingles").alias(n)).distinct()
+    others = [c for c in docs.columns if c != doc_id]
+    rows = docs.withColumn(row, F.hash(*docs.columns)).groupBy(doc_id, row)
+    rows = rows.agg(*[F.first(c).alias(c) for c in others], F.count(F.lit(1)).alias(copies))
+    rows = rows.join(stay, F.col(doc_id).eqNullSafe(F.col(doc)) & (F.col(row) == F.col(hashed)))
+    uses = F.when(F.col(n) == 0, F.col(copies)).otherwise(F.lit(1).cast("long"))
+    return rows.withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), uses))).select(*docs.columns)

@@ -10,13 +10,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe, quality
+from harborline.llm import bpe, line_dedup, mixing, ngram_join, quality
 from harborline.llm.common import table
 from harborline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of every document in the mixture: epoch and block; no source repeats more than 4 times."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.schedule(docs, max_repeats=4.0, block_tokens=100_000)
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM documents),
+s AS (SELECT source, sum(n)::BIGINT AS t FROM d GROUP BY source),
+a AS (SELECT CASE WHEN max(t) = min(t) THEN 0 ELSE
+        greatest(0, ceil((1 - ln(4) / ln(max(t)::DOUBLE / min(t))) * 1e6) / 1e6) END AS alpha, sum(t)::DOUBLE AS total FROM s),
+w AS (SELECT source, t, pow(t / total, alpha) / sum(pow(t / total, alpha)) OVER () AS w FROM s, a),
+r AS (SELECT source, t, w, w * max(t / w) OVER () / t AS r, max(t / w) OVER () AS budget FROM w),
+f AS (SELECT source, t, w, CAST(floor(r + 1e-9) AS BIGINT) AS whole,
+        CAST(floor(greatest(r - floor(r + 1e-9), 0) * t + 1e-6) AS BIGINT) AS part,
+        CAST(ceil(budget / 100000) AS BIGINT) AS blocks FROM r),
+e AS (SELECT d.doc_id, d.source, n, t, w, whole, part, blocks, unnest(range(0, whole + CASE WHEN part > 0 THEN 1 ELSE 0 END)) AS epoch
+      FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source),
+k AS (SELECT *, md5(concat('mixture|', epoch, '|', doc_id)) AS key FROM e),
+c AS (SELECT *, sum(n) OVER (PARTITION BY source, epoch ORDER BY key, n RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM k)
+SELECT doc_id, source, round(w, 9) AS weight, CAST(epoch AS BIGINT) AS epoch,
+  CAST(least(blocks - 1, floor(blocks * (epoch * t + upto - n)::DOUBLE / (whole * t + part))) AS BIGINT) AS block, CAST(n AS BIGINT) AS n_tokens
+FROM c WHERE epoch < whole OR upto <= part
+"""
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document under Jaccard 0.9 on 3-word shingles."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the bytes they decode to, as digests."""
     import public_tokenizers
@@ -46,11 +77,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines of every document go, and which, because an earlier line is similar."""
+    return line_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _ALL: dict[str, Query] = {
+    "op1_source_mixing": op1_source_mixing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_source_mixing": OP1_SQL}
 
 
 def _configured(fn: Query) -> Query:
