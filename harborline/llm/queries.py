@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe, line_dedup, mixing, ngram_join, quality
+from harborline.llm import bpe, line_dedup, mixing, ngram_join, quality, suffix_dedup
 from harborline.llm.common import table
 from harborline.session import configure
 
@@ -77,6 +77,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without strings of 400 bytes that start elsewhere too."""
+    found = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many lines of every document go, and which, because an earlier line is similar."""
     return line_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -87,6 +100,7 @@ _ALL: dict[str, Query] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 SQL: dict[str, str] = {"op1_source_mixing": OP1_SQL}
