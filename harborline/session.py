@@ -7,6 +7,7 @@ Nothing here assumes one machine: folders that several executors must see come f
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,9 +27,30 @@ RUNTIME = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in workers are pickled by module name, so a worker that was started anywhere else
+    than beside the package needs its files.
+    """
+    sc = spark.sparkContext
+    if _SHIPPED.get("application") == sc.applicationId:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    made = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="harborline-"), "harborline"), "zip", os.path.dirname(package), os.path.basename(package)
+    )
+    sc.addPyFile(made)
+    _SHIPPED["application"] = sc.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", app: str = "harborline") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     spark = (
