@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe, line_dedup, mixing, ngram_join, quality, suffix_dedup
+from harborline.llm import bpe, chat, embedding_dedup, line_dedup, mixing, ngram_join, quality, secrets, suffix_dedup, warc
 from harborline.llm.common import table
-from harborline.session import configure
+from harborline.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,11 +43,56 @@ FROM c WHERE epoch < whole OR upto <= part
 """
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding among those of its label."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document under Jaccard 0.9 on 3-word shingles."""
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base spans, and those that corpus-wide ownership adds."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    of_class = lambda name: F.size(F.filter("spans", lambda s: s["class"] == name)).cast("long").alias(f"n_{name}")
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+        of_class("live"),
+        of_class("example"),
+    )
+
+
+def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the perspective of each participant, with the spans to learn from."""
+    made = chat.rotations(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return made.select("conv_id", "segment", "speaker", "n_turns", "rendered", F.array_join(spans, ",").alias("mask"))
+
+
+OP5_SQL = """
+WITH t AS (SELECT conv_id, CAST(floor(turn / 64) AS BIGINT) AS segment, turn, role,
+    replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body FROM conversations),
+p AS (SELECT DISTINCT conv_id, segment, role AS speaker FROM t WHERE role IS NOT NULL AND role <> 'system'),
+r AS (SELECT t.*, speaker, coalesce(role = speaker, false) AS own,
+    CASE WHEN role IS NULL THEN '<|user|>' WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
+         ELSE '<|user name=' || role || '|>' END || chr(10) AS head
+  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.segment IS NOT DISTINCT FROM p.segment),
+o AS (SELECT *, row_number() OVER w AS k, sum(length(head) + length(body)) OVER w AS stop FROM r
+  WINDOW w AS (PARTITION BY conv_id, segment, speaker ORDER BY turn NULLS FIRST, role NULLS FIRST, body ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, segment, speaker, count(*) AS n_turns, string_agg(head || body, '' ORDER BY k) AS rendered,
+  coalesce(string_agg((stop - length(body)) || ':' || stop, ',' ORDER BY k) FILTER (WHERE own), '') AS mask
+FROM o GROUP BY conv_id, segment, speaker
+"""
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the bytes they decode to, as digests."""
     import public_tokenizers
@@ -90,6 +135,24 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record reads in the archives."""
+    folder = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    found = warc.read(spark, folder, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+k AS (SELECT digest, max(page_id) AS keep FROM p WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN keep > page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN keep > page_id THEN keep END AS refers_to
+FROM p LEFT JOIN k ON p.digest = k.digest
+"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many lines of every document go, and which, because an earlier line is similar."""
     return line_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -97,13 +160,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL: dict[str, Query] = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_chat_rotation": op5_chat_rotation,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_warc_shards": op9_warc_shards,
     "op10_line_dedup": op10_line_dedup,
 }
-SQL: dict[str, str] = {"op1_source_mixing": OP1_SQL}
+SQL: dict[str, str] = {
+    "op1_source_mixing": OP1_SQL,
+    "op5_chat_rotation": OP5_SQL,
+    "op9_warc_shards": OP9_SQL,
+}
 
 
 def _configured(fn: Query) -> Query:
