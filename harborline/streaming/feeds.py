@@ -73,8 +73,12 @@ def latest(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
-def stream_daily(feed: DataFrame, late: str = "30 days") -> DataFrame:
-    """Daily totals of a finite feed by way of a stream that reads all of it and stops."""
+def stream_daily(feed: DataFrame, late: str | None = None) -> DataFrame:
+    """Daily totals of a finite feed by way of a stream that reads all of it and stops.
+
+    Every row counts, in whatever order the files come: the state is one row per branch and day. With
+    ``late`` the state of old days is freed, and rows later than that are dropped.
+    """
     spark = feed.sparkSession
     target, checkpoint = scratch_path(spark, "stream-daily"), scratch_path(spark, "stream-state")
     run_available(daily_totals(feed, late), spark, target, checkpoint)

@@ -41,6 +41,18 @@ def test_second_run_adds_to_the_first_and_counts_late_rows(spark):
     assert totals(spark, target)[1, 1] == (9.0, 2.0, 3) and totals(spark, target)[1, 9] == (2.0, 0.0, 2)
 
 
+def test_a_finite_feed_out_of_time_order_is_whole(spark):
+    folder = scratch_path(spark, "feed")
+    start = dt.datetime(2024, 1, 1)
+    for n, day in enumerate((120, 60, 0, 119, 61)):
+        rows = [(1, start + dt.timedelta(days=day, hours=h), 2.0, 1.0) for h in (1, 20)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/{n}")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    feed = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(folder)
+    got = {(r.window_start - start).days: (r.withdrawals, r.deposits, r.rows) for r in feeds.stream_daily(feed).collect()}
+    assert got == {day: (4.0, 2.0, 2) for day in (120, 60, 0, 119, 61)}
+
+
 def test_half_days_on_a_table(spark):
     df = spark.createDataFrame([(1, at(1, 9), 5.0, 0.0), (1, at(1, 12), 1.0, 2.0)], SCHEMA)
     rows = {r.half: (r.withdrawals, r.deposits) for r in feeds.half_day_totals(df).collect()}
