@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pandas as pd
@@ -61,27 +60,37 @@ def chunk_id(source: Column, page: Column, index: Column, text: Column) -> Colum
     return F.substring(F.sha2(identity, 256), 1, 24)
 
 
-def _pieces(text: str, separators: tuple[str, ...], size: int) -> list[str]:
-    """Pieces of at most ``size`` characters that join to ``text``, cut at the best separator found."""
-    if len(text) <= size:
-        return [text]
-    for at, separator in enumerate(separators):
-        if separator == "":
-            return [text[i : i + 1] for i in range(len(text))]
-        if separator in text:
-            first, *rest = text.split(separator)
-            parts = [first, *(separator + part for part in rest)]
-            return [piece for part in parts if part for piece in _pieces(part, separators[at + 1 :], size)]
-    return [text]
+def character_chunks(text: str, size: int, overlap: int, separators: tuple[str, ...] = SEPARATORS) -> list[str]:
+    """Chunks of at most ``size`` characters, cut at the first separator that the text holds.
 
-
-def character_chunks(text: str, size: int, overlap: int) -> list[str]:
-    """Chunks of at most ``size`` characters; a chunk starts with up to ``overlap`` of the one before."""
+    A piece keeps the separator it was cut at. Pieces shorter than ``size`` are joined while they fit, each chunk
+    starting with up to ``overlap`` characters of the one before; a longer piece closes what is open and
+    is cut by the separators that follow.
+    """
+    at = next((k for k, s in enumerate(separators) if s == "" or s in text), len(separators) - 1)
+    separator, finer = separators[at], separators[at + 1 :]
+    if separator:
+        first, *rest = text.split(separator)
+        pieces = [p for p in (first, *(separator + part for part in rest)) if p]
+    else:
+        pieces = list(text)
+    chunks, short = [], []
+    for piece in pieces:
+        if len(piece) < size:
+            short.append(piece)
+            continue
+        chunks += _joined(short, size, overlap)
+        short = []
+        chunks += character_chunks(piece, size, overlap, finer) if finer else [piece]
+    return chunks + _joined(short, size, overlap)
+
+
+def _joined(pieces: list[str], size: int, overlap: int) -> list[str]:
     chunks, held, length = [], [], 0
-    for piece in _pieces(text, SEPARATORS, size):
+    for piece in pieces:
         if held and length + len(piece) > size:
             chunks.append("".join(held).strip())
-            while held and (length > overlap or length + len(piece) > size):
+            while length and (length > overlap or length + len(piece) > size):
                 length -= len(held.pop(0))
         held.append(piece)
         length += len(piece)
@@ -116,31 +125,27 @@ def hash_embed(features: Column, dimensions: int = 384, digest: str = "blake2b")
     """Unit vector of signed feature counts; all zeros when there is no feature.
 
     The first four digest bytes (little endian) choose the position, the lowest bit of the fifth
-    the sign. Rows stay where they are: hashing is a narrow step in Arrow batches, and a batch
-    hashes each distinct feature once.
+    the sign. Rows stay where they are: hashing is a narrow step in Arrow batches, a batch hashes each distinct
+    feature once and counts all its rows' features together.
     """
     if dimensions < 8:
-        raise ValueError("dimensions must be at least 8")
+        raise ValueError("a vector needs 8 positions or more")
     hashed = DIGESTS[digest]
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def embed(rows: pd.Series) -> pd.Series:
-        places: dict[str, tuple[int, float]] = {}
-
-        def place(feature: str) -> tuple[int, float]:
-            if feature not in places:
-                d = hashed(feature)
-                places[feature] = (int.from_bytes(d[:4], "little") % dimensions, 1.0 if d[4] & 1 else -1.0)
-            return places[feature]
-
-        def vector(terms) -> np.ndarray:
-            counts = np.zeros(dimensions)
-            for term in terms:
-                at, sign = place(term)
-                counts[at] += sign
-            norm = math.sqrt(float(counts @ counts))
-            return counts / norm if norm else counts
-
-        return rows.map(vector, na_action="ignore")
+        known = rows.dropna()
+        lengths = np.array([len(terms) for terms in known], dtype=np.int64)
+        if not lengths.sum():
+            return rows.map(lambda terms: np.zeros(dimensions), na_action="ignore")
+        codes, distinct = pd.factorize(np.concatenate([np.asarray(terms, dtype=object) for terms in known]))
+        digests = np.frombuffer(b"".join(hashed(feature)[:8] for feature in distinct), dtype=np.uint8).reshape(-1, 8)
+        place = (digests[:, :4].copy().view("<u4").ravel() % dimensions).astype(np.int64)
+        sign = np.where(digests[:, 4] & 1, 1.0, -1.0)
+        cell = np.repeat(np.arange(len(lengths)), lengths) * dimensions + place[codes]
+        counts = np.bincount(cell, weights=sign[codes], minlength=len(lengths) * dimensions).reshape(-1, dimensions)
+        norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        vectors = counts / np.where(norms > 0, norms, 1.0)
+        return pd.Series(list(vectors), index=known.index).reindex(rows.index)
 
     return embed(features)

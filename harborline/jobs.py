@@ -151,7 +151,7 @@ def forecast(features: DataFrame, predictors: Sequence[str], chosen: Mapping[str
 def index_documents(spark: SparkSession, docs: DataFrame, target: str, stored: str | None = None, size: int = 120, overlap: int = 25) -> str:
     """Chunk and embed documents and write the store; ``stored`` is an earlier store to update."""
     # Copies of a document give equal chunk ids; the store keeps one row per id.
-    chunks = retrieval.embed(retrieval.chunk_documents(docs, size, overlap)).dropDuplicates(["id"])
+    chunks = retrieval.embed(retrieval.chunk_documents(docs, size, overlap).dropDuplicates(["id"]))
     if stored is None:
         return writers.write_store(chunks, target)
     return writers.upsert_store(spark, stored, cut(chunks), "id", target)

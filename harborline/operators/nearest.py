@@ -1,27 +1,23 @@
 """Exact nearest neighbours for a batch of queries.
 
 Scores are computed as dense blocks inside tasks and only each block's best ``k`` per query leave
-it, so no (query, item) pair becomes a row. A query set of checked size is broadcast and the item
-table is read once where it lies. A larger query set is cut into blocks, and blocks of queries
-meet blocks of items as cells of bounded size.
+it, so no (query, item) pair becomes a row. Queries and items are cut into blocks, and blocks of queries
+meet blocks of items as cells of bounded size, whatever the sizes are. Null vectors take no part; vectors
+of different lengths, or with null components, are refused.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborline.operators.windows import top_n
 
-QUERY_BLOCK = 4_096  # most queries in one broadcast, and in one cell
-BROADCAST_VALUES = 2_000_000  # most numbers in one broadcast, 16 MB
-ITEM_BLOCK = 16_384
+QUERY_BLOCK = 1_024  # about as many queries, and items, in one cell
+ITEM_BLOCK = 8_192
 SCORE_DIGITS = 9
 
 
@@ -58,7 +54,13 @@ def _first_k(found: pd.DataFrame, k: int) -> pd.DataFrame:
 
 
 def _matrix(column) -> np.ndarray:
-    return np.vstack([np.asarray(v, dtype=float) for v in column])
+    lengths = {len(v) for v in column}
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(lengths)}")
+    made = np.vstack([np.asarray(v, dtype=float) for v in column])
+    if np.isnan(made).any():
+        raise ValueError("a vector holds a null or NaN component")
+    return made
 
 
 def nearest(
@@ -68,7 +70,6 @@ def nearest(
     metric: str = "dot",
     min_score: float | None = None,
     other_only: bool = False,
-    broadcast_values: int = BROADCAST_VALUES,
 ) -> DataFrame:
     """(query_id, item_id, score, rank) of the ``k`` best items per query.
 
@@ -81,46 +82,15 @@ def nearest(
     schema = T.StructType(
         [queries.schema["query_id"], items.schema["item_id"], T.StructField("score", T.DoubleType())]
     )
-    head = queries.limit(QUERY_BLOCK + 1).toArrow()
-    if not head.num_rows:
-        return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
-    if head.num_rows <= QUERY_BLOCK and _values(head["vector"].combine_chunks()).size <= broadcast_values:
-        found = _against_broadcast(head, items, schema, k, metric, min_score, other_only)
-    else:
-        found = _cells(queries, items, schema, k, metric, min_score, other_only)
+    queries, items = (side.where(F.col("vector").isNotNull()) for side in (queries, items))
+    found = _cells(queries, items, schema, k, metric, min_score, other_only)
     return top_n(found, ["query_id"], [F.col("score").desc(), F.col("item_id")], k)
 
 
-def _values(vectors: pa.ListArray) -> np.ndarray:
-    return np.asarray(vectors.flatten(), dtype=float)
-
-
-def _against_broadcast(head: pa.Table, items, schema, k, metric, min_score, other_only) -> DataFrame:
-    rows = lambda vectors: _values(vectors).reshape(len(vectors), -1)
-    id_type = head.schema.field("query_id").type
-    held = items.sparkSession.sparkContext.broadcast(
-        (head["query_id"].to_pandas().to_numpy(), rows(head["vector"].combine_chunks()))
-    )
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, q = held.value
-        kept, item_type = None, None
-        for batch in batches:
-            if batch.num_rows:
-                item_type = batch.schema.field("item_id").type
-                ids = batch.column("item_id").to_pandas().to_numpy()
-                found = _best(q_ids, q, ids, rows(batch.column("vector")), k, metric, min_score, other_only)
-                kept = found if kept is None else _first_k(pd.concat([kept, found]), k)
-        if kept is not None:
-            columns = [pa.array(kept["query_id"], id_type), pa.array(kept["item_id"], item_type), pa.array(kept["score"], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, ["query_id", "item_id", "score"])
-
-    return items.mapInArrow(scan, schema)
-
-
 def _cells(queries, items, schema, k, metric, min_score, other_only) -> DataFrame:
     blocks = lambda n, size: max(1, -(-n // size))
-    nq, ni = blocks(queries.count(), QUERY_BLOCK), blocks(items.count(), ITEM_BLOCK)
+    # only ids are counted: columns that make the vectors are pruned
+    nq, ni = blocks(queries.select("query_id").count(), QUERY_BLOCK), blocks(items.select("item_id").count(), ITEM_BLOCK)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     left = queries.select("*", block("query_id", nq).alias("qb"), every(ni).alias("ib"))
@@ -129,6 +99,9 @@ def _cells(queries, items, schema, k, metric, min_score, other_only) -> DataFram
     def cell(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
         if q.empty or i.empty:
             return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-        return _best(q["query_id"].to_numpy(), _matrix(q["vector"]), i["item_id"].to_numpy(), _matrix(i["vector"]), k, metric, min_score, other_only)
+        x, y = _matrix(q["vector"]), _matrix(i["vector"])
+        if x.shape[1] != y.shape[1]:
+            raise ValueError(f"vectors of different lengths: {x.shape[1]} and {y.shape[1]}")
+        return _best(q["query_id"].to_numpy(), x, i["item_id"].to_numpy(), y, k, metric, min_score, other_only)
 
     return left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInPandas(cell, schema)

@@ -114,11 +114,12 @@ def rank_metrics(questions: DataFrame, topic_sizes: DataFrame, hits: DataFrame,
 
     ``questions`` is (question_id, topic), ``topic_sizes`` (topic, wanted) counts the chunks of a
     topic, ``hits`` carries question_id, rank and topic. Relevant pairs are never listed, so a
-    topic with very many chunks costs no more than its count.
+    topic with very many chunks costs no more than its count. A question without a relevant chunk counts as
+    precision and reciprocal rank 0; its recall is undefined and left out of the mean.
     """
     good = hits.where(F.col("rank") <= k).join(questions, ["question_id", "topic"], "left_semi")
     found = good.groupBy("question_id").agg(F.count(F.lit(1)).alias("got"), F.min("rank").alias("first"))
-    per = questions.join(topic_sizes, "topic").join(found, "question_id", "left").fillna(0, subset=["got"])
+    per = questions.join(topic_sizes, "topic", "left").join(found, "question_id", "left").fillna(0, subset=["got"])
     return per.agg(
         F.avg(F.col("got") / F.col("wanted")).alias("recall"),
         F.avg(F.col("got") / F.lit(k)).alias("precision"),

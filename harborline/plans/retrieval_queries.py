@@ -10,11 +10,11 @@ from harborline.operators.nearest import nearest
 from harborline.plans.aggregate_queries import r
 from harborline.plans.registry import query
 from harborline.plans.tables import table
-from harborline.session import cut, spread
+from harborline.session import cut
 
 
 def texts(spark, sf, name="documents"):
-    return spread(table(spark, sf, name))
+    return table(spark, sf, name)
 
 
 def documents(spark, sf):
@@ -197,7 +197,8 @@ def _(spark, sf):
     "recall_precision_mrr",
     f"""WITH {_HITS}, rel AS (SELECT q.id AS question_id, c.id FROM q JOIN c USING (conv_id)), w AS (SELECT question_id, count(*) AS wanted FROM rel GROUP BY 1),
         g AS (SELECT question_id, count(*) AS got, min(rank) AS first FROM hits JOIN rel USING (question_id, id) GROUP BY 1)
-        SELECT round(avg(coalesce(got, 0) / wanted), 8) AS recall, round(avg(coalesce(got, 0) / 5), 8) AS precision, round(avg(coalesce(1 / first, 0)), 8) AS mrr FROM w LEFT JOIN g USING (question_id)""",
+        SELECT round(avg(coalesce(got, 0) / wanted), 8) AS recall, round(avg(coalesce(got, 0) / 5), 8) AS precision, round(avg(coalesce(1 / first, 0)), 8) AS mrr
+        FROM (SELECT id AS question_id FROM q) LEFT JOIN w USING (question_id) LEFT JOIN g USING (question_id)""",
 )
 def _(spark, sf):
     questions, chunks, hits = _hits(spark, sf)

@@ -88,6 +88,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a written table when the application ends: results that still read it come first."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 
@@ -97,14 +103,5 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "cut")
     df.write.parquet(path)
+    drop_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, below: int = 256 << 20) -> DataFrame:
-    """Deal the rows of a small table out to all cores before heavy work on each row.
-
-    A small file is often one row group, which one task reads. A table whose estimated size
-    reaches ``below`` has enough splits of its own and is returned as it is, without a shuffle.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < below else df

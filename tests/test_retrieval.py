@@ -1,7 +1,6 @@
 """Chunking, hashing, search and its evaluation."""
 
 import hashlib
-import math
 import re
 
 import numpy as np
@@ -18,14 +17,18 @@ LEAVE = "Employees may take annual leave after ninety days. Leave requests need
 SECURITY = "Passwords must be rotated. Report security incidents to the help desk at once."
 
 
+# Stored vectors of single words: position and sign from the digest's bytes.
+STORED = {"one": [(52, 1.0)], "annual": [(335, 1.0)]}
+
+
 def docs(spark, *pairs):
     return spark.createDataFrame([(t, s, None) for t, s in pairs], "text string, source string, page int")
 
 
 def test_overlapping_chunks(spark):
-    chunks = ret.chunk_documents(docs(spark, ("one two three four five six", "notes.txt")), 4, 2).orderBy("chunk_index").collect()
-    assert [c.text for c in chunks] == ["one two three four", "three four five six"]
-    expected = [hashlib.sha256(f"notes.txt|None|{i}|{c.text}".encode()).hexdigest()[:24] for i, c in enumerate(chunks)]
+    chunks = ret.chunk_documents(docs(spark, ("ash birch cedar oak pine", "trees.txt")), 3, 1).orderBy("chunk_index").collect()
+    assert [c.text for c in chunks] == ["ash birch cedar", "cedar oak pine"]
+    expected = [hashlib.sha256(f"trees.txt|None|{i}|{c.text}".encode()).hexdigest()[:24] for i, c in enumerate(chunks)]
     assert [c.id for c in chunks] == expected
 
 
@@ -80,21 +83,27 @@ def test_character_chunks_prefer_paragraphs_and_overlap():
     assert tx.character_chunks("x" * 25, 10, 0) == ["x" * 10, "x" * 10, "x" * 5]
 
 
-def python_vector(text, dimensions=384):
-    terms = [t.lower() for t in re.findall(r"[A-Za-z0-9]+(?:['_-][A-Za-z0-9]+)*", text)]
-    out = [0.0] * dimensions
-    for f in terms + [f"{a}_{b}" for a, b in zip(terms, terms[1:])]:
-        d = hashlib.blake2b(f.encode(), digest_size=8).digest()
-        out[int.from_bytes(d[:4], "little") % dimensions] += 1.0 if d[4] & 1 else -1.0
-    norm = math.sqrt(sum(v * v for v in out))
-    return [v / norm for v in out] if norm else out
+def test_character_chunks_close_before_a_long_piece():
+    long = "a rather long paragraph that has far more than sixty characters in it"
+    chunks = tx.character_chunks(f"short para\n\n{long}\n\nend", 60, 0)
+    assert chunks == ["short para", "a rather long paragraph that has far more than sixty", "characters in it", "end"]
+    assert tx.character_chunks("abcde\n\nf", 5, 0) == ["abcde", "f"]
 
 
 def test_hash_vectors(spark):
-    texts = [LEAVE, "Don't re-use e-mail_names", "one", "", "!!!", "Señor Ünïcode 123"]
-    rows = ret.embed(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")).orderBy("i").collect()
-    for row in rows:
-        assert row.embedding == pytest.approx(python_vector(row.text), abs=1e-12)
+    texts = [LEAVE, "leave leave", "leave", "", "!!!", "Señor Ünïcode 123", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for digest in ("blake2b", "md5"):
+        rows = {r.i: r.embedding for r in ret.embed(frame, digest=digest).collect()}
+        assert rows[3] == rows[4] == [0.0] * 384 and rows[6] is None
+        for i in (0, 1, 2, 5):
+            assert len(rows[i]) == 384 and np.linalg.norm(rows[i]) == pytest.approx(1)
+        # one word is one position; said twice it weighs two against its one pair of neighbours
+        (at,) = np.flatnonzero(rows[2])
+        assert abs(rows[2][at]) == 1 and rows[1][at] == pytest.approx(rows[2][at] * 2 / np.sqrt(5))
+    vectors = ret.embed(spark.createDataFrame([("one",), ("annual",)], "text string"))
+    places = {r.text: [(k, v) for k, v in enumerate(r.embedding) if v] for r in vectors.collect()}
+    assert places == STORED
     with pytest.raises(ValueError):
         tx.hash_embed(F.col("x"), 4)
 
@@ -121,8 +130,7 @@ def test_rerank_drops_weak_candidates(spark):
 
 
 @pytest.mark.parametrize("metric", ["dot", "l2"])
-@pytest.mark.parametrize("bound", [2_000_000, 0])
-def test_nearest_equals_brute_force(spark, metric, bound, monkeypatch):
+def test_nearest_equals_brute_force(spark, metric, monkeypatch):
     import harborline.operators.nearest as module
 
     monkeypatch.setattr(module, "QUERY_BLOCK", 7)
@@ -130,7 +138,7 @@ def test_nearest_equals_brute_force(spark, metric, bound, monkeypatch):
     rng = np.random.default_rng(3)
     q, items = rng.integers(-2, 3, (20, 3)).astype(float), rng.integers(-2, 3, (45, 3)).astype(float)
     frame = lambda m, name: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], f"{name} int, vector array<double>")
-    rows = nearest(frame(q, "query_id"), frame(items, "item_id"), 4, metric, other_only=True, broadcast_values=bound).collect()
+    rows = nearest(frame(q, "query_id"), frame(items, "item_id"), 4, metric, other_only=True).collect()
     got = {}
     for r in sorted(rows, key=lambda r: (r.query_id, r["rank"])):
         got.setdefault(r.query_id, []).append((r.item_id, r.score))
@@ -150,9 +158,23 @@ def test_nearest_with_no_queries_and_with_floor(spark):
         nearest(asked, items, 0)
 
 
+def test_nearest_skips_null_vectors_and_refuses_ragged_ones(spark):
+    asked = spark.createDataFrame([(5, [1.0, 0.0]), (6, None)], "query_id int, vector array<double>")
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.5, 0.5])]
+    items = spark.createDataFrame(rows, "item_id int, vector array<double>")
+    assert [(r.query_id, r.item_id, r.score) for r in nearest(asked, items, 3).orderBy("rank").collect()] == [(5, 1, 1.0), (5, 3, 0.5)]
+    for bad in ([3.0, 0.0, 0.0, 0.0], [None, 1.0]):
+        ragged = spark.createDataFrame([*rows, (4, bad)], "item_id int, vector array<double>")
+        with pytest.raises(Exception, match="different lengths|null or NaN"):
+            nearest(asked, ragged, 3).collect()
+
+
 def test_rank_metrics(spark):
     questions = spark.createDataFrame([(1, "a"), (2, "b")], "question_id int, topic string")
     sizes = spark.createDataFrame([("a", 2), ("b", 1)], "topic string, wanted long")
     hits = spark.createDataFrame([(1, 1, "x"), (1, 2, "a"), (2, 1, "a")], "question_id int, rank int, topic string")
     row = ret.rank_metrics(questions, sizes, hits, 2).first()
     assert (row.recall, row.precision, row.mrr) == (0.25, 0.25, 0.25)
+    more = questions.union(spark.createDataFrame([(3, "none"), (4, "none")], questions.schema))
+    row = ret.rank_metrics(more, sizes, hits, 2).first()
+    assert (row.recall, row.precision, row.mrr) == (0.25, 0.125, 0.125)
