@@ -12,27 +12,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.operators.windows import magnitude_bucket
+from harborline.operators.windows import value_bucket
 
 
 def unpivot(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Long form (by..., column, value) of numeric columns, nulls left out.
+    """Long form (by..., column, value, bucket) of numeric columns, nulls left out.
+
+    The bucket is monotone in the value and follows each column's range.
 
     ``inline`` gives every output column a new identity, without which Spark would not see that
     the two uses of the counts below share one exchange, and would scan the table twice.
     """
+    ends = _ends(df, columns)
+    bucket = lambda c: value_bucket(F.col(c).cast("double"), ends.select(f"low_{c}").scalar(), ends.select(f"high_{c}").scalar())
+    marked = df.withColumns({f"_bucket_{c}": bucket(c) for c in columns})
     cells = [
-        F.struct(*[F.col(k).alias(k) for k in by], F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+        F.struct(
+            *[F.col(k).alias(k) for k in by],
+            F.lit(c).alias("column"),
+            F.col(c).cast("double").alias("value"),
+            F.col(f"_bucket_{c}").alias("bucket"),
+        )
         for c in columns
     ]
-    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return marked.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def _ends(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with the least and largest number of each column."""
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    return df.agg(*[f(number(c)).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))])
 
 
 def _quantile_groups(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """(by..., column, q0, q1, ...): one quantile column per entry of ``probs``."""
     keys = [*by, "column"]
-    counts = unpivot(df, by, columns).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("bucket", magnitude_bucket(F.col("value")))
+    counts = unpivot(df, by, columns).groupBy(*keys, "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
 
     up_to = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)

@@ -23,6 +23,20 @@ def magnitude_bucket(value: Column, per_octave: int = 1024) -> Column:
     return F.when(value < 0, -size - 1).otherwise(size).cast("long")
 
 
+LINEAR = 1 << 16  # equal slices of a column's range
+
+
+def value_bucket(value: Column, low: Column, high: Column) -> Column:
+    """A monotone whole number for ``value`` that follows the data: its magnitude slice, and inside it the
+    slice of the range from ``low`` to ``high``.
+
+    Values far from zero and close together (times) part by the second, values spread over many magnitudes by the first.
+    """
+    width = high - low
+    at = F.when((width > 0) & (width < float("inf")), F.floor((value - low) / width * LINEAR)).otherwise(0)
+    return magnitude_bucket(value) * LINEAR + F.greatest(F.lit(0), F.least(F.lit(LINEAR - 1), at)).cast("long")
+
+
 def running_total(
     df: DataFrame,
     by: Sequence[str],

@@ -22,14 +22,18 @@ def write_json_report(df: DataFrame, path: str) -> str:
     return path
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+def upsert(stored: DataFrame, incoming: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """Insert or replace by ``key``: an incoming row replaces the stored row of the same key.
 
-    Incoming keys must be unique, as chunk ids are. The stored side is streamed through one
-    anti join, so a rewrite costs one shuffle of keys and no sort of whole rows.
+    Of incoming rows with one key the last by ``order`` counts, or the largest row where no order is given.
+    The stored side is streamed through one anti join, so a rewrite costs one shuffle of keys and no
+    sort of whole rows.
     """
+    row = F.struct(*[F.col(c) for c in incoming.columns])
+    by = F.struct(F.col(order), row) if order else row
+    last = incoming.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, by).alias("_row")).select("_row.*")
     kept = stored.join(incoming.select(key), key, "left_anti")
-    return kept.unionByName(incoming)
+    return kept.unionByName(last)
 
 
 def write_store(df: DataFrame, path: str) -> str:

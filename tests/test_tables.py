@@ -37,6 +37,13 @@ def test_upsert_replaces_and_adds(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [("a", 1), ("b", 20), ("c", 30)]
 
 
+def test_upsert_takes_the_last_of_repeated_keys(spark):
+    old = spark.createDataFrame([("a", 1, 0), ("b", 2, 0)], "id string, v int, at int")
+    new = spark.createDataFrame([("b", 9, 1), ("b", 3, 2), ("c", 4, 1), ("c", 4, 1)], "id string, v int, at int")
+    assert sorted(map(tuple, writers.upsert(old, new, "id", "at").collect())) == [("a", 1, 0), ("b", 3, 2), ("c", 4, 1)]
+    assert writers.upsert(old, new, "id").where("id = 'b'").first().v == 9
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_quantiles_equal_numpy(spark, seed):
     rng = np.random.default_rng(seed)
@@ -78,6 +85,14 @@ def test_magnitude_bucket_keeps_order(spark):
     assert got == sorted(got)
 
 
+@pytest.mark.parametrize("low,step", [(1.7e9, 60.0), (0.0, 1e-9), (-5e8, 1e3), (1.0, 0.5)])
+def test_value_buckets_follow_the_data(spark, low, step):
+    df = spark.range(5000).select((F.col("id") * step + low).alias("v"))
+    b = windows.value_bucket(F.col("v"), F.lit(low), F.lit(low + 4999 * step))
+    got = [r.b for r in df.select("v", b.alias("b")).orderBy("v").collect()]
+    assert got == sorted(got) and len(set(got)) > 1000
+
+
 def test_global_position(spark):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k"))
     rows = ordering.global_position(df, ["k"], "n").collect()
