@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,36 +51,12 @@ def transpose(entries: DataFrame) -> DataFrame:
     return entries.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
 
 
-def multiply(a: DataFrame, b: DataFrame, block: int = 256) -> DataFrame:
-    """Product of two matrices of entries (i, j, v).
+def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Product of two matrices of entries (i, j, v): a join on the inner index, summed by cell.
 
-    Entries are gathered into square tiles, tiles meet on the inner tile index, and each pair of
-    tiles is multiplied densely, so an inner index with many entries gives tile products, not
-    entry pairs. A tile holds at most block x block entries because (i, j) is unique.
+    Cells whose products cancel stay, as zeros. The sum is combined before it is shuffled; a hot inner
+    index is split by AQE's skew join.
     """
-
-    at = lambda c: F.floor(F.col(c) / block)
-    cell = F.struct(
-        (F.col("i") % block).cast("int").alias("i"), (F.col("j") % block).cast("int").alias("j"), F.col("v").cast("double").alias("v")
-    )
-    left = a.groupBy(at("i").alias("bi"), at("j").alias("k")).agg(F.collect_list(cell).alias("cells_a"))
-    right = b.groupBy(at("i").alias("k"), at("j").alias("bj")).agg(F.collect_list(cell).alias("cells_b"))
-
-    @F.pandas_udf("array<struct<i:int,j:int,v:double>>")
-    def product(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        def dense(cells):
-            m = np.zeros((block, block))
-            for c in cells:
-                m[c["i"], c["j"]] = c["v"]
-            return m
-
-        def one(x, y):
-            z = dense(x) @ dense(y)
-            return [{"i": int(i), "j": int(j), "v": float(z[i, j])} for i, j in zip(*np.nonzero(z))]
-
-        return pd.Series([one(x, y) for x, y in zip(xs, ys)])
-
-    pairs = left.join(right, "k").select("bi", "bj", F.inline(product("cells_a", "cells_b")))
-    return pairs.groupBy((F.col("bi") * block + F.col("i")).alias("i"), (F.col("bj") * block + F.col("j")).alias("j")).agg(
-        F.sum("v").alias("v")
-    )
+    left = a.select("i", F.col("j").alias("_k"), F.col("v").cast("double").alias("_x"))
+    right = b.select(F.col("i").alias("_k"), "j", F.col("v").cast("double").alias("_y"))
+    return left.join(right, "_k").groupBy("i", "j").agg(F.sum(F.col("_x") * F.col("_y")).alias("v"))

@@ -44,18 +44,20 @@ def coerce_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     return F.coalesce(*[F.try_to_timestamp(value, F.lit(f)) for f in formats])
 
 
-def date_columns(df: DataFrame, keys: Sequence[str] = ()) -> list[str]:
-    """Columns named like dates; without any, text columns where over 3 of 5 sampled values parse."""
+def date_columns(df: DataFrame, keys: Sequence[str] = (), share: float = 0.6) -> list[str]:
+    """Columns named like dates; without any, text columns of whose values over ``share`` parse.
+
+    All values of all text columns are tried, in one aggregate.
+    """
     named = [c for c in df.columns if c not in keys and any(w in c.lower() for w in DATE_WORDS)]
     if named:
         return named
-    found = []
-    for name, kind in df.dtypes:
-        if kind == "string" and name not in keys:
-            sample = df.where(F.col(name).isNotNull()).select(coerce_date(F.col(name)).alias("d")).limit(5)
-            if sample.agg(F.count("d")).first()[0] > 3:
-                found.append(name)
-    return found
+    texts = [name for name, kind in df.dtypes if kind == "string" and name not in keys]
+    if not texts:
+        return []
+    parsed = [F.count(coerce_date(F.col(c))).alias(f"p{k}") for k, c in enumerate(texts)]
+    counts = df.agg(*parsed, *[F.count(F.col(c)).alias(f"n{k}") for k, c in enumerate(texts)]).first()
+    return [c for k, c in enumerate(texts) if counts[f"p{k}"] > share * counts[f"n{k}"]]
 
 
 def fill_zero_cash(df: DataFrame, substrings: bool = False) -> DataFrame:

@@ -54,7 +54,7 @@ def _(spark, sf):
     "SELECT c AS column_name, CAST(n AS BIGINT) AS parsed FROM (SELECT 'shipped_on' AS c, count(*) AS n FROM lineitem)",
 )
 def _(spark, sf):
-    # No column is named like a date, so the text columns are sampled.
+    # No column is named like a date, so the values of the text columns decide.
     df = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_returnflag", F.date_format("l_shipdate", "dd/MM/yyyy").alias("shipped_on")
     )

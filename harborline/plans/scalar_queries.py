@@ -203,8 +203,8 @@ def _(spark, sf):
     """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events""",
 )
 def _(spark, sf):
-    # Error events carry cut-off text, as a failed writer leaves it.
-    text = F.when(F.col("event_type") == "error", F.expr("substring(props, 1, 3)")).otherwise(F.col("props"))
+    # Error events carry their whole text behind a stray character, so that it isn't valid JSON.
+    text = F.when(F.col("event_type") == "error", F.concat(F.lit("x"), "props")).otherwise(F.col("props"))
     return table(spark, sf, "events").select("event_id", scalars.parse_json(text, "k long")["k"].alias("k"))
 
 

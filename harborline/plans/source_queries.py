@@ -40,10 +40,10 @@ def _(spark, sf):
         WHERE length(trim(text, E' \t\n\r\f\x0b')) > 0 GROUP BY 1""",
 )
 def _(spark, sf):
-    # One text file per document, as a folder of documents holds them.
+    # Text files of many documents each, parted by the record separator.
     path = scratch_path(spark, "documents-text")
-    table(spark, sf, "documents").select("text").write.option("maxRecordsPerFile", 1).text(path)
-    docs = readers.read_text_documents(spark, path)
+    table(spark, sf, "documents").select("text").write.option("lineSep", "\x1e").text(path)
+    docs = readers.read_text_documents(spark, path, separator="\x1e")
     return docs.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
 
 

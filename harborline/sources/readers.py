@@ -19,12 +19,22 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str, multi_
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def read_text_documents(spark: SparkSession, path: str, extensions: Sequence[str] = ("txt", "md")) -> DataFrame:
-    """Text files below ``path`` as (text, source, page); blank files are left out."""
+def read_text_documents(
+    spark: SparkSession, path: str, extensions: Sequence[str] = ("txt", "md"), separator: str | None = None
+) -> DataFrame:
+    """Text files below ``path`` as (text, source, page); blank ones are left out.
+
+    A file is one document, or as many as ``separator`` (one character) parts: large corpora are kept in few
+    large files, which Spark splits.
+    """
     either_case = ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in ext) for ext in extensions)
     return (
         spark.read.text(
-            path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*.{{{either_case}}}"
+            path,
+            wholetext=separator is None,
+            lineSep=separator,
+            recursiveFileLookup=True,
+            pathGlobFilter=f"*.{{{either_case}}}",
         )
         .select(
             F.regexp_replace("value", r"^\s+|\s+$", "").alias("text"),

@@ -1,10 +1,11 @@
 """Every registered query runs, and equals its SQL twin where it has one."""
 
 import pytest
-from oracle import compare
+from oracle import compare, connect
 
 import __spark_entry__ as entry
 
+LARGER = "/root/testdata/sf0.01"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
@@ -17,7 +18,9 @@ def test_query(spark, duck, sf, name):
     df = QUERIES[name](spark, sf)
     if name in SQL:
         difference = compare(df, duck, SQL[name])
-        assert difference in (None, "EMPTY"), difference
+        if difference == "EMPTY":  # too few rows here: the next size must have some
+            difference = compare(QUERIES[name](spark, LARGER), connect(LARGER), SQL[name])
+        assert difference is None, difference
     else:
         assert df.count() > 0
 
