@@ -104,9 +104,12 @@ MODELS: dict[str, Fitter] = {
 
 
 def prepare(features: DataFrame, predictors: Sequence[str]) -> tuple[DataFrame, dict[str, float]]:
-    """Features imputed with training medians, and those medians (only for columns with gaps)."""
-    gaps = [r["column"] for r in profiling.null_profile(features.select(*predictors)).where("nulls > 0").collect()]
-    medians = panel.train_medians(features, gaps).first().asDict() if gaps else {}
+    """Features imputed with training medians, and those medians.
+
+    Every predictor has one, also where history is complete: a future day may be the first with a gap.
+    """
+    found = panel.train_medians(features, list(predictors)).first().asDict()
+    medians = {c: v for c, v in found.items() if v is not None}
     return panel.impute(features, medians), medians
 
 
@@ -135,17 +138,64 @@ def test_models(features: DataFrame, predictors: Sequence[str], chosen: Mapping[
     return metrics.union_named(frames, "target")
 
 
-def forecast(features: DataFrame, predictors: Sequence[str], chosen: Mapping[str, str], origin: dt.date, days: int = 7, salary_days: Sequence[int] = ()) -> tuple[DataFrame, DataFrame]:
+def fit_models(features: DataFrame, predictors: Sequence[str], chosen: Mapping[str, str], origin: dt.date) -> tuple[dict[str, regression.Fitted], dict[str, float]]:
+    """The chosen model per target, fitted on all rows before the origin, and the medians that fill gaps."""
+    data, medians = prepare(features, predictors)
+    history = data.where(F.col(panel.DATE) < F.lit(origin))
+    return {t: MODELS[m](history, predictors, t) for t, m in chosen.items()}, medians
+
+
+def save_models(spark: SparkSession, models: Mapping[str, regression.Fitted], medians: Mapping[str, float], folder: str) -> str:
+    """Write fitted models with their feature lists, and the medians, below ``folder``."""
+    for target, model in models.items():
+        regression.save(model, f"{folder}/{target}")
+    rows = [*((t, None) for t in models), *((c, float(v)) for c, v in medians.items())]
+    spark.createDataFrame(rows, "name string, median double").coalesce(1).write.mode("overwrite").json(f"{folder}/index")
+    return folder
+
+
+def load_models(spark: SparkSession, folder: str) -> tuple[dict[str, regression.Fitted], dict[str, float]]:
+    index = spark.read.schema("name string, median double").json(f"{folder}/index").collect()
+    models = {r["name"]: regression.load(f"{folder}/{r['name']}") for r in index if r["median"] is None}
+    return models, {r["name"]: r["median"] for r in index if r["median"] is not None}
+
+
+def forecast_with(
+    models: Mapping[str, regression.Fitted],
+    medians: Mapping[str, float],
+    features: DataFrame,
+    origin: dt.date,
+    days: int = 7,
+    salary_days: Sequence[int] = (),
+    branches: Sequence | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Forecasts and guidance from fitted models, for all branches or the requested ones.
+
+    A requested branch without history, an origin after a gap of history, or no days are refused.
+    """
+    if days < 1:
+        raise ValueError("at least one day must be forecast")
+    if branches is not None:
+        features = features.where(F.col(panel.BRANCH).isin(list(branches)))
+        known = {r[0] for r in features.where(F.col(panel.DATE) < F.lit(origin)).select(panel.BRANCH).distinct().collect()}
+        if missing := sorted(set(branches) - known):
+            raise ValueError(f"no history before {origin} for branches {missing}")
+    last = features.where(F.col(panel.DATE) < F.lit(origin)).agg(F.max(panel.DATE)).first()[0]
+    if last is None or last != origin - dt.timedelta(days=1):
+        raise ValueError(f"history ends on {last}, the forecast starts on {origin}")
+    predict = {t: m.predict for t, m in models.items()}
+    made = forecasting.recursive_forecast(features, origin, days, predict, dict(medians), salary_days)
+    return made, cash.guidance_by_branch(made)
+
+
+def forecast(features: DataFrame, predictors: Sequence[str], chosen: Mapping[str, str], origin: dt.date, days: int = 7, salary_days: Sequence[int] = (), branches: Sequence | None = None) -> tuple[DataFrame, DataFrame]:
     """Branch forecasts for ``days`` days from ``origin`` and the guidance per branch.
 
     Models see all rows before the origin. Predictors must be what a future day has: calendar,
     lag and rolling columns.
     """
-    data, medians = prepare(features, predictors)
-    history = data.where(F.col(panel.DATE) < F.lit(origin))
-    predict = {t: MODELS[m](history, predictors, t).predict for t, m in chosen.items()}
-    made = forecasting.recursive_forecast(features, origin, days, predict, medians, salary_days)
-    return made, cash.guidance_by_branch(made)
+    models, medians = fit_models(features, predictors, chosen, origin)
+    return forecast_with(models, medians, features, origin, days, salary_days, branches)
 
 
 def index_documents(spark: SparkSession, docs: DataFrame, target: str, stored: str | None = None, size: int = 120, overlap: int = 25) -> str:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from harborline.functions import labels
 from harborline.functions.calendar import calendar_columns
 from harborline.operators.panel import BRANCH, DATE, LAGS, ROLLING, TARGETS
-from harborline.session import cut
 
 
 def rolling_at_origin(df: DataFrame, origin: Column, targets: Sequence[str], windows: Sequence[int]) -> DataFrame:
@@ -83,7 +82,7 @@ def recursive_forecast(
 
     ``predict`` maps each target to a function adding the column ``prediction`` to a frame with
     the feature columns; ``medians`` fills features that the history cannot give. The state is
-    cut after each step, so the plan stays as small on the last day as on the first.
+    step behind a generator, so a day reads the values of the day before and the plan grows by one step a day.
     """
     targets = list(predict)
     state = branch_state(history, origin, max(max(windows), max(lags)), targets).withColumn(
@@ -113,13 +112,12 @@ def recursive_forecast(
             day.alias("forecast_date"), wd.alias("predicted_withdrawals"), dep.alias("predicted_deposits"), text.alias("explanation")
         )
         keep = max(max(windows), max(lags))
-        state = cut(
-            frame.select(
-                BRANCH,
-                *[F.slice(F.concat(F.array(f"_pred_{t}"), f"{t}_hist"), 1, keep).alias(f"{t}_hist") for t in targets],
-                F.concat("made", F.array(record)).alias("made"),
-            )
+        # one row from a generator: the next day reads this day's values, not their expressions
+        after = F.struct(
+            *[F.slice(F.concat(F.array(f"_pred_{t}"), f"{t}_hist"), 1, keep).alias(f"{t}_hist") for t in targets],
+            F.concat("made", F.array(record)).alias("made"),
         )
+        state = frame.select(BRANCH, F.inline(F.array(after)))
     wd, dep = F.col("predicted_withdrawals"), F.col("predicted_deposits")
     return state.select(F.col(BRANCH).alias("branch_code"), F.inline("made")).select(
         "branch_code",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import json
 import random
 from collections.abc import Callable, Mapping, Sequence
 
@@ -12,7 +13,8 @@ import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +58,23 @@ class Fitted:
         return spark.createDataFrame(list(zip(self.features, [float(v) for v in values])), "feature string, importance double")
 
 
+def save(fitted: Fitted, path: str) -> str:
+    """Write a fitted model and its feature list below ``path``, a folder that executors reach."""
+    if fitted.prepare is not None:
+        raise ValueError("a model with a preparation step can't be saved")
+    fitted.model.write().overwrite().save(f"{path}/model")
+    rows = list(enumerate(fitted.features))
+    SparkSession.active().createDataFrame(rows, "place int, feature string").coalesce(1).write.mode("overwrite").json(f"{path}/features")
+    return path
+
+
+def load(path: str) -> Fitted:
+    """The model that ``save`` wrote, whatever kind it is."""
+    spark = SparkSession.active()
+    features = [r.feature for r in spark.read.schema("place int, feature string").json(f"{path}/features").orderBy("place").collect()]
+    return Fitted(DefaultParamsReader.loadParamsInstance(f"{path}/model", spark.sparkContext), features)
+
+
 def _fit(estimator: Estimator, df: DataFrame, features: Sequence[str], label: str) -> Fitted:
     train = assemble(df.where(F.col(label).isNotNull()), features).select(FEATURES, F.col(label).cast("double").alias("_label"))
     estimator = estimator.copy()
@@ -211,6 +230,24 @@ def expanding_cv(df: DataFrame, folds: DataFrame, date: str, label: str, models:
     return flow_metrics(scored, "actual", "predicted", ["model", "fold"], shortfalls=True)
 
 
+def random_search(
+    df: DataFrame,
+    folds: DataFrame,
+    date: str,
+    features: Sequence[str],
+    label: str,
+    fit: Callable[..., Fitted],
+    space: Mapping[str, Sequence],
+    n: int,
+    seed: int = 42,
+) -> DataFrame:
+    """(params, mae, rmse, wape, underforecasting_rate, folds): ``n`` parameter sets drawn from ``space`` and fitted by
+    ``fit(df, features, label, **params)`` over time-ordered folds, best first; ``params`` is JSON."""
+    combos = {json.dumps(p, sort_keys=True): p for p in sampled_grid(space, n, seed)}
+    models = {name: (lambda train, p=p: fit(train, features, label, **p)) for name, p in combos.items()}
+    return mean_scores(expanding_cv(df, folds, date, label, models)).withColumnRenamed("model", "params").orderBy("mae", "params")
+
+
 def mean_scores(cv: DataFrame) -> DataFrame:
     """Fold metrics averaged per model."""
     names = ("mae", "rmse", "wape", "underforecasting_rate")

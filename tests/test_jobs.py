@@ -52,6 +52,32 @@ def test_models_and_forecast(spark, store):
     assert tested["daily_withdrawals", "model"] < tested["daily_withdrawals", "roll7_avg_baseline"]
     made, guidance = jobs.forecast(features, predictors, best, dt.date(2024, 9, 20), 3)
     assert made.count() == 6 and guidance.count() == 2
+    origin = dt.date(2024, 9, 20)
+    models, medians = jobs.fit_models(features, predictors, best, origin)
+    assert set(medians) == set(predictors)
+    models["daily_deposits"] = regression.random_forest(features.where("daily_deposits is not null").fillna(medians), predictors, "daily_deposits", trees=3, depth=3)
+    folder = jobs.save_models(spark, models, medians, scratch_path(spark, "models"))
+    again, same = jobs.load_models(spark, folder)
+    assert same == medians and {t: m.features for t, m in again.items()} == {t: predictors for t in panel.TARGETS}
+    rows = lambda m: sorted(map(tuple, jobs.forecast_with(m, medians, features, origin, 2)[0].collect()))
+    assert rows(again) == rows(models)
+    branch = features.select(panel.BRANCH).first()[0]
+    one, _ = jobs.forecast_with(models, medians, features, origin, 2, branches=[branch])
+    assert {r.branch_code for r in one.collect()} == {branch} and one.count() == 2
+    for bad in ({"branches": [branch, -7]}, {"days": 0}, {"origin": dt.date(2030, 1, 1)}):
+        with pytest.raises(ValueError):
+            jobs.forecast_with(models, medians, features, **{"origin": origin, "days": 1, **bad})
+
+
+def test_random_search_orders_parameters_by_error(spark, store):
+    features = spark.read.parquet(store["features"])
+    predictors = ["dayofweek", "daily_withdrawals_7p_lag"]
+    data, _ = jobs.prepare(features, predictors)
+    known = data.where("split <> 'test'")
+    folds = panel.expanding_folds(known, folds=2, min_train=90)
+    found = regression.random_search(known, folds, panel.DATE, predictors, "daily_withdrawals", regression.ridge, {"alpha": [0.1, 10.0, 1e6]}, 2)
+    rows = found.collect()
+    assert len(rows) == 2 and rows[0].mae <= rows[1].mae and all('"alpha"' in r.params and r.folds == 2 for r in rows)
 
 
 def test_index_and_ask(spark):
