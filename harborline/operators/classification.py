@@ -23,10 +23,26 @@ from harborline.functions.scalars import keyed_uniform
 from harborline.operators.nearest import nearest
 from harborline.operators.ordering import global_position
 from harborline.operators.regression import FEATURES, assemble
+from harborline.session import cut
 
 
-def encode(df: DataFrame, column: str) -> tuple[DataFrame, list[str]]:
-    """Add ``<column>_code`` (alphabetical) and ``<column>_onehot`` (no category dropped)."""
+def label_encode(df: DataFrame, column: str) -> DataFrame:
+    """Add ``<column>_code``, the alphabetical number of the category from 0 (null for null).
+
+    Categories are numbered as a table and joined, however many there are.
+    """
+    known = df.where(F.col(column).isNotNull()).select(F.col(column).alias("_category")).distinct()
+    codes = global_position(known, ["_category"], "_place").select("_category", (F.col("_place") - 1).cast("int").alias(f"{column}_code"))
+    return df.join(codes, df[column] == codes["_category"], "left").drop("_category")
+
+
+def encode(df: DataFrame, column: str, most: int = 1000) -> tuple[DataFrame, list[str]]:
+    """Add ``<column>_code`` (alphabetical) and ``<column>_onehot`` (no category dropped).
+
+    A row gets one number per category, so more than ``most`` categories are refused.
+    """
+    if (n := df.agg(F.count_distinct(column)).first()[0]) > most:
+        raise ValueError(f"{column} has {n} categories, more than {most}")
     indexer = StringIndexer(inputCol=column, outputCol="_i", stringOrderType="alphabetAsc").fit(df)
     coded = indexer.transform(df)
     onehot = OneHotEncoder(inputCols=["_i"], outputCols=["_v"], dropLast=False).fit(coded).transform(coded)
@@ -128,7 +144,7 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str, minority
     A row lies between a minority row and one of its ``k`` nearest minority rows; neighbour and
     place are fixed by key and seed.
     """
-    small = df.where(F.col(label) == minority)
+    small = cut(df.where(F.col(label) == minority).select(key, *features))
     n_small = small.agg(F.count(F.lit(1))).scalar()
     n_large = df.where(F.col(label) != minority).agg(F.count(F.lit(1))).scalar()
     near = nearest(

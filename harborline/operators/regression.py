@@ -260,18 +260,22 @@ def sampled_grid(space: Mapping[str, Sequence], n: int, seed: int = 42) -> list[
     return combos if n >= len(combos) else random.Random(seed).sample(combos, n)
 
 
-def shuffled(df: DataFrame, column: str, key: str, seed: int = 42) -> DataFrame:
-    """The column's values dealt out again over the rows in an order fixed by the seed."""
+def shuffles(df: DataFrame, columns: Sequence[str], key: str, seed: int = 42) -> dict[str, DataFrame]:
+    """Per column, ``df`` with its values dealt out again over the rows in an order fixed by the seed.
+
+    Rows are numbered once by key and once in the seed's order, for all columns together.
+    """
     rows = global_position(df.withColumn("_key", F.col(key)), ["_key"], "_at")
-    deal = df.select(F.col(column).alias("_dealt"), keyed_uniform(seed, F.col(key)).alias("_u"), F.col(key).alias("_tie"))
-    dealt = global_position(deal, ["_u", "_tie"], "_at").select("_at", "_dealt")
-    return rows.join(dealt, "_at").withColumn(column, F.col("_dealt")).select(*df.columns)
+    deal = df.select(*[F.col(c).alias(f"_dealt_{c}") for c in columns], keyed_uniform(seed, F.col(key)).alias("_u"), F.col(key).alias("_tie"))
+    dealt = global_position(deal, ["_u", "_tie"], "_at")
+    one = lambda c: rows.join(dealt.select("_at", f"_dealt_{c}"), "_at").withColumn(c, F.col(f"_dealt_{c}")).select(*df.columns)
+    return {c: one(c) for c in columns}
 
 
 def permutation_importance(df: DataFrame, model: Fitted, features: Sequence[str], label: str, key: str, seed: int = 42) -> DataFrame:
     """(feature, mae_rise): how much the error grows when one column is shuffled."""
     base = F.avg(F.abs(F.col(label) - F.col("prediction")))
-    frames = {f: model.predict(shuffled(df, f, key, seed)) for f in features}
+    frames = {f: model.predict(frame) for f, frame in shuffles(df, features, key, seed).items()}
     scored = union_named({"": model.predict(df), **frames}, "feature").groupBy("feature").agg(base.alias("mae"))
     plain = scored.where(F.col("feature") == "").agg(F.max("mae")).scalar()
     return scored.where(F.col("feature") != "").select("feature", (F.col("mae") - plain).alias("mae_rise"))

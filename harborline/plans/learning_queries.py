@@ -179,7 +179,7 @@ _CODES = "codes AS (SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY c_mkts
 
 @query("label_encode", f"WITH {_CODES} SELECT c_custkey, code FROM customer JOIN codes USING (c_mktsegment)")
 def _(spark, sf):
-    coded, _ = cls.encode(table(spark, sf, "customer"), "c_mktsegment")
+    coded = cls.label_encode(table(spark, sf, "customer"), "c_mktsegment")
     return coded.select("c_custkey", F.col("c_mktsegment_code").alias("code"))
 
 

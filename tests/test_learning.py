@@ -88,7 +88,7 @@ def test_permutation_importance_orders_features(linear):
 
 
 def test_shuffle_keeps_the_values(linear):
-    dealt = regression.shuffled(linear[1], "a", "k").toPandas()
+    dealt = regression.shuffles(linear[1], ["a"], "k")["a"].toPandas()
     assert sorted(dealt.a) == sorted(linear[0].a) and (dealt.sort_values("k").a.to_numpy() != linear[0].a.to_numpy()).mean() > 0.9
 
 
