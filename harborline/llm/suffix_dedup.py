@@ -14,8 +14,10 @@ place, in the same text or another; matches never cross texts.
    extension is then compared byte by byte, and a collision is repaired with the bytes.
    A string with l bytes before the anchor repeats if another context falls in the same class of
    prefixes of length l and the same class of suffixes of length 400 - l: both are runs of the two orders.
-4. Groups with more than ``GROUP`` distinct contexts aren't sorted in one task: their strings are hashed one by
-   one (128 bits), spread over all tasks and counted. The result is the same.
+4. Groups with more than ``GROUP`` distinct contexts aren't sorted in one task: their strings are hashed (128 bits),
+   spread over all tasks and counted, in two steps. First ranges of ``RANGE`` strings: what all of a range share
+   must repeat, or none of them does; what they cover together repeats, and all of them do. Only ranges
+   between these are then hashed string by string. The result is the same.
 5. Spans of repeated strings go back to the texts and are merged there.
 
 Work is shared by equal texts: anchors carry the text's digest, and results are joined by it. Null counts as
@@ -41,6 +43,7 @@ from harborline.llm.common import cut
 
 GRAM = 32
 GROUP = 2_000  # distinct contexts of one anchor that a task sorts
+RANGE = 20  # strings of a large group's context that are judged together
 NAMED_BITS = 1 << 20  # of the table of texts to read again
 _BASE = 0x9E3779B97F4A7C15
 _PRIME = np.uint64((1 << 31) - 1)
@@ -299,23 +302,63 @@ def _mark_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _marked_by_hashing(contexts: DataFrame, length: int) -> DataFrame:
-    """The same spans for groups too large for one task: every string is hashed, dealt out and counted."""
+    """The same spans for groups too large for one task: hashes are dealt out and counted.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for anchor, context, pre, post in zip(*(batch.column(n).to_pylist() for n in ("anchor", "context", "pre", "post"))):
-                whole, n = pre + post, len(pre)
-                ls = [k for k in range(min(n, length - GRAM) + 1) if n - k + length <= len(whole)]
-                digests = [xxhash.xxh3_128_digest(whole[n - k : n - k + length]) for k in ls]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([anchor] * len(ls), pa.int64()), pa.array([context] * len(ls), pa.binary()), pa.array(ls, pa.int32()), pa.array(digests, pa.binary())],
-                    ["anchor", "context", "l", "string"],
-                )
+    ``contexts`` should be a written table: both steps read it.
+    """
+    most = length - GRAM
+    fields = ("anchor", "context", "pre", "post")
+    digest = xxhash.xxh3_128_digest
+
+    def fitting(pre: bytes, post: bytes, low: int, high: int) -> tuple[int, int]:
+        """The part of [low, high] of bytes before the anchor for which the text has a whole string."""
+        return max(low, length - len(post)), min(high, len(pre), most)
 
-    strings = contexts.mapInArrow(run, "anchor long, context binary, l int, string binary")
-    twice = strings.groupBy("anchor", "l", "string").count().where("count > 1").drop("count")
-    found = strings.join(twice, ["anchor", "l", "string"])
-    return found.select("anchor", "context", (-F.col("l")).alias("start"), (length - F.col("l")).alias("end"))
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for anchor, context, pre, post in zip(*(batch.column(n).to_pylist() for n in fields)):
+                for k, low in enumerate(range(0, most + 1, RANGE)):
+                    high = min(low + RANGE - 1, most)
+                    first, last = fitting(pre, post, low, high)
+                    if first > last:
+                        continue
+                    at = len(pre)
+                    core = digest(pre[at - low :] + post[: length - high]) if low else digest(post[: length - high])
+                    whole = digest(pre[at - high :] + post[: length - low]) if (first, last) == (low, high) else None
+                    out.append((anchor, context, k, core, whole))
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], ["anchor", "context", "k", "core", "whole"])
+
+    judged = cut(contexts.mapInArrow(ranges, "anchor long, context binary, k int, core binary, whole binary"))
+    cores = judged.groupBy("anchor", "k", "core").count().where("count > 1").drop("count")
+    live = judged.join(cores, ["anchor", "k", "core"])
+    wholes = live.where("whole is not null").groupBy("anchor", "k", "whole").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("context"))
+    wholes = cut(wholes.where("n > 1"))
+    same = live.join(wholes.select("anchor", "k", "whole"), ["anchor", "k", "whole"], "left_semi").select("anchor", "context", "k")
+    low, high = F.col("k") * RANGE, F.least(F.col("k") * RANGE + RANGE - 1, F.lit(most))
+    all_of = same.select("anchor", "context", (-high).alias("start"), (length - low).alias("end"))
+    # one context stands for those with an equal range; the others are compared with it string by string
+    open_ranges = live.join(wholes.select("anchor", "k", "whole"), ["anchor", "k", "whole"], "left_anti").select("anchor", "context", "k")
+    asked = open_ranges.unionByName(wholes.select("anchor", "context", "k")).groupBy("anchor", "context").agg(F.collect_set("k").alias("ks"))
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for anchor, context, pre, post, ks in zip(*(batch.column(n).to_pylist() for n in (*fields, "ks"))):
+                both, at = pre + post, len(pre)
+                for k in ks:
+                    first, last = fitting(pre, post, k * RANGE, k * RANGE + RANGE - 1)
+                    out += [(anchor, context, x, digest(both[at - x : at - x + length])) for x in range(first, last + 1)]
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], ["anchor", "context", "l", "string"])
+
+    hashed = contexts.join(asked, ["anchor", "context"]).mapInArrow(strings, "anchor long, context binary, l int, string binary")
+    hashed = cut(hashed)
+    twice = hashed.groupBy("anchor", "l", "string").count().where("count > 1").drop("count")
+    found = hashed.join(twice, ["anchor", "l", "string"], "left_semi")
+    single = found.select("anchor", "context", (-F.col("l")).alias("start"), (length - F.col("l")).alias("end"))
+    return all_of.unionByName(single)
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, group: int = GROUP) -> DataFrame:
