@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.session import scratch_path
+from harborline.session import cut
+
+__all__ = ["WORD", "components", "cut", "fresh", "table", "words"]
 
 # Fixed value: a word is a run of characters other than space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,19 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` in the shared folder and go on from the files, which outlive lost executors.
-
-    The files go when the application ends.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, "llm")
-    df.write.parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """All words of a text as an array; none for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

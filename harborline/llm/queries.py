@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from harborline.llm import bpe, chat, embedding_dedup, line_dedup, mixing, ngram_join, quality, secrets, suffix_dedup, warc
 from harborline.llm.common import table
-from harborline.session import configure, scratch_path
+from harborline.session import configure, drop_at_end, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,6 +139,7 @@ def op9_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as its record reads in the archives."""
     folder = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), folder)
+    drop_at_end(spark, folder)
     found = warc.read(spark, folder, payloads=False)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
