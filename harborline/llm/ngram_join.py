@@ -10,13 +10,13 @@ A document is the set of its distinct 3-word shingles (64-bit hashes); two docum
   OR of their members' bitmaps, their size range and the largest excess of shingles over bits. Two trees
   (or one with itself) are walked together and a pair of nodes is left when its size ranges don't meet, when
   popcount(OR & OR) + excess, the most that any two members can share, is below the needed overlap, or
-  when all members are in one component already.
+  when all members are connected already. Members that meet in leaves must also pass a bound on their
+  symmetric difference from parity maps, which holds for sets far larger than the bitmaps. What passes
+  *may match*; only pairs that connect something new leave the task, fewer than the bucket has members.
 * Buckets above ``BLOCK`` members are dealt out in blocks, and pairs of blocks are tasks of their own.
-* The first walk links each member with a leader only (at most one pair per member and bucket), so that a
-  family of n variants gives n candidates. The second walk covers all pairs of members that the verified
-  links haven't joined; buckets whose members are all in one component are skipped. Together they miss no
-  pair that could join two components.
-* Every candidate is verified on the whole sets, read again from the documents that are named.
+* Components of the pairs that may match are *families*. Every family's whole sets are read again from the
+  documents, once each, and all its pairs are verified exactly inside tasks, again in pairs of blocks; links
+  that connect something new leave the task. No pair of a family becomes a row otherwise.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing. A null id takes part, but
 never names a component unless the class has nothing else (then the component is null). Rows that share an
@@ -39,8 +39,9 @@ from harborline.llm.common import components, cut, fresh
 
 COUNT_BUCKETS = 1 << 18  # of the shingle counts
 NAMED_BITS = 1 << 22  # of the table of documents to verify
-SIGNATURE = 1024  # bits of a bitmap
+SIGNATURE = 512  # bits of a bitmap and of a parity map
 BLOCK = 512  # members of a bucket that one task compares
+ELEMENTS = 1 << 20  # shingles of a family's block, about
 LEAF = 8
 _P = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
@@ -93,9 +94,9 @@ def _counts(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _signature(s: np.ndarray) -> bytes:
-    bits = np.zeros(SIGNATURE, dtype=np.uint8)
-    bits[(s >> np.uint64(20)) % np.uint64(SIGNATURE)] = 1
-    return np.packbits(bits).tobytes()
+    """Bitmap of a set and, behind it, the parity of the members of each bit."""
+    counts = np.bincount(((s >> np.uint64(20)) % np.uint64(SIGNATURE)).astype(np.int64), minlength=SIGNATURE)
+    return np.packbits(counts > 0).tobytes() + np.packbits(counts & 1 == 1).tobytes()
 
 
 def _sets(docs: DataFrame, width: int, similarity: int) -> DataFrame:
@@ -125,21 +126,27 @@ def _sets(docs: DataFrame, width: int, similarity: int) -> DataFrame:
 
 
 class Tree:
-    """Signature tree over members (bitmap, size, component), sorted by size."""
+    """Signature tree over members (bitmap and parity map, size), sorted by size.
 
-    def __init__(self, bits: np.ndarray, size: np.ndarray, comp: np.ndarray):
-        self.bits, self.size, self.comp = bits, size, comp
-        self.excess = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    ``label`` numbers the components of all members at hand, those of this tree from ``offset`` on; walks change it.
+    """
+
+    def __init__(self, signatures: np.ndarray, size: np.ndarray, label: np.ndarray, offset: int = 0):
+        self.bits, self.parity = np.split(signatures, 2, axis=1)
+        self.size, self.label, self.offset = size, label, offset
+        self.excess = size - np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64)
         self.nodes: list[tuple] = []
         self.root = self._build(0, len(size))
 
     def _build(self, lo: int, hi: int) -> int:
         below = () if hi - lo <= LEAF else (self._build(lo, (lo + hi) // 2), self._build((lo + hi) // 2, hi))
-        same = self.comp[lo] if (self.comp[lo:hi] == self.comp[lo]).all() else -1
         union = np.bitwise_or.reduce(self.bits[lo:hi], axis=0)
-        self.nodes.append((lo, hi, below, union, int(self.size[lo]), int(self.size[hi - 1]), int(self.excess[lo:hi].max()), int(same)))
+        self.nodes.append((lo, hi, below, union, int(self.size[lo]), int(self.size[hi - 1]), int(self.excess[lo:hi].max())))
         return len(self.nodes) - 1
 
+    def labels(self, lo: int, hi: int) -> np.ndarray:
+        return self.label[self.offset + lo : self.offset + hi]
+
 
 def _needed(a: int, b: int, similarity: int) -> int:
     """The least intersection of sets of sizes a and b that reach the similarity."""
@@ -147,39 +154,43 @@ def _needed(a: int, b: int, similarity: int) -> int:
 
 
 def walk(one: Tree, two: Tree, similarity: int) -> Iterator[tuple[int, int]]:
-    """Pairs of members (of ``one``, of ``two``) in different components that the bounds don't rule out.
-
-    With ``one is two`` each pair comes once.
-    """
+    """Pairs of members (of ``one``, of ``two``) that may match and connect two components so far apart."""
     stack = [(one.root, two.root)]
     while stack:
         i, j = stack.pop()
         a, b = one.nodes[i], two.nodes[j]
-        if a[7] >= 0 and a[7] == b[7]:
-            continue
         if 100 * a[5] < similarity * b[4] or 100 * b[5] < similarity * a[4]:
             continue
         most = int(np.bitwise_count(a[3] & b[3]).sum()) + min(a[6], b[6])
         if most < _needed(a[4], b[4], similarity):
             continue
+        first = one.label[one.offset + a[0]]
+        if (one.labels(a[0], a[1]) == first).all() and (two.labels(b[0], b[1]) == first).all():
+            continue
         if not a[2] and not b[2]:
-            yield from _leaf_pairs(one, two, a, b, similarity, one is two and i == j)
+            yield from _leaf_pairs(one, two, a, b, similarity)
         elif one is two and i == j:
             x, y = a[2]
-            stack += [(x, x), (x, y), (y, y)]
+            stack += [(x, y), (y, y), (x, x)]
         elif a[2] and (not b[2] or a[1] - a[0] >= b[1] - b[0]):
             stack += [(x, j) for x in a[2]]
         else:
             stack += [(i, y) for y in b[2]]
 
 
-def _leaf_pairs(one: Tree, two: Tree, a: tuple, b: tuple, similarity: int, same: bool) -> Iterator[tuple[int, int]]:
+def _leaf_pairs(one: Tree, two: Tree, a: tuple, b: tuple, similarity: int) -> Iterator[tuple[int, int]]:
     ok = _close(one, slice(a[0], a[1]), two, slice(b[0], b[1]), similarity)
-    ok &= one.comp[a[0] : a[1], None] != two.comp[None, b[0] : b[1]]
-    if same:
-        ok &= np.tri(*ok.shape, -1, dtype=bool).T
-    for x, y in zip(*np.nonzero(ok)):
-        yield a[0] + int(x), b[0] + int(y)
+    yield from joining(one.label, np.argwhere(ok) + (a[0], b[0]), one.offset, two.offset)
+
+
+def joining(label: np.ndarray, pairs: np.ndarray, left: int, right: int) -> Iterator[tuple[int, int]]:
+    """Those of ``pairs`` that connect two components; ``label`` follows. Members start at ``left`` and ``right``."""
+    apart = label[pairs[:, 0] + left] != label[pairs[:, 1] + right]
+    for x, y in pairs[apart].tolist():
+        p, q = label[x + left], label[y + right]
+        if p != q:
+            label[label == max(p, q)] = min(p, q)
+            yield x, y
 
 
 def _close(one: Tree, a, two: Tree, b, similarity: int) -> np.ndarray:
@@ -188,69 +199,109 @@ def _close(one: Tree, a, two: Tree, b, similarity: int) -> np.ndarray:
     ba, bb = one.bits[a][:, None, :], two.bits[b][None, :, :]
     both = np.bitwise_count(ba & bb).sum(axis=2, dtype=np.int64)
     most = both + np.minimum(one.excess[a][:, None], two.excess[b][None, :])
-    return (100 + similarity) * np.minimum(most, np.minimum(na, nb)) >= similarity * (na + nb)
-
-
-def _lead(tree: Tree, others: Tree | None, similarity: int) -> Iterator[tuple[int, int]]:
-    """Pairs (leader in ``tree``, member): members of ``others`` (or of the tree) with the first leader that may match."""
-    open_rows = np.arange(len(tree.size))
-    rest = np.arange(len(others.size)) if others else None
-    while len(open_rows):
-        leader, open_rows = open_rows[0], open_rows[1:]
-        head = np.array([leader])
-        ok = _close(tree, head, tree, open_rows, similarity)[0]
-        if others is None:
-            yield from ((int(leader), int(x)) for x in open_rows[ok])
-        else:
-            hit = _close(tree, head, others, rest, similarity)[0]
-            yield from ((int(leader), int(x)) for x in rest[hit])
-            rest = rest[~hit]
-            if not len(rest):
-                return
-        open_rows = open_rows[~ok]
+    ok = (100 + similarity) * np.minimum(most, np.minimum(na, nb)) >= similarity * (na + nb)
+    apart = np.bitwise_count(one.parity[a][:, None, :] ^ two.parity[b][None, :, :]).sum(axis=2, dtype=np.int64)
+    return ok & ((100 + similarity) * apart <= (100 - similarity) * (na + nb))
+
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` (key, blocks, node, ...) once per cell (key, i, j), i <= j, of their block with any block.
+
+    Side 1 holds block j where it isn't i.
+    """
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cell = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
+    every = F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))
+    cells = F.transform(every, lambda k: F.when(k < block, cell(k, block, 1)).otherwise(cell(block, k, 0)))
+    dealt = rows.withColumn("_cell", F.explode(cells)).select(key, "_cell.*", *[c for c in rows.columns if c not in (key, "blocks")])
+    return dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "side", "n", "node")
 
-def _cells(rows: DataFrame, similarity: int, lead: bool) -> DataFrame:
-    """Candidate pairs (a, b) of nodes from rows (token, i, j, side, node, n, bitmap, comp), one cell per (token, i, j)."""
-    rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "side", "n", "node")
-    names = ("token", "i", "j", "side", "node", "n", "bitmap", "comp")
 
-    def tree(members: list[tuple]) -> Tree | None:
-        if not members:
-            return None
-        bits = np.frombuffer(b"".join(m[6] for m in members), dtype=np.uint64).reshape(len(members), -1)
-        return Tree(bits, np.array([m[5] for m in members], dtype=np.int64), np.array([m[7] for m in members], dtype=np.int64))
+def _found_in_cells(dealt: DataFrame, key: str, payload: str, find) -> DataFrame:
+    """Pairs (a, b) of nodes that ``find`` picks: it gets both sides of a cell as lists of (node, n, payload),
+    the second empty where a block meets itself, and gives pairs of places."""
+    names = (key, "i", "j", "side", "node", "n", payload)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes]]:
-        for _, cell in groupby(_rows(batches, *names), key=lambda r: r[:3]):
+        for (_, i, j), cell in groupby(_rows(batches, *names), key=lambda r: r[:3]):
             sides: tuple[list, list] = ([], [])
             for row in cell:
-                sides[row[3]].append(row)
+                sides[row[3]].append(row[4:])
             left, right = sides
-            if not left or len(left) + len(right) < 2:
+            if not left or (i != j and not right):
                 continue
-            one, two = tree(left), tree(right)
-            found = _lead(one, two, similarity) if lead else walk(one, two or one, similarity)
-            for x, y in found:
-                a, b = left[x][4], (right or left)[y][4]
+            for x, y in find(left, right):
+                a, b = left[x][0], (right or left)[y][0]
                 yield (a, b) if a > b else (b, a)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[tuple[bytes, bytes]] = set()
         for pair in pairs(batches):
             held.add(pair)
-            if len(held) >= 20_000:
+            if len(held) >= 50_000:
                 yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in held])
                 held.clear()
         if held:
             yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in held])
 
-    return rows.mapInArrow(run, "a binary, b binary").distinct()
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _may_match(members: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of nodes that connect all that may match, from ``members`` (token, blocks, node, n, bitmap)."""
 
+    def find(left: list[tuple], right: list[tuple]) -> Iterator[tuple[int, int]]:
+        label = np.arange(len(left) + len(right))
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, similarity: int) -> DataFrame:
-    """The pairs whose whole sets reach the similarity."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
+        def tree(side: list[tuple], offset: int) -> Tree:
+            bits = np.frombuffer(b"".join(m[2] for m in side), dtype=np.uint64).reshape(len(side), -1)
+            return Tree(bits, np.array([m[1] for m in side], dtype=np.int64), label, offset)
+
+        one = tree(left, 0)
+        return walk(one, tree(right, len(left)) if right else one, similarity)
+
+    return _found_in_cells(_dealt(members, "token"), "token", "bitmap", find)
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Intersection sizes of all pairs of sets, by products of 0/1 matrices over the elements both sides have."""
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    x, y = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(x, y)
+    rows = [np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (left, right)]
+    at = [np.searchsorted(shared, values) for values in (x, y)]
+    held = [np.minimum(a, len(shared) - 1) if len(shared) else a for a in at]
+    hit = [shared[h] == v if len(shared) else np.zeros(len(v), dtype=bool) for h, v in zip(held, (x, y))]
+    for start in range(0, len(shared), columns):
+        m = []
+        for k, side in enumerate((left, right)):
+            inside = hit[k] & (held[k] >= start) & (held[k] < start + columns)
+            one = np.zeros((len(side), min(columns, len(shared) - start)), dtype=np.float32)
+            one[rows[k][inside], held[k][inside] - start] = 1
+            m.append(one)
+        out += np.rint(m[0] @ m[1].T).astype(np.int64)
+    return out
+
+
+def _verified(sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that connect all that links connect, from ``sets`` (family, blocks, node, n, s)."""
+
+    def find(left: list[tuple], right: list[tuple]) -> Iterator[tuple[int, int]]:
+        label = np.arange(len(left) + len(right))
+        one, two = ([np.frombuffer(m[2], dtype=np.int64) for m in side] for side in (left, right or left))
+        common = common_counts(one, two)
+        sizes = [np.array([len(s) for s in side]) for side in (one, two)]
+        union = sizes[0][:, None] + sizes[1][None, :] - common
+        return joining(label, np.argwhere(100 * common >= similarity * union), 0, len(left) if right else 0)
+
+    return _found_in_cells(_dealt(sets, "family"), "family", "s", find)
+
+
+def _whole_sets(docs: DataFrame, named: DataFrame, width: int) -> DataFrame:
+    """Whole sets of the nodes in ``named`` (node, rep): (node, s), s the sorted hashes as bytes.
+
+    A bit table of fixed size keeps documents that no node names from being read further.
+    """
     key = F.pmod(F.xxhash64("doc_id"), F.lit(NAMED_BITS))
     bit = F.pmod(F.xxhash64(F.col("rep")), F.lit(NAMED_BITS))
     table = np.zeros(NAMED_BITS // 64, dtype=np.int64)
@@ -260,68 +311,49 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, s
     shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        bits, seen = shared.value, set()
         for batch in batches:
             at = batch.column("_at").to_numpy(zero_copy_only=False)
             hit = np.flatnonzero((bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1))
             for start in range(0, len(hit), 256):
-                sets = [shingle_set(t, width) for t in batch.column("text").take(pa.array(hit[start : start + 256])).to_pylist()]
-                sets = [s for s in sets if len(s)]
-                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "s"])
+                texts = batch.column("text").take(pa.array(hit[start : start + 256])).to_pylist()
+                raw = [shingle_set(t, width).view(np.int64) for t in texts]
+                # by numbers as signed ones, the order that searches use
+                made = {xxhash.xxh3_128_digest(s.tobytes()): np.sort(s).tobytes() for s in raw if len(s)}
+                made = {node: s for node, s in made.items() if node not in seen}
+                seen.update(made)
+                yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.binary()), pa.array(list(made.values()), pa.binary())], ["node", "s"])
 
-    sets = docs.select(key.alias("_at"), "text").mapInArrow(run, "node binary, s array<long>")
-    sets = cut(sets.join(named.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    left, right = (sets.select(F.col("node").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    return pairs.join(left, "a").join(right, "b").where(100 * common >= similarity * union).select("a", "b")
-
-
-def _dealt(rows: DataFrame, lead: bool) -> DataFrame:
-    """Cells of a bucket: (0, j) for leaders, all (i, j) with i <= j for the walk; side 1 holds block j <> i."""
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    last = (F.col("blocks") - 1).cast("int")
-    every = F.sequence(F.lit(0), last)
-    cell = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
-    zero = F.lit(0)
-    if lead:
-        cells = F.when(block == 0, F.transform(every, lambda j: cell(zero, j, 0))).otherwise(F.array(cell(zero, block, 1)))
-    else:
-        cells = F.transform(every, lambda k: F.when(k < block, cell(k, block, 1)).otherwise(cell(block, k, 0)))
-    return rows.select("token", "node", "n", "bitmap", "comp", F.explode(cells).alias("c")).select("token", "c.i", "c.j", "c.side", "node", "n", "bitmap", "comp")
+    sets = docs.select(key.alias("_at"), "text").mapInArrow(run, "node binary, s binary")
+    return sets.join(named.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, similarity: int = 90) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links)."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sets = cut(_sets(docs, width, similarity))
+    rows = cut(_sets(docs, width, similarity))
     nodes = cut(
-        sets.where("node is not null")
+        rows.where("node is not null")
         .groupBy("node")
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"))
     )
     postings = nodes.select("node", F.explode("prefix").alias("token"))
     shared = postings.groupBy("token").count().where("count > 1")
     members = postings.join(shared, "token").select("token", "node", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    members = cut(members.join(nodes.select("node", "n", "bitmap"), "node"))
-    tried = cut(_cells(_dealt(members.withColumn("comp", F.monotonically_increasing_id()), True), similarity, True))
-    links = cut(_verified(docs, nodes, tried, width, similarity))
+    members = members.join(nodes.select("node", "n", "bitmap"), "node").select("token", "blocks", "node", "n", "bitmap")
+    families = components(_may_match(members, similarity)).toDF("node", "family")
+    in_family = families.join(nodes.select("node", "n", "rep"), "node")
+    parts = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / ELEMENTS)
+    sizes = in_family.groupBy("family").agg(F.ceil(parts).cast("int").alias("blocks"))
+    in_family = cut(in_family.join(sizes, "family"))
+    sets = cut(_whole_sets(docs, in_family, width))
+    links = _verified(in_family.select("family", "blocks", "node", "n").join(sets, "node"), similarity)
     joined = components(links)
-    # components as numbers: a node's own hash where it has no link
-    label = F.xxhash64(F.coalesce("component", "node")).bitwiseAND(F.lit((1 << 62) - 1))
-    labelled = members.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn("comp", label).drop("component")
-    mixed = labelled.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
-    rest = _cells(_dealt(labelled.join(mixed, "token", "left_semi"), False), similarity, False)
-    rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        more = _verified(docs, nodes, rest, width, similarity)
-        joined = components(cut(links.unionByName(more)))
     named = nodes.select("node", "rep").join(joined.withColumnRenamed("id", "node"), "node", "left")
     named = named.select("node", "rep", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(smallest, "component").select("node", "component_id")
-    out = sets.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
+    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 

@@ -85,22 +85,30 @@ def test_ngram_join_of_nothing_null_ids_and_repeats(spark):
     assert len(kept) == 4 and sum(r.text == "a b c d" for r in kept) == 1
 
 
-def test_signature_tree_walk_misses_no_similar_pair():
+@pytest.mark.parametrize("split", [0, 25])
+def test_signature_tree_walk_connects_all_that_is_similar(split):
     import numpy as np
 
     rows = documents(11, 5, 14, [20, 60, 200])
-    sets = [ngram_join.shingle_set(t) for _, t in rows]
-    order = sorted(range(len(sets)), key=lambda k: len(sets[k]))
-    bits = np.frombuffer(b"".join(ngram_join._signature(sets[k]) for k in order), dtype=np.uint64).reshape(len(order), -1)
-    tree = ngram_join.Tree(bits, np.array([len(sets[k]) for k in order]), np.arange(len(order)))
-    found = {frozenset((order[x], order[y])) for x, y in ngram_join.walk(tree, tree, 90)}
-    near = {
-        frozenset((a, b))
-        for a in range(len(sets))
-        for b in range(a)
-        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 90 * len(np.union1d(sets[a], sets[b]))
-    }
-    assert near <= found and len(found) < len(sets) * (len(sets) - 1) // 2
+    sets = sorted((ngram_join.shingle_set(t) for _, t in rows), key=len)
+    bits = np.frombuffer(b"".join(map(ngram_join._signature, sets)), dtype=np.uint64).reshape(len(sets), -1)
+    size, label = np.array([len(s) for s in sets]), np.arange(len(sets))
+    if split:  # two blocks of sizes mixed at random
+        order = np.concatenate([np.sort(p) for p in np.split(np.random.default_rng(1).permutation(len(sets)), [split])])
+        sets, bits, size = [sets[k] for k in order], bits[order], size[order]
+        one = ngram_join.Tree(bits[:split], size[:split], label)
+        two = ngram_join.Tree(bits[split:], size[split:], label, split)
+    else:
+        one = two = ngram_join.Tree(bits, size, label)
+    found = list(ngram_join.walk(one, two, 90))
+    assert 0 < len(found) < len(sets)
+    common = ngram_join.common_counts(sets, sets, columns=50)
+    for a in range(len(sets)):
+        for b in range(a):
+            assert common[a, b] == len(np.intersect1d(sets[a], sets[b]))
+            near = 100 * common[a, b] >= 90 * (len(sets[a]) + len(sets[b]) - common[a, b])
+            if near and (not split or (b < split <= a)):
+                assert label[a] == label[b]
 
 
 # line dedup
