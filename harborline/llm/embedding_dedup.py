@@ -1,35 +1,35 @@
-"""Embedding near-dedup by sorted projection passes.
+"""Embedding near-dedup: exact cosine links inside labels, by cells of pivots.
 
-In each pass every vector gets a sort key of random hashes, the signs of its products with ``HASHES`` random
-directions in a row, and vectors are range-sorted by (label, key). Near vectors agree in their leading signs
-and come to stand near each other; each is compared with the next ``WINDOW`` in the order. Pairs whose cosine
-reaches the threshold in double precision are united across all passes. Within a component every pair is
-then compared exactly, in blocks, so that link counts are whole inside it: the windows only decide which
-components are found. The chance of missing a component falls with each pass (see the tests for recall).
+A few vectors of each label, chosen by hash, are its pivots: their number follows the label's. Every vector
+lives in the cell of its nearest pivot and visits the later cells that can hold a vector near enough, by a bound
+that never errs. A cell's vectors are compared with each other and with its visitors in double precision,
+in blocks of bounded size, so that each pair that can be linked is compared once: links, components and link
+counts are whole, whatever the size or density of a label. Sparse labels skip most cells; a label whose vectors
+are all about the threshold apart is compared pair by pair, which is the cost of exactness there.
 
 Vectors are compared when their labels are equal and not null and their lengths are equal. A vector that is
 null, empty or zero, or holds null, NaN or infinite components, links with nothing and keeps itself. Equal
 vectors of a label fall together first and count as links of one another. Equal rows and rows that share an
 id count each; a null id never names a component that has another id, and is not kept. Extra columns
-aren't read. Each pass carries the vectors once through one shuffle.
+aren't read. Of the links, each task passes on only those that connect something new, and counts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm.common import components, cut
 
-PASSES, HASHES, WINDOW = 16, 64, 32
-SORTED_ROWS = 1 << 16  # aimed at in a sorted partition
-BLOCK = 1024  # vectors of a component that one task compares with as many
+CELL = 1024  # vectors of a label to one pivot
+PIVOTS = 1 << 14  # in all at most, as every worker holds them; cells grow beyond
+BLOCK = 1024  # vectors of a cell that one task compares with as many
+WINDOW = 256  # of them at a time
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -42,151 +42,158 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
 
-def _keyed(nodes: DataFrame, passes: int, seed: int) -> DataFrame:
-    """``nodes`` (node, label, size, v) once per pass with the pass's sort key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        directions: dict[int, np.ndarray] = {}
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2_000):
-                batch = whole.slice(start, 2_000)
-                sizes = batch.column("size").to_numpy()
-                for size in np.unique(sizes).tolist():
-                    part = batch.filter(pa.array(sizes == size))
-                    if size not in directions:
-                        directions[size] = np.random.default_rng([seed, size]).standard_normal((size, passes * HASHES))
-                    signs = _unit(_matrix(part.column("v"), size)) @ directions[size] > 0
-                    for k in range(passes):
-                        key = np.packbits(signs[:, k * HASHES : (k + 1) * HASHES], axis=1)
-                        n = part.num_rows
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(n, k, dtype=np.int32)), part.column("label"), part.column("size"), pa.array([r.tobytes() for r in key], pa.binary()), part.column("node"), part.column("v")],
-                            ["pass", "label", "size", "key", "node", "v"],
-                        )
-
-    label = nodes.schema["label"].dataType.simpleString()
-    return nodes.select("node", "label", "size", "v").mapInArrow(run, f"pass int, label {label}, size int, key binary, node string, v array<double>")
+def _pivots(nodes: DataFrame, count: int, seed: int) -> dict[tuple, np.ndarray]:
+    """Unit vectors of a few nodes by (label, size), chosen by hash: about one in CELL, and PIVOTS in all at most."""
+    share = min(1 / CELL, PIVOTS / 2 / max(1, count))
+    chosen = nodes.where(F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    found: dict[tuple, list] = {}
+    for r in chosen.select("node", "label", "size", "v").orderBy("node").limit(PIVOTS).collect():
+        found.setdefault((r.label, r.size), []).append(r.v)
+    return {k: _unit(np.array(v, dtype=np.float64)) for k, v in found.items()}
 
 
-def _compared(group: list[np.ndarray], names: list[str], same: np.ndarray, threshold: float, joined: dict[str, str]) -> list[tuple[str, str]]:
-    """Linked pairs at most WINDOW apart that don't join what is joined already.
+def _placed(nodes: DataFrame, pivots: dict[tuple, np.ndarray], threshold: float) -> DataFrame:
+    """``nodes`` with ``home``, the cell of the nearest pivot, and ``visits``, the later cells that can hold a near vector.
 
-    ``same`` numbers the (pass, label, size) of each row; rows are in sorted order.
+    A vector x of cell a is (x.a - x.b) / |a - b| away from every vector of cell b at least, as the plane halfway
+    between a and b lies between them, and near vectors are sqrt(2 - 2 threshold) apart at most.
     """
-
-    def root(x: str) -> str:
-        while joined.setdefault(x, x) != x:
-            joined[x] = joined[joined[x]]
-            x = joined[x]
-        return x
-
-    x = np.stack(group)
-    found = []
-    for d in range(1, min(WINDOW, len(x) - 1) + 1):
-        hit = (same[:-d] == same[d:]) & (np.einsum("ij,ij->i", x[:-d], x[d:]) >= threshold)
-        for i in np.flatnonzero(hit).tolist():
-            a, b = root(names[i]), root(names[i + d])
-            if a != b:
-                joined[max(a, b)] = min(a, b)
-                found.append((names[i], names[i + d]))
-    return found
-
-
-def _links(nodes: DataFrame, passes: int, threshold: float, seed: int, count: int) -> DataFrame:
-    """Verified pairs (a, b) of the windows of all passes, enough of them to connect what they connect."""
-    parts = max(1, count * passes // SORTED_ROWS)
-    dealt = _keyed(nodes, passes, seed).repartitionByRange(parts, "pass", "label", "size", "key", "node")
-    dealt = dealt.sortWithinPartitions("pass", "label", "size", "key", "node")
-    fields = ("pass", "label", "size", "node", "v")
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold))
+    shared = nodes.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs inside the partition, and its first and last WINDOW rows for the pairs across its ends."""
-        at, joined, tail, head, seen = TaskContext.get().partitionId(), {}, [], [], 0
+        known = shared.value
+        apart: dict[tuple, np.ndarray] = {}
         for whole in batches:
-            for start in range(0, whole.num_rows, 4_000):
-                rows = list(zip(*(whole.slice(start, 4_000).column(f).to_pylist() for f in fields)))
-                head += rows[: max(0, WINDOW - len(head))]
-                rows = tail + rows
-                yield _pair_batch(_by_size(rows, threshold, joined))
-                tail, seen = rows[-WINDOW:], seen + 1
-        if seen:
-            yield _edge_batch([(at - 1, WINDOW + k, *r) for k, r in enumerate(head)] + [(at, WINDOW - len(tail) + k, *r) for k, r in enumerate(tail)])
-
+            for start in range(0, whole.num_rows, 1_000):
+                batch = whole.slice(start, 1_000)
+                homes, visits = np.zeros(batch.num_rows, dtype=np.int32), [[] for _ in range(batch.num_rows)]
+                rows: dict[tuple, list[int]] = {}
+                for k, key in enumerate(zip(batch.column("label").to_pylist(), batch.column("size").to_pylist())):
+                    if key in known:
+                        rows.setdefault(key, []).append(k)
+                for key, at in rows.items():
+                    p = known[key]
+                    if key not in apart:  # never less than the true distance, whatever is rounded
+                        apart[key] = np.sqrt(np.maximum(0, 2 - 2 * (p @ p.T)) + 1e-12)
+                    near = _unit(_matrix(batch.column("v").take(pa.array(at)), key[1])) @ p.T
+                    home = near.argmax(axis=1)
+                    open_to = near.max(axis=1)[:, None] - near <= reach * apart[key][home] + 1e-9
+                    for k, h, o in zip(at, home.tolist(), open_to):
+                        homes[k], visits[k] = h, (np.flatnonzero(o[h + 1 :]) + h + 1).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(n) for n in names), pa.array(homes), pa.array(visits, pa.list_(pa.int32()))], [*names, "home", "visits"]
+                )
+
+    names = ("node", "label", "size", "copies", "v")
     label = nodes.schema["label"].dataType.simpleString()
-    schema = f"a string, b string, boundary int, pos int, pass int, label {label}, size int, node string, v array<double>"
-    arrow_label = pa.int64() if label in ("int", "bigint", "smallint", "tinyint") else pa.string()
-
-    def _pair_batch(pairs: list[tuple[str, str]]) -> pa.RecordBatch:
-        return _batch([(a, b, None, None, None, None, None, None, None) for a, b in pairs])
-
-    def _edge_batch(edges: list[tuple]) -> pa.RecordBatch:
-        return _batch([(None, None, *e) for e in edges])
+    return nodes.select(*names).mapInArrow(run, f"node string, label {label}, size int, copies long, v array<double>, home int, visits array<int>")
 
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows)) or [()] * 9
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32() if label == "int" else arrow_label, pa.int32(), pa.string(), pa.list_(pa.float64()))
-        names = ["a", "b", "boundary", "pos", *fields]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
-    made = cut(dealt.mapInArrow(run, schema))
-    inside = made.where("a is not null").select("a", "b")
+def _dealt(placed: DataFrame) -> DataFrame:
+    """Every vector once for each pair of blocks it is compared in: (task, side, node, copies, v).
 
-    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*(b.column(f).to_pylist() for f in ("boundary", "pos", *fields))))
-        for _, group in groupby(rows, key=lambda r: r[0]):
-            found = _by_size([r[2:] for r in group], threshold, {})
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.string()) for k in (0, 1)], ["a", "b"])
-
-    across = made.where("a is null").repartition("boundary").sortWithinPartitions("boundary", "pos").drop("a", "b").mapInArrow(ends, "a string, b string")
-    return inside.unionByName(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _by_size(rows: list[tuple], threshold: float, joined: dict[str, str]) -> list[tuple[str, str]]:
-    """``_compared`` over rows (pass, label, size, node, v), runs of one vector length at a time."""
+    Homes of a cell are compared with each other and with its visitors, in blocks, so that every pair of vectors
+    that can be near meets once.
+    """
+    cell = F.explode(F.concat(F.array(F.struct(F.col("home").alias("cell"), F.lit(True).alias("own"))), F.transform("visits", lambda k: F.struct(k.alias("cell"), F.lit(False).alias("own")))))
+    where = ("label", "size", "cell")
+    blocks = lambda own: F.ceil(F.count_if(F.col("c.own") == own) / BLOCK).cast("int")
+    sizes = placed.select("label", "size", cell.alias("c")).groupBy("label", "size", F.col("c.cell").alias("cell"))
+    sizes = sizes.agg(blocks(F.lit(True)).alias("homes"), blocks(F.lit(False)).alias("guests"))
+    rows = placed.select("label", "size", "node", "copies", "v", cell.alias("c")).select("label", "size", "c.*", "node", "copies", "v")
+    rows = rows.join(sizes, [*where])
+    homes, guests, own = F.col("homes"), F.col("guests"), F.col("own")
+    block = F.pmod(F.xxhash64("node"), F.when(own, homes).otherwise(guests)).cast("int")
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    pair = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    among = F.transform(upto(homes), lambda k: F.when(k < block, pair(k, block, 1)).otherwise(pair(block, k, 0)))
+    hosted = F.transform(upto(guests), lambda k: pair(block, homes + k, 0))
+    hosting = F.transform(upto(homes), lambda k: pair(k, homes + block, 1))
+    rows = rows.withColumn("c", F.explode(F.when(own, F.concat(among, hosted)).otherwise(hosting)))
+    task = F.concat_ws("|", "cell", "c.i", "c.j", "size", F.col("label").cast("string"))
+    return rows.select(task.alias("task"), (F.col("c.i") == F.col("c.j")).alias("same"), "c.side", "size", "node", "copies", "v")
+
+
+def _forest(near: np.ndarray, same: bool) -> list[tuple[int, int]]:
+    """Pairs (row, column) of ``near`` that connect what it connects; ``same``: rows and columns are the same vectors."""
+    back = near if same else np.ascontiguousarray(near.T)
+    new_rows = near.any(axis=1)
+    new_cols = new_rows if same else near.any(axis=0)
     found = []
-    for _, run in groupby(rows, key=lambda r: r[2]):
-        part = list(run)
-        numbers, same = {}, np.empty(len(part), dtype=np.int64)
-        for k, r in enumerate(part):
-            same[k] = numbers.setdefault(r[:2], len(numbers))
-        x = _unit(np.array([r[4] for r in part], dtype=np.float64))
-        found += _compared(list(x), [r[3] for r in part], same, threshold, joined)
+    for first in np.flatnonzero(new_rows).tolist():
+        if not new_rows[first]:
+            continue
+        new_rows[first] = False
+        todo = [(first, True)]
+        while todo:
+            k, is_row = todo.pop()
+            fresh = new_cols if is_row else new_rows
+            hit = np.flatnonzero((near if is_row else back)[k] & fresh).tolist()
+            fresh[hit] = False
+            found += [(k, h) if is_row else (h, k) for h in hit]
+            todo += [(h, same or not is_row) for h in hit]
     return found
 
 
-def _counted(members: DataFrame, threshold: float) -> DataFrame:
-    """Exact links inside components: (node, links) from ``members`` (component, node, copies, size, v)."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    cell = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    cells = F.transform(every, lambda k: F.when(k < block, cell(k, block, 1)).otherwise(cell(block, k, 0)))
-    dealt = members.join(sizes, "component").select("component", "node", "copies", "v", F.explode(cells).alias("c"))
-    dealt = dealt.select("component", "c.i", "c.j", "c.side", "node", "copies", "v")
-    dealt = dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "side")
-    names = ("component", "i", "j", "side", "node", "copies", "v")
+def _compared(nodes: DataFrame, threshold: float, seed: int, count: int) -> DataFrame:
+    """Exact links: rows (node, links) whose sum by node is whole, and rows (a, b) that connect what is linked."""
+    dealt = _dealt(cut(_placed(nodes, _pivots(nodes, count, seed), threshold)))
+    dealt = dealt.repartition("task").sortWithinPartitions("task", "side")
+
+    def joins(a: str, b: str, joined: dict[str, str]) -> bool:
+        ends = []
+        for x in (a, b):
+            while joined.setdefault(x, x) != x:
+                joined[x] = joined[joined[x]]
+                x = joined[x]
+            ends.append(x)
+        joined[max(ends)] = min(ends)
+        return ends[0] != ends[1]
+
+    def linked(parts: list[pa.RecordBatch], joined: dict[str, str]) -> pa.RecordBatch | None:
+        size, same = parts[0].column("size")[0].as_py(), parts[0].column("same")[0].as_py()
+        side = np.concatenate([p.column("side").to_numpy() for p in parts])
+        n = int((side == 0).sum())
+        copies = np.concatenate([p.column("copies").to_numpy() for p in parts])
+        x = _unit(np.concatenate([_matrix(p.column("v"), size) for p in parts]))
+        names = [name for p in parts for name in p.column("node").to_pylist()]
+        right = slice(0, n) if same else slice(n, None)
+        y, theirs = x[right], names[right]
+        if not n or not len(y):
+            return None
+        near = np.concatenate([x[k : min(n, k + WINDOW)] @ y.T >= threshold for k in range(0, n, WINDOW)])
+        if same:
+            near &= ~np.eye(n, dtype=bool)
+            near |= near.T  # rounding may differ between the two sides
+        sums = [(name, int(v)) for name, v in zip(names, (near @ copies[right]).tolist()) if v]
+        if not same:
+            sums += [(name, int(v)) for name, v in zip(theirs, (near.T @ copies[:n]).tolist()) if v]
+        pairs = [(names[i], theirs[j]) for i, j in _forest(near, same)]
+        pairs = [p for p in pairs if joins(*p, joined)]
+        columns = zip(*[(s[0], s[1], None, None) for s in sums], *[(None, None, *p) for p in pairs]) if sums else [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.string()))], ["node", "links", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*(b.column(n).to_pylist() for n in names)))
-        for (_, i, j), group in groupby(rows, key=lambda r: r[:3]):
-            sides: tuple[list, list] = ([], [])
-            for r in group:
-                sides[r[3]].append(r)
-            left, right = sides
-            if i == j:
-                right = left
-            if not left or not right:
-                continue
-            x, y = (_unit(np.array([r[6] for r in side])) for side in (left, right))
-            near = x @ y.T >= threshold
-            if i == j:
-                np.fill_diagonal(near, False)
-            out = list(zip((r[4] for r in left), (near @ np.array([r[5] for r in right])).tolist()))
-            if i != j:
-                out += zip((r[4] for r in right), (near.T @ np.array([r[5] for r in left])).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([int(o[1]) for o in out], pa.int64())], ["node", "links"])
-
-    return dealt.mapInArrow(run, "node string, links long").groupBy("node").agg(F.sum("links").alias("links"))
+        joined: dict[str, str] = {}
+        held: list[pa.RecordBatch] = []
+        at = None
+        for batch in batches:
+            tasks = np.array(batch.column("task").to_pylist(), dtype=object)
+            bounds = [0, *(np.flatnonzero(tasks[1:] != tasks[:-1]) + 1).tolist(), len(tasks)]
+            for start, stop in zip(bounds, bounds[1:]):
+                if start == stop:
+                    continue
+                if tasks[start] != at and held:
+                    if (out := linked(held, joined)) is not None:
+                        yield out
+                    held = []
+                at = tasks[start]
+                held.append(batch.slice(start, stop - start))
+        if held and (out := linked(held, joined)) is not None:
+            yield out
+
+    return dealt.mapInArrow(run, "node string, links long, a string, b string")
 
 
 def near_duplicates(
@@ -195,7 +202,6 @@ def near_duplicates(
     embedding: str = "embedding",
     label: str = "label",
     threshold: float = 0.98,
-    passes: int = PASSES,
     seed: int = 7,
 ) -> DataFrame:
     """One row per vector: ``vec_id``, ``n_links`` (vectors linked directly), ``component_id`` (smallest id reachable), ``kept``."""
@@ -215,10 +221,10 @@ def near_duplicates(
         .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("v").alias("v"))
         .withColumn("size", F.size("v"))
     )
-    links = cut(_links(nodes, passes, threshold, seed, nodes.count()))
-    joined = components(links).withColumnRenamed("id", "node")
-    members = cut(nodes.join(joined, "node").select("component", "node", "copies", "least", "v"))
-    counts = _counted(members, threshold)
+    made = cut(_compared(nodes, threshold, seed, nodes.count()))
+    counts = made.where("node is not null").groupBy("node").agg(F.sum("links").alias("links"))
+    joined = components(made.where("a is not null").select("a", "b")).withColumnRenamed("id", "node")
+    members = cut(nodes.select("node", "least").join(joined, "node").select("component", "node", "least"))
     smallest = members.groupBy("component").agg(F.min("least").alias("smallest"))
     known = members.join(smallest, "component").select("node", "smallest").join(counts, "node", "left")
     named = nodes.select("node", "copies", "least").join(known, "node", "left").select(

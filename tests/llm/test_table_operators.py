@@ -125,6 +125,39 @@ def test_embedding_recall_on_the_given_table(spark, sf):
     assert found <= links and found >= 0.99 * links
 
 
+def counted_by_hand(x, threshold=0.98):
+    x = np.asarray(x, dtype=np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    component = np.arange(len(x))
+    while True:
+        least = np.minimum(component, np.where(near, component[None, :], len(x)).min(axis=1))
+        if (least == component).all():
+            return near.sum(axis=1), component
+        component = least
+
+
+@pytest.mark.parametrize("kind", ["dense", "pairs"])
+def test_embedding_links_are_whole_in_large_dense_labels(spark, kind):
+    rng = np.random.default_rng(5)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    centre = unit(rng.standard_normal((1, 64)))
+    noise = unit(rng.standard_normal((4_000, 64)))
+    if kind == "dense":  # all about 0.965 to each other, some above 0.98
+        x = unit(centre + noise * math.sqrt(1 / 0.965 - 1))
+    else:  # about 0.9 to each other, and planted pairs at 0.981
+        x = unit(centre + noise * math.sqrt(1 / 0.9 - 1))
+        side = rng.standard_normal((100, 64))
+        side = unit(side - (side * x[:100]).sum(axis=1, keepdims=True) * x[:100])
+        x = np.concatenate([x, 0.981 * x[:100] + math.sqrt(1 - 0.981**2) * side])
+    links, component = counted_by_hand(x)
+    assert links.sum() >= 200
+    df = spark.createDataFrame([(k, v, 1) for k, v in enumerate(x.astype("float32").tolist())], VEC)
+    found = embedding_dedup.near_duplicates(df).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {k: (n, c) for k, (n, c) in enumerate(zip(links.tolist(), component.tolist()))}
+
+
 # chat
 
 
