@@ -4,22 +4,29 @@ For every participant of a dialogue the whole dialogue is rendered once, with th
 the others as named users; the mask covers what the assistant says, end marker included, so that each
 speaker is learned from in turn. System turns stay system turns and aren't participants.
 
-A dialogue is rendered in segments of ``segment`` consecutive turn numbers, rotated by the speakers of
-the segment, so that no row grows with the longest conversation; conversations of up to ``segment``
-turns come whole. A group of rows is bounded as long as turn numbers don't repeat without end.
-
-Turns are ordered by (turn, role, text), nulls first; equal rows are said twice. Turns without a number form a
-segment of their own (null). A null role is an unnamed user and no participant, null text is empty. Text that
-looks like a marker is broken by a space. Dialogues without a participant give no row. Null conversation
-ids are one conversation. Extra columns aren't read.
+``dialogues`` renders whole dialogues: up to ``row_turns`` turns come in one row, longer ones in consecutive
+segments, of which every participant of the dialogue gets each, silent or not, so that no row grows with the
+longest conversation. A segment says how many turns and code points of the dialogue come before it for that
+speaker; the segments of a speaker concatenate to the whole. A group of rows is bounded as long as turn
+numbers don't repeat without end (turns without a number come first, together).
+
+``rotations`` renders stretches of ``segment`` consecutive turn numbers as dialogues of their own, rotated by
+the speakers of the stretch; turns without a number form a stretch of their own (null).
+
+Turns are ordered by (turn, role, text), nulls first; equal rows are said twice. A null role is an unnamed user
+and no participant, null text is empty. Text that looks like a marker is broken by a space. Dialogues without a
+participant give no row. Null conversation ids are one conversation. Extra columns aren't read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harborline.llm.common import cut
+
 END = "<|end|>\n"
+STRETCH = 64  # turn numbers that are grouped first
 
 
 def _header(role: Column, speaker: Column) -> Column:
@@ -32,25 +39,16 @@ def _header(role: Column, speaker: Column) -> Column:
     )
 
 
-def rotations(
-    turns: DataFrame,
-    conv_id: str = "conv_id",
-    turn: str = "turn",
-    role: str = "role",
-    text: str = "text",
-    segment: int = 64,
-) -> DataFrame:
-    """One row per conversation, segment and participant: ``conv_id``, ``segment``, ``speaker``, ``n_turns``,
-    ``rendered``, and ``mask``, the spans (start, end) in code points that the speaker says."""
-    said = F.struct(
-        F.col(turn).alias("turn"),
-        F.col(role).alias("role"),
-        F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"),
-    )
-    groups = turns.select(F.col(conv_id).alias("conv_id"), F.floor(F.col(turn) / segment).cast("long").alias("segment"), said.alias("said"))
-    groups = groups.groupBy("conv_id", "segment").agg(F.sort_array(F.collect_list("said")).alias("turns"))
-    people = F.array_distinct(F.filter(F.transform("turns", lambda t: t["role"]), lambda r: r.isNotNull() & (r != "system")))
-    rows = groups.withColumn("speaker", F.explode(people))
+def _text(text: str) -> Column:
+    return F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |"))
+
+
+def _people(turns: str) -> Column:
+    return F.array_distinct(F.filter(F.transform(turns, lambda t: t["role"]), lambda r: r.isNotNull() & (r != "system")))
+
+
+def _rendered(rows: DataFrame) -> DataFrame:
+    """``rows`` (turns, speaker) with ``rendered`` and ``mask``."""
     piece = F.transform(
         "turns",
         lambda t: F.struct(
@@ -59,7 +57,6 @@ def rotations(
             F.coalesce(t["role"] == F.col("speaker"), F.lit(False)).alias("own"),
         ),
     )
-    rows = rows.withColumn("pieces", piece)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
     def step(a: Column, p: Column) -> Column:
@@ -68,11 +65,88 @@ def rotations(
         mine = F.array(F.struct(begin.alias("start"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(p["own"], F.concat(a["spans"], mine)).otherwise(a["spans"]).alias("spans"))
 
-    return rows.select(
-        "conv_id",
-        "segment",
-        "speaker",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"])), "").alias("rendered"),
-        F.aggregate("pieces", start, step, lambda a: a["spans"]).alias("mask"),
+    return rows.withColumn("pieces", piece).withColumns(
+        {
+            "rendered": F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"])), ""),
+            "mask": F.aggregate("pieces", start, step, lambda a: a["spans"]),
+        }
+    )
+
+
+def dialogues(
+    turns: DataFrame,
+    conv_id: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    row_turns: int = 1024,
+) -> DataFrame:
+    """One row per conversation, segment and participant of the conversation: ``conv_id``, ``segment`` (from 0, in
+    order), ``speaker``, ``turns_before``, ``offset`` (code points before), ``n_turns``, ``rendered``, and ``mask``, the
+    spans (start, end) in code points of ``rendered`` that the speaker says."""
+    rows = turns.select(
+        F.col(conv_id).alias("conv_id"),
+        F.floor(F.col(turn) / STRETCH).cast("long").alias("stretch"),
+        F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), _text(text).alias("text")).alias("said"),
     )
+    # lengths as they are for a speaker who is silent; what a speaker says has another header
+    said = F.col("said")
+    nobody = F.lit(None).cast("string")
+    plain = F.length(F.coalesce(_header(said["role"], nobody), F.lit(""))) + F.length(said["text"]) + len(END)
+    by_role = rows.groupBy("conv_id", "stretch", said["role"].alias("role")).agg(F.count(F.lit(1)).alias("n"), F.sum(plain.cast("long")).alias("chars"))
+    by_stretch = by_role.groupBy("conv_id", "stretch").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
+    in_order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    places = by_stretch.withColumn("before", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
+    places = places.withColumn("part", F.floor(F.col("before") / row_turns).cast("long"))
+    # only conversations that don't fit in a row need more than their own turns
+    long = places.groupBy("conv_id").agg(F.max("part").alias("last")).where("last > 0").select(F.col("conv_id").alias("long_id"))
+    here = F.col("conv_id").eqNullSafe(F.col("long_id"))
+    places = cut(places.join(long, here, "left_semi"))
+    long = places.select(F.col("conv_id").alias("long_id")).distinct()
+    key = lambda *names: [F.col(n).alias(f"_{n}") for n in names]
+    at = places.select(*key("conv_id", "stretch"), "part")
+    here_too = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & F.col("stretch").eqNullSafe(F.col("_stretch"))
+    rows = rows.join(at, here_too, "left")
+    groups = rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list("said")).alias("turns"))
+
+    parts = places.groupBy("conv_id", "part").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
+    upto = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda name, window: F.coalesce(F.sum(name).over(window), F.lit(0))
+    parts = parts.select(
+        *key("conv_id", "part"),
+        (F.row_number().over(Window.partitionBy("conv_id").orderBy("part")) - 1).cast("long").alias("segment"),
+        before("n", upto).alias("turns_before"),
+        before("chars", upto).alias("chars_before"),
+    )
+    spoken = by_role.join(long, here, "left_semi").where("role is not null and role <> 'system'").join(at, here_too)
+    spoken = cut(spoken.groupBy("conv_id", "part", "role").agg(F.sum("n").alias("own")))
+    people = spoken.select("conv_id", F.col("role").alias("speaker")).distinct()
+    same = F.col("conv_id").eqNullSafe(F.col("_conv_id"))
+    each = parts.join(people, same).drop("conv_id")
+    each = each.join(spoken, same & (F.col("part") == F.col("_part")) & (F.col("role") == F.col("speaker")), "left").drop("conv_id", "part", "role")
+    of_speaker = Window.partitionBy("_conv_id", "speaker").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    change = F.length(_header(F.col("speaker"), F.col("speaker"))) - F.length(_header(F.col("speaker"), nobody))
+    each = each.withColumn("offset", F.col("chars_before") + before("own", of_speaker) * change)
+
+    whole = groups.where("part is null").withColumns({"segment": F.lit(0).cast("long"), "turns_before": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
+    whole = whole.withColumn("speaker", F.explode(_people("turns"))).drop("part")
+    cuts = groups.where("part is not null").join(each, same & (F.col("part") == F.col("_part"))).drop("_conv_id", "_part", "part", "chars_before", "own")
+    found = _rendered(whole.unionByName(cuts))
+    return found.select("conv_id", "segment", "speaker", "turns_before", "offset", F.size("turns").cast("long").alias("n_turns"), "rendered", "mask")
+
+
+def rotations(
+    turns: DataFrame,
+    conv_id: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    segment: int = 64,
+) -> DataFrame:
+    """One row per conversation, segment and participant: ``conv_id``, ``segment``, ``speaker``, ``n_turns``,
+    ``rendered``, and ``mask``, the spans (start, end) in code points that the speaker says."""
+    said = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), _text(text).alias("text"))
+    groups = turns.select(F.col(conv_id).alias("conv_id"), F.floor(F.col(turn) / segment).cast("long").alias("segment"), said.alias("said"))
+    groups = groups.groupBy("conv_id", "segment").agg(F.sort_array(F.collect_list("said")).alias("turns"))
+    rows = _rendered(groups.withColumn("speaker", F.explode(_people("turns"))))
+    return rows.select("conv_id", "segment", "speaker", F.size("turns").cast("long").alias("n_turns"), "rendered", "mask")

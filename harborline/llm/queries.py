@@ -72,11 +72,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from the perspective of each participant, with the spans to learn from."""
-    made = chat.rotations(table(spark, sf_dir, "conversations"))
-    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    made = chat.dialogues(table(spark, sf_dir, "conversations"))
+    place = lambda x: (F.col("offset") + x).cast("string")
+    spans = F.transform("mask", lambda m: F.concat_ws(":", place(m["start"]), place(m["end"])))
     return made.select("conv_id", "segment", "speaker", "n_turns", "rendered", F.array_join(spans, ",").alias("mask"))
 
 
+# The SQL rotates stretches of 64 turn numbers: it states the query for conversations that stay below turn 64.
 OP5_SQL = """
 WITH t AS (SELECT conv_id, CAST(floor(turn / 64) AS BIGINT) AS segment, turn, role,
     replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body FROM conversations),

@@ -174,6 +174,48 @@ def test_rotations_put_each_speaker_first(spark):
     assert chat.rotations(df.limit(0)).count() == 0
 
 
+def rotated_by_hand(rows):
+    """(conversation, speaker): whole rendering and what the speaker says."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        turns = sorted((r[1:] for r in rows if r[0] == conv), key=lambda t: [(x is not None, x or 0) if not isinstance(x, str) else (True, x) for x in t])
+        for speaker in {t[1] for t in turns} - {None, "system"}:
+            whole, said = "", []
+            for _, role, text in turns:
+                head = "<|user|>" if role is None else "<|system|>" if role == "system" else "<|assistant|>" if role == speaker else f"<|user name={role}|>"
+                body = (text or "").replace("<|", "< |") + "<|end|>\n"
+                said += [body] if role == speaker else []
+                whole += f"{head}\n{body}"
+            out[conv, speaker] = whole, said
+    return out
+
+
+@pytest.mark.parametrize("row_turns", [70, 1024])
+def test_dialogues_are_whole_for_every_participant(spark, row_turns):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 1, "", "x")] + [(1, k, "bob" if k % 3 else None, f"<|é{k}") for k in range(2, 300)]
+    rows += [(1, None, "cy", "first"), (2, 0, "system", "x"), (3, None, "ann", "late"), (None, 0, "bob", "n"), (None, 500, "ann", "m"), (4, 70, "bob", "far")]
+    rows += [(None, k, "bob", "b") for k in range(64, 200)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"part": F.lit(1), "offset": F.lit(2)}).repartition(4)
+    found = chat.dialogues(df, row_turns=row_turns).collect()
+    want = rotated_by_hand(rows)
+    for key, (whole, said) in want.items():
+        parts = sorted((r for r in found if (r.conv_id, r.speaker) == key), key=lambda r: r.segment)
+        assert [r.segment for r in parts] == list(range(len(parts)))
+        assert (len(parts) > 1) == (row_turns == 70 and key[0] in (1, None))
+        assert "".join(r.rendered for r in parts) == whole
+        assert [whole[r.offset + m.start : r.offset + m.end] for r in parts for m in r.mask] == said
+        assert all(r.turns_before == sum(p.n_turns for p in parts[: r.segment]) for r in parts)
+    assert {(r.conv_id, r.speaker) for r in found} == set(want)
+
+
+def test_chat_query_gives_one_whole_row_for_turns_over_63(spark, tmp_path):
+    rows = [(1, k, "system" if k == 0 else "ann" if k == 1 else "bob", f"t{k}") for k in range(100)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {r.speaker: r for r in queries.QUERIES["op5_chat_rotation"](spark, str(tmp_path)).collect()}
+    want = rotated_by_hand(rows)
+    assert {k: (r.segment, r.n_turns, r.rendered) for k, r in found.items()} == {k: (0, 100, want[1, k][0]) for k in ("ann", "bob")}
+
+
 # WARC
 
 PAGE = "page_id long, url string, html string"
