@@ -3,8 +3,8 @@
 Candidates are matches of fixed patterns, found in whole texts with their code point offsets: the text is split
 at the matches and the pieces' lengths are summed. Each candidate's value is hashed and counted over the
 corpus by distinct repositories and distinct owners, level by level (value, owner, repository), so that a
-value that a third of all documents hold is summed before it is gathered. Values that many owners hold are
-copied *examples*; values of one owner that look random are *live*; the rest is *unclear*. The method adds
+value that a third of all documents hold is summed before it is gathered. Values that many owners or
+many repositories hold are copied *examples*; other values of one owner that look random are *live*; the rest is *unclear*. The method adds
 spans: long mixed tokens that no pattern names count as secrets of kind ``owned`` if they are live.
 
 Null texts count as empty. Documents without candidates have no spans. Null owners are one owner, null
@@ -90,12 +90,13 @@ def scan(
     owner: str = "source",
     repo: str = "doc_id",
     example_owners: int = 3,
+    example_repos: int = 50,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``base`` and ``spans``, arrays of spans sorted by start and kind.
 
     A span has ``start``, ``end`` (code points, end exclusive), ``kind`` (name), and in ``spans`` also ``owners``,
-    ``repos`` and ``class``: example (at least ``example_owners`` owners), live (one owner and at least eight
-    different characters) or unclear.
+    ``repos`` and ``class``: example (at least ``example_owners`` owners or ``example_repos`` repositories, whoever
+    owns them), live (otherwise, one owner and at least eight different characters) or unclear.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(owner).alias("owner"), F.col(repo).alias("repo"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -113,7 +114,7 @@ def scan(
     name = F.array(*[F.lit(k[0]) for k in kinds])
     each = rows.select("uid", "owner", "repo", F.explode(F.concat("base", "more")).alias("s")).select("uid", "owner", "repo", "s.*")
     known = ownership(each.select("value", "owner", "repo"))
-    kind_of = F.when(F.col("owners") >= example_owners, "example").when((F.col("owners") == 1) & F.col("varied"), "live").otherwise("unclear")
+    kind_of = F.when((F.col("owners") >= example_owners) | (F.col("repos") >= example_repos), "example").when((F.col("owners") == 1) & F.col("varied"), "live").otherwise("unclear")
     judged = each.join(known, "value").withColumn("class", kind_of)
     judged = judged.where((F.col("kind") < len(KINDS)) | (F.col("class") == "live"))
     shown = F.struct("start", "kind", "end", "owners", "repos", "class")

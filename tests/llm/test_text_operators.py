@@ -338,3 +338,12 @@ def test_ownership_tells_examples_from_live_credentials(spark):
     assert found[2] == [("assign", "example", 4, 4), ("owned", "live", 1, 1)] and found[11] == []
     assert secrets.scan(df.limit(0)).count() == 0
 
+
+def test_values_in_many_repositories_of_one_owner_are_examples(spark):
+    copied, mixed, few = "token=Zx9QwErTy12bVc", "Abc9defGHIjkl0mnOPqr7s", "token=Kp4LmNoUv83cWd"
+    rows = [(k, f"{copied} {mixed} {few if k < 49 else ''}", "hot") for k in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: [(s.kind, s["class"], s.owners, s.repos) for s in r.spans] for r in secrets.scan(df).collect()}
+    assert found[0] == [("assign", "example", 1, 50), ("assign", "live", 1, 49)]
+    assert found[49] == [("assign", "example", 1, 50)]
+
