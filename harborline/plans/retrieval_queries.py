@@ -80,9 +80,9 @@ def _vectors(name: str, source: str) -> str:
 # The 8-byte blake2b digest is not available in SQL: this run is checked in the tests.
 @query("hash_embed")
 def _(spark, sf):
-    vectors = ret.embed(table(spark, sf, "benchmark").select("item_id", "text"))
-    cells = vectors.select("item_id", F.posexplode("embedding").alias("bucket", "value"))
-    return cells.where("value <> 0").select("item_id", "bucket", r("value", 8))
+    vectors = ret.embed(table(spark, sf, "documents").select("doc_id", "text"))
+    cells = vectors.select("doc_id", F.posexplode("embedding").alias("bucket", "value"))
+    return cells.where("value <> 0").select("doc_id", "bucket", r("value", 8))
 
 
 @query(

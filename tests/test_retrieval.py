@@ -108,6 +108,23 @@ def test_hash_vectors(spark):
         tx.hash_embed(F.col("x"), 4)
 
 
+def test_hash_embed_query_reads_documents(spark, tmp_path):
+    from harborline.plans.registry import all_queries
+
+    rows = [(1, "ash birch ash"), (2, "cedar")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {}
+    for key, text in rows:
+        words = text.split()
+        sums = np.zeros(384)
+        for f in words + [f"{a}_{b}" for a, b in zip(words, words[1:])]:
+            digest = hashlib.blake2b(f.encode(), digest_size=8).digest()
+            sums[int.from_bytes(digest[:4], "little") % 384] += 1 if digest[4] & 1 else -1
+        want |= {(key, int(k)): pytest.approx(sums[k] / np.linalg.norm(sums), abs=1e-7) for k in np.flatnonzero(sums)}
+    found = all_queries()["hash_embed"](spark, str(tmp_path)).collect()
+    assert {(r[0], r[1]): float(r[2]) for r in found} == want
+
+
 def test_question_finds_its_document(spark):
     chunks = ret.embed(ret.chunk_documents(docs(spark, (LEAVE, "leave.txt"), (SECURITY, "security.txt"))))
     asked = ret.embed(spark.createDataFrame([(1, "When may employees take annual leave?"), (2, "?!")], "question_id int, text string"))
