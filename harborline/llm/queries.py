@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe, chat, embedding_dedup, line_dedup, mixing, ngram_join, quality, secrets, suffix_dedup, warc
+from harborline.llm import bpe, chat, embedding_dedup, fingerprints, line_dedup, mixing, ngram_join, quality, secrets, suffix_dedup, warc
 from harborline.llm.common import table
 from harborline.session import configure, drop_at_end, scratch_path
 
@@ -161,6 +161,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and its edited text, with their likeness and that to the next document."""
+    return fingerprints.edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _ALL: dict[str, Query] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -172,6 +177,7 @@ _ALL: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_warc_shards": op9_warc_shards,
     "op10_line_dedup": op10_line_dedup,
+    "op12_fingerprints": op12_fingerprints,
 }
 SQL: dict[str, str] = {
     "op1_source_mixing": OP1_SQL,
