@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe, chat, embedding_dedup, fingerprints, line_dedup, mixing, ngram_join, quality, secrets, suffix_dedup, warc
+from harborline.llm import bpe, chat, embedding_dedup, fingerprints, line_dedup, mixing, ngram_join, quality, repair, secrets, suffix_dedup, warc
 from harborline.llm.common import table
 from harborline.session import configure, drop_at_end, scratch_path
 
@@ -166,6 +166,27 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults, by a checksum of conversation and turn."""
+    known = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20
+    rows = turns.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), kind.alias("kind")).where("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copy"))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after planted damage."""
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.summary(repair.repair(_damaged(turns))).withColumnRenamed("conv_id", "_id")
+    every = turns.select("conv_id").distinct()
+    rows = every.join(found, F.col("conv_id").eqNullSafe(F.col("_id")), "left")
+    numbers = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce(F.col("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return rows.select("conv_id", *numbers, F.coalesce(F.col("audit"), F.lit("")).alias("audit"), digest)
+
+
 _ALL: dict[str, Query] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -178,6 +199,7 @@ _ALL: dict[str, Query] = {
     "op9_warc_shards": op9_warc_shards,
     "op10_line_dedup": op10_line_dedup,
     "op12_fingerprints": op12_fingerprints,
+    "op13_structure_repair": op13_structure_repair,
 }
 SQL: dict[str, str] = {
     "op1_source_mixing": OP1_SQL,
