@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.llm import bpe, chat, embedding_dedup, fingerprints, line_dedup, mixing, ngram_join, quality, repair, secrets, suffix_dedup, warc
+from harborline.llm import bpe, chat, embedding_dedup, fingerprints, line_dedup, mixing, ngram_join, prefix_trie, quality, repair, secrets, suffix_dedup, warc
 from harborline.llm.common import table
 from harborline.session import configure, drop_at_end, scratch_path
 
@@ -161,6 +161,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.decisions(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of conversations that start with turns of another one."""
+    turns = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    members = turns.groupBy("conv_id").agg(F.max("depth").alias("own"))
+    borrowed = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).alias("borrowed")
+    members = members.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), borrowed, "own")
+    # how many turns the other conversation really lends
+    lenders = members.select(F.col("conv_id").alias("base"), F.col("own").alias("has"))
+    members = members.join(lenders, "base", "left").withColumn("lent", F.least("borrowed", F.coalesce("has", F.lit(0))))
+    heads = turns.where("depth <= 8 and conv_id % 5 = 0").withColumnRenamed("conv_id", "base")
+    heads = members.select("conv_id", "base", "lent").join(heads, "base").where("depth <= lent")
+    rest = turns.join(members.select("conv_id", "borrowed", "lent"), "conv_id").where("depth > borrowed")
+    rest = rest.withColumn("depth", F.col("depth") - F.col("borrowed") + F.col("lent"))
+    names = ("conv_id", "depth", "said", "bytes")
+    found = prefix_trie.trie(heads.select(*names).unionByName(rest.select(*names)), members.select("conv_id"))
+    digests = prefix_trie.ends_digests(found.ends)
+    digest = F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256")
+    rows = found.nodes.join(digests, ["conv_id", "depth"], "left")
+    return rows.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", digest)
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and its edited text, with their likeness and that to the next document."""
     return fingerprints.edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -198,6 +219,7 @@ _ALL: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_warc_shards": op9_warc_shards,
     "op10_line_dedup": op10_line_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_fingerprints": op12_fingerprints,
     "op13_structure_repair": op13_structure_repair,
 }
