@@ -6,12 +6,13 @@ Every job reads files and writes tables; what comes back is paths and small repo
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborline.operators import aggregates, cash, checks, cleaning, forecasting, metrics, panel, profiling, regression, retrieval
+from harborline.operators import aggregates, cash, checks, cleaning, evaluation, forecasting, gram, metrics, panel, profiling, regression, retrieval
 from harborline.operators.columns import columns_by_type
 from harborline.session import cut
 from harborline.sources import readers, writers
@@ -113,16 +114,82 @@ def prepare(features: DataFrame, predictors: Sequence[str]) -> tuple[DataFrame,
     return panel.impute(features, medians), medians
 
 
+# Models that summed blocks solve: kind and penalty, as the functions above have them by default.
+LINEAR = {"linear_regression": ("ridge", 0.0), "ridge": ("ridge", 1.0), "lasso": ("lasso", 0.1)}
+
+
+def score_models(features: DataFrame, predictors: Sequence[str], models: Mapping[str, Fitter] = MODELS, folds: int = 5, min_train: int = 180) -> DataFrame:
+    """(target, model, mean fold metrics, folds) over expanding folds of training and validation rows.
+
+    All linear models, folds and targets take two scans together; other models are fitted one by one.
+    """
+    data, _ = prepare(features, predictors)
+    known = cut(data.where("split <> 'test'"))
+    bounds = panel.expanding_folds(known, folds=folds, min_train=min_train)
+    linear = {n: LINEAR[n] for n, f in models.items() if n in LINEAR and f is MODELS[n]}
+    others = {n: f for n, f in models.items() if n not in linear}
+    scores = None
+    if linear:
+        scores = gram.expanding_cv(known, bounds, panel.DATE, panel.TARGETS, predictors, linear)
+    if others:
+        found = {}
+        for target in panel.TARGETS:
+            fits = {n: (lambda train, f=f, t=target: f(train, predictors, t)) for n, f in others.items()}
+            found[target] = regression.expanding_cv(known, bounds, panel.DATE, target, fits)
+        more = metrics.union_named(found, "target")
+        scores = more if scores is None else scores.unionByName(more)
+    return regression.mean_scores(scores, ["target"])
+
+
 def select_models(features: DataFrame, predictors: Sequence[str], models: Mapping[str, Fitter] = MODELS, folds: int = 5, min_train: int = 180) -> DataFrame:
     """(target, model, mae): per target the model with the lowest mean error over expanding folds."""
+    return metrics.best_by(score_models(features, predictors, models, folds, min_train), ["target"], "model", "mae")
+
+
+SPACES: dict[str, dict[str, Sequence]] = {
+    "ridge": {"alpha": [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]},
+    "lasso": {"alpha": [0.01, 0.1, 1.0, 10.0, 100.0]},
+    "random_forest": {"trees": [100, 200, 300], "depth": [8, 10, 15], "leaf": [2, 5, 10]},
+    "boosted_trees": {"rounds": [100, 200, 300], "depth": [3, 5, 7], "step": [0.05, 0.1]},
+}
+
+
+def tune_models(
+    features: DataFrame, predictors: Sequence[str], shortlist: Mapping[str, Sequence[str]], spaces: Mapping[str, Mapping[str, Sequence]] = SPACES, n: int = 5, folds: int = 3, min_train: int = 180
+) -> DataFrame:
+    """(target, model, params, mae, rmse, wape, underforecasting_rate, folds) of ``n`` parameter sets drawn for each
+    model on the short list of a target, best first. Penalties of linear models take two scans together."""
     data, _ = prepare(features, predictors)
-    known = data.where("split <> 'test'")
+    known = cut(data.where("split <> 'test'"))
     bounds = panel.expanding_folds(known, folds=folds, min_train=min_train)
-    scores = {}
-    for target in panel.TARGETS:
-        fits = {n: (lambda train, f=f, t=target: f(train, predictors, t)) for n, f in models.items()}
-        scores[target] = regression.mean_scores(regression.expanding_cv(known, bounds, panel.DATE, target, fits))
-    return metrics.best_by(metrics.union_named(scores, "target"), ["target"], "model", "mae")
+    found = None
+    for target, names in shortlist.items():
+        for name in names:
+            if name in LINEAR and set(spaces.get(name, {})) <= {"alpha"}:
+                tried = {json.dumps(p, sort_keys=True): (LINEAR[name][0], float(p.get("alpha", LINEAR[name][1]))) for p in regression.sampled_grid(spaces.get(name, {}), n)}
+                part = regression.mean_scores(gram.expanding_cv(known, bounds, panel.DATE, [target], predictors, tried)).withColumnRenamed("model", "params")
+            else:
+                part = regression.random_search(known, bounds, panel.DATE, predictors, target, MODELS[name], spaces.get(name, {}), n)
+            part = part.select(F.lit(target).alias("target"), F.lit(name).alias("model"), "params", "mae", "rmse", "wape", "underforecasting_rate", "folds")
+            found = part if found is None else found.unionByName(part)
+    return found.orderBy("target", "mae", "model", "params")
+
+
+def compare_strategies(features: DataFrame, predictors: Sequence[str], alpha: float = 1.0) -> DataFrame:
+    """Net cash and requirement on the test rows: predicted directly, or derived from both flows. One scan fits all four."""
+    data, _ = prepare(features, predictors)
+    labels = ("daily_withdrawals", "daily_deposits", "net_cash", "cash_requirement")
+    summed = gram.blocks(data.where("split <> 'test'"), predictors, labels)
+    test = data.where("split = 'test'").withColumns({f"p_{y}": summed.ridge(y, alpha).weighted_sum() for y in labels})
+    return evaluation.direct_vs_derived(test)
+
+
+def save_reports(reports: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
+    """Every report as a JSON table below ``folder``; the paths by name."""
+    paths = {name: f"{folder}/{name}" for name in reports}
+    for name, report in reports.items():
+        writers.write_json_report(report, paths[name])
+    return paths
 
 
 def test_models(features: DataFrame, predictors: Sequence[str], chosen: Mapping[str, str], baseline: str = "roll7_avg_baseline") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harborline.operators.windows import running_total, value_bucket
+from harborline.operators.windows import running_total, value_slots
 
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
@@ -178,9 +178,7 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
         df.groupBy(*by, F.col(score).cast("double").alias("_score"))
         .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
     )
-    ends = df.agg(F.min(F.col(score).cast("double")).alias("low"), F.max(F.col(score).cast("double")).alias("high"))
-    bucket = value_bucket(F.col("_score"), ends.select("low").scalar(), ends.select("high").scalar())
-    below = running_total(counts, by, ["_score"], bucket, {"_neg_upto": "_neg"})
+    below = running_total(counts, by, ["_score"], value_slots(F.col("_score")), {"_neg_upto": "_neg"})
     pair = F.col("_pos") * (F.col("_neg_upto") - F.col("_neg") / 2)
     return (
         below.groupBy(*by)

@@ -1,8 +1,9 @@
-"""Exact quantiles (linear interpolation) without holding a group in one task.
+"""Exact quantiles (linear interpolation) by radix selection, without holding a group in one task.
 
-Spark's ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here
-values are first counted (map-side combine), then located by bucket totals, and only the
-buckets that hold a wanted rank are ordered.
+Spark's ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here rows are
+counted by the leading bits of their value, which combines before the shuffle to a few thousand numbers per
+column; that locates the slots in which a wanted rank falls. Only rows in those slots, about a thousandth each, are counted by
+value in a second scan, parted by further bits and ordered inside the one part that holds the rank.
 """
 
 from __future__ import annotations
@@ -12,72 +13,73 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.operators.windows import value_bucket
+from harborline.operators.windows import value_slots
 
 
 def unpivot(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Long form (by..., column, value, bucket) of numeric columns, nulls left out.
-
-    The bucket is monotone in the value and follows each column's range.
+    """Long form (by..., column, value, coarse, fine) of numeric columns, nulls and NaNs left out.
 
     ``inline`` gives every output column a new identity, without which Spark would not see that
-    the two uses of the counts below share one exchange, and would scan the table twice.
+    the two uses of the counts below share one exchange.
     """
-    ends = _ends(df, columns)
-    bucket = lambda c: value_bucket(F.col(c).cast("double"), ends.select(f"low_{c}").scalar(), ends.select(f"high_{c}").scalar())
-    marked = df.withColumns({f"_bucket_{c}": bucket(c) for c in columns})
     cells = [
-        F.struct(
-            *[F.col(k).alias(k) for k in by],
-            F.lit(c).alias("column"),
-            F.col(c).cast("double").alias("value"),
-            F.col(f"_bucket_{c}").alias("bucket"),
-        )
-        for c in columns
+        F.struct(*[F.col(k).alias(k) for k in by], F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
     ]
-    return marked.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    rows = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    coarse, fine = value_slots(F.col("value"))
+    return rows.withColumns({"coarse": coarse, "fine": fine})
 
 
-def _ends(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row with the least and largest number of each column."""
-    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-    return df.agg(*[f(number(c)).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))])
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    match = F.lit(True)
+    for key in keys:
+        match = match & F.col(key).eqNullSafe(F.col(f"{prefix}{key}"))
+    return match
 
 
 def _quantile_groups(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
     """(by..., column, q0, q1, ...): one quantile column per entry of ``probs``."""
     keys = [*by, "column"]
-    counts = unpivot(df, by, columns).groupBy(*keys, "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-
-    up_to = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
+    rows = unpivot(df, by, columns)
+    few = (lambda t: t) if by else F.broadcast  # without groups: at most two rows per column and probability
 
-    # Per bucket, the ranks a linear quantile interpolates between that fall into it.
+    # The two ranks that a linear quantile interpolates between.
     def rank(i: int, p: float) -> Column:
         position = F.lit(float(p)) * (F.col("total") - 1)
         return F.struct(
             F.lit(i).alias("i"), position.alias("position"), F.floor(position).alias("low"), F.ceil(position).alias("high")
         )
 
-    targets = (
-        counts.groupBy(*keys, "bucket")
-        .agg(F.sum("n").alias("bn"))
-        .withColumn("after", F.sum("bn").over(up_to))
-        .withColumn("total", F.sum("bn").over(whole))
-        .withColumn("before", F.col("after") - F.col("bn"))
+    falls = lambda r: (r["high"] >= F.col("before")) & (r["low"] < F.col("before") + F.col("slot_n"))
+    up_to = lambda keys, slot: Window.partitionBy(*keys).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda window: F.coalesce(F.sum("slot_n").over(window), F.lit(0))
+    slots = (
+        rows.groupBy(*keys, "coarse")
+        .agg(F.count(F.lit(1)).alias("slot_n"))
+        .withColumn("before", earlier(up_to(keys, "coarse")))
+        .withColumn("total", F.sum("slot_n").over(Window.partitionBy(*keys)))
         .withColumn("ranks", F.array(*[rank(i, p) for i, p in enumerate(probs)]))
-        .withColumn("wanted", F.filter("ranks", lambda r: (r["high"] >= F.col("before")) & (r["low"] < F.col("after"))))
+        .withColumn("wanted", F.filter("ranks", falls))
         .where(F.size("wanted") > 0)
-        .select(*[F.col(k).alias(f"_t_{k}") for k in (*keys, "bucket")], "before", "wanted")
+        .select(*[F.col(k).alias(f"_s_{k}") for k in (*keys, "coarse")], "before", "wanted")
     )
-    if not by:
-        targets = F.broadcast(targets)  # at most two rows per column and probability
-    match = F.lit(True)
-    for key in (*keys, "bucket"):
-        match = match & F.col(key).eqNullSafe(F.col(f"_t_{key}"))
-    inside = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    inner = [*keys, "coarse"]
+    counts = (
+        rows.join(few(slots), _same(inner, "_s_"))
+        .groupBy(*inner, "fine", "value")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("before").alias("base"), F.first("wanted").alias("ranks"))
+    )
+    parts = (
+        counts.groupBy(*inner, "fine")
+        .agg(F.sum("n").alias("slot_n"), F.first("base").alias("base"), F.first("ranks").alias("ranks"))
+        .withColumn("before", F.col("base") + earlier(up_to(inner, "fine")))
+        .withColumn("wanted", F.filter("ranks", falls))
+        .where(F.size("wanted") > 0)
+        .select(*[F.col(k).alias(f"_t_{k}") for k in (*inner, "fine")], "before", "wanted")
+    )
+    inside = Window.partitionBy(*inner, "fine").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        counts.join(targets, match)
+        counts.join(few(parts), _same([*inner, "fine"], "_t_"))
         .withColumn("last", F.sum("n").over(inside) + F.col("before") - 1)
         .withColumn("first", F.col("last") - F.col("n") + 1)
         .withColumn("w", F.explode("wanted"))

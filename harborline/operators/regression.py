@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborline.functions.scalars import keyed_uniform
+from harborline.operators.gram import Linear
 from harborline.operators.metrics import flow_metrics, union_named
 from harborline.operators.ordering import global_position
 
@@ -58,8 +59,13 @@ class Fitted:
         return spark.createDataFrame(list(zip(self.features, [float(v) for v in values])), "feature string, importance double")
 
 
-def save(fitted: Fitted, path: str) -> str:
+def save(fitted: Fitted | Linear, path: str) -> str:
     """Write a fitted model and its feature list below ``path``, a folder that executors reach."""
+    if isinstance(fitted, Linear):
+        rows = [*enumerate(zip(fitted.features, fitted.weights)), (-1, ("", fitted.intercept))]
+        rows = SparkSession.active().createDataFrame([(k, f, w) for k, (f, w) in rows], "place int, feature string, weight double")
+        rows.coalesce(1).write.mode("overwrite").json(f"{path}/features")
+        return path
     if fitted.prepare is not None:
         raise ValueError("a model with a preparation step can't be saved")
     fitted.model.write().overwrite().save(f"{path}/model")
@@ -68,11 +74,13 @@ def save(fitted: Fitted, path: str) -> str:
     return path
 
 
-def load(path: str) -> Fitted:
+def load(path: str) -> Fitted | Linear:
     """The model that ``save`` wrote, whatever kind it is."""
     spark = SparkSession.active()
-    features = [r.feature for r in spark.read.schema("place int, feature string").json(f"{path}/features").orderBy("place").collect()]
-    return Fitted(DefaultParamsReader.loadParamsInstance(f"{path}/model", spark.sparkContext), features)
+    rows = spark.read.schema("place int, feature string, weight double").json(f"{path}/features").orderBy("place").collect()
+    if rows and rows[0].place < 0:
+        return Linear([r.feature for r in rows[1:]], [r.weight for r in rows[1:]], rows[0].weight)
+    return Fitted(DefaultParamsReader.loadParamsInstance(f"{path}/model", spark.sparkContext), [r.feature for r in rows])
 
 
 def _fit(estimator: Estimator, df: DataFrame, features: Sequence[str], label: str) -> Fitted:
@@ -248,10 +256,10 @@ def random_search(
     return mean_scores(expanding_cv(df, folds, date, label, models)).withColumnRenamed("model", "params").orderBy("mae", "params")
 
 
-def mean_scores(cv: DataFrame) -> DataFrame:
-    """Fold metrics averaged per model."""
+def mean_scores(cv: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Fold metrics averaged per model, and per value of the columns ``by``."""
     names = ("mae", "rmse", "wape", "underforecasting_rate")
-    return cv.groupBy("model").agg(*[F.avg(n).alias(n) for n in names], F.count(F.lit(1)).alias("folds"))
+    return cv.groupBy(*by, "model").agg(*[F.avg(n).alias(n) for n in names], F.count(F.lit(1)).alias("folds"))
 
 
 def sampled_grid(space: Mapping[str, Sequence], n: int, seed: int = 42) -> list[dict]:

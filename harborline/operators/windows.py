@@ -14,54 +14,68 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def magnitude_bucket(value: Column, per_octave: int = 1024) -> Column:
-    """A monotone whole number for ``value``: slices about 1/per_octave of an octave wide.
+COARSE, FINE = 10, 16  # leading bits of the fraction that part values into slots, and further bits inside a slot
 
-    Needs no pass over the data and takes a bounded number of values whatever the data is.
-    """
-    size = F.floor(F.log2(F.abs(value) + F.lit(1.0)) * F.lit(float(per_octave)))
-    return F.when(value < 0, -size - 1).otherwise(size).cast("long")
-
-
-LINEAR = 1 << 16  # equal slices of a column's range
 
+def value_slots(value: Column) -> tuple[Column, Column]:
+    """Two whole numbers in whose order values stand: a coarse slot, and a fine one inside it.
 
-def value_bucket(value: Column, low: Column, high: Column) -> Column:
-    """A monotone whole number for ``value`` that follows the data: its magnitude slice, and inside it the
-    slice of the range from ``low`` to ``high``.
-
-    Values far from zero and close together (times) part by the second, values spread over many magnitudes by the first.
+    They are the leading bits of a double: sign, exponent and ``COARSE`` bits of the fraction, then ``FINE`` more. So
+    slots are as narrow beside zero as far from it, whatever else a column holds, and no pass over the
+    data is needed to place them. NaN comes last; nulls have no slot.
     """
-    width = high - low
-    at = F.when((width > 0) & (width < float("inf")), F.floor((value - low) / width * LINEAR)).otherwise(0)
-    return magnitude_bucket(value) * LINEAR + F.greatest(F.lit(0), F.least(F.lit(LINEAR - 1), at)).cast("long")
+    value = value.cast("double")
+    size = F.abs(value)
+    exponent = F.floor(F.log2(size))
+    at = F.greatest(F.lit(0.0), size / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * float(1 << COARSE)
+    whole = F.floor(at)
+    slot = (exponent + 1_100) * (1 << COARSE) + F.least(whole, F.lit((1 << COARSE) - 1))
+    part = F.floor((at - whole) * float(1 << FINE))
+    endless = size == F.lit(float("inf"))
+    signed = lambda x: F.when(value < 0, -x).otherwise(x).cast("long")
+    coarse = F.when(endless, F.lit(1 << 40)).when(F.isnan(value), F.lit(1 << 41)).when(size > 0, slot).otherwise(0)
+    fine = F.when((size > 0) & ~endless & ~F.isnan(value), part).otherwise(0)
+    return F.when(value.isNotNull(), signed(coarse)), F.when(value.isNotNull(), signed(fine))
 
 
 def running_total(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
+    bucket: Column | Sequence[Column],
     measures: Mapping[str, str],
 ) -> DataFrame:
     """Add running sums (first row to current row) named by ``measures`` (new name -> column).
 
-    ``order`` must be unique within ``by``, and ``bucket`` must not decrease along it.
+    ``order`` must be unique within ``by``, and ``bucket`` must not decrease along it. Several bucket columns
+    nest: each orders the rows that share the ones before it.
     """
-    marked = df.withColumn("_bucket", bucket)
-    totals = marked.groupBy(*by, "_bucket").agg(
-        *[F.sum(source).alias(f"_sum_{name}") for name, source in measures.items()]
-    )
-    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(k).alias(f"_k_{k}") for k in by],
-        F.col("_bucket").alias("_k_bucket"),
-        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in measures],
-    )
-    same = F.col("_bucket").eqNullSafe(F.col("_k_bucket"))
-    for key in by:
+    nested = [bucket] if isinstance(bucket, Column) else list(bucket)
+    names = [f"_bucket{k}" for k in range(len(nested))]
+    marked = df.withColumns(dict(zip(names, nested)))
+    totals = marked.groupBy(*by, *names).agg(*[F.sum(source).alias(f"_sum_{name}") for name, source in measures.items()])
+    # what comes before a bucket: earlier buckets that share all but the last name, and what comes before those
+    offsets = None
+    for depth in range(1, len(names) + 1):
+        keys = [*by, *names[:depth]]
+        sums = totals if depth == len(names) else totals.groupBy(*keys).agg(*[F.sum(f"_sum_{n}").alias(f"_sum_{n}") for n in measures])
+        earlier = Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        found = sums.select(
+            *[F.col(k).alias(f"_{depth}_{k}") for k in keys], *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_{depth}_before_{n}") for n in measures]
+        )
+        if offsets is None:
+            offsets = found.select(*[F.col(f"_1_{k}").alias(f"_k_{k}") for k in keys], *[F.col(f"_1_before_{n}").alias(f"_before_{n}") for n in measures])
+            continue
+        same = F.lit(True)
+        for k in keys[:-1]:
+            same = same & F.col(f"_k_{k}").eqNullSafe(F.col(f"_{depth}_{k}"))
+        offsets = found.join(offsets, same).select(
+            *[F.col(f"_{depth}_{k}").alias(f"_k_{k}") for k in keys], *[(F.col(f"_before_{n}") + F.col(f"_{depth}_before_{n}")).alias(f"_before_{n}") for n in measures]
+        )
+    same = F.lit(True)
+    for key in (*by, *names):
         same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
-    inside = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*by, *names).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         marked.join(offsets, same)
         .withColumns({n: F.sum(c).over(inside) + F.col(f"_before_{n}") for n, c in measures.items()})

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harborline.operators import classification as cls
-from harborline.operators import metrics, regression
+from harborline.operators import gram, metrics, regression
 from harborline.plans.aggregate_queries import r
-from harborline.plans.panel_queries import VAL_FROM, X_WD, cv_sql, run_cv
+from harborline.plans.panel_queries import VAL_FROM, cv_sql, run_cv
 from harborline.plans.registry import query
 from harborline.plans.tables import panel, table
 from harborline.session import cut
@@ -49,7 +49,7 @@ def _(spark, sf):
 
 @query("ridge", f"WITH {_LINES}, {_two('l_quantity', 'l_discount', 'x', alpha=1000.0)} {_coefficients('l_quantity', 'l_discount')}")
 def _(spark, sf):
-    model = regression.ridge(_lines(spark, sf), ["l_quantity", "l_discount"], "price", 1000.0)
+    model = gram.blocks(_lines(spark, sf), ["l_quantity", "l_discount"], ["price"]).ridge("price", 1000.0)
     return _rounded(model.coefficients(spark))
 
 
@@ -79,17 +79,16 @@ def _tree_scores(model, df):
     return metrics.regression_metrics(model.predict(df), "price", "prediction")
 
 
-# Fewer and shallower trees than the library's defaults keep the registered runs short.
 @query("random_forest_reg")
 def _(spark, sf):
     df = cut(_lines(spark, sf))
-    return _tree_scores(regression.random_forest(df, ["l_quantity", "l_discount"], "price", trees=10, depth=5), df)
+    return _tree_scores(regression.random_forest(df, ["l_quantity", "l_discount"], "price"), df)
 
 
 @query("gbt_reg")
 def _(spark, sf):
     df = cut(_lines(spark, sf))
-    return _tree_scores(regression.boosted_trees(df, ["l_quantity", "l_discount"], "price", rounds=5, depth=3), df)
+    return _tree_scores(regression.boosted_trees(df, ["l_quantity", "l_discount"], "price"), df)
 
 
 @query("trend_seasonal_reg")
@@ -222,12 +221,12 @@ def _(spark, sf):
 # Model selection over expanding folds ----------------------------------------------------------
 
 _SPACE = {"alpha": [0.001, 0.1, 1.0, 1e10, 1e12, 1e14]}
-_TRIED = {f"ridge alpha={s['alpha']:g}": (X_WD, s["alpha"]) for s in regression.sampled_grid(_SPACE, 3)}
+_TRIED = {f"ridge alpha={s['alpha']:g}": s["alpha"] for s in regression.sampled_grid(_SPACE, 3)}
 
 
 @query(
     "tuned_search",
-    f"WITH {cv_sql(_TRIED, 3)} SELECT model, round(avg(mae), 1) AS mae, round(avg(rmse), 1) AS rmse, count(*) AS folds FROM cv GROUP BY 1",
+    f"WITH RECURSIVE {cv_sql(_TRIED, 3)} SELECT model, round(avg(mae), 1) AS mae, round(avg(rmse), 1) AS rmse, count(*) AS folds FROM cv GROUP BY 1",
 )
 def _(spark, sf):
     means = regression.mean_scores(run_cv(spark, sf, _TRIED, folds=3))
@@ -267,10 +266,10 @@ def _classify(kind, scaled=False, **params):
 
 
 query("decision_tree_cls")(_classify("decision_tree_entropy"))
-query("random_forest_cls")(_classify("random_forest", numTrees=20))
-query("gbt_cls")(_classify("boosted", maxIter=5))
+query("random_forest_cls")(_classify("random_forest"))
+query("gbt_cls")(_classify("boosted"))
 query("logistic_regression")(_classify("logistic"))
-query("mlp_classify")(_classify("mlp", scaled=True, maxIter=50))
+query("mlp_classify")(_classify("mlp", scaled=True))
 
 
 @query(

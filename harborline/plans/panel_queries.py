@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from harborline.operators import checks, forecasting, metrics, regression
+from harborline.operators import checks, evaluation, forecasting, gram, metrics, regression
 from harborline.operators import panel as grids
 from harborline.operators.profiling import feature_dictionary
 from harborline.plans.aggregate_queries import r
@@ -291,125 +291,120 @@ def _(spark, sf):
 
 # Models ------------------------------------------------------------------------------------
 #
-# The registered runs fit one predictor per model, so that SQL can state the fit in closed form
-# and check the folds, the metrics and the recursion exactly. The operators take any list.
+# Registered runs take all predictors of the feature table. The SQL sums the same cross products and
+# solves them by elimination, a step per predictor in a recursive table.
 
-X_LAG, X_WD, X_DEP = "daily_withdrawals_7p_lag", "daily_withdrawals_7p_rolling_mean", "daily_deposits_7p_rolling_mean"
-HISTORY = (X_LAG, X_WD, X_DEP)
+HISTORY = (*_LAG_NAMES, *_ROLL_NAMES)  # predictors that a gap of history leaves empty
 ALPHA = 1000.0
+_LABELS = ("daily_withdrawals", "daily_deposits", "net_cash", "cash_requirement")
 
 
 def model_table(spark, sf):
-    """Imputed feature table and its training medians. The features are written once, because
-    every fit reads them."""
-    keep = [*KEY, "split", "dayofweek", *grids.TARGETS, "net_cash", "cash_requirement", *HISTORY, _BASE]
-    df = cut(features(spark, sf).select(*dict.fromkeys(keep)))
+    """Imputed feature table and its training medians; written, because sums and scores both read it."""
+    df = cut(features(spark, sf).drop("transaction_count"))
     medians = grids.train_medians(df, HISTORY).first().asDict()
     return grids.impute(df.withColumn("rolling_baseline", F.col(_BASE)), medians), medians
 
 
+def _cycles_sql(d: str) -> str:
+    wave = lambda part, period, name: f"sin(2 * pi() * {part} / {period}) AS {name}_sin, cos(2 * pi() * {part} / {period}) AS {name}_cos"
+    return f"{wave(f'month({d})', 12, 'month')}, {wave(f'(isodow({d}) - 1)', 7, 'dayofweek')}"
+
+
+_N = len(_PREDICTORS) + 1  # predictors and the constant
+_X = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in _PREDICTORS) + "]"
 MODEL_DATA = f"""{FEATURES}, med AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in HISTORY)} FROM feats WHERE split = 'train'),
-data AS (SELECT tran_br_code, start_date, split, daily_withdrawals, daily_deposits, net_cash, cash_requirement, {_BASE} AS base, {", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in HISTORY)} FROM feats, med)"""
+filled AS MATERIALIZED (SELECT tran_br_code, start_date, split, {", ".join(_LABELS)}, {_BASE} AS base, {_CALENDAR}, {_cycles_sql("d")}, {", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in HISTORY)} FROM feats, med),
+middle AS MATERIALIZED (SELECT [{", ".join(f"avg({c})" for c in _PREDICTORS)}] AS c FROM filled),
+data AS MATERIALIZED (SELECT tran_br_code, start_date, split, {", ".join(_LABELS)}, base, list_concat([1.0::DOUBLE], list_transform(list_zip({_X}, c), lambda p: p[1] - p[2])) AS z FROM filled, middle)"""
+
 
+def fits_sql(rows: str, sums: str = f"SELECT fit, {ALPHA} AS alpha, i, j, v FROM products") -> str:
+    """CTE coef(fit, w): weights of the columns of z, from ``rows``, a SELECT of (fit, y, z).
 
-def fit_sql(y: str, x: str, rows: str, alpha: float, extra: str = "") -> str:
-    """SELECT of slope b1 and intercept b0 of a one-column ridge over ``rows``."""
-    return f"""SELECT {extra} covar_pop({x}, {y}) * count(*) / (var_pop({x}) * count(*) + {alpha}) AS b1,
-      avg({y}) - covar_pop({x}, {y}) * count(*) / (var_pop({x}) * count(*) + {alpha}) * avg({x}) AS b0 FROM {rows}"""
+    ``sums`` turns the products of those rows into what each fit is solved from, with its penalty.
+    """
+    return f"""products AS MATERIALIZED (SELECT fit, i, j, sum(list_append(z, y)[i] * list_append(z, y)[j]) AS v
+  FROM ({rows}), range(1, {_N + 1}) a(i), range(1, {_N + 2}) b(j) WHERE j >= i GROUP BY ALL),
+sums AS MATERIALIZED ({sums}),
+mirrored AS (SELECT fit, alpha, i, j, v FROM sums UNION ALL SELECT fit, alpha, j, i, v FROM sums WHERE i < j AND j <= {_N}),
+gj AS (SELECT fit, 1 AS k, i, j, v + CASE WHEN i = j AND i > 1 THEN alpha ELSE 0 END AS v, max(CASE WHEN i = j THEN v END) OVER (PARTITION BY fit, i) AS size FROM mirrored
+  UNION ALL SELECT a.fit, a.k + 1, a.i, a.j, CASE WHEN abs(p.v) <= 1e-10 * p.size THEN CASE WHEN a.i = a.k THEN 0 ELSE a.v END WHEN a.i = a.k THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END, a.size
+  FROM gj a JOIN gj p ON p.fit = a.fit AND p.i = a.k AND p.j = a.k JOIN gj r ON r.fit = a.fit AND r.i = a.k AND r.j = a.j JOIN gj c ON c.fit = a.fit AND c.i = a.i AND c.j = a.k
+  WHERE a.k <= {_N} AND a.j > a.k),
+coef AS MATERIALIZED (SELECT fit, list(v ORDER BY i) AS w FROM gj WHERE k = {_N + 1} AND j = {_N + 1} GROUP BY fit)"""
 
 
 _SCORE = "round_even(avg(abs(y - p)), 2) AS mae, round_even(sqrt(avg(pow(y - p, 2))), 2) AS rmse, round_even(sum(abs(y - p)) / sum(abs(y)), 4) AS wape, round_even(avg(CASE WHEN p < y THEN 1.0 ELSE 0 END), 4) AS underforecasting_rate, count(*) AS num_comparisons, round_even(max(greatest(y - p, 0)), 2) AS max_shortfall"
 SCORED = ("mae", "rmse", "wape", "underforecasting_rate", "num_comparisons", "max_shortfall")
 
 
-def cv_sql(models: dict[str, tuple[str, float]], folds: int = 5) -> str:
-    """CTE cv(model, fold, metrics) of one-column models {name: (column, alpha)} over expanding folds."""
+def cv_sql(models: dict[str, float], folds: int = 5, targets: tuple[str, ...] = ("daily_withdrawals",)) -> str:
+    """CTE cv(target, model, fold, metrics) of ridge models {name: penalty} on all predictors over expanding folds."""
     ctes = [
         MODEL_DATA,
-        "known AS (SELECT * FROM data WHERE split <> 'test')",
+        "known AS MATERIALIZED (SELECT * FROM data WHERE split <> 'test')",
         "days AS (SELECT start_date, row_number() OVER (ORDER BY start_date) - 1 AS i FROM (SELECT DISTINCT start_date FROM known))",
         f"n AS (SELECT count(*) AS n, greatest(30, (count(*) - 180) // {folds}) AS size FROM days)",
         f"f AS (SELECT f + 1 AS fold, 180 + f * size AS s, least(180 + f * size + size, n) AS e FROM n, (SELECT unnest(range(0, {folds})) AS f))",
-        "folds AS (SELECT CAST(fold AS INTEGER) AS fold, a.start_date AS train_end, b.start_date AS val_start, c.start_date AS val_end FROM f JOIN days a ON a.i = s - 1 JOIN days b ON b.i = s JOIN days c ON c.i = e - 1 WHERE s < e)",
+        "folds AS MATERIALIZED (SELECT CAST(fold AS INTEGER) AS fold, a.start_date AS train_end, b.start_date AS val_start, c.start_date AS val_end FROM f JOIN days a ON a.i = s - 1 JOIN days b ON b.i = s JOIN days c ON c.i = e - 1 WHERE s < e)",
+        f"tried AS (SELECT * FROM (VALUES {', '.join(f'({chr(39)}{name}{chr(39)}, {alpha!r})' for name, alpha in models.items())}) t(model, alpha))",
+        "wanted AS (" + " UNION ALL ".join(f"SELECT '{t}' AS target, start_date, {t} AS y, z FROM known WHERE {t} IS NOT NULL" for t in targets) + ")",
+        fits_sql(
+            "SELECT {target: target, slice: (SELECT min(fold) FROM folds WHERE start_date <= train_end)} AS fit, y, z FROM wanted WHERE start_date <= (SELECT max(train_end) FROM folds)",
+            "SELECT {fold: fold, target: fit.target, model: model} AS fit, alpha, i, j, sum(v) AS v FROM products JOIN folds ON fit.slice <= fold, tried GROUP BY ALL",
+        ),
+        "scored AS (SELECT target, fit.model AS model, fold, y, list_inner_product(z, w) AS p FROM wanted JOIN folds ON start_date BETWEEN val_start AND val_end JOIN coef ON fit.fold = fold AND fit.target = target)",
+        f"cv AS (SELECT target, model, fold, {_SCORE} FROM scored GROUP BY 1, 2, 3)",
     ]
-    parts = []
-    for at, (name, (x, alpha)) in enumerate(models.items()):
-        rows = "folds JOIN known ON start_date <= train_end WHERE daily_withdrawals IS NOT NULL GROUP BY fold"
-        ctes.append(f"fit{at} AS ({fit_sql('daily_withdrawals', x, rows, alpha, 'fold,')})")
-        parts.append(
-            f"SELECT '{name}' AS model, fold, daily_withdrawals AS y, b0 + b1 * {x} AS p FROM folds JOIN fit{at} USING (fold) JOIN known ON start_date BETWEEN val_start AND val_end WHERE daily_withdrawals IS NOT NULL"
-        )
-    ctes.append("scored AS (" + " UNION ALL ".join(parts) + ")")
-    ctes.append(f"cv AS (SELECT model, fold, {_SCORE} FROM scored GROUP BY 1, 2)")
     return ", ".join(ctes)
 
 
-_MODELS = {"linear": (X_LAG, 0.0), "ridge": (X_WD, ALPHA)}
-
+_MODELS = {"linear": 0.0, "ridge": ALPHA}
 
-def _fits(models, label):
-    def fitter(column, alpha):
-        if alpha:
-            return lambda train: regression.ridge(train, [column], label, alpha)
-        return lambda train: regression.linear_regression(train, [column], label)
 
-    return {name: fitter(*spec) for name, spec in models.items()}
-
-
-def run_cv(spark, sf, models, folds=5):
+def run_cv(spark, sf, models, folds=5, targets=(_WD,)):
     data = model_table(spark, sf)[0].where("split <> 'test'")
-    return regression.expanding_cv(data, grids.expanding_folds(data, folds=folds), "start_date", _WD, _fits(models, _WD))
+    bounds = grids.expanding_folds(data, folds=folds)
+    return gram.expanding_cv(data, bounds, "start_date", targets, _PREDICTORS, {name: ("ridge", alpha) for name, alpha in models.items()})
 
 
-@query("expanding_cv", f"WITH {cv_sql(_MODELS)} SELECT model, fold, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, underforecasting_rate, num_comparisons FROM cv")
+@query("expanding_cv", f"WITH RECURSIVE {cv_sql(_MODELS)} SELECT model, fold, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, underforecasting_rate, num_comparisons FROM cv")
 def _(spark, sf):
     return run_cv(spark, sf, _MODELS).select("model", "fold", r("mae", 1), r("rmse", 1), "wape", "underforecasting_rate", "num_comparisons")
 
 
 @query(
     "select_best_model",
-    f"WITH {cv_sql(_MODELS)}, m AS (SELECT model, avg(mae) AS mae FROM cv GROUP BY 1) SELECT 'daily_withdrawals' AS target, model, round(mae, 1) AS mae FROM m ORDER BY m.mae, model LIMIT 1",
+    f"WITH RECURSIVE {cv_sql(_MODELS, targets=grids.TARGETS)}, m AS (SELECT target, model, avg(mae) AS mae FROM cv GROUP BY 1, 2) SELECT target, arg_min(model, (mae, model)) AS model, round(min(mae), 1) AS mae FROM m GROUP BY 1",
 )
 def _(spark, sf):
-    means = regression.mean_scores(run_cv(spark, sf, _MODELS)).withColumn("target", F.lit(_WD))
+    means = regression.mean_scores(run_cv(spark, sf, _MODELS, targets=grids.TARGETS), ["target"])
     return metrics.best_by(means, ["target"], "model", "mae").select("target", "model", r("mae", 1))
 
 
-def _on_test(data, label):
-    """Test rows with the prediction of a ridge model fitted on training and validation rows."""
-    model = regression.ridge(data.where("split <> 'test'"), [X_WD], label, ALPHA)
-    return model.predict(data.where("split = 'test'"))
+def _test_sql(*labels: str) -> str:
+    wanted = " UNION ALL ".join(f"SELECT '{y}' AS fit, {y} AS y, z FROM data WHERE split <> 'test' AND {y} IS NOT NULL" for y in labels)
+    preds = ", ".join(f"list_inner_product(z, (SELECT w FROM coef WHERE fit = '{y}')) AS p_{y}" for y in labels)
+    return f"{MODEL_DATA}, {fits_sql(wanted)}, test AS MATERIALIZED (SELECT *, {preds} FROM data WHERE split = 'test')"
 
 
-def _test_sql(*labels: str) -> str:
-    fits = ", ".join(f"fit_{y} AS ({fit_sql(y, X_WD, f'data WHERE split <> {chr(39)}test{chr(39)} AND {y} IS NOT NULL', ALPHA)})" for y in labels)
-    preds = ", ".join(f"(SELECT b0 FROM fit_{y}) + (SELECT b1 FROM fit_{y}) * {X_WD} AS p_{y}" for y in labels)
-    return f"{MODEL_DATA}, {fits}, test AS (SELECT *, {preds} FROM data WHERE split = 'test')"
+def _on_test(data, labels):
+    """Test rows with a prediction per label, of ridge models fitted on training and validation rows."""
+    summed = gram.blocks(data.where("split <> 'test'"), _PREDICTORS, labels)
+    return data.where("split = 'test'").withColumns({f"p_{y}": summed.ridge(y, ALPHA).weighted_sum() for y in labels})
 
 
 @query(
     "retrain_and_test",
-    f"""WITH {_test_sql('daily_withdrawals')}, t AS (SELECT * FROM test WHERE daily_withdrawals IS NOT NULL AND base IS NOT NULL), m AS (SELECT 'model' AS name, {_SCORE} FROM (SELECT daily_withdrawals AS y, p_daily_withdrawals AS p FROM t)
-          UNION ALL SELECT 'rolling_baseline', {_SCORE} FROM (SELECT daily_withdrawals AS y, base AS p FROM t))
-        SELECT name, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, underforecasting_rate, num_comparisons, round(max_shortfall, 1) AS max_shortfall, round(((SELECT mae FROM m WHERE name = 'rolling_baseline') - mae) / (SELECT mae FROM m WHERE name = 'rolling_baseline') * 100, 2) AS improvement_pct FROM m""",
+    f"""WITH RECURSIVE {_test_sql('daily_withdrawals')}, t AS (SELECT * FROM test WHERE daily_withdrawals IS NOT NULL AND base IS NOT NULL), m AS (SELECT 'model' AS name, {_SCORE} FROM (SELECT daily_withdrawals AS y, p_daily_withdrawals AS p FROM t)
+          UNION ALL SELECT 'baseline', {_SCORE} FROM (SELECT daily_withdrawals AS y, base AS p FROM t))
+        SELECT name, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, underforecasting_rate, num_comparisons, round(max_shortfall, 1) AS max_shortfall, round(((SELECT mae FROM m WHERE name = 'baseline') - mae) / (SELECT mae FROM m WHERE name = 'baseline') * 100, 2) AS improvement_pct FROM m""",
 )
 def _(spark, sf):
-    scored = _on_test(model_table(spark, sf)[0], _WD).where(F.col(_WD).isNotNull() & F.col("rolling_baseline").isNotNull())
-    both = metrics.flow_metrics(
-        metrics.union_named(
-            {
-                "model": scored.select(F.col(_WD).alias("y"), F.col("prediction").alias("p")),
-                "rolling_baseline": scored.select(F.col(_WD).alias("y"), F.col("rolling_baseline").alias("p")),
-            },
-            "name",
-        ),
-        "y", "p", ["name"], shortfalls=True,
-    )
-    base = both.agg(F.max(F.when(F.col("name") == "rolling_baseline", F.col("mae")))).scalar()
-    return both.select(
-        "name", r("mae", 1), r("rmse", 1), "wape", "underforecasting_rate", "num_comparisons", r("max_shortfall", 1),
-        r(metrics.improvement_pct(base, F.col("mae")), 2, "improvement_pct"),
-    )
+    scored = _on_test(model_table(spark, sf)[0], [_WD])
+    found = evaluation.against_baseline(scored, _WD, f"p_{_WD}", "rolling_baseline")
+    return found.select("name", r("mae", 1), r("rmse", 1), "wape", "underforecasting_rate", "num_comparisons", r("max_shortfall", 1), r("improvement_pct", 2))
 
 
 _DERIVED = {
@@ -422,43 +417,53 @@ _DERIVED = {
 
 @query(
     "direct_vs_derived",
-    f"WITH {_test_sql('daily_withdrawals', 'daily_deposits', 'net_cash', 'cash_requirement')}, l AS ("
+    f"WITH RECURSIVE {_test_sql(*_LABELS)}, l AS ("
     + " UNION ALL ".join(f"SELECT '{n}' AS name, {y} AS y, {p} AS p FROM test WHERE {y} IS NOT NULL" for n, (y, p) in _DERIVED.items())
-    + f"), m AS (SELECT name, {_SCORE} FROM l GROUP BY 1) SELECT name, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, num_comparisons FROM m",
+    + f"), m AS (SELECT name, {_SCORE} FROM l GROUP BY 1) SELECT split_part(name, ' ', 1) AS target, split_part(name, ' ', 2) AS strategy, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, num_comparisons, rank() OVER (PARTITION BY split_part(name, ' ', 1) ORDER BY mae, name) = 1 AS best FROM m",
 )
 def _(spark, sf):
-    data, _ = model_table(spark, sf)
-    scored = data
-    for label in ("daily_withdrawals", "daily_deposits", "net_cash", "cash_requirement"):
-        model = regression.ridge(data.where("split <> 'test'"), [X_WD], label, ALPHA)
-        scored = model.predict(scored).withColumnRenamed("prediction", f"p_{label}")
-    cells = [
-        F.struct(F.lit(n).alias("name"), F.col(y).alias("y"), F.expr(p).alias("p")) for n, (y, p) in _DERIVED.items()
-    ]
-    long = scored.where("split = 'test'").select(F.inline(F.array(*cells)))
-    return metrics.flow_metrics(long, "y", "p", ["name"]).select("name", r("mae", 1), r("rmse", 1), "wape", "num_comparisons")
+    found = evaluation.direct_vs_derived(_on_test(model_table(spark, sf)[0], _LABELS))
+    return found.select("target", "strategy", r("mae", 1), r("rmse", 1), "wape", "num_comparisons", "best")
 
 
 def _forecast(data, medians, days=7):
-    history = data.where(F.col("start_date") < F.lit(ORIGIN))
-    columns = {"daily_withdrawals": X_WD, "daily_deposits": X_DEP}
-    predict = {t: regression.ridge(history, [x], t, ALPHA).predict for t, x in columns.items()}
+    summed = gram.blocks(data.where(F.col("start_date") < F.lit(ORIGIN)), _PREDICTORS, grids.TARGETS)
+    predict = {t: summed.ridge(t, ALPHA).predict for t in grids.TARGETS}
     return forecasting.recursive_forecast(data, ORIGIN, days, predict, medians, salary_days=(25,))
 
 
+_DEEP = max(grids.ROLLING)
 _STATE = ", ".join(
-    "[" + ", ".join(f"max(CASE WHEN start_date = DATE '{ORIGIN}' - {k} THEN {t} END)" for k in range(1, 8)) + f"] AS h_{t}" for t in grids.TARGETS
+    "[" + ", ".join(f"max(CASE WHEN start_date = DATE '{ORIGIN}' - {k} THEN {t} END)" for k in range(1, _DEEP + 1)) + f"] AS h_{t}" for t in grids.TARGETS
 )
-_STEP = ", ".join(
-    f"(SELECT b0 FROM fit_{t}) + (SELECT b1 FROM fit_{t}) * coalesce(list_avg(h_{t}), (SELECT m_{x} FROM med)) AS p_{t}" for t, x in (("daily_withdrawals", X_WD), ("daily_deposits", X_DEP))
-)
-_FORECAST_SQL = f"""{MODEL_DATA}, {", ".join(f"fit_{t} AS ({fit_sql(t, x, f'data WHERE start_date < DATE {chr(39)}{ORIGIN}{chr(39)} AND {t} IS NOT NULL', ALPHA)})" for t, x in (("daily_withdrawals", X_WD), ("daily_deposits", X_DEP)))},
-st AS (SELECT 0 AS step, tran_br_code, {_STATE} FROM data WHERE start_date < DATE '{ORIGIN}' AND start_date >= DATE '{ORIGIN}' - 30 GROUP BY 2),
+
+
+def _past_sql(name: str) -> str:
+    """A lag or rolling predictor from the lists of past values, newest first."""
+    target = next(t for t in grids.TARGETS if name.startswith(t))
+    how = name.removeprefix(f"{target}_").split("_")
+    size = how[0].removesuffix("p")
+    known = f"h_{target}[1:{size}]"
+    found = {
+        "lag": f"h_{target}[{size}]",
+        "mean": f"list_avg({known})",
+        "std": f"CASE list_count({known}) WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE list_aggregate({known}, 'stddev_samp') END",
+        "min": f"list_min({known})",
+        "max": f"list_max({known})",
+    }[how[-1]]
+    return f"coalesce({found}, m_{name}) AS {name}"
+
+
+_FORECAST_SQL = f"""{MODEL_DATA}, {fits_sql(" UNION ALL ".join(f"SELECT '{t}' AS fit, {t} AS y, z FROM data WHERE start_date < DATE '{ORIGIN}' AND {t} IS NOT NULL" for t in grids.TARGETS))},
+n0 AS (SELECT 0 AS step, tran_br_code, {_STATE} FROM data WHERE start_date < DATE '{ORIGIN}' AND start_date >= DATE '{ORIGIN}' - {_DEEP} GROUP BY 2),
 """ + ", ".join(
-    f"""s{n} AS (SELECT *, {_STEP} FROM {'st' if n == 1 else f'n{n - 1}'}), n{n} AS (SELECT {n} AS step, tran_br_code, {", ".join(f"list_concat([p_{t}], h_{t}[1:6]) AS h_{t}" for t in grids.TARGETS)} FROM s{n})"""
+    f"""x{n} AS (SELECT step, tran_br_code, d, h_daily_withdrawals, h_daily_deposits, {_CALENDAR}, {_cycles_sql("d")}, {", ".join(map(_past_sql, HISTORY))} FROM (SELECT *, DATE '{ORIGIN}' + {n - 1} AS d FROM n{n - 1}), med),
+s{n} AS MATERIALIZED (SELECT *, """
+    + ", ".join(f"list_inner_product(list_concat([1.0::DOUBLE], list_transform(list_zip({_X}, c), lambda p: p[1] - p[2])), (SELECT w FROM coef WHERE fit = '{t}')) AS p_{t}" for t in grids.TARGETS)
+    + f""" FROM x{n}, middle), n{n} AS (SELECT {n} AS step, tran_br_code, {", ".join(f"list_concat([p_{t}], h_{t}[1:{_DEEP - 1}]) AS h_{t}" for t in grids.TARGETS)} FROM s{n})"""
     for n in range(1, 8)
-) + """, made AS (""" + " UNION ALL ".join(
-    f"SELECT tran_br_code AS branch_code, CAST(DATE '{ORIGIN}' + {n - 1} AS DATE) AS forecast_date, p_daily_withdrawals AS wd, p_daily_deposits AS dep, list_avg(h_daily_withdrawals) AS bw, list_avg(h_daily_deposits) AS bd FROM s{n}" for n in range(1, 8)
+) + """, made AS MATERIALIZED (""" + " UNION ALL ".join(
+    f"SELECT tran_br_code AS branch_code, CAST(DATE '{ORIGIN}' + {n - 1} AS DATE) AS forecast_date, p_daily_withdrawals AS wd, p_daily_deposits AS dep, list_avg(h_daily_withdrawals[1:7]) AS bw, list_avg(h_daily_deposits[1:7]) AS bd FROM s{n}" for n in range(1, 8)
 ) + ")"
 _EXPLAIN = """CASE WHEN day(forecast_date) = 25 THEN 'Salary day spike anticipated.' WHEN day(forecast_date) = 1 THEN 'Start of month typically sees higher transaction volume.' WHEN forecast_date = last_day(forecast_date) THEN 'End of month patterns indicate elevated cash movement.' END AS a,
   CASE WHEN isodow(forecast_date) >= 6 THEN 'Weekend trend detected; typically lower activity.' WHEN isodow(forecast_date) = 5 THEN 'Friday peak activity expected.' END AS b,
@@ -467,7 +472,7 @@ _EXPLAIN = """CASE WHEN day(forecast_date) = 25 THEN 'Salary day spike anticipat
 
 @query(
     "recursive_forecast",
-    f"""WITH {_FORECAST_SQL}, e AS (SELECT *, {_EXPLAIN} FROM made)
+    f"""WITH RECURSIVE {_FORECAST_SQL}, e AS (SELECT *, {_EXPLAIN} FROM made)
         SELECT branch_code, forecast_date, round(dep, 3) AS predicted_deposits, round(wd, 3) AS predicted_withdrawals, round(dep - wd, 3) AS predicted_net_cash, round(greatest(wd - dep, 0), 3) AS predicted_cash_requirement,
           CASE WHEN wd > dep THEN 'Shortage' WHEN dep > wd * 1.1 THEN 'Surplus' ELSE 'Balanced' END AS status,
           CASE WHEN a IS NULL AND b IS NULL AND c IS NULL THEN 'Aligns with recent historical trends and rolling averages.' ELSE concat_ws(' ', a, b, c) END AS explanation FROM e""",
@@ -480,23 +485,11 @@ def _(spark, sf):
 
 @query(
     "forecast_validate",
-    f"""WITH {_FORECAST_SQL}, j AS (SELECT daily_withdrawals AS y, wd, base FROM made JOIN data ON tran_br_code = branch_code AND start_date = forecast_date WHERE daily_withdrawals IS NOT NULL AND base IS NOT NULL),
+    f"""WITH RECURSIVE {_FORECAST_SQL}, j AS (SELECT daily_withdrawals AS y, wd, base FROM made JOIN data ON tran_br_code = branch_code AND start_date = forecast_date WHERE daily_withdrawals IS NOT NULL AND base IS NOT NULL),
         l AS (SELECT 'model' AS name, y, wd AS p FROM j UNION ALL SELECT 'baseline', y, base FROM j), m AS (SELECT name, {_SCORE} FROM l GROUP BY 1)
         SELECT name, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, num_comparisons, round(max_shortfall, 1) AS max_shortfall, (SELECT count(*) FROM made WHERE greatest(wd - dep, 0) < 0) AS negative_cash_requirement, (SELECT count(*) FROM made WHERE dep - wd < 0) AS negative_net_cash FROM m""",
 )
 def _(spark, sf):
     data, medians = model_table(spark, sf)
-    made = _forecast(data, medians)
-    actual = data.select(F.col("tran_br_code").alias("branch_code"), F.col("start_date").alias("forecast_date"), F.col(_WD).alias("y"), "rolling_baseline")
-    scored = made.join(actual, ["branch_code", "forecast_date"]).where(F.col("y").isNotNull() & F.col("rolling_baseline").isNotNull())
-    cells = F.array(
-        F.struct(F.lit("model").alias("name"), F.col("predicted_withdrawals").alias("p")),
-        F.struct(F.lit("baseline").alias("name"), F.col("rolling_baseline").alias("p")),
-    )
-    found = metrics.flow_metrics(scored.select("y", F.inline(cells)), "y", "p", ["name"], shortfalls=True)
-    signs = made.agg(
-        F.count_if(F.col("predicted_cash_requirement") < 0).alias("requirement"), F.count_if(F.col("predicted_net_cash") < 0).alias("net")
-    )
-    return found.select("name", r("mae", 1), r("rmse", 1), "wape", "num_comparisons", r("max_shortfall", 1)).withColumns(
-        {"negative_cash_requirement": signs.select("requirement").scalar(), "negative_net_cash": signs.select("net").scalar()}
-    )
+    found = evaluation.forecast_validate(_forecast(data, medians), data, "rolling_baseline")
+    return found.select("name", r("mae", 1), r("rmse", 1), "wape", "num_comparisons", r("max_shortfall", 1), "negative_cash_requirement", "negative_net_cash")

@@ -146,6 +146,6 @@ def test_matrix_product_over_tiles(spark):
     a, b = rng.integers(-3, 4, (11, 9)), rng.integers(-3, 4, (9, 5))
     entries = lambda m: spark.createDataFrame([(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))], "i int, j int, v double")
     got = np.zeros((11, 5))
-    for r in arrays.multiply(entries(a), entries(b), block=4).collect():
+    for r in arrays.multiply(entries(a), entries(b)).collect():
         got[r.i, r.j] = r.v
     np.testing.assert_array_equal(got, a @ b)

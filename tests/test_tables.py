@@ -1,6 +1,7 @@
 """Sources, cleaning, quantiles, windows and joins on small tables with known results."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -78,21 +79,53 @@ def test_running_total_without_groups_and_with_null_key(spark):
     assert sorted(r.t for r in windows.running_total(df.where("g is null"), [], ["k"], F.col("k"), {"t": "v"}).collect()) == [5, 11]
 
 
-def test_magnitude_bucket_keeps_order(spark):
-    values = sorted([-1e9, -3.5, -3.4, -1.0, -1e-6, 0.0, 1e-6, 0.5, 1.0, 2.0, 2.1, 1e12])
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = [r.b for r in df.select("v", windows.magnitude_bucket(F.col("v")).alias("b")).orderBy("v").collect()]
-    assert got == sorted(got)
+ODD = [-math.inf, -1e308, -1e9, -3.5, -3.4, -1.0, -1e-6, -5e-324, 0.0, 5e-324, 1e-310, 1e-6, 0.5, 1.0, 2.0, 2.1, 1e12, 1.7976931348623157e308, math.inf]
+
+
+def test_value_slots_keep_the_order_of_any_number(spark):
+    rng = np.random.default_rng(6)
+    steps = [np.nextafter(2.0**k, side * np.inf) for k in (-1022, -40, -1, 0, 1, 10, 52, 1000) for side in (-1, 1)]
+    values = sorted([*ODD, *steps, *(2.0 ** np.arange(-30, 30)), *rng.normal(size=500), *(10.0 ** rng.uniform(-300, 300, 500))])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    coarse, fine = windows.value_slots(F.col("v"))
+    got = [(r.v, (r.c, r.f)) for r in df.select("v", coarse.alias("c"), fine.alias("f")).collect()]
+    got.sort()
+    assert [slots for _, slots in got] == sorted(slots for _, slots in got)
+    nothing = spark.createDataFrame([(None,), (float("nan"),)], "v double").select(coarse.alias("c")).collect()
+    assert nothing[0].c is None and nothing[1].c > max(slots[0] for _, slots in got)
 
 
 @pytest.mark.parametrize("low,step", [(1.7e9, 60.0), (0.0, 1e-9), (-5e8, 1e3), (1.0, 0.5)])
-def test_value_buckets_follow_the_data(spark, low, step):
+def test_value_slots_part_whatever_the_data(spark, low, step):
     df = spark.range(5000).select((F.col("id") * step + low).alias("v"))
-    b = windows.value_bucket(F.col("v"), F.lit(low), F.lit(low + 4999 * step))
-    got = [r.b for r in df.select("v", b.alias("b")).orderBy("v").collect()]
+    slots = F.struct(*windows.value_slots(F.col("v")))
+    got = [r.b for r in df.select("v", slots.alias("b")).orderBy("v").collect()]
     assert got == sorted(got) and len(set(got)) > 1000
 
 
+def test_small_values_beside_an_outlier_spread_over_slots(spark):
+    small = spark.range(1_000_000).select((F.rand(3) * 0.001).alias("v")).unionByName(spark.createDataFrame([(1e6,)], "v double"))
+    coarse, _ = windows.value_slots(F.col("v"))
+    sizes = small.groupBy(coarse.alias("c")).count().agg(F.count("*").alias("slots"), F.max("count").alias("largest")).first()
+    assert sizes.slots > 1000 and sizes.largest < 2_000
+    found = quantiles.exact_quantiles(small, ["v"], [0.25, 0.5, 1.0]).collect()
+    values = np.array([r.v for r in small.collect()])
+    assert {r.prob: r.quantile for r in found} == {p: pytest.approx(np.quantile(values, p), rel=1e-12) for p in (0.25, 0.5, 1.0)}
+
+
+def test_quantiles_of_odd_numbers_and_ties(spark):
+    rows = [("a", v) for v in ODD] + [("b", 7.0)] * 50 + [("b", -7.0)] * 49 + [(None, 1.0), (None, 4.0), ("c", None), ("c", math.nan)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = {r.g: (r.low, r.mid, r.high) for r in quantiles.quantile_columns(df, ["v"], {"low": 0.0, "mid": 0.5, "high": 1.0}, ["g"]).collect()}
+    assert found["a"][1] == 5e-324 and found["b"] == (-7.0, 7.0, 7.0) and found[None] == (1.0, 2.5, 4.0) and "c" not in found
+
+
+def test_quantile_plan_has_no_pass_for_the_ends(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("v"))
+    plan = quantiles.medians(df, ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(" not in plan and "scalar-subquery" not in plan
+
+
 def test_global_position(spark):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k"))
     rows = ordering.global_position(df, ["k"], "n").collect()
