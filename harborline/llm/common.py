@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harborline.session import cut
 
-__all__ = ["WORD", "components", "cut", "fresh", "table", "words"]
+__all__ = ["WORD", "components", "cut", "fresh", "row_key", "table", "words"]
 
 # Fixed value: a word is a run of characters other than space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,6 +35,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def row_key(df: DataFrame) -> Column:
+    """64 bits that tell rows of one id apart: every column counts, and so does where nulls stand.
+
+    Equal rows have equal keys. Different rows of the same id share one with odds of 2^-64 a pair.
+    """
+    parts = []
+    for field in df.schema.fields:
+        simple = not isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
+        parts += [F.col(field.name).isNull(), F.col(field.name) if simple else F.col(field.name).cast("string")]
+    return F.xxhash64(*parts)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): one row (id, component) per id in an edge.
 

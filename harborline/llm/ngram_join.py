@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harborline.llm.common import components, cut, fresh
+from harborline.llm.common import components, cut, fresh, row_key
 
 COUNT_BUCKETS = 1 << 18  # of the shingle counts
 NAMED_BITS = 1 << 22  # of the table of documents to verify
@@ -358,17 +358,17 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, similarity: int = 90) -> DataFrame:
-    """``docs``, same columns, with one row of each component: that of the smallest id (then row hash).
+    """``docs``, same columns, with one row of each component: that of the smallest id (then row key).
 
     Rows without words stay all; of rows equal in every column one stays.
     """
     row, copies, doc, hashed, n = fresh(docs, "_row", "_copies", "_doc", "_hash", "_n")
-    keyed = docs.select(F.struct(F.col(doc_id).alias("doc"), F.hash(*docs.columns).alias("row")).alias("doc_id"), F.col(text).alias("text"))
+    keyed = docs.select(F.struct(F.col(doc_id).alias("doc"), row_key(docs).alias("row")).alias("doc_id"), F.col(text).alias("text"))
     found = classes(keyed, width=width, similarity=similarity)
     stay = found.where((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id")))
     stay = stay.select(F.col("doc_id.doc").alias(doc), F.col("doc_id.row").alias(hashed), F.col("n_shingles").alias(n)).distinct()
     others = [c for c in docs.columns if c != doc_id]
-    rows = docs.withColumn(row, F.hash(*docs.columns)).groupBy(doc_id, row)
+    rows = docs.withColumn(row, row_key(docs)).groupBy(doc_id, row)
     rows = rows.agg(*[F.first(c).alias(c) for c in others], F.count(F.lit(1)).alias(copies))
     rows = rows.join(stay, F.col(doc_id).eqNullSafe(F.col(doc)) & (F.col(row) == F.col(hashed)))
     uses = F.when(F.col(n) == 0, F.col(copies)).otherwise(F.lit(1).cast("long"))
