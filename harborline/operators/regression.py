@@ -5,18 +5,17 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import json
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from harborline.functions.scalars import keyed_uniform
 from harborline.operators.gram import Linear
@@ -130,31 +129,60 @@ def boosted_trees(df: DataFrame, features: Sequence[str], label: str, rounds: in
     return _fit(GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed), df, features, label)
 
 
+def _waves(date: Column, origin: dt.date, yearly: int, weekly: int) -> list[Column]:
+    """A constant, years since ``origin``, and waves of a week and of a year."""
+    t = F.unix_date(date).cast("double")
+    columns = [F.lit(1.0), F.datediff(date, F.lit(origin)) / F.lit(365.25)]
+    for period, order in ((7.0, weekly), (365.25, yearly)):
+        for n in range(1, order + 1):
+            angle = t * F.lit(2 * math.pi * n / period)
+            columns += [F.sin(angle), F.cos(angle)]
+    return columns
+
+
+def solved(matrix: Column, n: int) -> Column:
+    """The solution of ``n`` linear equations, from an array of their n x (n + 1) coefficients and right sides by row.
+
+    Meant for sums of squares and products. An unknown that earlier ones determine becomes 0.
+    """
+    width = n + 1
+    size = F.array(*[matrix[k * width + k] for k in range(n)])
+
+    def eliminated(m: Column, k: Column) -> Column:
+        pivot = F.get(m, k * width + k)
+        free = pivot <= F.get(size, k) * 1e-10
+
+        def cell(v: Column, i: Column) -> Column:
+            row, column = F.floor(i / width).cast("int"), i % width
+            other = v - F.get(m, row * width + k) * F.get(m, k * width + column) / pivot
+            return F.when(row == k, F.when(free, 0.0).otherwise(v / pivot)).otherwise(F.when(free, v).otherwise(other))
+
+        return F.transform(m, cell)
+
+    left = F.aggregate(F.sequence(F.lit(0), F.lit(n - 1)), matrix, eliminated)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.get(left, k * width + n))
+
+
 def trend_seasonal(
     df: DataFrame, by: str, date: str, label: str, train_before: dt.date, yearly: int = 3, weekly: int = 2
 ) -> DataFrame:
     """(by, date, label, prediction): per series a straight trend with weekly and yearly waves.
 
-    A series is a daily one, so the rows of a group are bounded by the calendar. Rows before
-    ``train_before`` with a value are fitted, all rows are predicted.
+    Rows before ``train_before`` with a value are fitted, all rows are predicted; a series without such rows gets no
+    prediction. The normal equations of a series are sums, combined before the shuffle and solved in one row.
     """
-    schema = T.StructType([df.schema[by], df.schema[date], T.StructField(label, T.DoubleType()), T.StructField("prediction", T.DoubleType())])
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        days = pd.to_datetime(rows[date])
-        t = (days - pd.Timestamp("1970-01-01")).dt.days.to_numpy(dtype=float)
-        waves = [np.ones_like(t), (t - t.min()) / 365.25]
-        for period, order in ((7.0, weekly), (365.25, yearly)):
-            for n in range(1, order + 1):
-                waves += [np.sin(2 * np.pi * n * t / period), np.cos(2 * np.pi * n * t / period)]
-        x, y = np.column_stack(waves), rows[label].to_numpy(dtype=float)
-        use = ~np.isnan(y) & (days < pd.Timestamp(train_before)).to_numpy()
-        if not use.any():
-            return rows[[by, date, label]].assign(prediction=np.nan)
-        weights = np.linalg.lstsq(x[use], y[use], rcond=None)[0]
-        return rows[[by, date, label]].assign(prediction=x @ weights)
-
-    return df.select(by, date, F.col(label).cast("double").alias(label)).groupBy(by).applyInPandas(fit, schema)
+    n = 2 + 2 * (yearly + weekly)
+    x, y = [f"_x{k}" for k in range(n)], F.col(label).cast("double")
+    rows = df.select(by, date, y.alias(label))
+    waved = rows.withColumns(dict(zip(x, _waves(F.col(date), train_before, yearly, weekly))))
+    known = waved.where((F.col(date) < F.lit(train_before)) & F.col(label).isNotNull() & ~F.isnan(label))
+    products = [F.sum(F.col(x[i]) * F.col(x[j])).alias(f"_s{i}_{j}") for i in range(n) for j in range(i, n)]
+    sums = known.groupBy(F.col(by).alias("_by")).agg(*products, *[F.sum(F.col(c) * F.col(label)).alias(f"_y{i}") for i, c in enumerate(x)])
+    cells = [F.col(f"_s{min(i, j)}_{max(i, j)}") if j < n else F.col(f"_y{i}") for i in range(n) for j in range(n + 1)]
+    fitted = sums.select("_by", F.array(*cells).alias("_m")).select("_by", solved(F.col("_m"), n).alias("_w"))
+    found = waved.join(fitted, F.col(by).eqNullSafe(F.col("_by")), "left")
+    prediction = sum((F.col(c) * F.col("_w")[k] for k, c in enumerate(x)), F.lit(0.0))
+    return found.select(by, date, label, prediction.alias("prediction"))
 
 
 def train_test_mark(df: DataFrame, keys: Sequence[str], test_share: float = 0.2, seed: int = 42, name: str = "is_test") -> DataFrame:

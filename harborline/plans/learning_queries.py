@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from harborline.operators import classification as cls
 from harborline.operators import gram, metrics, regression
 from harborline.plans.aggregate_queries import r
-from harborline.plans.panel_queries import VAL_FROM, cv_sql, run_cv
+from harborline.plans.panel_queries import _SCORE, VAL_FROM, cv_sql, fits_sql, run_cv
 from harborline.plans.registry import query
-from harborline.plans.tables import panel, table
+from harborline.plans.tables import PANEL, panel, table
 from harborline.session import cut
 
 # Regression: price of a line from quantity and discount --------------------------------------
@@ -91,11 +91,22 @@ def _(spark, sf):
     return _tree_scores(regression.boosted_trees(df, ["l_quantity", "l_discount"], "price"), df)
 
 
-@query("trend_seasonal_reg")
+_TIMES = ", ".join(f"sin(2 * pi() * {n} * t / {period}), cos(2 * pi() * {n} * t / {period})" for period, order in ((7.0, 2), (365.25, 3)) for n in range(1, order + 1))
+_WAVES = f"""{PANEL}, days AS (SELECT tran_br_code, start_date, daily_withdrawals AS y, date_diff('day', DATE '1970-01-01', start_date) AS t FROM panel),
+waves AS MATERIALIZED (SELECT tran_br_code, start_date, y, [1.0::DOUBLE, date_diff('day', DATE '{VAL_FROM}', start_date) / 365.25, {_TIMES}] AS z FROM days),
+{fits_sql(f"SELECT tran_br_code AS fit, y, z FROM waves WHERE start_date < DATE '{VAL_FROM}' AND y IS NOT NULL", "SELECT fit, 0.0 AS alpha, i, j, v FROM products", 12)}"""
+
+
+@query(
+    "trend_seasonal_reg",
+    f"""WITH RECURSIVE {_WAVES}, p AS (SELECT tran_br_code, y, list_inner_product(z, w) AS p FROM waves JOIN coef ON fit = tran_br_code WHERE start_date >= DATE '{VAL_FROM}' AND y IS NOT NULL)
+        SELECT tran_br_code, round(mae, 1) AS mae, round(rmse, 1) AS rmse, wape, underforecasting_rate, num_comparisons FROM (SELECT tran_br_code, {_SCORE} FROM p GROUP BY 1)""",
+)
 def _(spark, sf):
     scored = regression.trend_seasonal(panel(spark, sf), "tran_br_code", "start_date", "daily_withdrawals", VAL_FROM)
     late = scored.where(F.col("start_date") >= F.lit(VAL_FROM))
-    return metrics.flow_metrics(late, "daily_withdrawals", "prediction", ["tran_br_code"])
+    found = metrics.flow_metrics(late, "daily_withdrawals", "prediction", ["tran_br_code"])
+    return found.select("tran_br_code", r("mae", 1), r("rmse", 1), "wape", "underforecasting_rate", "num_comparisons")
 
 
 _IMPORTANCE = f"""{_LINES}, {_two('l_quantity', 'l_discount', 'x')}, i AS (SELECT 'l_quantity' AS feature, abs(b1) AS importance FROM fit UNION ALL SELECT 'l_discount', abs(b2) FROM fit)"""

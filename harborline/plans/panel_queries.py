@@ -319,20 +319,20 @@ middle AS MATERIALIZED (SELECT [{", ".join(f"avg({c})" for c in _PREDICTORS)}] A
 data AS MATERIALIZED (SELECT tran_br_code, start_date, split, {", ".join(_LABELS)}, base, list_concat([1.0::DOUBLE], list_transform(list_zip({_X}, c), lambda p: p[1] - p[2])) AS z FROM filled, middle)"""
 
 
-def fits_sql(rows: str, sums: str = f"SELECT fit, {ALPHA} AS alpha, i, j, v FROM products") -> str:
-    """CTE coef(fit, w): weights of the columns of z, from ``rows``, a SELECT of (fit, y, z).
+def fits_sql(rows: str, sums: str = f"SELECT fit, {ALPHA} AS alpha, i, j, v FROM products", n: int = _N) -> str:
+    """CTE coef(fit, w): weights of the ``n`` columns of z, from ``rows``, a SELECT of (fit, y, z).
 
     ``sums`` turns the products of those rows into what each fit is solved from, with its penalty.
     """
     return f"""products AS MATERIALIZED (SELECT fit, i, j, sum(list_append(z, y)[i] * list_append(z, y)[j]) AS v
-  FROM ({rows}), range(1, {_N + 1}) a(i), range(1, {_N + 2}) b(j) WHERE j >= i GROUP BY ALL),
+  FROM ({rows}), range(1, {n + 1}) a(i), range(1, {n + 2}) b(j) WHERE j >= i GROUP BY ALL),
 sums AS MATERIALIZED ({sums}),
-mirrored AS (SELECT fit, alpha, i, j, v FROM sums UNION ALL SELECT fit, alpha, j, i, v FROM sums WHERE i < j AND j <= {_N}),
+mirrored AS (SELECT fit, alpha, i, j, v FROM sums UNION ALL SELECT fit, alpha, j, i, v FROM sums WHERE i < j AND j <= {n}),
 gj AS (SELECT fit, 1 AS k, i, j, v + CASE WHEN i = j AND i > 1 THEN alpha ELSE 0 END AS v, max(CASE WHEN i = j THEN v END) OVER (PARTITION BY fit, i) AS size FROM mirrored
   UNION ALL SELECT a.fit, a.k + 1, a.i, a.j, CASE WHEN abs(p.v) <= 1e-10 * p.size THEN CASE WHEN a.i = a.k THEN 0 ELSE a.v END WHEN a.i = a.k THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END, a.size
   FROM gj a JOIN gj p ON p.fit = a.fit AND p.i = a.k AND p.j = a.k JOIN gj r ON r.fit = a.fit AND r.i = a.k AND r.j = a.j JOIN gj c ON c.fit = a.fit AND c.i = a.i AND c.j = a.k
-  WHERE a.k <= {_N} AND a.j > a.k),
-coef AS MATERIALIZED (SELECT fit, list(v ORDER BY i) AS w FROM gj WHERE k = {_N + 1} AND j = {_N + 1} GROUP BY fit)"""
+  WHERE a.k <= {n} AND a.j > a.k),
+coef AS MATERIALIZED (SELECT fit, list(v ORDER BY i) AS w FROM gj WHERE k = {n + 1} AND j = {n + 1} GROUP BY fit)"""
 
 
 _SCORE = "round_even(avg(abs(y - p)), 2) AS mae, round_even(sqrt(avg(pow(y - p, 2))), 2) AS rmse, round_even(sum(abs(y - p)) / sum(abs(y)), 4) AS wape, round_even(avg(CASE WHEN p < y THEN 1.0 ELSE 0 END), 4) AS underforecasting_rate, count(*) AS num_comparisons, round_even(max(greatest(y - p, 0)), 2) AS max_shortfall"
