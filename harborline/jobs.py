@@ -16,6 +16,7 @@ from harborline.operators import aggregates, cash, checks, cleaning, evaluation,
 from harborline.operators.columns import columns_by_type
 from harborline.session import cut
 from harborline.sources import readers, writers
+from harborline.sources.store import Store
 
 TRANSACTIONS = "tran_br_code string, start_date string, txn_hour string, TOTAL_DR string, TOTAL_CR string"
 
@@ -274,10 +275,22 @@ def index_documents(spark: SparkSession, docs: DataFrame, target: str, stored: s
     return writers.upsert_store(spark, stored, cut(chunks), "id", target)
 
 
+def update_index(spark: SparkSession, docs: DataFrame, path: str, size: int = 120, overlap: int = 25, parts: int = 64) -> int:
+    """Chunk and embed documents into the store at ``path``, which is made if there is none; the version committed.
+
+    Only the parts of the store that the chunks fall into are rewritten.
+    """
+    chunks = cut(retrieval.embed(retrieval.chunk_documents(docs, size, overlap).dropDuplicates(["id"])))
+    store = Store(spark, path)
+    return store.upsert(chunks) if store.exists() else store.create(chunks, "id", parts)
+
+
 def ask(spark: SparkSession, store: str, questions: DataFrame, k: int = retrieval.TOP_K, min_score: float = retrieval.MIN_SCORE) -> tuple[DataFrame, DataFrame]:
     """(answers, hits) for a batch of (question_id, text); blank questions are refused."""
     if not questions.where(F.trim("text") == "").isEmpty():
         raise ValueError("question cannot be empty")
     asked = retrieval.embed(questions)
-    hits = cut(retrieval.search(asked, spark.read.parquet(store), k, min_score))
+    versioned = Store(spark, store)
+    chunks = versioned.read() if versioned.exists() else spark.read.parquet(store)
+    hits = cut(retrieval.search(asked, chunks, k, min_score))
     return retrieval.answer(questions, hits), hits

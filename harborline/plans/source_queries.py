@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from harborline.operators.metrics import flow_metrics
 from harborline.plans.registry import query
 from harborline.plans.tables import table
-from harborline.session import scratch_path
+from harborline.session import drop_at_end, scratch_path
 from harborline.sources import readers, writers
+from harborline.sources.store import Store
 
 
 @query(
@@ -144,16 +145,22 @@ def _store_frames(spark, sf):
     return docs.drop("lang"), incoming
 
 
+def _updated_store(spark, sf):
+    stored, incoming = _store_frames(spark, sf)
+    path = scratch_path(spark, "store")
+    drop_at_end(spark, path)
+    store = Store(spark, path)
+    store.create(stored, "doc_id", parts=16)
+    store.upsert(incoming)
+    return store
+
+
 @query("sink_vector_upsert", f"WITH {_STORE} SELECT doc_id, md5(text) AS digest, source FROM merged")
 def _(spark, sf):
-    stored, incoming = _store_frames(spark, sf)
-    first = writers.write_store(stored, scratch_path(spark, "store"))
-    second = writers.upsert_store(spark, first, incoming, "doc_id", scratch_path(spark, "store"))
-    return spark.read.parquet(second).select("doc_id", F.md5("text").alias("digest"), "source")
+    return _updated_store(spark, sf).read().select("doc_id", F.md5("text").alias("digest"), "source")
 
 
 @query("store_count", f"WITH {_STORE} SELECT count(*) AS chunks FROM merged")
 def _(spark, sf):
-    stored, incoming = _store_frames(spark, sf)
-    path = writers.write_store(writers.upsert(stored, incoming, "doc_id"), scratch_path(spark, "store"))
-    return writers.store_count(spark, path)
+    store = _updated_store(spark, sf)
+    return spark.range(1).select(F.lit(store.count()).cast("long").alias("chunks"))
