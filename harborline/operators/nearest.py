@@ -4,21 +4,32 @@ Scores are computed as dense blocks inside tasks and only each block's best ``k`
 it, so no (query, item) pair becomes a row. Queries and items are cut into blocks, and blocks of queries
 meet blocks of items as cells of bounded size, whatever the sizes are. Null vectors take no part; vectors
 of different lengths, or with null components, are refused.
+
+Large tables of items are parted by their nearest centre, a bounded sample of items. A centre and the radius of its
+part bound every score in it from above. A query first meets the parts with the best bounds that hold
+``k`` items; its k-th best score so far then rejects all parts whose bound lies below it, and it meets the
+rest in a second round. Centres decide what is compared, never what is found.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborline.operators.windows import top_n
+from harborline.session import cut
 
 QUERY_BLOCK = 1_024  # about as many queries, and items, in one cell
 ITEM_BLOCK = 8_192
 SCORE_DIGITS = 9
+CENTRES = 4_096  # at most so many items are collected as centres
+PRUNE_FROM = 16  # blocks of items; with fewer, comparing all costs less than another round
 
 
 def _scores(queries: np.ndarray, items: np.ndarray, metric: str) -> np.ndarray:
@@ -83,18 +94,16 @@ def nearest(
         [queries.schema["query_id"], items.schema["item_id"], T.StructField("score", T.DoubleType())]
     )
     queries, items = (side.where(F.col("vector").isNotNull()) for side in (queries, items))
-    found = _cells(queries, items, schema, k, metric, min_score, other_only)
+    blocks = -(-items.select("item_id").count() // ITEM_BLOCK)  # only ids are counted: columns that make vectors are pruned
+    if blocks >= PRUNE_FROM:
+        found = _pruned(queries, items, schema, k, metric, min_score, other_only, min(blocks, CENTRES))
+    else:
+        found = _cells(queries, items, schema, k, metric, min_score, other_only, max(1, blocks))
     return top_n(found, ["query_id"], [F.col("score").desc(), F.col("item_id")], k)
 
 
-def _cells(queries, items, schema, k, metric, min_score, other_only) -> DataFrame:
-    blocks = lambda n, size: max(1, -(-n // size))
-    # only ids are counted: columns that make the vectors are pruned
-    nq, ni = blocks(queries.select("query_id").count(), QUERY_BLOCK), blocks(items.select("item_id").count(), ITEM_BLOCK)
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    left = queries.select("*", block("query_id", nq).alias("qb"), every(ni).alias("ib"))
-    right = items.select("*", block("item_id", ni).alias("ib"), every(nq).alias("qb"))
+def _cell(k: int, metric: str, min_score: float | None, other_only: bool) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """The best items of a block of queries in a block of items."""
 
     def cell(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
         if q.empty or i.empty:
@@ -104,4 +113,123 @@ def _cells(queries, items, schema, k, metric, min_score, other_only) -> DataFram
             raise ValueError(f"vectors of different lengths: {x.shape[1]} and {y.shape[1]}")
         return _best(q["query_id"].to_numpy(), x, i["item_id"].to_numpy(), y, k, metric, min_score, other_only)
 
-    return left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInPandas(cell, schema)
+    return cell
+
+
+def _every(n: Column | int) -> Column:
+    return F.explode(F.sequence(F.lit(0), (n if isinstance(n, Column) else F.lit(n)) - 1))
+
+
+def _block(c: str, n: Column | int) -> Column:
+    return F.pmod(F.xxhash64(c), n if isinstance(n, Column) else F.lit(n)).cast("int")
+
+
+def _cells(queries, items, schema, k, metric, min_score, other_only, ni) -> DataFrame:
+    nq = max(1, -(-queries.select("query_id").count() // QUERY_BLOCK))
+    left = queries.select("*", _block("query_id", nq).alias("qb"), _every(ni).alias("ib"))
+    right = items.select("*", _block("item_id", ni).alias("ib"), _every(nq).alias("qb"))
+    return left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInPandas(_cell(k, metric, min_score, other_only), schema)
+
+
+class Parts(NamedTuple):
+    """Centres of the parts of the items, how far the items of each reach, and their number."""
+
+    centres: np.ndarray
+    radius: np.ndarray
+    counts: np.ndarray
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        if x.shape[1] != self.centres.shape[1]:
+            raise ValueError(f"vectors of different lengths: {x.shape[1]} and {self.centres.shape[1]}")
+        squares = (x * x).sum(axis=1)[:, None] + (self.centres**2).sum(axis=1)[None, :] - 2 * x @ self.centres.T
+        return np.sqrt(np.maximum(squares, 0.0))
+
+    def bounds(self, x: np.ndarray, metric: str) -> np.ndarray:
+        """At least the score of any item of a part, with room for rounding; -inf for parts without items."""
+        if metric == "dot":
+            top = x @ self.centres.T + np.linalg.norm(x, axis=1)[:, None] * self.radius[None, :]
+        else:
+            top = -np.maximum(self.distances(x) - self.radius[None, :], 0.0) ** 2
+        return np.where(self.counts > 0, top + 1e-8 * (1 + np.abs(top)), -np.inf)
+
+    def first(self, bounds: np.ndarray, k: int) -> np.ndarray:
+        """Marks the parts with the best bounds that together hold more than ``k`` items."""
+        order = np.argsort(-bounds, axis=1, kind="stable")
+        before = np.cumsum(self.counts[order], axis=1) - self.counts[order]
+        marked = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(marked, order, before <= k, axis=1)
+        return marked & (self.counts > 0)
+
+
+def parted(items: DataFrame, centres: int) -> tuple[DataFrame, Parts]:
+    """``items`` with their ``part``, written, and what bounds the parts. Centres are the items with the least hashes."""
+    spark = items.sparkSession
+    sample = items.orderBy(F.xxhash64("item_id"), "item_id").limit(centres).select("vector").collect()
+    points = np.unique(_matrix([r[0] for r in sample]), axis=0)
+    none = Parts(points, np.zeros(len(points)), np.zeros(len(points), dtype=np.int64))
+    shared = spark.sparkContext.broadcast(none)
+    schema = T.StructType([*items.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("gap", T.DoubleType())])
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for start in range(0, len(rows), 1_024):
+                some = rows.iloc[start : start + 1_024]
+                far = shared.value.distances(_matrix(some["vector"]))
+                part = far.argmin(axis=1)
+                yield some.assign(part=part.astype(np.int32), gap=np.take_along_axis(far, part[:, None], axis=1)[:, 0])
+
+    table = cut(items.mapInPandas(assign, schema))
+    radius, counts = none.radius.copy(), none.counts.copy()
+    for r in table.groupBy("part").agg(F.max("gap").alias("gap"), F.count(F.lit(1)).alias("n")).collect():  # a row per centre
+        # distances come from squares: what cancels there grows with the size of the vectors
+        radius[r.part], counts[r.part] = r.gap + 1e-6 * (1 + np.abs(points).max() * np.sqrt(points.shape[1])), r.n
+    return table.drop("gap"), Parts(points, radius, counts)
+
+
+def visits(queries: DataFrame, parts: Parts, k: int, metric: str, floor: bool) -> DataFrame:
+    """(query_id, part): the parts that a query meets first, or, with its ``floor``, in the second round."""
+    shared = queries.sparkSession.sparkContext.broadcast(parts)
+    schema = T.StructType([queries.schema["query_id"], T.StructField("part", T.IntegerType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for start in range(0, len(rows), 1_024):
+                some = rows.iloc[start : start + 1_024]
+                bounds = shared.value.bounds(_matrix(some["vector"]), metric)
+                marked = shared.value.first(bounds, k)
+                if floor:
+                    least = some["floor"].to_numpy(dtype=float)[:, None]
+                    marked = ~marked & (shared.value.counts > 0) & (bounds >= least)
+                at, part = np.nonzero(marked)
+                yield pd.DataFrame({"query_id": some["query_id"].to_numpy()[at], "part": part.astype(np.int32)})
+
+    return queries.mapInPandas(run, schema)
+
+
+def _met(queries, met, table, parts, schema, cell) -> DataFrame:
+    """The best items of the parts that queries meet; a part's queries and items meet in blocks."""
+    spark = queries.sparkSession
+    sizes = [(k, max(1, -(-int(n) // ITEM_BLOCK))) for k, n in enumerate(parts.counts)]
+    sizes = F.broadcast(spark.createDataFrame(sizes, "part int, ni int"))  # a row per centre
+    guests = met.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("nq"))
+    sizes = F.broadcast(guests.join(sizes, "part"))
+    asked = met.withColumnRenamed("query_id", "_id").join(queries, F.col("_id").eqNullSafe(F.col("query_id"))).drop("_id")
+    left = asked.join(sizes, "part").select("query_id", "vector", "part", _block("query_id", F.col("nq")).alias("qb"), _every(F.col("ni")).alias("ib"))
+    right = table.join(sizes, "part").select("item_id", "vector", "part", _block("item_id", F.col("ni")).alias("ib"), _every(F.col("nq")).alias("qb"))
+    keys = ["part", "qb", "ib"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(cell, schema)
+
+
+def _pruned(queries, items, schema, k, metric, min_score, other_only, centres) -> DataFrame:
+    table, parts = parted(items, centres)
+    cell = _cell(k, metric, min_score, other_only)
+    once = cut(visits(queries, parts, k, metric, False))
+    best = top_n(_met(queries, once, table, parts, schema, cell), ["query_id"], [F.col("score").desc(), F.col("item_id")], k)
+    best = cut(best.select("query_id", "item_id", "score"))
+    # fewer than k items so far: whatever the least score allows may still come
+    least = F.when(F.count(F.lit(1)) >= k, F.min("score"))
+    floors = best.groupBy(F.col("query_id").alias("_id")).agg(least.alias("floor"))
+    lowest = F.lit(float("-inf") if min_score is None else float(min_score))
+    again = queries.join(floors, F.col("_id").eqNullSafe(F.col("query_id")), "left").select("query_id", "vector", F.greatest(F.coalesce("floor", lowest), lowest).alias("floor"))
+    more = cut(visits(again, parts, k, metric, True))
+    return best.unionByName(_met(queries, more, table, parts, schema, cell))
