@@ -15,9 +15,12 @@ each. Other columns pass through untouched; the new column replaces one of the s
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -42,6 +45,7 @@ class Codec:
         for raw, rank in ranked:
             self.bytes[rank] = raw
             self.spelled[raw.decode("latin-1")] = rank
+        self.tokens = pa.array(self.bytes, pa.binary())
         self.length = [len(raw) if raw is not None else 0 for raw in self.bytes]
         self.automaton = ahocorasick.Automaton()
         for text, rank in self.spelled.items():
@@ -51,7 +55,7 @@ class Codec:
         self.merged: dict[tuple[int, int], int] = {}
         self.parts: list[tuple[int, int]] = [(i, i) for i in range(self.size)]
         self.fits_memo: dict[tuple[int, int], bool] = {}
-        self.piece_memo: dict[str, list[int]] = {}
+        self.piece_memo = _Memo(self.piece)
         for raw, rank in ranked:
             self._learn(raw.decode("latin-1"), rank)
         self.fits_memo.clear()
@@ -138,18 +142,28 @@ class Codec:
             token = shorter[token]
         return made
 
+    def packed(self, text: str | None) -> bytes:
+        """Ids of a whole text as 32-bit numbers, one after the other."""
+        return b"".join(map(self.piece_memo.__getitem__, self.pieces(text or "")))
+
     def encode(self, text: str | None) -> list[int]:
-        memo, ids = self.piece_memo, []
-        for match in self.pieces(text or ""):
-            known = memo.get(match)
-            if known is None:
-                known = self.piece(match)
-                if len(match) <= 64:
-                    if len(memo) >= _MEMO:
-                        memo.clear()
-                    memo[match] = known
-            ids += known
-        return ids
+        return array("i", self.packed(text)).tolist()
+
+
+class _Memo(dict):
+    """Packed ids by piece, of short pieces; a full memo is emptied."""
+
+    def __init__(self, piece: Callable[[str], list[int]]):
+        super().__init__()
+        self.piece = piece
+
+    def __missing__(self, match: str) -> bytes:
+        found = array("i", self.piece(match)).tobytes()
+        if len(match) <= 64:
+            if len(self) >= _MEMO:
+                self.clear()
+            self[match] = found
+        return found
 
 
 class Vocabulary:
@@ -176,18 +190,17 @@ def _codec(shared: Broadcast) -> Codec:
     return _READY[key]
 
 
-def _mapped(docs: DataFrame, name: str, kind: T.DataType, arrow: pa.DataType, source: str, ready) -> DataFrame:
-    """``docs`` with column ``name`` made from column ``source`` by the function that ``ready()`` gives."""
+def _mapped(docs: DataFrame, name: str, kind: T.DataType, source: str, ready: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
+    """``docs`` with column ``name`` made from arrays of column ``source`` by the function that ``ready()`` gives."""
     schema = T.StructType([f for f in docs.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = ready()
+        made = ready()
         for whole in batches:
             for start in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(start, _ROWS)
-                made = pa.array([one(x) for x in batch.column(source).to_pylist()], arrow)
                 names = [n for n in batch.schema.names if n != name]
-                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), made], [*names, name])
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), made(batch.column(source))], [*names, name])
 
     return docs.mapInArrow(run, schema)
 
@@ -195,15 +208,41 @@ def _mapped(docs: DataFrame, name: str, kind: T.DataType, arrow: pa.DataType, so
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """``docs`` with the ids of each whole text as array<int>."""
     shared = vocabulary.shared
-    return _mapped(docs, ids, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()), text, lambda: _codec(shared).encode)
+
+    def ready() -> Callable[[pa.Array], pa.Array]:
+        packed = _codec(shared).packed
+
+        def made(texts: pa.Array) -> pa.Array:
+            rows = [packed(t) for t in texts.to_pylist()]
+            ends = np.zeros(len(rows) + 1, dtype=np.int32)
+            np.cumsum([len(row) // 4 for row in rows], out=ends[1:])
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
+
+        return made
+
+    return _mapped(docs, ids, T.ArrayType(T.IntegerType()), text, ready)
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "token_ids", raw: str = "decoded") -> DataFrame:
     """``docs`` with the bytes of each id array as binary."""
     shared = vocabulary.shared
 
-    def ready():
-        spelled = {rank: token for token, rank in _rank_file(shared)}
-        return lambda row: b"".join(map(spelled.__getitem__, row or []))
+    def ready() -> Callable[[pa.Array], pa.Array]:
+        tokens = _codec(shared).tokens
+
+        def made(rows: pa.Array) -> pa.Array:
+            numbers = rows.flatten()
+            least, most = pc.min_max(numbers).values()
+            if numbers.null_count or (len(numbers) and not 0 <= least.as_py() <= most.as_py() < len(tokens)):
+                raise KeyError("an id outside the vocabulary")
+            lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
+            ends = np.zeros(len(rows) + 1, dtype=np.int64)
+            np.cumsum(lengths, out=ends[1:])
+            found = tokens.take(numbers)
+            if found.null_count:
+                raise KeyError("an id outside the vocabulary")
+            return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends), found), b"").cast(pa.binary())
+
+        return made
 
-    return _mapped(docs, raw, T.BinaryType(), pa.binary(), ids, ready)
+    return _mapped(docs, raw, T.BinaryType(), ids, ready)
