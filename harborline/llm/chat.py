@@ -7,8 +7,8 @@ speaker is learned from in turn. System turns stay system turns and aren't parti
 ``dialogues`` renders whole dialogues: up to ``row_turns`` turns come in one row, longer ones in consecutive
 segments, of which every participant of the dialogue gets each, silent or not, so that no row grows with the
 longest conversation. A segment says how many turns and code points of the dialogue come before it for that
-speaker; the segments of a speaker concatenate to the whole. A group of rows is bounded as long as turn
-numbers don't repeat without end (turns without a number come first, together).
+speaker; the segments of a speaker concatenate to the whole. Turns are numbered over ranges of their order and cut by
+place, so no group of rows is larger than a row's turns, whatever their turn numbers are.
 
 ``rotations`` renders stretches of ``segment`` consecutive turn numbers as dialogues of their own, rotated by
 the speakers of the stretch; turns without a number form a stretch of their own (null).
@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harborline.llm.common import cut
+from harborline.llm.ordered import numbered
 
 END = "<|end|>\n"
-STRETCH = 64  # turn numbers that are grouped first
 
 
 def _header(role: Column, speaker: Column) -> Column:
@@ -84,53 +84,31 @@ def dialogues(
     """One row per conversation, segment and participant of the conversation: ``conv_id``, ``segment`` (from 0, in
     order), ``speaker``, ``turns_before``, ``offset`` (code points before), ``n_turns``, ``rendered``, and ``mask``, the
     spans (start, end) in code points of ``rendered`` that the speaker says."""
-    rows = turns.select(
-        F.col(conv_id).alias("conv_id"),
-        F.floor(F.col(turn) / STRETCH).cast("long").alias("stretch"),
-        F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), _text(text).alias("text")).alias("said"),
-    )
-    # lengths as they are for a speaker who is silent; what a speaker says has another header
-    said = F.col("said")
     nobody = F.lit(None).cast("string")
-    plain = F.length(F.coalesce(_header(said["role"], nobody), F.lit(""))) + F.length(said["text"]) + len(END)
-    by_role = rows.groupBy("conv_id", "stretch", said["role"].alias("role")).agg(F.count(F.lit(1)).alias("n"), F.sum(plain.cast("long")).alias("chars"))
-    by_stretch = by_role.groupBy("conv_id", "stretch").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
-    in_order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("stretch")).rowsBetween(Window.unboundedPreceding, -1)
-    places = by_stretch.withColumn("before", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
-    places = places.withColumn("part", F.floor(F.col("before") / row_turns).cast("long"))
+    key = F.coalesce(F.col(conv_id).cast("string"), F.lit(""))
+    rows = turns.select(key.alias("key"), F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), _text(text).alias("text"))
+    rows = numbered(rows, "key", [F.asc_nulls_first("turn"), F.asc_nulls_first("role"), "text"])
+    rows = rows.withColumn("segment", F.floor((F.col("place") - 1) / row_turns).cast("long"))
+    said = F.struct("place", "role", "text")
+    groups = rows.groupBy("key", "conv_id", "segment").agg(F.sort_array(F.collect_list(said)).alias("turns"))
     # only conversations that don't fit in a row need more than their own turns
-    long = places.groupBy("conv_id").agg(F.max("part").alias("last")).where("last > 0").select(F.col("conv_id").alias("long_id"))
-    here = F.col("conv_id").eqNullSafe(F.col("long_id"))
-    places = cut(places.join(long, here, "left_semi"))
-    long = places.select(F.col("conv_id").alias("long_id")).distinct()
-    key = lambda *names: [F.col(n).alias(f"_{n}") for n in names]
-    at = places.select(*key("conv_id", "stretch"), "part")
-    here_too = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & F.col("stretch").eqNullSafe(F.col("_stretch"))
-    rows = rows.join(at, here_too, "left")
-    groups = rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list("said")).alias("turns"))
-
-    parts = places.groupBy("conv_id", "part").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
-    upto = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda name, window: F.coalesce(F.sum(name).over(window), F.lit(0))
-    parts = parts.select(
-        *key("conv_id", "part"),
-        (F.row_number().over(Window.partitionBy("conv_id").orderBy("part")) - 1).cast("long").alias("segment"),
-        before("n", upto).alias("turns_before"),
-        before("chars", upto).alias("chars_before"),
-    )
-    spoken = by_role.join(long, here, "left_semi").where("role is not null and role <> 'system'").join(at, here_too)
-    spoken = cut(spoken.groupBy("conv_id", "part", "role").agg(F.sum("n").alias("own")))
-    people = spoken.select("conv_id", F.col("role").alias("speaker")).distinct()
-    same = F.col("conv_id").eqNullSafe(F.col("_conv_id"))
-    each = parts.join(people, same).drop("conv_id")
-    each = each.join(spoken, same & (F.col("part") == F.col("_part")) & (F.col("role") == F.col("speaker")), "left").drop("conv_id", "part", "role")
-    of_speaker = Window.partitionBy("_conv_id", "speaker").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    long = cut(rows.where("segment > 0").select("key").distinct())
+
+    # lengths as they are for a speaker who is silent; what a speaker says has another header
+    plain = F.length(F.coalesce(_header(F.col("role"), nobody), F.lit(""))) + F.length("text") + len(END)
+    by_role = rows.join(long, "key", "left_semi").groupBy("key", "segment", "role")
+    by_role = cut(by_role.agg(F.count(F.lit(1)).alias("n"), F.sum(plain.cast("long")).alias("chars")))
+    before = lambda name, *by: F.coalesce(F.sum(name).over(Window.partitionBy(*by).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = by_role.groupBy("key", "segment").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"))
+    parts = parts.select("key", "segment", before("n", "key").alias("turns_before"), before("chars", "key").alias("chars_before"))
+    spoken = by_role.where("role is not null and role <> 'system'").select("key", "segment", F.col("role").alias("speaker"), F.col("n").alias("own"))
+    each = parts.join(spoken.select("key", "speaker").distinct(), "key").join(spoken, ["key", "segment", "speaker"], "left")
     change = F.length(_header(F.col("speaker"), F.col("speaker"))) - F.length(_header(F.col("speaker"), nobody))
-    each = each.withColumn("offset", F.col("chars_before") + before("own", of_speaker) * change)
+    each = each.withColumn("offset", F.col("chars_before") + before("own", "key", "speaker") * change)
 
-    whole = groups.where("part is null").withColumns({"segment": F.lit(0).cast("long"), "turns_before": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
-    whole = whole.withColumn("speaker", F.explode(_people("turns"))).drop("part")
-    cuts = groups.where("part is not null").join(each, same & (F.col("part") == F.col("_part"))).drop("_conv_id", "_part", "part", "chars_before", "own")
+    none = F.lit(0).cast("long")
+    whole = groups.join(long, "key", "left_anti").withColumns({"turns_before": none, "offset": none, "speaker": F.explode(_people("turns"))})
+    cuts = groups.join(each.drop("chars_before", "own"), ["key", "segment"])
     found = _rendered(whole.unionByName(cuts))
     return found.select("conv_id", "segment", "speaker", "turns_before", "offset", F.size("turns").cast("long").alias("n_turns"), "rendered", "mask")
 

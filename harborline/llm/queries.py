@@ -78,17 +78,15 @@ def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", "segment", "speaker", "n_turns", "rendered", F.array_join(spans, ",").alias("mask"))
 
 
-# The SQL rotates stretches of 64 turn numbers: it states the query for conversations that stay below turn 64.
 OP5_SQL = """
-WITH t AS (SELECT conv_id, CAST(floor(turn / 64) AS BIGINT) AS segment, turn, role,
-    replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body FROM conversations),
-p AS (SELECT DISTINCT conv_id, segment, role AS speaker FROM t WHERE role IS NOT NULL AND role <> 'system'),
-r AS (SELECT t.*, speaker, coalesce(role = speaker, false) AS own,
+WITH t AS (SELECT conv_id, turn, role, replace(coalesce(text, ''), '<|', '< |') AS said FROM conversations),
+n AS (SELECT conv_id, role, said || '<|end|>' || chr(10) AS body, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, said) AS k FROM t),
+p AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role IS NOT NULL AND role <> 'system'),
+r AS (SELECT n.*, speaker, coalesce(role = speaker, false) AS own,
     CASE WHEN role IS NULL THEN '<|user|>' WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>'
          ELSE '<|user name=' || role || '|>' END || chr(10) AS head
-  FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.segment IS NOT DISTINCT FROM p.segment),
-o AS (SELECT *, row_number() OVER w AS k, sum(length(head) + length(body)) OVER w AS stop FROM r
-  WINDOW w AS (PARTITION BY conv_id, segment, speaker ORDER BY turn NULLS FIRST, role NULLS FIRST, body ROWS UNBOUNDED PRECEDING))
+  FROM n JOIN p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
+o AS (SELECT *, (k - 1) // 1024 AS segment, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY k) AS stop FROM r)
 SELECT conv_id, segment, speaker, count(*) AS n_turns, string_agg(head || body, '' ORDER BY k) AS rendered,
   coalesce(string_agg((stop - length(body)) || ':' || stop, ',' ORDER BY k) FILTER (WHERE own), '') AS mask
 FROM o GROUP BY conv_id, segment, speaker

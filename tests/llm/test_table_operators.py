@@ -115,14 +115,37 @@ def test_embedding_dedup_of_nothing_and_null_ids(spark):
     assert got == Counter({(None, 1, 4, False): 1, (4, 1, 4, True): 1, (None, 0, None, False): 1})
 
 
-def test_embedding_recall_on_the_given_table(spark, sf):
-    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+def test_embedding_recall_on_planted_links(spark, sf):
+    """The given tables hold hardly a link, so near copies of their vectors are planted; every fiftieth row is looked up."""
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    rnd = np.random.default_rng(9)
     x = np.array([r.embedding for r in rows], dtype=float)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    labels = np.array([r.label for r in rows])
-    links = ((x @ x.T >= 0.98) & (labels[:, None] == labels[None, :])).sum() - len(rows)
-    found = queries.QUERIES["op2_embedding_dedup"](spark, "/root/testdata/sf0.1").agg(F.sum("n_links")).first()[0]
-    assert found <= links and found >= 0.99 * links
+    near = x + rnd.normal(size=x.shape) * np.linalg.norm(x, axis=1, keepdims=True) * rnd.uniform(0, 0.04, (len(x), 1))
+    x, labels = np.vstack([x, near]).astype(np.float32), [r.label for r in rows] * 2
+    df = spark.createDataFrame([(k, v.tolist(), label) for k, (v, label) in enumerate(zip(x, labels))], VEC)
+    found = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    asked = np.arange(0, len(x), 50 if len(x) > 5_000 else 5)
+    true = {int(k): int(sum(unit[k] @ unit[j] >= 0.98 and labels[k] == labels[j] for j in range(len(x)) if j != k)) for k in asked}
+    assert sum(true.values()) > 10
+    assert all(found[k] <= n for k, n in true.items()) and sum(found[k] for k in true) >= 0.99 * sum(true.values())
+
+
+def test_long_dialogues_without_turn_numbers_come_in_bounded_rows(spark):
+    rnd = random.Random(4)
+    rows = [(c, t, rnd.choice(["ann", "bob", "system", None]), f"{rnd.random()}") for c, t in [(1, None)] * 3_000 + [(2, 7)] * 3_000]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    found = chat.dialogues(df, row_turns=250).collect()
+    assert len(found) == 2 * 12 * 2 and {r.n_turns for r in found} == {250}
+    for conv in (1, 2):
+        said = sorted(((r[2] or "", r[2] is not None, r[3]) for r in rows if r[0] == conv), key=lambda x: (x[1], x[0], x[2]))
+        for speaker in ("ann", "bob"):
+            mine = sorted((r for r in found if r.conv_id == conv and r.speaker == speaker), key=lambda r: r.segment)
+            text = "".join(r.rendered for r in mine)
+            assert [r.offset for r in mine] == [sum(len(p.rendered) for p in mine[:k]) for k in range(12)]
+            assert [r.turns_before for r in mine] == [250 * k for k in range(12)]
+            spans = [text[r.offset + m.start : r.offset + m.end] for r in mine for m in r["mask"]]
+            assert spans == [f"{t}{chat.END}" for name, known, t in said if name == speaker]
 
 
 def counted_by_hand(x, threshold=0.98):
