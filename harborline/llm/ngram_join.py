@@ -16,7 +16,8 @@ A document is the set of its distinct 3-word shingles (64-bit hashes); two docum
 * Buckets above ``BLOCK`` members are dealt out in blocks, and pairs of blocks are tasks of their own.
 * Components of the pairs that may match are *families*. Every family's whole sets are read again from the
   documents, once each, and all its pairs are verified exactly inside tasks, again in pairs of blocks; links
-  that connect something new leave the task. No pair of a family becomes a row otherwise.
+  that connect something new leave the task. No pair of a family becomes a row otherwise. In a family of several
+  blocks a set travels as its difference from one set of the family, the hub, which every cell gets once.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing. A null id takes part, but
 never names a component unless the class has nothing else (then the component is null). Rows that share an
@@ -42,6 +43,7 @@ NAMED_BITS = 1 << 22  # of the table of documents to verify
 SIGNATURE = 512  # bits of a bitmap and of a parity map
 BLOCK = 512  # members of a bucket that one task compares
 ELEMENTS = 1 << 20  # shingles of a family's block, about
+HUB_BYTES = 64 << 20  # of all families' hubs together, up to which they are broadcast
 LEAF = 8
 _P = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
@@ -213,24 +215,23 @@ def _dealt(rows: DataFrame, key: str) -> DataFrame:
     cell = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
     every = F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))
     cells = F.transform(every, lambda k: F.when(k < block, cell(k, block, 1)).otherwise(cell(block, k, 0)))
-    dealt = rows.withColumn("_cell", F.explode(cells)).select(key, "_cell.*", *[c for c in rows.columns if c not in (key, "blocks")])
-    return dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "side", "n", "node")
+    return rows.withColumn("_cell", F.explode(cells)).select(key, "_cell.*", *[c for c in rows.columns if c not in (key, "blocks")])
 
 
 def _found_in_cells(dealt: DataFrame, key: str, payload: str, find) -> DataFrame:
     """Pairs (a, b) of nodes that ``find`` picks: it gets both sides of a cell as lists of (node, n, payload),
-    the second empty where a block meets itself, and gives pairs of places."""
+    the second empty where a block meets itself, and the payload of side 2 if there is one, and gives pairs of places."""
     names = (key, "i", "j", "side", "node", "n", payload)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes]]:
         for (_, i, j), cell in groupby(_rows(batches, *names), key=lambda r: r[:3]):
-            sides: tuple[list, list] = ([], [])
+            sides: tuple[list, list, list] = ([], [], [])
             for row in cell:
                 sides[row[3]].append(row[4:])
-            left, right = sides
+            left, right, hub = sides
             if not left or (i != j and not right):
                 continue
-            for x, y in find(left, right):
+            for x, y in find(left, right, *(h[2] for h in hub)):
                 a, b = left[x][0], (right or left)[y][0]
                 yield (a, b) if a > b else (b, a)
 
@@ -244,6 +245,7 @@ def _found_in_cells(dealt: DataFrame, key: str, payload: str, find) -> DataFrame
         if held:
             yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in held])
 
+    dealt = dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "side", "n", "node")
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
@@ -283,18 +285,64 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int
     return out
 
 
-def _verified(sets: DataFrame, similarity: int) -> DataFrame:
-    """Links (a, b) that connect all that links connect, from ``sets`` (family, blocks, node, n, s)."""
+def _hubs(in_family: DataFrame, sets: DataFrame) -> DataFrame:
+    """One whole set of every family of several blocks: (family, blocks, hub)."""
+    chosen = in_family.where("blocks > 1").groupBy("family", "blocks").agg(F.min("node").alias("node"))
+    found = cut(chosen.join(sets, "node").select("family", "blocks", F.col("s").alias("hub")))
+    size = found.agg(F.sum(F.length("hub"))).first()[0] or 0
+    return F.broadcast(found) if size <= HUB_BYTES else found
+
+
+def _apart_from_hubs(sets: DataFrame) -> DataFrame:
+    """Sets (family, blocks, node, n, s, hub) by what they and their hub don't share, where that is less than the set.
+
+    A first byte tells which. Members of a family are much alike, so every copy that goes to another cell is small.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                made = []
+                for s, hub in zip(batch.column("s").to_pylist(), batch.column("hub").to_pylist()):
+                    apart = s if hub is None else np.setxor1d(np.frombuffer(s, np.int64), np.frombuffer(hub, np.int64), assume_unique=True).tobytes()
+                    made.append(b"\x01" + apart if len(apart) < len(s) else b"\x00" + s)
+                arrays = [*(batch.column(c) for c in ("family", "blocks", "node", "n")), pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["family", "blocks", "node", "n", "s"])
+
+    kinds = ", ".join(f"{c} {sets.schema[c].dataType.simpleString()}" for c in ("family", "blocks", "node", "n"))
+    return sets.select("family", "blocks", "node", "n", "s", "hub").mapInArrow(run, f"{kinds}, s binary")
+
+
+def _verified(in_family: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that connect all that links connect, from ``in_family`` (family, blocks, node, n) and ``sets`` (node, s)."""
+
+    def find(left: list[tuple], right: list[tuple], hub: bytes = b"") -> Iterator[tuple[int, int]]:
+        centre = np.frombuffer(hub, dtype=np.int64)
+
+        def whole(payload: bytes) -> np.ndarray:
+            found = np.frombuffer(payload, dtype=np.int64, offset=1)
+            return np.setxor1d(centre, found, assume_unique=True) if payload[0] else found
 
-    def find(left: list[tuple], right: list[tuple]) -> Iterator[tuple[int, int]]:
         label = np.arange(len(left) + len(right))
-        one, two = ([np.frombuffer(m[2], dtype=np.int64) for m in side] for side in (left, right or left))
+        one = [whole(m[2]) for m in left]
+        two = [whole(m[2]) for m in right] if right else one
         common = common_counts(one, two)
         sizes = [np.array([len(s) for s in side]) for side in (one, two)]
         union = sizes[0][:, None] + sizes[1][None, :] - common
         return joining(label, np.argwhere(100 * common >= similarity * union), 0, len(left) if right else 0)
 
-    return _found_in_cells(_dealt(sets, "family"), "family", "s", find)
+    hubs = _hubs(in_family, sets)
+    rows = in_family.select("family", "blocks", "node", "n").join(sets, "node")
+    rows = rows.join(hubs.select("family", "hub"), "family", "left")
+    dealt = _dealt(_apart_from_hubs(rows), "family").select("family", "i", "j", "side", "node", "n", "s")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = hubs.select("family", "blocks", "hub", every.alias("i")).select("family", "hub", "i", F.explode(F.sequence("i", F.col("blocks") - 1)).alias("j"))
+    nothing = F.lit(None)
+    middle = cells.select(
+        "family", F.col("i").cast("int"), F.col("j").cast("int"), F.lit(2).alias("side"), nothing.cast("binary").alias("node"), nothing.cast("long").alias("n"), F.col("hub").alias("s")
+    )
+    return _found_in_cells(dealt.unionByName(middle), "family", "s", find)
 
 
 def _whole_sets(docs: DataFrame, named: DataFrame, width: int) -> DataFrame:
@@ -347,7 +395,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     sizes = in_family.groupBy("family").agg(F.ceil(parts).cast("int").alias("blocks"))
     in_family = cut(in_family.join(sizes, "family"))
     sets = cut(_whole_sets(docs, in_family, width))
-    links = _verified(in_family.select("family", "blocks", "node", "n").join(sets, "node"), similarity)
+    links = _verified(in_family, sets, similarity)
     joined = components(links)
     named = nodes.select("node", "rep").join(joined.withColumnRenamed("id", "node"), "node", "left")
     named = named.select("node", "rep", F.coalesce("component", "node").alias("component"))

@@ -347,3 +347,26 @@ def test_values_in_many_repositories_of_one_owner_are_examples(spark):
     assert found[0] == [("assign", "example", 1, 50), ("assign", "live", 1, 49)]
     assert found[49] == [("assign", "example", 1, 50)]
 
+
+
+def test_one_family_over_many_blocks(spark, monkeypatch):
+    """Near copies of one text in blocks of a few: some link only through others, some not at all."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    rnd = random.Random(7)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(220):
+        words = list(base)
+        for at in rnd.sample(range(120), rnd.choice([0, 1, 1, 2, 3, 6, 12])):
+            words[at] = f"x{k}_{at}"
+        rows.append((k, " ".join(words)))
+    sets = [set(ngram_join.shingle_set(t).tolist()) for _, t in rows]
+    component = list(range(len(rows)))
+    changed = True
+    near = [[j for j in range(len(rows)) if 100 * len(a & sets[j]) >= 90 * len(a | sets[j])] for a in sets]
+    while changed:
+        least = [min(component[j] for j in links) for links in near]
+        changed, component = least != component, least
+    found = ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(component))
+    assert 3 < len(set(component)) < 200
