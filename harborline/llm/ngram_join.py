@@ -16,8 +16,8 @@ A document is the set of its distinct 3-word shingles (64-bit hashes); two docum
 * Buckets above ``BLOCK`` members are dealt out in blocks, and pairs of blocks are tasks of their own.
 * Components of the pairs that may match are *families*. Every family's whole sets are read again from the
   documents, once each, and all its pairs are verified exactly inside tasks, again in pairs of blocks; links
-  that connect something new leave the task. No pair of a family becomes a row otherwise. In a family of several
-  blocks a set travels as its difference from one set of the family, the hub, which every cell gets once.
+  that connect something new leave the task. No pair of a family becomes a row otherwise. A family of several
+  blocks is first parted by parity maps as wide as the sets, and in what stays that large a set travels as its difference from one set of the family, the hub, which every cell gets once.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing. A null id takes part, but
 never names a component unless the class has nothing else (then the component is null). Rows that share an
@@ -285,6 +285,60 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int
     return out
 
 
+def parity_map(s: np.ndarray) -> bytes:
+    """Parity of the members of each bit, over about as many bits as the set has members.
+
+    The bits that differ between two maps of one width can't outnumber the members that differ. A map of twice
+    the width gives one of the width by the exclusive or of its halves.
+    """
+    width = 1 << max(9, (max(1, len(s)) - 1).bit_length())
+    at = ((s.view(np.uint64) >> np.uint64(20)) % np.uint64(width)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=width) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def _near_maps(left: list[tuple], right: list[tuple], similarity: int) -> np.ndarray:
+    """Places (x, y) of members (node, n, map) that sizes and maps allow to reach the similarity."""
+    found = []
+    views = lambda side: [np.frombuffer(m[2], dtype=np.uint64) for m in side]
+    one, two = views(left), views(right)
+    n2 = np.array([m[1] for m in right], dtype=np.int64)
+    for words in sorted({len(v) for v in one + two}):  # each pair at the smaller of its widths
+        folded = lambda side: [(k, np.bitwise_xor.reduce(v.reshape(-1, words), axis=0), len(v) == words) for k, v in enumerate(side) if len(v) >= words]
+        ys = folded(two)
+        if not ys:
+            continue
+        places, maps, own = np.array([k for k, _, _ in ys]), np.vstack([v for _, v, _ in ys]), np.array([e for _, _, e in ys])
+        for x, v, exact in folded(one):
+            n = left[x][1] + n2[places]
+            fits = (own | exact) & ((100 + similarity) * np.minimum(left[x][1], n2[places]) >= similarity * n)
+            some = np.flatnonzero(fits)
+            if len(some):
+                apart = np.bitwise_count(maps[some] ^ v).sum(axis=1, dtype=np.int64)
+                some = some[(100 + similarity) * apart <= (100 - similarity) * n[some]]
+                found += [(x, int(y)) for y in places[some]]
+    return np.array(found, dtype=np.int64).reshape(-1, 2)
+
+
+def _refined(in_family: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of nodes that connect all that still may match in families of several blocks, by parity maps.
+
+    A map is a sixty-fourth of its set, and as wide as it, so it tells long documents apart that small bitmaps can't.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = [parity_map(np.frombuffer(s, dtype=np.int64)) for s in batch.column("s").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(maps, pa.binary())], ["node", "p"])
+
+    def find(left: list[tuple], right: list[tuple]) -> Iterator[tuple[int, int]]:
+        label = np.arange(len(left) + len(right))
+        return joining(label, _near_maps(left, right or left, similarity), 0, len(left) if right else 0)
+
+    maps = sets.mapInArrow(run, "node binary, p binary")
+    rows = in_family.where("blocks > 1").select("family", "blocks", "node", "n").join(maps, "node")
+    return _found_in_cells(_dealt(rows.select("family", "blocks", "node", "n", "p"), "family"), "family", "p", find)
+
+
 def _hubs(in_family: DataFrame, sets: DataFrame) -> DataFrame:
     """One whole set of every family of several blocks: (family, blocks, hub)."""
     chosen = in_family.where("blocks > 1").groupBy("family", "blocks").agg(F.min("node").alias("node"))
@@ -376,6 +430,14 @@ def _whole_sets(docs: DataFrame, named: DataFrame, width: int) -> DataFrame:
     return sets.join(named.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
+def _sized(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of components with the number of blocks that their family is dealt in: (family, node, n, rep, blocks)."""
+    members = found.toDF("node", "family").join(nodes.select("node", "n", "rep"), "node")
+    parts = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / ELEMENTS)
+    sizes = members.groupBy("family").agg(F.ceil(parts).cast("int").alias("blocks"))
+    return members.join(sizes, "family").select("family", "node", "n", "rep", "blocks")
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, similarity: int = 90) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links)."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -389,12 +451,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     shared = postings.groupBy("token").count().where("count > 1")
     members = postings.join(shared, "token").select("token", "node", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     members = members.join(nodes.select("node", "n", "bitmap"), "node").select("token", "blocks", "node", "n", "bitmap")
-    families = components(_may_match(members, similarity)).toDF("node", "family")
-    in_family = families.join(nodes.select("node", "n", "rep"), "node")
-    parts = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / ELEMENTS)
-    sizes = in_family.groupBy("family").agg(F.ceil(parts).cast("int").alias("blocks"))
-    in_family = cut(in_family.join(sizes, "family"))
+    in_family = cut(_sized(components(_may_match(members, similarity)), nodes))
     sets = cut(_whole_sets(docs, in_family, width))
+    closer = _sized(components(_refined(in_family, sets, similarity)), nodes)
+    in_family = cut(in_family.where("blocks = 1").unionByName(closer))
     links = _verified(in_family, sets, similarity)
     joined = components(links)
     named = nodes.select("node", "rep").join(joined.withColumnRenamed("id", "node"), "node", "left")

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -370,3 +371,18 @@ def test_one_family_over_many_blocks(spark, monkeypatch):
     found = ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in found} == dict(enumerate(component))
     assert 3 < len(set(component)) < 200
+
+
+def test_parity_maps_never_leave_out_a_link():
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (1, 5, 300, 700, 2_000, 9_000):
+        base = rng.integers(-(2**63), 2**63 - 1, n, dtype=np.int64)
+        for share in (0.0, 0.02, 0.05, 0.1, 0.3, 1.0):
+            more = rng.integers(-(2**63), 2**63 - 1, int(n * share) + 1, dtype=np.int64)
+            sets.append(np.unique(np.concatenate([base[int(n * share) :], more])))
+    members = [(b"", len(s), ngram_join.parity_map(s)) for s in sets]
+    for similarity in (80, 90):
+        kept = set(map(tuple, ngram_join._near_maps(members, members, similarity).tolist()))
+        near = {(x, y) for x, a in enumerate(sets) for y, b in enumerate(sets) if 100 * len(np.intersect1d(a, b)) >= similarity * len(np.union1d(a, b))}
+        assert near <= kept and len(kept) < len(near) + 30
