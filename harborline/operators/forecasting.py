@@ -81,8 +81,8 @@ def recursive_forecast(
     """Forecast ``days`` days from ``origin`` for every branch with history.
 
     ``predict`` maps each target to a function adding the column ``prediction`` to a frame with
-    the feature columns; ``medians`` fills features that the history cannot give. The state is
-    step behind a generator, so a day reads the values of the day before and the plan grows by one step a day.
+    the feature columns; ``medians`` fills features that the history cannot give. Each day's state stands
+    behind a generator, so a day reads the values of the day before and the plan grows by one step a day.
     """
     targets = list(predict)
     state = branch_state(history, origin, max(max(windows), max(lags)), targets).withColumn(
