@@ -87,7 +87,7 @@ def build_feature_store(
     report = checks.integrity_report(features, predictors).unionByName(checks.output_verification(features))
     writers.write_csv(panel.coverage_by_branch(grid), paths["coverage"])
     writers.write_csv(panel.missing_combinations(grid), paths["missing"])
-    writers.write_json_report(profiling.feature_dictionary(features.select(*predictors)), paths["dictionary"])
+    writers.write_json_report(profiling.feature_dictionary(features, ["tran_br_code", "start_date"]), paths["dictionary"])
     writers.write_json_report(profiling.null_profile(features), paths["nulls"])
     writers.write_json_report(metrics.flow_metrics(long, "actual", "predicted", ["target", "name"]), paths["baselines"])
     writers.write_json_report(report, paths["checks"])

@@ -1,7 +1,8 @@
 """Joins that can be split when one key holds a large share of the rows.
 
 AQE splits a hot key on either side of an inner join and on the preserved side of a left join.
-Right and full joins leave a hot key whole, so they are stated as parts that can be split.
+Right and full joins leave a hot key whole: a right join is stated as parts that can be split, a full join salts
+its hot keys.
 """
 
 from __future__ import annotations
@@ -11,6 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harborline.session import cut
+
+HOT = 1 << 20  # rows of a key on one side that one task takes
+
 
 def _nulls_for(df: DataFrame, like: DataFrame, names: Sequence[str]) -> DataFrame:
     types = dict(like.dtypes)
@@ -41,10 +46,41 @@ def right_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFram
     return matched.unionByName(rest.select(*matched.columns))
 
 
-def full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    kept = left.join(right, list(on), "left")
-    rest = _nulls_for(unmatched(right, left, on), left, left.columns)
-    return kept.unionByName(rest.select(*kept.columns))
+def full_join(left: DataFrame, right: DataFrame, on: Sequence[str], hot: int = HOT) -> DataFrame:
+    """Full join on equal, not null keys; a key with more than ``hot`` rows on a side is dealt to several tasks.
+
+    Rows are counted by key on both sides first. The larger side of a hot key is dealt over salts by its content, the
+    other side comes once for each salt. A copy that meets nothing in its salt met something in another, as
+    the larger side has rows, and is dropped. Null keys match nothing, so both sides deal them freely.
+    Equal rows of one key share a salt. Columns other than the keys must have different names.
+    """
+    known = F.lit(True)
+    for key in on:
+        known = known & F.col(key).isNotNull()
+    tagged = left.where(known).select(*on, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.where(known).select(*on, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    sizes = tagged.groupBy(*on).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    salts = cut(
+        sizes.where(F.greatest("_l", "_r") > hot).select(
+            *on, F.ceil(F.greatest("_l", "_r") / hot).cast("int").alias("_salts"), (F.col("_l") >= F.col("_r")).alias("_left_dealt")
+        )
+    )
+
+    def salted(rows: DataFrame, dealt, side: str) -> DataFrame:
+        """``rows`` with the salt they stand at, marked as present and as one of several copies."""
+        spread = lambda n: F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), n).cast("int")
+        everywhere = F.sequence(F.lit(0), F.col("_salts") - 1)
+        at = F.when(~known, F.array(spread(F.lit(1 << 10)))).when(F.col("_salts").isNull(), F.array(F.lit(0)))
+        at = at.when(dealt, F.array(spread(F.col("_salts")))).otherwise(everywhere)
+        copied = F.coalesce(~dealt, F.lit(False))
+        return rows.join(salts, list(on), "left").select(*rows.columns, F.explode(at).alias("_salt"), copied.alias(f"_{side}_copied"), F.lit(True).alias(f"_{side}"))
+
+    met = salted(left, F.col("_left_dealt"), "l").join(salted(right, ~F.col("_left_dealt"), "r"), [*on, "_salt"], "full")
+    false_left = F.col("_r").isNull() & F.col("_l_copied")
+    false_right = F.col("_l").isNull() & F.col("_r_copied")
+    names = [*on, *[c for c in left.columns if c not in on], *[c for c in right.columns if c not in on]]
+    return met.where(~F.coalesce(false_left | false_right, F.lit(False))).select(*names)
 
 
 def align_columns(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -37,28 +37,44 @@ def text_cells(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, distinct). Values are reduced per task before they are shuffled by value."""
-    return text_cells(df, columns).distinct().groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
+    """(column, distinct): different not-null values of every column.
 
-
-def data_dictionary(df: DataFrame, order: Sequence[str], samples: int = 3) -> DataFrame:
-    """(column, type, distinct, missing, samples): samples come from the first rows by ``order``."""
-    types = [F.struct(F.lit(n).alias("column"), F.lit(t).alias("type")) for n, t in df.dtypes]
+    Cells travel as 128-bit digests that each task reduces first, so no text is shuffled; two values of a column share
+    a digest with odds of 2^-128 a pair.
+    """
+    columns = list(columns or df.columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, distinct long")
+    types = dict(df.dtypes)
+    plain = lambda c: F.to_json(F.struct(c)) if "map<" in types[c] else F.col(c)  # maps have no hash of their own
+    digest = lambda k, c: F.struct(F.lit(k).alias("at"), F.xxhash64(plain(c)).alias("a"), F.xxhash64(F.lit(1), plain(c)).alias("b"))
+    cells = df.select(F.inline(F.filter(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), digest(k, c)) for k, c in enumerate(columns)]), lambda x: x.isNotNull())))
+    counted = cells.distinct().groupBy("at").agg(F.count(F.lit(1)).alias("distinct"))
+    return counted.select(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1).alias("column"), "distinct")
+
+
+def first_values(df: DataFrame, order: Sequence[str], samples: int = 3) -> DataFrame:
+    """(column, samples): values of the first rows by ``order``, as one text a column."""
     first = df.orderBy(*order).limit(samples).select(
         *[F.col(c).cast("string").alias(c) for c in df.columns], F.struct(*order).alias("_at")
     )
-    shown = (
+    return (
         first.unpivot(["_at"], df.columns, "column", "value")
         .groupBy("column")
         .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", "value"))), lambda s: s["value"]), ", ", "null").alias("samples"))
     )
+
+
+def data_dictionary(df: DataFrame, order: Sequence[str], samples: int = 3) -> DataFrame:
+    """(column, type, distinct, missing, samples): samples come from the first rows by ``order``."""
+    types = [F.struct(F.lit(n).alias("column"), F.lit(t).alias("type")) for n, t in df.dtypes]
     base = null_profile(df).select("column", F.col("nulls").alias("missing"))
     return (
         df.sparkSession.range(1)
         .select(F.inline(F.array(*types)))
         .join(base, "column", "left")
         .join(distinct_counts(df), "column", "left")
-        .join(shown, "column", "left")
+        .join(first_values(df, order, samples), "column", "left")
         .withColumn("distinct", F.coalesce("distinct", F.lit(0)))
     )
 
@@ -93,27 +109,41 @@ def feature_category(name: str) -> tuple[str, str]:
     return "measure", "Observed amount or count"
 
 
-def feature_dictionary(df: DataFrame) -> DataFrame:
-    """(column, category, description, non_null, missing, min, max, mean) of the numeric columns."""
-    numeric = columns_by_type(df)["numeric"]
+def feature_dictionary(df: DataFrame, order: Sequence[str], samples: int = 3) -> DataFrame:
+    """Every column, keys and dates included, with what it is and what it holds.
+
+    (column, category, description, type, non_null, missing, missing_pct, distinct, min, max, mean, samples): ``min``,
+    ``max`` and ``mean`` are null for columns that aren't numbers, ``missing_pct`` is null for an empty table, and samples
+    come from the first rows by ``order``. One aggregate makes the statistics, another the distinct counts.
+    """
+    numeric = set(columns_by_type(df)["numeric"])
     stats = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[f(c).alias(f"{c}__{n}") for c in numeric for n, f in (("n", F.count), ("min", F.min), ("max", F.max), ("avg", F.avg))],
+        *[F.count(c).alias(f"{c}__n") for c in df.columns],
+        *[f(c).cast("double").alias(f"{c}__{n}") for c in df.columns if c in numeric for n, f in (("min", F.min), ("max", F.max), ("avg", F.avg))],
     )
+    number = lambda c, n: F.col(f"{c}__{n}") if c in numeric else F.lit(None).cast("double")
     cells = [
         F.struct(
             F.lit(c).alias("column"),
             F.lit(feature_category(c)[0]).alias("category"),
             F.lit(feature_category(c)[1]).alias("description"),
+            F.lit(t).alias("type"),
             F.col(f"{c}__n").alias("non_null"),
             (F.col("_rows") - F.col(f"{c}__n")).alias("missing"),
-            F.col(f"{c}__min").cast("double").alias("min"),
-            F.col(f"{c}__max").cast("double").alias("max"),
-            F.col(f"{c}__avg").alias("mean"),
+            F.bround((F.col("_rows") - F.col(f"{c}__n")) / F.nullif("_rows", F.lit(0)) * 100, 2).alias("missing_pct"),
+            number(c, "min").alias("min"),
+            number(c, "max").alias("max"),
+            number(c, "avg").alias("mean"),
         )
-        for c in numeric
+        for c, t in df.dtypes
     ]
-    return stats.select(F.inline(F.array(*cells)))
+    return (
+        stats.select(F.inline(F.array(*cells)))
+        .join(distinct_counts(df), "column", "left")
+        .join(first_values(df, order, samples), "column", "left")
+        .withColumn("distinct", F.coalesce("distinct", F.lit(0)))
+    )
 
 
 def low_cardinality_counts(df: DataFrame, limit: int = 20) -> DataFrame:

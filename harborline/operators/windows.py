@@ -84,14 +84,51 @@ def running_total(
 
 
 def rolling_rows(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], source: str, size: int, name: str
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    source: str,
+    size: int,
+    name: str,
+    bucket: Column | Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Sum of the current and the ``size - 1`` earlier rows of the group.
+    """Sum of the current and the ``size - 1`` earlier rows of the group; null where all of them are null.
 
-    Meant for groups already aggregated to one row per period, whose length the calendar bounds.
+    Without ``bucket`` a group is one window: meant for groups of one row per period, whose length the calendar
+    bounds. With it, a group is cut into slices of equal bucket values, which must not decrease along ``order``; each
+    slice is a window of its own and gets the last ``size - 1`` rows before it. ``order`` must be unique
+    within ``by`` for a defined result.
     """
     frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(-(size - 1), 0)
-    return df.withColumn(name, F.sum(source).over(frame))
+    if bucket is None or size < 2:
+        return df.withColumn(name, F.sum(source).over(frame))
+    nested = [bucket] if isinstance(bucket, Column) else list(bucket)
+    marked = df.withColumn("_slice", F.struct(*[b.alias(f"b{k}") for k, b in enumerate(nested)]))
+    # the last rows of every slice, taken before the shuffle; each slice has one at least, so those of the
+    # size - 1 slices before hold whatever a slice can need
+    ends = top_n(marked, [*by, "_slice"], [F.col(c).desc() for c in order], size - 1, "_from_end")
+    tails = ends.groupBy(*by, "_slice").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct((-F.col("_from_end")).alias("at"), F.col(source).alias("value")))), lambda x: x["value"]).alias("_tail")
+    )
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(-(size - 1), -1)
+    carried = F.coalesce(F.flatten(F.collect_list("_tail").over(earlier)), F.array().cast(tails.schema["_tail"].dataType))
+    halos = tails.withColumn("_halo", carried).select(*[F.col(k).alias(f"_k_{k}") for k in (*by, "_slice")], "_halo")
+    same = F.lit(True)
+    for key in (*by, "_slice"):
+        same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+    inside = Window.partitionBy(*by, "_slice").orderBy(*order)
+    missing = F.least(F.greatest(F.lit(size) - F.col("_place"), F.lit(0)), F.size("_halo"))
+    before = F.filter(F.slice("_halo", F.size("_halo") - missing + 1, missing), lambda x: x.isNotNull())
+    wide = df.select(F.sum(source)).schema[0].dataType
+    zero = F.lit(0).cast(wide)
+    carry = F.aggregate("_before", zero, lambda total, x: (total + x).cast(wide))
+    return (
+        marked.join(halos, same)
+        .withColumns({"_place": F.row_number().over(inside), "_sum": F.sum(source).over(inside.rowsBetween(-(size - 1), 0))})
+        .withColumn("_before", F.when(missing > 0, before))
+        .withColumn(name, F.when(F.coalesce(F.size("_before"), F.lit(0)) > 0, F.coalesce("_sum", zero) + carry).otherwise(F.col("_sum")))
+        .select(*df.columns, name)
+    )
 
 
 def previous_growth(df: DataFrame, by: Sequence[str], order: str, source: str) -> DataFrame:

@@ -102,20 +102,30 @@ def _(spark, sf):
     return counted.unpivot([], names, "feature", "non_null")
 
 
+_DESCRIBED = (*_LAG_NAMES, "net_cash", "cash_requirement")
+_FIRST = "(SELECT string_agg(coalesce(CAST({c} AS VARCHAR), 'null'), ', ' ORDER BY tran_br_code, start_date) FROM first)"
+_CELL = (
+    "SELECT '{c}' AS \"column\", '{t}' AS type, count({c}) AS non_null, count(*) - count({c}) AS missing, round_even((count(*) - count({c})) / count(*) * 100, 2) AS missing_pct, "
+    "count(DISTINCT {c}) AS \"distinct\", {n}, {s} AS samples FROM feats"
+)
+_NUMBERS = "round(CAST(min({c}) AS DOUBLE), 2) AS min, round(CAST(max({c}) AS DOUBLE), 2) AS max, round(avg({c}), 4) AS mean"
+_DICTIONARY = [
+    _CELL.format(c=c, t=t, n=_NUMBERS.format(c=c) if t != "date" else "NULL AS min, NULL AS max, NULL AS mean", s=_FIRST.format(c=c) if t != "double" else "NULL")
+    for c, t in (("tran_br_code", "int"), ("start_date", "date"), *[(c, "double") for c in _DESCRIBED])
+]
+
+
 @query(
     "feature_dictionary",
-    f"WITH {FEATURES}, "
-    + "s AS ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count({c}) AS non_null, count(*) - count({c}) AS missing, round(CAST(min({c}) AS DOUBLE), 2) AS min, round(CAST(max({c}) AS DOUBLE), 2) AS max, round(avg({c}), 4) AS mean FROM feats"
-        for c in (*_LAG_NAMES, "net_cash", "cash_requirement", "daily_withdrawals_roll7_avg_baseline")
-    )
-    + ") SELECT *, CASE WHEN \"column\" LIKE '%_lag' THEN 'lag' WHEN \"column\" LIKE '%_baseline' THEN 'baseline' ELSE 'measure' END AS category FROM s",
+    f"WITH {FEATURES}, first AS (SELECT tran_br_code, start_date FROM feats ORDER BY 1, 2 LIMIT 3), s AS ("
+    + " UNION ALL ".join(_DICTIONARY)
+    + ") SELECT *, CASE WHEN \"column\" LIKE '%_lag' THEN 'lag' WHEN type <> 'double' THEN 'key' ELSE 'measure' END AS category FROM s",
 )
 def _(spark, sf):
-    names = [*_LAG_NAMES, "net_cash", "cash_requirement", "daily_withdrawals_roll7_avg_baseline"]
-    found = feature_dictionary(features(spark, sf).select(*names))
-    return found.select("column", "category", "non_null", "missing", r("min", 2), r("max", 2), r("mean", 4))
+    found = feature_dictionary(features(spark, sf).select("tran_br_code", "start_date", *_DESCRIBED), ["tran_br_code", "start_date"])
+    # the text of a double differs between engines
+    shown = F.when(F.col("type") != "double", F.col("samples")).alias("samples")
+    return found.select("column", "type", "category", "non_null", "missing", "missing_pct", "distinct", r("min", 2), r("max", 2), r("mean", 4), shown)
 
 
 _IMPUTED = ("daily_withdrawals_7p_lag", "daily_deposits_1p_lag")

@@ -121,7 +121,7 @@ def _(spark, sf):
     f"WITH {_MONTHS} SELECT category, product, month, round(sum(revenue) OVER (PARTITION BY category ORDER BY month, product ROWS 2 PRECEDING), 2) AS rolling FROM months",
 )
 def _(spark, sf):
-    df = win.rolling_rows(_months(spark, sf), ["category"], ["month", "product"], "revenue", 3, "rolling")
+    df = win.rolling_rows(_months(spark, sf), ["category"], ["month", "product"], "revenue", 3, "rolling", F.col("month"))
     return df.select("category", "product", "month", r("rolling", 2))
 
 

@@ -148,6 +148,69 @@ def test_outer_joins_equal_plain_ones(spark):
     assert counts == {h: left.join(right, "k", h).count() for h in ("inner", "left", "right", "outer")}
 
 
+def test_full_join_deals_a_hot_key_of_either_side(spark):
+    rng = np.random.default_rng(3)
+    hot = [(int(k), f"h{i}") for i, k in enumerate(rng.choice([7, 8, 9, 11], 900, p=[0.5, 0.3, 0.1, 0.1]))]
+    few = [(7, "a"), (7, "b"), (9, "c"), (12, "d"), (None, "n"), (None, "n")]
+    big = spark.createDataFrame(hot + [(None, f"x{i}") for i in range(300)] + [(7, "h0")] * 3, "k int, l string")
+    small = spark.createDataFrame(few, "k int, r string")
+    rows = lambda df: sorted(map(tuple, df.select("k", "l", "r").collect()), key=str)
+    want = rows(big.join(small, "k", "full"))
+    assert rows(joins.full_join(big, small, ["k"], hot=20)) == want
+    assert rows(joins.full_join(small, big, ["k"], hot=20)) == want
+    assert rows(joins.full_join(big, small.limit(0), ["k"], hot=20)) == rows(big.join(small.limit(0), "k", "full"))
+
+
+def test_full_join_leaves_no_large_task(spark):
+    n = 40_000
+    left = spark.range(n).select((F.col("id") % 997).alias("k"), F.col("id").alias("l"))
+    right = spark.range(n).select(F.when(F.col("id") % 2 == 0, 1_000_000).otherwise(F.col("id") % 997).alias("k"), F.col("id").alias("r"))
+    joined = joins.full_join(left.repartition(4), right.repartition(4), ["k"], hot=500)
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = sorted(r["count"] for r in joined.where("r is not null").select("r", F.spark_partition_id().alias("p")).distinct().groupBy("p").count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept["spark.sql.adaptive.enabled"])
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == n and sizes[-1] <= 5 * sizes[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("size", [2, 3, 7])
+def test_rolling_rows_across_slices_equal_one_window(spark, size):
+    rng = np.random.default_rng(size)
+    rows = [("a" if k % 5 else None, int(k), None if v < 0.2 else float(int(v * 100))) for k, v in enumerate(rng.random(400))]
+    df = spark.createDataFrame(rows, "g string, t int, v double")
+    plain = {(r.g, r.t): r.s for r in windows.rolling_rows(df, ["g"], ["t"], "v", size, "s").collect()}
+    for bucket in (F.floor(F.col("t") / 40), [F.floor(F.col("t") / 40), F.col("t")]):
+        got = windows.rolling_rows(df, ["g"], ["t"], "v", size, "s", bucket).collect()
+        assert len(got) == len(rows) and {(r.g, r.t): r.s for r in got} == plain
+    whole = df.select("g", "t", F.col("v").cast("decimal(10,2)").alias("v"))
+    sums = lambda x: {(r.g, r.t): r.s for r in x.collect()}
+    assert sums(windows.rolling_rows(whole, ["g"], ["t"], "v", size, "s", F.floor(F.col("t") / 40))) == sums(windows.rolling_rows(whole, ["g"], ["t"], "v", size, "s"))
+    assert windows.rolling_rows(df.limit(0), ["g"], ["t"], "v", size, "s", F.col("t")).count() == 0
+
+
+def test_dictionary_of_features(spark):
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1), 2.0, "x"), (1, dt.date(2024, 1, 2), None, "x"), (2, dt.date(2024, 1, 1), 5.0, None)], "tran_br_code int, start_date date, v_lag double, note string")
+    got = {r.column: r for r in profiling.feature_dictionary(df, ["tran_br_code", "start_date"]).collect()}
+    assert list(got) and set(got) == set(df.columns)
+    lag, day, note = got["v_lag"], got["start_date"], got["note"]
+    assert (lag.category, lag.type, lag.distinct, lag.missing, lag.missing_pct, lag.min, lag.mean, lag.samples) == ("lag", "double", 2, 1, 33.33, 2.0, 3.5, "2.0, null, 5.0")
+    assert (day.category, day.type, day.distinct, day.min, day.samples) == ("key", "date", 2, None, "2024-01-01, 2024-01-02, 2024-01-01")
+    assert (note.type, note.distinct, note.non_null, note.max) == ("string", 1, 2, None)
+    empty = {r.column: r for r in profiling.feature_dictionary(df.limit(0), ["start_date"]).collect()}
+    assert empty["note"].distinct == 0 and empty["note"].missing_pct is None
+
+
+def test_distinct_counts_of_odd_values(spark):
+    df = spark.createDataFrame([(0.0, "", [1]), (-0.0, None, [1]), (float("nan"), "", None), (float("nan"), "a", [1, 2])], "d double, s string, a array<int>")
+    assert {r.column: r.distinct for r in profiling.distinct_counts(df).collect()} == {"d": 2, "s": 2, "a": 2}
+    plan = profiling.distinct_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "string" not in plan.split("Exchange")[1].split("\n")[0]
+
+
 def test_rows_of_groups(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "g string, v int")
     assert aggregates.rows_of_groups(df, ["g"], F.count(F.lit(1)) > 1).count() == 2
