@@ -181,6 +181,22 @@ def test_embedding_links_are_whole_in_large_dense_labels(spark, kind):
     assert {r.vec_id: (r.n_links, r.component_id) for r in found} == {k: (n, c) for k, (n, c) in enumerate(zip(links.tolist(), component.tolist()))}
 
 
+def test_exact_search_and_passes_find_the_same(spark, monkeypatch):
+    """Windows far smaller than the labels, over many partitions, against the exact search of whole labels."""
+    monkeypatch.setattr(embedding_dedup, "NEXT", 40)
+    monkeypatch.setattr(embedding_dedup, "SORTED_ROWS", 400)
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((900, 32))
+    x = np.concatenate([x, x[:120] + 0.1 * rng.standard_normal((120, 32)), x[:1] + 0.1 * rng.standard_normal((180, 32))])
+    rows = [(k, v, None if k % 97 == 0 else k % 2 if k < 900 else int(rng.integers(2))) for k, v in enumerate(x.astype("float32").tolist())]
+    df = spark.createDataFrame(rows, VEC)
+    whole = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df, exact=True).collect()}
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect()}
+    links = sum(n for n, _ in whole.values())
+    assert links > 200 and sum(n for n, _ in found.values()) >= 0.99 * links
+    assert all(found[k][0] <= n for k, (n, _) in whole.items())
+
+
 # chat
 
 
