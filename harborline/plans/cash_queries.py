@@ -16,6 +16,7 @@ from harborline.plans.join_queries import _GRID
 from harborline.plans.registry import query
 from harborline.plans.tables import HOURLY, PANEL, daily_panel, hourly, panel, table
 from harborline.sources.readers import rows
+from harborline.session import scratch_path
 from harborline.streaming import feeds
 
 
@@ -247,3 +248,16 @@ def _(spark, sf):
     schema = table(spark, sf, "events").schema
     feed = _event_feed(feeds.read_feed(spark, sf, schema, "events.parquet"))
     return feeds.stream_daily(feed).select("tran_br_code", F.to_date("window_start").alias("day"), r("withdrawals", 2), r("deposits", 2), "rows")
+
+
+@query(
+    "stream_late_repairs",
+    f"WITH {_FEED} SELECT tran_br_code, CAST(ts AS DATE) AS day, round(sum(dr), 2) AS withdrawals, round(sum(cr), 2) AS deposits, count(*) AS rows FROM feed GROUP BY 1, 2",
+)
+def _(spark, sf):
+    """The events in four files, each over all days and read as a batch of its own, so that most rows come late."""
+    events = table(spark, sf, "events")
+    folder = scratch_path(spark, "late-feed")
+    events.repartition(4, "user_id").write.parquet(folder)
+    feed = _event_feed(feeds.read_feed(spark, folder, events.schema, "*.parquet", files_per_batch=1))
+    return feeds.stream_daily(feed, late="2 days").select("tran_br_code", F.to_date("window_start").alias("day"), r("withdrawals", 2), r("deposits", 2), "rows")

@@ -53,6 +53,28 @@ def test_a_finite_feed_out_of_time_order_is_whole(spark):
     assert got == {day: (4.0, 2.0, 2) for day in (120, 60, 0, 119, 61)}
 
 
+def test_late_rows_repair_closed_days(spark):
+    folder, target, checkpoint = (scratch_path(spark, n) for n in ("feed", "target", "state"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+
+    def run_next(name, rows):
+        write(spark, folder, name, rows)
+        feed = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(folder)
+        feeds.run_repairing(feed, spark, target, checkpoint, "3 days")
+
+    days = lambda df: {(r.tran_br_code, r.window_start.day): (r.withdrawals, r.deposits, r.rows) for r in df.collect()}
+    run_next("a", [(1, at(1, 9), 5.0, 0.0), (2, at(9, 3), 1.0, 1.0), (3, None, 9.0, 9.0)])
+    assert days(feeds.repairs(spark, target)) == {} and feeds.late_rows(spark, target).count() == 0
+    # the 9th is the newest: the 5th ended three days and three hours before it, the 6th is still open
+    run_next("b", [(1, at(1, 20), 4.0, 0.0), (1, at(5, 23), 7.0, 0.0), (1, at(6, 0), 2.0, 0.0), (1, at(20, 1), 3.0, None)])
+    assert days(feeds.on_time(spark, target)) == {(1, 1): (5.0, 0.0, 1), (2, 9): (1.0, 1.0, 1), (1, 6): (2.0, 0.0, 1), (1, 20): (3.0, None, 1)}
+    assert days(feeds.repairs(spark, target)) == {(1, 1): (4.0, 0.0, 1), (1, 5): (7.0, 0.0, 1)}
+    run_next("c", [(1, at(6, 1), 1.0, 1.0)])
+    assert {(r.tran_br_code, r.ts.day) for r in feeds.late_rows(spark, target).collect()} == {(1, 1), (1, 5), (1, 6)}
+    table = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
+    assert days(feeds.repaired(spark, target)) == days(feeds.daily_totals(table))
+
+
 def test_half_days_on_a_table(spark):
     df = spark.createDataFrame([(1, at(1, 9), 5.0, 0.0), (1, at(1, 12), 1.0, 2.0)], SCHEMA)
     rows = {r.half: (r.withdrawals, r.deposits) for r in feeds.half_day_totals(df).collect()}
