@@ -132,6 +132,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("spans") > 0).alias("lost"),
     )
 
 
