@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 WORD = r"[A-Za-z0-9]+(?:['_-][A-Za-z0-9]+)*"
 SPACES = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 SEPARATORS = ("\n\n", "\n", " ", "")
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def words(text: Column) -> Column:
@@ -60,54 +61,92 @@ def chunk_id(source: Column, page: Column, index: Column, text: Column) -> Colum
     return F.substring(F.sha2(identity, 256), 1, 24)
 
 
-def character_chunks(text: str, size: int, overlap: int, separators: tuple[str, ...] = SEPARATORS) -> list[str]:
-    """Chunks of at most ``size`` characters, cut at the first separator that the text holds.
+def _pieces(text: Column, separator: str) -> Column:
+    """Non-empty pieces of a text, each starting with the separator it was cut at."""
+    parts = F.split(text, separator, -1)
+    return F.filter(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit(separator), p))), lambda p: p != "")
 
-    A piece keeps the separator it was cut at. Pieces shorter than ``size`` are joined while they fit, each chunk
-    starting with up to ``overlap`` characters of the one before; a longer piece closes what is open and
-    is cut by the separators that follow.
-    """
-    at = next((k for k, s in enumerate(separators) if s == "" or s in text), len(separators) - 1)
-    separator, finer = separators[at], separators[at + 1 :]
-    if separator:
-        first, *rest = text.split(separator)
-        pieces = [p for p in (first, *(separator + part for part in rest)) if p]
-    else:
-        pieces = list(text)
-    chunks, short = [], []
-    for piece in pieces:
-        if len(piece) < size:
-            short.append(piece)
-            continue
-        chunks += _joined(short, size, overlap)
-        short = []
-        chunks += character_chunks(piece, size, overlap, finer) if finer else [piece]
-    return chunks + _joined(short, size, overlap)
-
-
-def _joined(pieces: list[str], size: int, overlap: int) -> list[str]:
-    chunks, held, length = [], [], 0
-    for piece in pieces:
-        if held and length + len(piece) > size:
-            chunks.append("".join(held).strip())
-            while length and (length > overlap or length + len(piece) > size):
-                length -= len(held.pop(0))
-        held.append(piece)
-        length += len(piece)
-    chunks.append("".join(held).strip())
-    return [chunk for chunk in chunks if chunk]
 
+def _piece(whole: Column, text: Column) -> Column:
+    return F.struct(whole.alias("whole"), text.alias("text"))
 
-def chunk_characters(text: Column, size: int = 500, overlap: int = 80) -> Column:
-    """Array of character chunks, cut at paragraphs, then lines, then spaces (Arrow batches)."""
-    if overlap >= size:
-        raise ValueError("overlap must be below the chunk size")
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: character_chunks(t, size, overlap), na_action="ignore")
+def _closed(held: Column) -> Column:
+    """The chunk that ``held`` makes, as an array; nothing where only white space is left."""
+    chunk = F.btrim(F.array_join(held, ""), F.lit(BLANKS))
+    return F.filter(F.array(_piece(F.lit(False), chunk)), lambda c: c["text"] != "")
+
+
+def _packed(pieces: Column, size: int, overlap: int) -> Column:
+    """Chunks of adjacent short pieces, in order with the long pieces between them, which stay ``whole``."""
+    none = F.array().cast("array<string>")
+
+    def state(out: Column, held: Column, n: Column) -> Column:
+        return F.struct(out.alias("out"), held.alias("held"), n.alias("n"))
+
+    def add(a: Column, piece: Column) -> Column:
+        n = F.length(piece)
+        out = F.concat(a["out"], _closed(a["held"]))
+        room = F.least(F.lit(overlap), size - n)
+        longer = lambda t, h: (t["k"] == t["seen"]) & (t["n"] + F.length(h) <= room)
+        # the longest end of the chunk that fits in front of the piece
+        end = F.aggregate(
+            F.reverse(a["held"]),
+            F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(0).alias("seen")),
+            lambda t, h: F.struct(
+                F.when(longer(t, h), t["k"] + 1).otherwise(t["k"]).alias("k"),
+                F.when(longer(t, h), t["n"] + F.length(h)).otherwise(t["n"]).alias("n"),
+                (t["seen"] + 1).alias("seen"),
+            ),
+        )
+        tail = lambda e: F.slice(a["held"], F.size(a["held"]) - e["k"] + 1, e["k"])
+        reopened = F.transform(F.array(end), lambda e: state(out, F.concat(tail(e), F.array(piece)), e["n"] + n))
+        return (
+            F.when(n >= size, state(F.concat(out, F.array(_piece(F.lit(True), piece))), none, F.lit(0)))
+            .when((a["n"] > 0) & (a["n"] + n > size), F.get(reopened, F.lit(0)))
+            .otherwise(state(a["out"], F.concat(a["held"], F.array(piece)), a["n"] + n))
+        )
+
+    start = state(F.array().cast("array<struct<whole:boolean,text:string>>"), none, F.lit(0))
+    return F.aggregate(pieces, start, add, lambda a: F.concat(a["out"], _closed(a["held"])))
+
+
+def _character_windows(text: Column, size: int, overlap: int) -> Column:
+    """Windows of ``size`` characters put together from strips of ``size - overlap``, so no text is scanned twice."""
+    step = size - overlap
+    last = F.greatest(F.ceil((F.length(text) - size) / step), F.lit(0)).cast("int")
+    strips = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    span = -(-size // step)
+    windows = F.transform(
+        F.array(strips),
+        lambda cut: F.transform(
+            F.sequence(F.lit(0), last), lambda i: F.left(F.array_join(F.slice(cut, i + 1, F.lit(span)), ""), F.lit(size))
+        ),
+    )
+    if size == 1:
+        return F.flatten(windows)
+    return F.filter(F.transform(F.flatten(windows), lambda w: F.btrim(w, F.lit(BLANKS))), lambda w: w != "")
+
 
-    return split(text)
+def chunk_characters(text: Column, size: int = 500, overlap: int = 80) -> Column:
+    """Array of chunks of at most ``size`` characters, cut at paragraphs, then lines, then spaces, then anywhere.
+
+    A piece keeps the separator it was cut at. Pieces shorter than ``size`` are joined while they fit, each chunk
+    starting with up to ``overlap`` characters of the one before, in whole pieces; a longer piece closes what is open
+    and is cut by the next separator. White space at the ends of a chunk goes. A text without anything else gives
+    no chunks, a null gives null. Everything is one expression, a step per separator.
+    """
+    if size < 1:
+        raise ValueError("chunk size must be at least 1")
+    if overlap < 0 or overlap >= size:
+        raise ValueError("overlap must be at least 0 and below the chunk size")
+    made = F.array(_piece(F.lit(True), text))
+    for separator in SEPARATORS[:-1]:
+        cut = lambda c, s=separator: _packed(_pieces(c["text"], s), size, overlap)
+        made = F.flatten(F.transform(made, lambda c: F.when(c["whole"], cut(c)).otherwise(F.array(c))))
+    windows = lambda c: _character_windows(c["text"], size, overlap)
+    chunks = F.flatten(F.transform(made, lambda c: F.when(c["whole"], windows(c)).otherwise(F.array(c["text"]))))
+    return F.when(text.isNotNull(), chunks)
 
 
 def _blake2b(feature: str) -> bytes:

@@ -39,7 +39,40 @@ def _(spark, sf):
     return ret.chunk_documents(documents(spark, sf)).select("doc_id", "chunk_index", "id")
 
 
-@query("chunk_chars")
+_BLANKS = " || ".join(f"chr({ord(c)})" for c in tx.BLANKS)
+
+
+def _chars(size: int, overlap: int) -> str:
+    """CTEs of the character chunks: a level of pieces per separator, then a step per chunk in all runs of short pieces.
+
+    ``path`` orders the runs of a document; ``ends`` are the offsets of a run's pieces, where its chunks may start and end.
+    """
+    levels, runs = ["l0 AS (SELECT doc_id, [] :: BIGINT[] AS path, text FROM documents)"], []
+    for k, sep in enumerate(("chr(10) || chr(10)", "chr(10)", "' '")):
+        levels.append(f"""c{k} AS (SELECT doc_id, path, unnest(string_split(text, {sep})) AS part, generate_subscripts(string_split(text, {sep}), 1) AS i FROM l{k}),
+p{k} AS (SELECT doc_id, path, i, p, length(p) >= {size} AS long, count(*) FILTER (length(p) >= {size}) OVER (PARTITION BY doc_id, path ORDER BY i) AS run
+  FROM (SELECT doc_id, path, i, CASE WHEN i = 1 THEN part ELSE {sep} || part END AS p FROM c{k}) WHERE p <> ''),
+e{k} AS (SELECT *, sum(length(p)) OVER (PARTITION BY doc_id, path, run ORDER BY i) AS stop FROM p{k} WHERE NOT long),
+l{k + 1} AS (SELECT doc_id, list_append(path, i) AS path, p AS text FROM p{k} WHERE long)""")
+        runs.append(f"SELECT doc_id, list_append(path, min(i)) AS path, string_agg(p, '' ORDER BY i) AS text, list(CAST(stop AS BIGINT) ORDER BY i) AS ends FROM e{k} GROUP BY doc_id, path, run")
+    return ",\n".join(levels) + f""",
+runs AS ({" UNION ALL ".join(runs)}),
+steps AS (
+  SELECT doc_id, path, text, ends, CAST(0 AS BIGINT) AS start, list_max(list_filter(ends, lambda e: e <= {size})) AS stop FROM runs
+  UNION ALL
+  SELECT doc_id, path, text, ends, begin, list_max(list_filter(ends, lambda e: e <= begin + {size})) FROM (
+    SELECT *, list_min(list_filter(ends, lambda e: e > start AND e >= stop - least({overlap}, {size} - (list_min(list_filter(ends, lambda f: f > stop)) - stop)))) AS begin
+    FROM steps WHERE stop < ends[-1])),
+cut AS (SELECT doc_id, path, start, trim(text[start + 1 : stop], {_BLANKS}) AS text FROM steps
+  UNION ALL SELECT doc_id, path, spot, trim(text[spot + 1 : spot + {size}], {_BLANKS}) FROM (
+    SELECT *, unnest(range(0, greatest(length(text) - {overlap}, 1), {size - overlap})) AS spot FROM l3)),
+chars AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY path, start) - 1 AS INTEGER) AS chunk_index, text FROM cut WHERE text <> '')"""
+
+
+@query(
+    "chunk_chars",
+    f"WITH RECURSIVE {_chars(500, 80)} SELECT doc_id, chunk_index, CAST(length(text) AS INTEGER) AS chars, md5(text) AS digest FROM chars",
+)
 def _(spark, sf):
     chunks = ret.chunk_by_characters(documents(spark, sf))
     return chunks.select("doc_id", "chunk_index", F.length("text").alias("chars"), F.md5("text").alias("digest"))

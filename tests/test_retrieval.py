@@ -5,8 +5,6 @@ import re
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from harborline.functions import text as tx
@@ -60,34 +58,71 @@ def test_words_split_like_python(spark):
     assert row[0] == text.split()
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab \n", max_size=300), st.integers(5, 60))
-def test_character_chunks(text, size):
-    overlap = size // 4
-    chunks = tx.character_chunks(text, size, overlap)
-    assert all(0 < len(c) <= size for c in chunks)
-    # No character but white space is lost, and order is kept.
-    rest = re.sub(r"\s", "", text)
-    at = 0
-    for chunk in chunks:
-        bare = re.sub(r"\s", "", chunk)
-        start = max(i for i in range(at + 1) if rest[i : i + len(bare)] == bare)
-        at = max(at, start + len(bare))
-    assert at == len(rest)
-
-
-def test_character_chunks_prefer_paragraphs_and_overlap():
+def packed_by_loop(text, size, overlap, separators=("\n\n", "\n", " ")):
+    """Chunks by the rule of the docstring, over offsets: cut, mark the long pieces, pack every run of short ones."""
+    if not separators:
+        return [text[i : i + size] for i in range(0, max(len(text) - overlap, 1), size - overlap)]
+    ends = [m.start() for m in re.finditer(re.escape(separators[0]), text) if m.start()] + [len(text)]
+    spans = list(zip([0, *ends], ends))
+    chunks, begin, starts = [], None, []
+    for a, b in spans:
+        if begin is not None and (b - a >= size or b - begin > size):
+            chunks.append(text[begin:a])
+            room = min(overlap, size - (b - a))
+            begin = None if b - a >= size else min([c for c in starts if c >= begin and a - c <= room], default=a)
+        if b - a >= size:
+            chunks += packed_by_loop(text[a:b], size, overlap, separators[1:])
+            starts = []
+        else:
+            begin = a if begin is None else begin
+            starts.append(a)
+    return chunks + ([text[begin:]] if begin is not None else [])
+
+
+def split_chars(spark, texts, size, overlap):
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    rows = frame.select("i", tx.chunk_characters(F.col("t"), size, overlap).alias("c")).collect()
+    return [r.c for r in sorted(rows)]
+
+
+@pytest.mark.parametrize("size, overlap", [(500, 80), (20, 5), (7, 6), (5, 0), (2, 1)])
+def test_character_chunks_equal_a_loop(spark, size, overlap):
+    rng = np.random.default_rng(size)
+    alphabet = ["a", "bc", "é😀", " ", " ", "\n", "\n\n", "\t", "word", "x" * 9]
+    texts = ["".join(rng.choice(alphabet, n)) for n in rng.integers(0, 80, 120)]
+    texts += ["".join(rng.choice(alphabet[:5] + ["word"], 900)), "y" * 1300 + "\n\nend", "", " \n\n ", "\n\n\nab\n\n\n\ncd"]
+    got = split_chars(spark, [*texts, None], size, overlap)
+    assert got.pop() is None
+    for text, chunks in zip(texts, got):
+        assert chunks == [c for c in map(str.strip, packed_by_loop(text, size, overlap)) if c]
+        assert all(0 < len(c) <= size for c in chunks)
+        if not overlap:  # no character but white space is lost, and order is kept
+            assert re.sub(r"\s", "", "".join(chunks)) == re.sub(r"\s", "", text)
+
+
+def test_character_chunks_prefer_paragraphs_and_overlap(spark):
     text = "first paragraph here\n\nsecond one\n\nthird and last paragraph"
-    assert tx.character_chunks(text, 35, 12) == ["first paragraph here\n\nsecond one", "third and last paragraph"]
-    assert tx.character_chunks("aaa bbb ccc ddd eee", 11, 4) == ["aaa bbb ccc", "ccc ddd", "ddd eee"]
-    assert tx.character_chunks("x" * 25, 10, 0) == ["x" * 10, "x" * 10, "x" * 5]
+    assert split_chars(spark, [text], 35, 12) == [["first paragraph here\n\nsecond one", "third and last paragraph"]]
+    assert split_chars(spark, ["aaa bbb ccc ddd eee"], 11, 4) == [["aaa bbb ccc", "ccc ddd", "ddd eee"]]
+    assert split_chars(spark, ["x" * 25], 10, 0) == [["x" * 10, "x" * 10, "x" * 5]]
+    assert split_chars(spark, ["a b"], 1, 0) == [["a", " ", "b"]]
 
 
-def test_character_chunks_close_before_a_long_piece():
+def test_character_chunks_close_before_a_long_piece(spark):
     long = "a rather long paragraph that has far more than sixty characters in it"
-    chunks = tx.character_chunks(f"short para\n\n{long}\n\nend", 60, 0)
-    assert chunks == ["short para", "a rather long paragraph that has far more than sixty", "characters in it", "end"]
-    assert tx.character_chunks("abcde\n\nf", 5, 0) == ["abcde", "f"]
+    chunks = ["short para", "a rather long paragraph that has far more than sixty", "characters in it", "end"]
+    assert split_chars(spark, [f"short para\n\n{long}\n\nend"], 60, 0) == [chunks]
+    assert split_chars(spark, ["abcde\n\nf"], 5, 0) == [["abcde", "f"]]
+
+
+def test_character_chunks_of_a_very_long_text(spark):
+    words = " ".join(f"w{i}" for i in range(60_000))
+    (chunks, bare) = split_chars(spark, [words, "z" * 400_000], 500, 80)
+    assert all(a.split()[-1] in b.split() for a, b in zip(chunks, chunks[1:]))
+    assert list(dict.fromkeys(w for c in chunks for w in c.split())) == words.split()
+    assert [len(c) for c in bare[:-1]] == [500] * (len(bare) - 1) and len(bare) == -(-(400_000 - 500) // 420) + 1
+    with pytest.raises(ValueError):
+        tx.chunk_characters(F.col("t"), 10, 10)
 
 
 def test_hash_vectors(spark):
