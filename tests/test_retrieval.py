@@ -258,3 +258,53 @@ def test_pruned_search_equals_brute_force_and_meets_few_parts(spark, metric, mon
     floors = spark.createDataFrame([(k, float(v)) for k, v in enumerate(fifth)], "query_id long, floor double")
     more = module.visits(asked.join(floors, "query_id"), parts, 5, metric, True)
     assert parts.counts.sum() == 3_000 and (once.count() + more.count()) < 0.5 * len(q) * len(parts.counts)
+
+
+def test_wide_vectors_meet_in_large_cells(spark, monkeypatch):
+    import harborline.operators.nearest as module
+
+    # copies of a vector are as many as the other side has blocks: 100,000 queries were 98 blocks
+    assert module._side(100_000, module.WIDE_QUERIES) == 8 and module._side(10, module.WIDE_ITEMS) == 1
+    rng = np.random.default_rng(4)
+    q, items = rng.normal(size=(60, 40)), rng.normal(size=(300, 40))
+    items[200:280] = items[200]  # ties, also beyond one block
+    q[:5] = items[200]
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    frame = lambda x, name: spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], f"{name} long, vector array<double>")
+    for name, value in (("WIDE_QUERIES", 20), ("WIDE_ITEMS", 70), ("TILE", 500)):
+        monkeypatch.setattr(module, name, value)
+    monkeypatch.setattr(module, "ITEM_BLOCK", 10)  # many components are not parted by centres, however many items there are
+    monkeypatch.setattr(module, "_pruned", None)
+    for others in (False, True):
+        rows = nearest(frame(q, "query_id"), frame(items, "item_id"), 5, min_score=0.1, other_only=others).collect()
+        scores = np.round(q @ items.T, 9)
+        if others:
+            scores[np.arange(60), np.arange(60)] = -np.inf
+        want = []
+        for i, row in enumerate(scores):
+            want += [(i, int(j), n + 1) for n, j in enumerate(np.lexsort((np.arange(300), -row))[:5]) if row[j] >= 0.1]
+        assert sorted((r.query_id, r.item_id, r["rank"]) for r in rows) == sorted(want)
+
+
+def test_cell_without_queries_of_its_block(spark, monkeypatch):
+    import harborline.operators.nearest as module
+
+    monkeypatch.setattr(module, "QUERY_BLOCK", 1)
+    asked = spark.createDataFrame([(k, [1.0, 0.0]) for k in range(3)] + [(None, [1.0, 0.0])], "query_id int, vector array<double>")
+    items = spark.createDataFrame([("a", [1.0, 0.0])], "item_id string, vector array<double>")
+    assert sorted((r.query_id, r.item_id) for r in nearest(asked, items, 2).collect()) == [(0, "a"), (1, "a"), (2, "a")]
+
+
+@pytest.mark.parametrize("metric", ["dot", "l2"])
+def test_tied_items_of_a_cell_do_not_add_up(metric):
+    import tracemalloc
+
+    from harborline.operators.nearest import _best
+
+    x, y = np.ones((2_000, 2)), np.ones((8_192, 2))
+    tracemalloc.start()
+    at_x, at_y, score = _best(x, y, 3, metric, None, None)
+    top = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(at_y) == [0, 1, 2] * 2_000 and list(at_x[::3]) == list(range(2_000)) and len(set(score)) == 1
+    assert top < 700e6  # all scores and pairs at once took several GB
