@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 WORD = r"[A-Za-z0-9]+(?:['_-][A-Za-z0-9]+)*"
 SPACES = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 SEPARATORS = ("\n\n", "\n", " ", "")
+FEATURES = 1 << 18  # about as many features are hashed together
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
@@ -164,27 +167,34 @@ def hash_embed(features: Column, dimensions: int = 384, digest: str = "blake2b")
     """Unit vector of signed feature counts; all zeros when there is no feature.
 
     The first four digest bytes (little endian) choose the position, the lowest bit of the fifth
-    the sign. Rows stay where they are: hashing is a narrow step in Arrow batches, a batch hashes each distinct
-    feature once and counts all its rows' features together.
+    the sign. Rows stay where they are: hashing is a narrow step in Arrow batches, taken by runs of rows with about
+    ``FEATURES`` features, each of which hashes a distinct feature once.
     """
     if dimensions < 8:
         raise ValueError("a vector needs 8 positions or more")
     hashed = DIGESTS[digest]
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def embed(rows: pd.Series) -> pd.Series:
-        known = rows.dropna()
-        lengths = np.array([len(terms) for terms in known], dtype=np.int64)
-        if not lengths.sum():
-            return rows.map(lambda terms: np.zeros(dimensions), na_action="ignore")
-        codes, distinct = pd.factorize(np.concatenate([np.asarray(terms, dtype=object) for terms in known]))
-        digests = np.frombuffer(b"".join(hashed(feature)[:8] for feature in distinct), dtype=np.uint8).reshape(-1, 8)
+    def counted(rows: pa.Array, lengths: np.ndarray) -> np.ndarray:
+        terms = rows.flatten().dictionary_encode()
+        codes = terms.indices.to_numpy(zero_copy_only=False)
+        digests = np.frombuffer(b"".join(hashed(feature) for feature in terms.dictionary.to_pylist()), dtype=np.uint8)
+        digests = digests.reshape(len(terms.dictionary), -1)[:, :8]
         place = (digests[:, :4].copy().view("<u4").ravel() % dimensions).astype(np.int64)
         sign = np.where(digests[:, 4] & 1, 1.0, -1.0)
         cell = np.repeat(np.arange(len(lengths)), lengths) * dimensions + place[codes]
         counts = np.bincount(cell, weights=sign[codes], minlength=len(lengths) * dimensions).reshape(-1, dimensions)
         norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-        vectors = counts / np.where(norms > 0, norms, 1.0)
-        return pd.Series(list(vectors), index=known.index).reindex(rows.index)
+        return counts / np.where(norms > 0, norms, 1.0)
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def embed(rows: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        run = (np.cumsum(lengths) - lengths) // FEATURES
+        vectors = np.zeros((len(rows), dimensions))
+        for start, stop in pairwise([0, *(np.flatnonzero(np.diff(run)) + 1), len(rows)]):
+            if lengths[start:stop].any():
+                vectors[start:stop] = counted(rows.slice(start, stop - start), lengths[start:stop])
+        offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * dimensions)
+        return pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()), mask=pc.is_null(rows))
 
     return embed(features)

@@ -308,3 +308,30 @@ def test_tied_items_of_a_cell_do_not_add_up(metric):
     tracemalloc.stop()
     assert list(at_y) == [0, 1, 2] * 2_000 and list(at_x[::3]) == list(range(2_000)) and len(set(score)) == 1
     assert top < 700e6  # all scores and pairs at once took several GB
+
+
+def test_hashing_takes_few_features_at_a_time(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{(k * j) % 50}" for j in range(k % 7)) if k % 5 else None) for k in range(60)]
+    frame = spark.createDataFrame(rows, "k int, text string").coalesce(1)
+    whole = {r.k: r.embedding for r in ret.embed(frame).collect()}
+    monkeypatch.setattr(tx, "FEATURES", 3)
+    assert {r.k: r.embedding for r in ret.embed(frame).collect()} == whole
+    assert all((whole[k] is None) == (text is None) for k, text in rows)
+    assert sum(v != 0 for v in whole[2]) == 3  # two words and their pair
+
+
+def test_hashing_keeps_no_batch_of_python_strings():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    column = {}
+    with pytest.MonkeyPatch.context() as patch:  # the function that tasks run, without Spark
+        patch.setattr(tx.F, "arrow_udf", lambda kind: lambda f: column.update(f=f) or (lambda c: c))
+        tx.hash_embed(None)
+    words = pa.array([[f"w{i}_{j}" for j in range(500)] for i in range(2_000)])
+    tracemalloc.start()
+    made = column["f"](words)
+    top = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(made) == 2_000 and top < 60e6  # a million strings at once took more than that
