@@ -8,7 +8,7 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ WORD = r"[A-Za-z0-9]+(?:['_-][A-Za-z0-9]+)*"
 SPACES = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 SEPARATORS = ("\n\n", "\n", " ", "")
 FEATURES = 1 << 18  # about as many features are hashed together
+SLICE = 1 << 24  # about as many characters, at most, make a partition whose terms are counted
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
@@ -36,6 +37,16 @@ def bigrams(terms: Column) -> Column:
     return F.zip_with(F.slice(terms, F.lit(1), n), F.slice(terms, F.lit(2), n), lambda a, b: F.concat_ws("_", a, b))
 
 
+def sliced(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` in partitions of at most about ``SLICE`` characters: a task that counts terms holds its distinct ones."""
+    chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    n = -(-chars // SLICE)
+    if docs.rdd.getNumPartitions() >= n:
+        return docs
+    # rows are dealt by number: a deal in turn would sort whole splits, one by text would gather copies
+    return docs.withColumn("_no", F.monotonically_increasing_id()).repartition(n, "_no").drop("_no")
+
+
 def text_features(text: Column) -> Column:
     terms = tokens(text)
     return F.concat(terms, bigrams(terms))

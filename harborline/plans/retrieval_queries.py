@@ -96,7 +96,7 @@ def _(spark, sf):
     f"WITH {_TOKENS} SELECT bigram, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(t)), lambda i: t[i] || '_' || t[i + 1])) AS bigram FROM t) GROUP BY 1",
 )
 def _(spark, sf):
-    terms = texts(spark, sf).select(tx.tokens(F.col("text")).alias("t"))
+    terms = tx.sliced(texts(spark, sf).select("text"), "text").select(tx.tokens(F.col("text")).alias("t"))
     pairs = terms.select(F.explode(tx.bigrams(F.col("t"))).alias("bigram"))
     return pairs.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
 

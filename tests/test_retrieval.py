@@ -335,3 +335,13 @@ def test_hashing_keeps_no_batch_of_python_strings():
     top = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(made) == 2_000 and top < 60e6  # a million strings at once took more than that
+
+
+def test_terms_are_counted_in_slices_of_text(spark, monkeypatch):
+    monkeypatch.setattr(tx, "SLICE", 100)
+    df = spark.createDataFrame([("ab cd " * 10,)] * 30 + [(None,), ("",)], "text string").coalesce(1)
+    found = tx.sliced(df, "text")
+    assert found.rdd.getNumPartitions() == 18 and found.columns == ["text"]
+    assert max(found.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 10
+    assert sorted(found.collect(), key=str) == sorted(df.collect(), key=str)
+    assert tx.sliced(df.where("text is null"), "text").count() == 1
