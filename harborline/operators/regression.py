@@ -23,6 +23,7 @@ from harborline.operators.metrics import flow_metrics, union_named
 from harborline.operators.ordering import global_position
 
 FEATURES = "_features"
+SLICE = 1 << 16  # about as many rows, at most, make a partition of a table that trees are grown on
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = FEATURES) -> DataFrame:
@@ -82,6 +83,12 @@ def load(path: str) -> Fitted | Linear:
     return Fitted(DefaultParamsReader.loadParamsInstance(f"{path}/model", spark.sparkContext), [r.feature for r in rows])
 
 
+def sliced(df: DataFrame) -> DataFrame:
+    """``df`` in partitions of at most about ``SLICE`` rows: a small file would be one task in every pass of a tree learner."""
+    n = -(-df.count() // SLICE)
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def _fit(estimator: Estimator, df: DataFrame, features: Sequence[str], label: str) -> Fitted:
     train = assemble(df.where(F.col(label).isNotNull()), features).select(FEATURES, F.col(label).cast("double").alias("_label"))
     estimator = estimator.copy()
@@ -122,7 +129,9 @@ def polynomial_regression(df: DataFrame, features: Sequence[str], label: str, de
 
 
 def random_forest(df: DataFrame, features: Sequence[str], label: str, trees: int = 200, depth: int = 15, leaf: int = 5, seed: int = 42) -> Fitted:
-    return _fit(RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed), df, features, label)
+    # a row keeps its node in every tree: without that each level walks all trees from the root, row by row
+    estimator = RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed, cacheNodeIds=True)
+    return _fit(estimator, sliced(df), features, label)
 
 
 def boosted_trees(df: DataFrame, features: Sequence[str], label: str, rounds: int = 200, depth: int = 5, step: float = 0.1, seed: int = 42) -> Fitted:

@@ -149,3 +149,10 @@ def test_matrix_product_over_tiles(spark):
     for r in arrays.multiply(entries(a), entries(b)).collect():
         got[r.i, r.j] = r.v
     np.testing.assert_array_equal(got, a @ b)
+
+
+def test_trees_grow_on_slices(spark, monkeypatch):
+    monkeypatch.setattr(regression, "SLICE", 100)
+    df = spark.range(1050).coalesce(1)
+    assert regression.sliced(df).rdd.getNumPartitions() == 11
+    assert regression.sliced(df.repartition(20)).rdd.getNumPartitions() == 20
