@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from harborline.functions import arrays, scalars
@@ -151,6 +152,21 @@ def test_matrix_product_over_tiles(spark):
     np.testing.assert_array_equal(got, a @ b)
 
 
+def test_boosting_grows_on_merged_rows(spark):
+    rows = [(float(i % 7), float(i % 3), float((i * 37) % 101)) for i in range(2100)]
+    df = spark.createDataFrame(rows, "a double, b double, y double").repartition(2)
+    few = regression.merged(df, ["a", "b"], "y")
+    pdf = pd.DataFrame(rows, columns=["a", "b", "y"])
+    expected = pdf.groupby(["a", "b"]).y.agg(["mean", "count"]).reset_index().to_numpy()
+    np.testing.assert_allclose(few.orderBy("a", "b").toPandas()[["a", "b", "y", "_weight"]].to_numpy(), expected)
+    assert regression.merged(df.withColumn("a", F.monotonically_increasing_id()), ["a", "b"], "y") is None
+    plain = GBTRegressor(featuresCol="v", labelCol="y", maxIter=4, maxDepth=3, stepSize=0.1, seed=42).fit(regression.assemble(df, ["a", "b"], "v"))
+    model = regression.boosted_trees(df, ["a", "b"], "y", rounds=4, depth=3)
+    cells = df.select("a", "b").distinct()
+    whole = {(r.a, r.b): r.prediction for r in plain.transform(regression.assemble(cells, ["a", "b"], "v")).collect()}
+    assert {(r.a, r.b): r.prediction for r in model.predict(cells).collect()} == pytest.approx(whole)
+
+
 def test_trees_grow_on_slices(spark, monkeypatch):
     monkeypatch.setattr(regression, "SLICE", 100)
     df = spark.range(1050).coalesce(1)
