@@ -152,7 +152,8 @@ def test_matrix_product_over_tiles(spark):
     np.testing.assert_array_equal(got, a @ b)
 
 
-def test_boosting_grows_on_merged_rows(spark):
+def test_boosting_grows_on_merged_rows(spark, monkeypatch):
+    monkeypatch.setattr(regression, "SLICE", 1000)
     rows = [(float(i % 7), float(i % 3), float((i * 37) % 101)) for i in range(2100)]
     df = spark.createDataFrame(rows, "a double, b double, y double").repartition(2)
     few = regression.merged(df, ["a", "b"], "y")
@@ -160,6 +161,7 @@ def test_boosting_grows_on_merged_rows(spark):
     expected = pdf.groupby(["a", "b"]).y.agg(["mean", "count"]).reset_index().to_numpy()
     np.testing.assert_allclose(few.orderBy("a", "b").toPandas()[["a", "b", "y", "_weight"]].to_numpy(), expected)
     assert regression.merged(df.withColumn("a", F.monotonically_increasing_id()), ["a", "b"], "y") is None
+    assert regression.merged(df.limit(1000), ["a", "b"], "y") is None
     plain = GBTRegressor(featuresCol="v", labelCol="y", maxIter=4, maxDepth=3, stepSize=0.1, seed=42).fit(regression.assemble(df, ["a", "b"], "v"))
     model = regression.boosted_trees(df, ["a", "b"], "y", rounds=4, depth=3)
     cells = df.select("a", "b").distinct()
