@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from harborline.llm.common import components, cut, fresh, row_key
 
 COUNT_BUCKETS = 1 << 18  # of the shingle counts
+COUNT_RUN = 1 << 12  # buckets that travel as one row
 NAMED_BITS = 1 << 22  # of the table of documents to verify
 SIGNATURE = 512  # bits of a bitmap and of a parity map
 BLOCK = 512  # members of a bucket that one task compares
@@ -74,7 +75,7 @@ def _rows(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
 
 
 def _counts(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingle counts of all documents by hash bucket; at most COUNT_BUCKETS numbers reach the driver."""
+    """Shingle counts of all documents by hash bucket, summed in runs of COUNT_RUN; the driver gets one row a run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNT_BUCKETS, dtype=np.int64)
@@ -83,16 +84,21 @@ def _counts(docs: DataFrame, width: int) -> np.ndarray:
                 texts = batch.column("text").slice(start, 256).to_pylist()
                 at = np.concatenate([shingle_set(t, width) for t in texts]) % np.uint64(COUNT_BUCKETS)
                 total += np.bincount(at.astype(np.int64), minlength=COUNT_BUCKETS)
-        found = np.flatnonzero(total)
-        for k in range(0, len(found), 10_000):
-            part = found[k : k + 10_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["b", "c"])
-
-    table = np.zeros(COUNT_BUCKETS, dtype=np.int64)
-    found = docs.select("text").mapInArrow(run, "b long, c long").groupBy("b").agg(F.sum("c").alias("c"))
+        parts = total.reshape(-1, COUNT_RUN)
+        found = [k for k, part in enumerate(parts) if part.any()]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([parts[k].tobytes() for k in found], pa.binary())], ["k", "c"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for k, part in _rows(batches, "k", "c"):
+            sums[k] = sums.get(k, 0) + np.frombuffer(part, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([c.tobytes() for c in sums.values()], pa.binary())], ["k", "c"])
+
+    table = np.zeros((COUNT_BUCKETS // COUNT_RUN, COUNT_RUN), dtype=np.int64)
+    found = docs.select("text").mapInArrow(run, "k long, c binary").repartition("k").mapInArrow(summed, "k long, c binary")
     for row in found.collect():
-        table[row.b] = row.c
-    return table
+        table[row.k] += np.frombuffer(row.c, dtype=np.int64)
+    return table.reshape(-1)
 
 
 def _signature(s: np.ndarray) -> bytes:

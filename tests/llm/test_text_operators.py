@@ -386,3 +386,30 @@ def test_parity_maps_never_leave_out_a_link():
         kept = set(map(tuple, ngram_join._near_maps(members, members, similarity).tolist()))
         near = {(x, y) for x, a in enumerate(sets) for y, b in enumerate(sets) if 100 * len(np.intersect1d(a, b)) >= similarity * len(np.union1d(a, b))}
         assert near <= kept and len(kept) < len(near) + 30
+
+
+def collected(monkeypatch):
+    """Numbers of rows that later calls of ``collect`` bring to the driver."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    sizes, plain = [], DataFrame.collect
+
+    def counted(self):
+        rows = plain(self)
+        sizes.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    return sizes
+
+
+def test_shingle_counts_reach_the_driver_in_few_rows(spark, monkeypatch):
+    rows = documents(5, 6, 12, [4, 40, 150])
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    sizes = collected(monkeypatch)
+    table = ngram_join._counts(df, 3)
+    assert max(sizes) <= 64
+    expected = np.zeros(ngram_join.COUNT_BUCKETS, dtype=np.int64)
+    for _, text in rows:
+        np.add.at(expected, (ngram_join.shingle_set(text) % np.uint64(ngram_join.COUNT_BUCKETS)).astype(np.int64), 1)
+    assert (table == expected).all()
