@@ -413,3 +413,12 @@ def test_shingle_counts_reach_the_driver_in_few_rows(spark, monkeypatch):
     for _, text in rows:
         np.add.at(expected, (ngram_join.shingle_set(text) % np.uint64(ngram_join.COUNT_BUCKETS)).astype(np.int64), 1)
     assert (table == expected).all()
+
+
+def test_constant_tables_of_line_dedup_stay_small(spark, monkeypatch):
+    df = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(k, 5_000 + k))) for k in range(3)], SCHEMA)
+    sizes = collected(monkeypatch)
+    assert len(line_dedup.rarity(df, "text")._jc.toString()) < 100_000
+    sets = line_dedup.cut(line_dedup._sets(df, "doc_id", "text"))
+    assert len(line_dedup._named(sets, sets, "id")[0].collect()) == 3
+    assert max(sizes) <= 3
