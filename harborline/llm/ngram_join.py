@@ -17,7 +17,7 @@ A document is the set of its distinct 3-word shingles (64-bit hashes); two docum
 * Components of the pairs that may match are *families*. Every family's whole sets are read again from the
   documents, once each, and all its pairs are verified exactly inside tasks, again in pairs of blocks; links
   that connect something new leave the task. No pair of a family becomes a row otherwise. A family of several
-  blocks is first parted by parity maps as wide as the sets, and in what stays that large a set travels as its difference from one set of the family, the hub, which every cell gets once.
+  blocks is first parted by parity maps as wide as the sets, among sets of sizes near enough, and in what stays that large a set travels as its difference from one set of the family, the hub, which every cell gets once.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing. A null id takes part, but
 never names a component unless the class has nothing else (then the component is null). Rows that share an
@@ -27,13 +27,14 @@ whole; a text's words are held once in a task. Only the id and text columns are
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.llm.common import components, cut, fresh, row_key
@@ -44,6 +45,7 @@ NAMED_BITS = 1 << 22  # of the table of documents to verify
 SIGNATURE = 512  # bits of a bitmap and of a parity map
 BLOCK = 512  # members of a bucket that one task compares
 ELEMENTS = 1 << 20  # shingles of a family's block, about
+MAP_ELEMENTS = 1 << 24  # shingles whose parity maps make a block, about
 HUB_BYTES = 64 << 20  # of all families' hubs together, up to which they are broadcast
 LEAF = 8
 _P = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
@@ -325,30 +327,47 @@ def _near_maps(left: list[tuple], right: list[tuple], similarity: int) -> np.nda
     return np.array(found, dtype=np.int64).reshape(-1, 2)
 
 
-def _refined(in_family: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def _refined(sets: DataFrame, similarity: int) -> DataFrame:
     """Pairs of nodes that connect all that still may match in families of several blocks, by parity maps.
 
     A map is a sixty-fourth of its set, and as wide as it, so it tells long documents apart that small bitmaps can't.
+    Only sets of sizes near enough meet: blocks are made in groups of two neighbouring bands of sizes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             maps = [parity_map(np.frombuffer(s, dtype=np.int64)) for s in batch.column("s").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(maps, pa.binary())], ["node", "p"])
+            arrays = [*(batch.column(c) for c in ("family", "node", "n")), pa.array(maps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["family", "node", "n", "p"])
 
     def find(left: list[tuple], right: list[tuple]) -> Iterator[tuple[int, int]]:
         label = np.arange(len(left) + len(right))
         return joining(label, _near_maps(left, right or left, similarity), 0, len(left) if right else 0)
 
-    maps = sets.mapInArrow(run, "node binary, p binary")
-    rows = in_family.where("blocks > 1").select("family", "blocks", "node", "n").join(maps, "node")
-    return _found_in_cells(_dealt(rows.select("family", "blocks", "node", "n", "p"), "family"), "family", "p", find)
+    several = sets.where("blocks > 1")
+    maps = _in_bands(several.select("family", "node", "n", "s").mapInArrow(run, "family binary, node binary, n long, p binary"), similarity)
+    groups = _in_bands(several.select("family", "n"), similarity).groupBy("family", "low").agg(
+        F.min("band").alias("least"), F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / MAP_ELEMENTS)).cast("int").alias("blocks")
+    )
+    groups = cut(groups.where("least = low").drop("least"))  # else the next group has all of its pairs
+    rows = maps.join(groups, ["family", "low"]).withColumn("group", F.concat("family", F.col("low").cast("string").cast("binary")))
+    return _found_in_cells(_dealt(rows.select("group", "blocks", "node", "n", "p"), "group"), "group", "p", find)
+
+
+def _in_bands(rows: DataFrame, similarity: int) -> DataFrame:
+    """``rows`` twice, with ``band`` of their size n and ``low``, the lower of the two bands of a group.
+
+    A band is as wide as the sizes of similar sets can differ, so these are in one band or in neighbouring ones:
+    they meet in the group of the lower band. The margin is for rounding.
+    """
+    width = 1.000001 * max(math.log(100 / similarity), 0.01)
+    banded = rows.withColumn("band", F.floor(F.log("n") / width))
+    return banded.withColumn("low", F.explode(F.array(F.col("band") - 1, F.col("band"))))
 
 
-def _hubs(in_family: DataFrame, sets: DataFrame) -> DataFrame:
+def _hubs(sets: DataFrame) -> DataFrame:
     """One whole set of every family of several blocks: (family, blocks, hub)."""
-    chosen = in_family.where("blocks > 1").groupBy("family", "blocks").agg(F.min("node").alias("node"))
-    found = cut(chosen.join(sets, "node").select("family", "blocks", F.col("s").alias("hub")))
+    found = cut(sets.where("blocks > 1").groupBy("family", "blocks").agg(F.min_by("s", "node").alias("hub")))
     size = found.agg(F.sum(F.length("hub"))).first()[0] or 0
     return F.broadcast(found) if size <= HUB_BYTES else found
 
@@ -374,8 +393,8 @@ def _apart_from_hubs(sets: DataFrame) -> DataFrame:
     return sets.select("family", "blocks", "node", "n", "s", "hub").mapInArrow(run, f"{kinds}, s binary")
 
 
-def _verified(in_family: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Links (a, b) that connect all that links connect, from ``in_family`` (family, blocks, node, n) and ``sets`` (node, s)."""
+def _verified(sets: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) that connect all that links connect, from ``sets`` (family, blocks, node, n, s)."""
 
     def find(left: list[tuple], right: list[tuple], hub: bytes = b"") -> Iterator[tuple[int, int]]:
         centre = np.frombuffer(hub, dtype=np.int64)
@@ -392,9 +411,8 @@ def _verified(in_family: DataFrame, sets: DataFrame, similarity: int) -> DataFra
         union = sizes[0][:, None] + sizes[1][None, :] - common
         return joining(label, np.argwhere(100 * common >= similarity * union), 0, len(left) if right else 0)
 
-    hubs = _hubs(in_family, sets)
-    rows = in_family.select("family", "blocks", "node", "n").join(sets, "node")
-    rows = rows.join(hubs.select("family", "hub"), "family", "left")
+    hubs = _hubs(sets)
+    rows = sets.join(hubs.select("family", "hub"), "family", "left")
     dealt = _dealt(_apart_from_hubs(rows), "family").select("family", "i", "j", "side", "node", "n", "s")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = hubs.select("family", "blocks", "hub", every.alias("i")).select("family", "hub", "i", F.explode(F.sequence("i", F.col("blocks") - 1)).alias("j"))
@@ -405,24 +423,35 @@ def _verified(in_family: DataFrame, sets: DataFrame, similarity: int) -> DataFra
     return _found_in_cells(dealt.unionByName(middle), "family", "s", find)
 
 
-def _whole_sets(docs: DataFrame, named: DataFrame, width: int) -> DataFrame:
-    """Whole sets of the nodes in ``named`` (node, rep): (node, s), s the sorted hashes as bytes.
+def _bit_table(rows: DataFrame, key: Column) -> np.ndarray:
+    """NAMED_BITS bits, set for the keys of ``rows``; at most NAMED_BITS / 64 numbers reach the driver, as Arrow."""
+    bit = F.pmod(F.xxhash64(key), F.lit(NAMED_BITS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    found = rows.groupBy((bit / 64).cast("int").alias("k")).agg(F.bit_or(one).alias("v")).toArrow()
+    table = np.zeros(NAMED_BITS // 64, dtype=np.int64)
+    table[found["k"].to_numpy()] = found["v"].to_numpy()
+    return table.view(np.uint64)
+
+
+def _held(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Places of those of ``at`` whose bit is set."""
+    return np.flatnonzero((bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1))
+
+
+def _whole_sets(docs: DataFrame, in_family: DataFrame, width: int) -> DataFrame:
+    """Whole sets of the nodes of ``in_family``: (family, blocks, node, n, s), s the sorted hashes as bytes.
 
-    A bit table of fixed size keeps documents that no node names from being read further.
+    A bit table of fixed size keeps documents that no node names from being read further. Sets are shuffled once
+    here, the family comes with them.
     """
     key = F.pmod(F.xxhash64("doc_id"), F.lit(NAMED_BITS))
-    bit = F.pmod(F.xxhash64(F.col("rep")), F.lit(NAMED_BITS))
-    table = np.zeros(NAMED_BITS // 64, dtype=np.int64)
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
-    for k, v in named.groupBy((bit / 64).cast("int")).agg(F.bit_or(one)).collect():  # at most NAMED_BITS / 64 rows
-        table[k] = v
-    shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+    shared = docs.sparkSession.sparkContext.broadcast(_bit_table(in_family, F.col("rep")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
         for batch in batches:
             at = batch.column("_at").to_numpy(zero_copy_only=False)
-            hit = np.flatnonzero((bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1))
+            hit = _held(bits, at)
             for start in range(0, len(hit), 256):
                 texts = batch.column("text").take(pa.array(hit[start : start + 256])).to_pylist()
                 raw = [shingle_set(t, width).view(np.int64) for t in texts]
@@ -433,7 +462,24 @@ def _whole_sets(docs: DataFrame, named: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(made), pa.binary()), pa.array(list(made.values()), pa.binary())], ["node", "s"])
 
     sets = docs.select(key.alias("_at"), "text").mapInArrow(run, "node binary, s binary")
-    return sets.join(named.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return sets.join(in_family.select("family", "blocks", "node", "n"), "node").dropDuplicates(["node"]).select("family", "blocks", "node", "n", "s")
+
+
+def _regrouped(sets: DataFrame, closer: DataFrame) -> DataFrame:
+    """``sets`` with the families of ``closer`` (family, blocks, node) instead; sets that it doesn't hold go.
+
+    A bit table of fixed size keeps these out of the shuffle.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(_bit_table(closer, F.col("node")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = _held(shared.value, batch.column("_at").to_numpy(zero_copy_only=False))
+            yield batch.select(["node", "n", "s"]).take(pa.array(hit))
+
+    key = F.pmod(F.xxhash64("node"), F.lit(NAMED_BITS))
+    some = sets.select(key.alias("_at"), "node", "n", "s").mapInArrow(run, "node binary, n long, s binary")
+    return some.join(closer.select("family", "blocks", "node"), "node").select("family", "blocks", "node", "n", "s")
 
 
 def _sized(found: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -453,15 +499,16 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
         .groupBy("node")
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"))
     )
-    postings = nodes.select("node", F.explode("prefix").alias("token"))
-    shared = postings.groupBy("token").count().where("count > 1")
+    # dealt once: the counts and the join below read the same shuffle, as long as both take the same rows and columns
+    postings = nodes.select("node", F.explode("prefix").alias("token")).where("node is not null and token is not null").repartition("token")
+    shared = postings.groupBy("token").agg(F.count("node").alias("count")).where("count > 1")
     members = postings.join(shared, "token").select("token", "node", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     members = members.join(nodes.select("node", "n", "bitmap"), "node").select("token", "blocks", "node", "n", "bitmap")
     in_family = cut(_sized(components(_may_match(members, similarity)), nodes))
     sets = cut(_whole_sets(docs, in_family, width))
-    closer = _sized(components(_refined(in_family, sets, similarity)), nodes)
-    in_family = cut(in_family.where("blocks = 1").unionByName(closer))
-    links = _verified(in_family, sets, similarity)
+    closer = cut(_sized(components(_refined(sets, similarity)), nodes))
+    parted = cut(_regrouped(sets.where("blocks > 1"), closer))
+    links = _verified(sets.where("blocks = 1").unionByName(parted), similarity)
     joined = components(links)
     named = nodes.select("node", "rep").join(joined.withColumnRenamed("id", "node"), "node", "left")
     named = named.select("node", "rep", F.coalesce("component", "node").alias("component"))

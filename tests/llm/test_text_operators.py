@@ -422,3 +422,28 @@ def test_constant_tables_of_line_dedup_stay_small(spark, monkeypatch):
     sets = line_dedup.cut(line_dedup._sets(df, "doc_id", "text"))
     assert len(line_dedup._named(sets, sets, "id")[0].collect()) == 3
     assert max(sizes) <= 3
+
+
+def test_refined_families_deal_only_sets_of_near_sizes(spark, monkeypatch):
+    """A family of sizes far apart: similar sets still meet, sets of other sizes don't share a cell."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    rng = np.random.default_rng(5)
+    rows, dealt, plain = [], [], ngram_join._dealt
+    for k, n in enumerate([60, 90, 130, 190, 280, 420, 630, 950]):
+        base = np.sort(rng.integers(-(2**63), 2**63 - 1, n, dtype=np.int64))
+        # one set of a size at the edge of the similarity, the others near copies
+        made = [base] + [np.sort(np.concatenate([base[2:], rng.integers(-(2**63), 2**63 - 1, 2, dtype=np.int64)])) for _ in range(14)] + [base[: -(-n * 9 // 10)]]
+        rows += [(b"f", 16, f"{k:02d}{i:02d}".encode(), len(s), s.tobytes()) for i, s in enumerate(made)]
+    sets = spark.createDataFrame(rows, "family binary, blocks int, node binary, n long, s binary")
+
+    def counted(*args):
+        out = plain(*args)
+        dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_dealt", counted)
+    found = {(bytes(r.a)[:2], bytes(r.b)[:2]) for r in ngram_join._refined(sets, 90).collect()}
+    joined = ngram_join.components(ngram_join._refined(sets, 90)).collect()
+    assert all(a == b for a, b in found)
+    assert {bytes(r.id): bytes(r.component) for r in joined} == {r[2]: r[2][:2] + b"00" for r in rows}
+    assert dealt[0] < len(rows) * 16 / 2  # each set in every block's cell would be 16 times the rows
