@@ -160,6 +160,31 @@ def test_line_dedup_repeated_rows_null_ids_and_nothing(spark):
     assert Counter((r.doc_id, r.text) for r in kept) == Counter({(None, "d\nq r s"): 1, (5, "a b c"): 1})
 
 
+def test_families_whose_earliest_line_is_far_are_settled_by_other_leaders(spark):
+    """Variants of one line, far from the earliest of them: a pair for each is enough, and most are settled by it."""
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(60)]
+    ends = sorted(base, key=lambda w: spark.range(1).select(F.xxhash64(F.lit(w))).first()[0])
+    ends = {*ends[:2], *ends[-2:]}  # the tokens of the family keys stay
+    other = lambda line, n: [f"v{rnd.randrange(10**9)}" if w in gone else w for gone in [set(rnd.sample([w for w in line if w not in ends], n))] for w in line]
+    rows = [(0, " ".join(other(base, 12)))] + [(k, " ".join(other(base, 3))) for k in range(1, 121)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    sets = line_dedup.cut(line_dedup._sets(df, "doc_id", "text"))
+    pairs = line_dedup.cut(line_dedup._family_pairs(sets))
+    assert pairs.groupBy("a").count().where("count > 1").isEmpty()
+    settled = line_dedup._similar(df, "doc_id", "text", pairs)
+    assert settled.count() > 60
+    assert line_dedup._pairs(sets, settled).count() < 1_000
+    got = {r.doc_id: sorted(r.removed_lines) for r in line_dedup.decisions(df).collect()}
+    assert got == lines_by_hand(rows)
+
+
+def test_line_dedup_parts_words_at_any_blank(spark):
+    rows = [(1, "a  b c\x0bd e"), (2, " a\tb c d\re "), (3, "\x0c\ta b c d  e"), (4, "a\u00a0b c d e\n\n  a b  c d f")]
+    got = {r.doc_id: sorted(r.removed_lines) for r in line_dedup.decisions(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == lines_by_hand(rows) == {1: [], 2: [0], 3: [0], 4: []}
+
+
 # suffix dedup
 
 
