@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import itertools
 import json
 import math
@@ -12,12 +13,13 @@ from collections.abc import Callable, Mapping, Sequence
 import numpy as np
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import PCA, PolynomialExpansion, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.functions.scalars import keyed_uniform
+from harborline.operators import forest
 from harborline.operators.gram import Linear
 from harborline.operators.metrics import flow_metrics, union_named
 from harborline.operators.ordering import global_position
@@ -25,6 +27,7 @@ from harborline.session import cut
 
 FEATURES = "_features"
 SLICE = 1 << 16  # about as many rows, at most, make a partition of a table that trees are grown on
+HELD = 1 << 28  # rows times trees, at most, that one fit of MLlib's forest keeps: some 8 bytes each
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = FEATURES) -> DataFrame:
@@ -32,18 +35,32 @@ def assemble(df: DataFrame, features: Sequence[str], output: str = FEATURES) ->
 
 
 class Fitted:
-    """A fitted model with the features it reads; ``predict`` adds the column ``prediction``."""
+    """A fitted model with the features it reads; ``predict`` adds the column ``prediction``.
 
-    def __init__(self, model: Model, features: Sequence[str], prepare: Callable[[DataFrame], DataFrame] | None = None):
-        self.model, self.features, self.prepare = model, list(features), prepare
+    A model that splits features at few ``points`` only is looked up by cell: the model itself gives the value of each.
+    """
+
+    def __init__(
+        self, model: Model, features: Sequence[str], prepare: Callable[[DataFrame], DataFrame] | None = None, points: Sequence[np.ndarray] | None = None
+    ):
+        self.model, self.features, self.prepare, self.points = model, list(features), prepare, points
 
     def predict(self, df: DataFrame) -> DataFrame:
         if isinstance(self.model, LinearRegressionModel) and self.prepare is None:
             return df.withColumn("prediction", self.weighted_sum())
+        if self.points is not None:
+            return df.withColumn("prediction", forest.looked_up(self.features, self.points, self.cell_values))
         vectors = assemble(df, self.features)
         vectors = self.prepare(vectors) if self.prepare else vectors
         return self.model.transform(vectors).select(*df.columns, "prediction")
 
+    @functools.cached_property
+    def cell_values(self) -> list[float]:
+        spark, names = SparkSession.active(), [f"x{k}" for k in range(len(self.features))]
+        cells = spark.createDataFrame(list(enumerate(forest.corners(self.points))), f"cell int, x struct<{', '.join(f'{n}: double' for n in names)}>")
+        scored = self.model.transform(assemble(cells.select("cell", "x.*"), names))
+        return [r.prediction for r in scored.select("cell", "prediction").orderBy("cell").collect()]
+
     def weighted_sum(self) -> Column:
         """A linear model as a column expression, which stays inside code generation."""
         terms = (F.col(f).cast("double") * F.lit(float(c)) for f, c in zip(self.features, self.model.coefficients))
@@ -84,9 +101,9 @@ def load(path: str) -> Fitted | Linear:
     return Fitted(DefaultParamsReader.loadParamsInstance(f"{path}/model", spark.sparkContext), [r.feature for r in rows])
 
 
-def sliced(df: DataFrame) -> DataFrame:
+def sliced(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` in partitions of at most about ``SLICE`` rows: a small file would be one task in every pass of a tree learner."""
-    n = -(-df.count() // SLICE)
+    n = -(-(df.count() if rows is None else rows) // SLICE)
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
@@ -145,9 +162,41 @@ def polynomial_regression(df: DataFrame, features: Sequence[str], label: str, de
 
 
 def random_forest(df: DataFrame, features: Sequence[str], label: str, trees: int = 200, depth: int = 15, leaf: int = 5, seed: int = 42) -> Fitted:
+    """Above one slice of rows, a forest over few cells of bins grows on their sums; over more of them, as many trees at once as ``HELD`` allows.
+
+    MLlib keeps a count and a node for each row and tree, which no disk holds for a long table.
+    """
     # a row keeps its node in every tree: without that each level walks all trees from the root, row by row
     estimator = RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed, cacheNodeIds=True)
-    return _fit(estimator, sliced(df), features, label)
+    n, rows = df.agg(F.count(label), F.count(F.lit(1))).first()
+    known = df.where(F.col(label).isNotNull())
+    points = forest.split_points(known, features) if n > SLICE else None
+    if points is not None:
+        estimator.setFeaturesCol(FEATURES)
+        estimator.setLabelCol("_label")
+        return Fitted(forest.fit(known, features, label, points, estimator, n), features, points=points)
+    at_once = max(1, HELD // max(n, 1))
+    if at_once >= trees:
+        return _fit(estimator, sliced(df, rows), features, label)
+    dealt, draw = cut(sliced(known.select(*dict.fromkeys([*features, label])), n)), random.Random(seed)
+    estimator.setFeatureSubsetStrategy("onethird")  # as MLlib has it for more than one tree
+    sizes = [min(at_once, trees - k) for k in range(0, trees, at_once)]
+    parts = [_fit(estimator.copy({estimator.numTrees: k, estimator.seed: draw.getrandbits(31)}), dealt, features, label).model for k in sizes]
+    return Fitted(joined(parts, estimator), features)
+
+
+def joined(models: Sequence[RandomForestRegressionModel], estimator: RandomForestRegressor) -> RandomForestRegressionModel:
+    """One forest of the trees of all, with the parameters of ``estimator``."""
+    sc = SparkSession.active().sparkContext
+    kinds = sc._jvm.org.apache.spark.ml.regression
+    found = [tree for m in models for tree in m._java_obj.trees()]
+    trees = sc._gateway.new_array(kinds.DecisionTreeRegressionModel, len(found))
+    for k, tree in enumerate(found):
+        trees[k] = tree
+    whole = kinds.RandomForestRegressionModel(estimator.uid, trees, models[0].numFeatures)
+    estimator = estimator.copy({estimator.featuresCol: FEATURES, estimator.labelCol: "_label"})
+    estimator._transfer_params_to_java()
+    return RandomForestRegressionModel(estimator._java_obj.copyValues(whole, estimator._java_obj.extractParamMap()))
 
 
 def boosted_trees(df: DataFrame, features: Sequence[str], label: str, rounds: int = 200, depth: int = 5, step: float = 0.1, seed: int = 42) -> Fitted:

@@ -3,12 +3,12 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
 from harborline.functions import arrays, scalars
 from harborline.operators import classification as cls
-from harborline.operators import metrics, regression
+from harborline.operators import forest, metrics, regression
 
 
 @pytest.fixture(scope="module")
@@ -174,3 +174,89 @@ def test_trees_grow_on_slices(spark, monkeypatch):
     df = spark.range(1050).coalesce(1)
     assert regression.sliced(df).rdd.getNumPartitions() == 11
     assert regression.sliced(df.repartition(20)).rdd.getNumPartitions() == 20
+
+
+@pytest.fixture(scope="module")
+def stepped(spark):
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({"a": rng.normal(size=4000), "b": rng.integers(0, 9, 4000) * 1.0})
+    pdf["y"] = 3 * pdf.a + pdf.b**2 + rng.normal(size=4000)
+    return pdf, spark.createDataFrame(pdf).repartition(3)
+
+
+def test_a_tree_on_sums_of_cells_equals_one_on_rows(spark):
+    rng = np.random.default_rng(11)
+    a, b = rng.integers(0, 20, 2000) * 1.0, rng.integers(0, 9, 2000) * 1.0
+    y = np.round(a * 3 + b**2 + rng.normal(size=2000) * 5, 3)
+    points = [forest.points_between(*np.unique(x, return_counts=True)) for x in (a, b)]
+    cell = (a * 9 + b).astype(int)
+    sums = np.stack([np.bincount(cell, w, 180) for w in (np.ones(2000), y, y * y)], axis=1)
+    cells = np.flatnonzero(sums[:, 0])
+    nodes = forest.grow(cells, sums[cells], points, 7, 5, 2, rng)
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "b": b, "y": y}))
+    plain = DecisionTreeRegressor(featuresCol="v", labelCol="y", maxDepth=7, minInstancesPerNode=5).fit(regression.assemble(df, ["a", "b"], "v"))
+    assert plain.numNodes == len(nodes)
+
+    def walk(row):
+        node = nodes[0]
+        while node[7] >= 0:
+            node = nodes[node[7] if row[node[9]] <= node[10] else node[8]]
+        return node[1]
+
+    scored = plain.transform(regression.assemble(df, ["a", "b"], "v")).collect()
+    np.testing.assert_allclose([walk((r.a, r.b)) for r in scored], [r.prediction for r in scored])
+
+
+def test_points_part_values_evenly(spark):
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"one": 5, "few": rng.integers(0, 4, 20_000) ** 2, "many": rng.random(20_000)})
+    found = forest.split_points(spark.createDataFrame(pdf).repartition(2), ["one", "few", "many"])
+    assert found[0].tolist() == [] and found[1].tolist() == [0.5, 2.5, 6.5]
+    assert len(found[2]) == 31 and np.allclose(found[2], pdf.many.quantile(np.arange(1, 32) / 32), atol=0.005)
+    kinds = np.arange(50.0)  # 50 even kinds make 32 bins of one or two
+    assert set(np.diff(forest.points_between(kinds, np.full(50, 7)))) == {1.0, 2.0}
+
+
+def test_draws_are_poisson():
+    times = forest.drawn(np.random.default_rng(0), 4000, 200).ravel()
+    shares = np.bincount(times)[:5] / times.size
+    assert shares == pytest.approx(np.exp(-1) / np.array([1, 1, 2, 6, 24]), abs=2e-3)
+    assert times.mean() == pytest.approx(1, abs=5e-3) and times.max() < 20
+
+
+def test_a_long_table_is_not_kept_with_its_samples(spark, monkeypatch, stepped, tmp_path):
+    pdf, df = stepped
+    few = regression.random_forest(df, ["a", "b"], "y", trees=30, depth=8)
+    monkeypatch.setattr(regression, "SLICE", 1000)
+    with monkeypatch.context() as m:
+        m.setattr(regression, "_fit", None)  # MLlib's learner holds rows times trees
+        model = regression.random_forest(df.unionByName(df.limit(50).withColumn("y", F.lit(None).cast("double"))), ["a", "b"], "y", trees=30, depth=8)
+    score = lambda fitted: metrics.regression_metrics(fitted.predict(df), "y", "prediction").first().r2
+    assert score(few) > 0.98 and score(model) == pytest.approx(score(few), abs=0.01)
+    assert model.model.getNumTrees == 30 and model.model.getMaxDepth() == 8
+    assert model.model.totalNumNodes == pytest.approx(few.model.totalNumNodes, rel=0.2)
+    np.testing.assert_allclose(model.model.featureImportances.toArray(), few.model.featureImportances.toArray(), atol=0.03)
+    rooted = [tree.toDebugString.count("If") for tree in model.model.trees]
+    assert len(set(rooted)) > 1  # samples and features differ by tree
+    loaded = regression.load(regression.save(model, str(tmp_path / "m")))  # walks the trees
+    both = loaded.predict(model.predict(df).withColumnRenamed("prediction", "cells"))
+    assert both.where("cells = prediction").count() == 4000
+    for name in ("a", "b"):
+        bad = df.withColumn(name, F.when(F.col("y") > 0, F.col(name)))
+        with pytest.raises(Exception, match="null or NaN in feature"):
+            regression.random_forest(bad, ["a", "b"], "y", trees=2)
+        with pytest.raises(Exception, match="null or NaN in feature"):
+            model.predict(bad).agg(F.sum("prediction")).collect()
+
+
+def test_a_long_table_of_many_cells_takes_a_few_trees_at_once(monkeypatch, stepped, tmp_path):
+    pdf, df = stepped
+    monkeypatch.setattr(forest, "CELLS", 100)
+    monkeypatch.setattr(regression, "SLICE", 1000)
+    monkeypatch.setattr(regression, "HELD", 4000 * 4)
+    sizes, fit = [], regression._fit
+    monkeypatch.setattr(regression, "_fit", lambda e, *rest: sizes.append(e.getNumTrees()) or fit(e, *rest))
+    model = regression.random_forest(df, ["a", "b"], "y", trees=10, depth=8)
+    assert sizes == [4, 4, 2] and model.model.getNumTrees == len(model.model.trees) == 10
+    assert metrics.regression_metrics(model.predict(df), "y", "prediction").first().r2 > 0.95
+    assert regression.load(regression.save(model, str(tmp_path / "m"))).model.getNumTrees == 10
