@@ -104,7 +104,7 @@ waves AS MATERIALIZED (SELECT tran_br_code, start_date, y, [1.0::DOUBLE, date_di
 )
 def _(spark, sf):
     scored = regression.trend_seasonal(panel(spark, sf), "tran_br_code", "start_date", "daily_withdrawals", VAL_FROM)
-    late = scored.where(F.col("start_date") >= F.lit(VAL_FROM))
+    late = scored.where((F.col("start_date") >= F.lit(VAL_FROM)) & F.col("daily_withdrawals").isNotNull())
     found = metrics.flow_metrics(late, "daily_withdrawals", "prediction", ["tran_br_code"])
     return found.select("tran_br_code", r("mae", 1), r("rmse", 1), "wape", "underforecasting_rate", "num_comparisons")
 
